@@ -14,6 +14,7 @@ from strataflow.operators.history import END, START
 
 BROADCAST_BYTES = 32 << 20
 BROADCAST_ROWS = 500_000
+FEW_VERSIONS = 64
 
 
 def join_as_of(
@@ -26,24 +27,29 @@ def join_as_of(
     end: str = END,
     policy: SkewPolicy = SkewPolicy(),
     broadcast_rows: int = BROADCAST_ROWS,
+    few: int = FEW_VERSIONS,
 ) -> DataFrame:
     """All facts, with ``columns`` of the version where ``start <= ts < end``, else NULL.
 
     Facts and history share the key names; the versions of a key must not overlap, which
     ``scd2`` ensures. NULL keys and times match nothing.
 
-    A history counted to be small goes to every task, one sorted array per key, and each fact
-    searches its key's array: the facts are not shuffled. Otherwise facts and versions are
-    sorted together by key and time and each fact takes the last version before it, so
-    the work is that of a sort, whatever the number of versions per key.
+    The history is counted first. With few versions of every key, it is an equality join
+    that tests those few, in whichever way Spark finds best. With many versions of some key,
+    a history that is small goes to every task, where each fact searches its key's
+    sorted versions; else facts and versions are sorted together by key and time and each
+    fact takes the last version before it, so the work stays that of a sort.
     """
     taken = [c for c in history.columns if c not in {*keys, start, end}]
     taken = list(columns) if columns is not None else taken
     versions = history.where(_present([*keys, start])).select(
         *keys, F.struct(start, end, *taken).alias("__version"), F.col(start).alias("__at")
     )
-    small, longest = _is_small(versions, keys, broadcast_rows)
-    if small:
+    total, longest = _count(versions, keys)
+    small = total <= broadcast_rows and skew.estimated_bytes(versions) <= BROADCAST_BYTES
+    if longest <= few:
+        found = _by_join(facts, versions, keys, ts, start, end, small)
+    elif small:
         found = _by_search(facts, versions, keys, ts, start, longest)
     else:
         found = _by_scan(facts, versions, keys, ts, policy)
@@ -60,17 +66,30 @@ def _present(columns: Sequence[str]) -> Column:
     return test
 
 
-def _is_small(versions: DataFrame, keys: Sequence[str], limit: int) -> tuple[bool, int]:
-    """Whether the history may be broadcast, and its longest run of versions of one key.
+def _count(versions: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
+    """The number of versions in all, and of the key that has most; reads the keys only."""
+    row = versions.groupBy(*keys).count().agg(F.sum("count"), F.max("count")).first()
+    return row[0] or 0, row[1] or 0
 
-    The optimizer's estimate only rules a history out; the exact count decides.
-    """
-    if limit <= 0 or skew.estimated_bytes(versions) > BROADCAST_BYTES:
-        return False, 0
-    total, longest = (
-        versions.groupBy(*keys).count().agg(F.sum("count"), F.max("count")).first()
-    )
-    return (total or 0) <= limit, longest or 0
+
+def _by_join(
+    facts: DataFrame,
+    versions: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    start: str,
+    end: str,
+    small: bool,
+) -> DataFrame:
+    names = {c: f"__k{i}" for i, c in enumerate(keys)}
+    versions = versions.drop("__at").withColumnsRenamed(names)
+    if small:
+        versions = F.broadcast(versions)
+    stops = F.col(f"__version.{end}")
+    match = (F.col(f"__version.{start}") <= F.col(ts)) & (stops.isNull() | (F.col(ts) < stops))
+    for key, name in names.items():
+        match &= F.col(key) == F.col(name)
+    return facts.join(versions, match, "left")
 
 
 def _by_search(

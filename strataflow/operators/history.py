@@ -15,15 +15,17 @@ from pyspark.sql import functions as F
 from strataflow.config import SkewPolicy
 from strataflow.functions.keys import orderable, payload_order
 from strataflow.operators import skew
-from strataflow.operators.dedup import latest_per_key, one_per_change
+from strataflow.operators.dedup import latest_per_key, thinned
 
 START = "__START_AT"
 END = "__END_AT"
 
 
-def scd1(changes: DataFrame, keys: Sequence[str], sequence_by: str) -> DataFrame:
+def scd1(
+    changes: DataFrame, keys: Sequence[str], sequence_by: str, policy: SkewPolicy = SkewPolicy()
+) -> DataFrame:
     """The newest row of each key."""
-    return latest_per_key(changes.where(F.col(sequence_by).isNotNull()), keys, sequence_by)
+    return latest_per_key(changes.where(F.col(sequence_by).isNotNull()), keys, sequence_by, policy)
 
 
 def scd2(
@@ -53,7 +55,9 @@ def scd2(
     is_hot = skew.is_hot(keys, hot)
     heavy = rows.where(is_hot)
     cuts = skew.choose_cuts(heavy, keys, sequence_by, policy)
-    heavy = skew.with_chunk(one_per_change(heavy, keys, sequence_by), keys, sequence_by, cuts)
+    change = [*keys, sequence_by]
+    heavy = thinned(heavy, change, payload_order(heavy, change) or [F.col(sequence_by)])
+    heavy = skew.with_chunk(heavy, keys, sequence_by, cuts)
     return _versions(rows.where(~is_hot), keys, sequence_by, tracked, start, end).unionByName(
         _versions(heavy, keys, sequence_by, tracked, start, end, chunked=True)
     )

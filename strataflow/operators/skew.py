@@ -42,6 +42,8 @@ def find_hot(df: DataFrame, keys: Sequence[str], policy: SkewPolicy) -> list[int
         df.select(key_hash(keys).alias("h"), (F.spark_partition_id() % 256).alias("part"))
         .groupBy("part")
         .agg(F.expr(f"approx_top_k_accumulate(h, {policy.tracked_items})").alias("sketch"))
+        # A group of its own, so that an empty input gives no row rather than an error.
+        .groupBy(F.lit("all"))
         .agg(F.expr(f"approx_top_k_combine(sketch, {policy.tracked_items})").alias("sketch"))
         .select(F.expr(f"inline(approx_top_k_estimate(sketch, {policy.max_hot_keys}))"))
     )

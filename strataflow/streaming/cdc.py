@@ -74,7 +74,7 @@ def state_of(log: DataFrame, spec: CdcSpec) -> DataFrame:
     rows = expect_all_or_drop(log, spec.rules)
     payload = rows.drop(BUCKET)
     if spec.scd_type == 1:
-        state = scd1(payload, spec.keys, spec.sequence_by)
+        state = scd1(payload, spec.keys, spec.sequence_by, spec.skew)
     elif spec.scd_type == 2:
         state = scd2(
             payload, spec.keys, spec.sequence_by, untracked=spec.untracked, policy=spec.skew
