@@ -75,8 +75,8 @@ def ingest_table(
     """Copy one table's new rows to bronze.
 
     The newest change value is read first, from that column alone, and fixes the window's end: rows that
-    arrive meanwhile wait for the next run. Without new rows nothing is written. The
-    mark moves only after the rows are in place; a run that fails in between repeats its window,
+    arrive meanwhile wait for the next run. Without rows past the mark nothing is written; late
+    rows within the entry's ``overlap`` come along with the next new one. The mark moves only after the rows are in place; a run that fails in between repeats its window,
     and the repeats are dropped further on, by key and sequence.
     """
     run_id = run_id or uuid.uuid4().hex
