@@ -109,8 +109,9 @@ class JoinSpec:
 class TableSpec:
     """Everything the pipeline knows about one table, from source to gold.
 
-    ``dedupe`` is ``"change"`` (one row per key and sequence, so history survives),
-    ``"key"`` (the first row of a key stays for ever) or ``None``.
+    ``dedupe`` is ``"change"`` (repeated copies of a change go, so history survives),
+    ``"key"`` (the first row of a key stays for ever) or ``None``. ``salts`` spreads the copies
+    of one key or change over that many tasks.
     """
 
     ingest: IngestSpec
@@ -118,6 +119,7 @@ class TableSpec:
     clean: Sequence[Callable[[DataFrame], DataFrame]] = ()
     drop: Sequence[str] = ("_rescued_data",)
     dedupe: str | None = None
+    salts: int = 16
 
     @property
     def table(self) -> str:

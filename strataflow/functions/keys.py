@@ -20,7 +20,8 @@ def bucket_of(keys: Sequence[str], buckets: int, expression: str | None = None)
     ``buckets`` partitions leaves each task with the rows of few buckets to write.
     """
     if expression:
-        return F.expr(expression).cast("long")
+        # A key without a bucket still needs one that can be asked for.
+        return F.coalesce(F.expr(expression).cast("long"), F.lit(-1).cast("long"))
     return F.pmod(F.hash(*keys), F.lit(buckets)).cast("long")
 
 

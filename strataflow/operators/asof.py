@@ -48,7 +48,7 @@ def join_as_of(
     total, longest = _count(versions, keys)
     small = total <= broadcast_rows and skew.estimated_bytes(versions) <= BROADCAST_BYTES
     if longest <= few:
-        found = _by_join(facts, versions, keys, ts, start, end, small)
+        found = _by_join(facts, versions, keys, ts, start, end, small, policy)
     elif small:
         found = _by_search(facts, versions, keys, ts, start, longest)
     else:
@@ -80,16 +80,24 @@ def _by_join(
     start: str,
     end: str,
     small: bool,
+    policy: SkewPolicy,
 ) -> DataFrame:
     names = {c: f"__k{i}" for i, c in enumerate(keys)}
     versions = versions.drop("__at").withColumnsRenamed(names)
-    if small:
-        versions = F.broadcast(versions)
     stops = F.col(f"__version.{end}")
     match = (F.col(f"__version.{start}") <= F.col(ts)) & (stops.isNull() | (F.col(ts) < stops))
     for key, name in names.items():
         match &= F.col(key) == F.col(name)
-    return facts.join(versions, match, "left")
+    if small:
+        return facts.join(F.broadcast(versions), match, "left")
+    hot = skew.find_hot(facts, keys, policy)
+    if not hot:
+        return facts.join(versions, match, "left")
+    # The hot keys are few, and each has few versions: those go to every task, so that the
+    # facts of a hot key (or of no key at all) stay where they are.
+    light = facts.where(~skew.is_hot(keys, hot)).join(versions, match, "left")
+    theirs = F.broadcast(versions.where(skew.is_hot(list(names.values()), hot)))
+    return light.unionByName(facts.where(skew.is_hot(keys, hot)).join(theirs, match, "left"))
 
 
 def _by_search(

@@ -136,6 +136,7 @@ ORACLE: dict[str, str] = {
         AND (end_at IS NULL OR end_at > TIMESTAMP '2024-01-15')""",
     "ingest_window": "SELECT * FROM events WHERE ts > TIMESTAMP '2024-01-15'",
     "ingest_two_runs": "SELECT * FROM events",
+    "ingest_overlap": "SELECT * FROM events",
     "backfill_window": """
         SELECT * FROM events
         WHERE ts > TIMESTAMP '2024-01-10' AND ts <= TIMESTAMP '2024-01-15'""",
@@ -166,10 +167,16 @@ ORACLE: dict[str, str] = {
                CASE WHEN ts > TIMESTAMP '2024-01-15' THEN props END AS props
         FROM events""",
     "stream_dedupe_keys": LINE_KEYS,
+    "stream_dedupe_within": LINE_KEYS,
+    "stream_dedupe_change": "SELECT DISTINCT * FROM events",
     "stream_quarantine": f"""
         SELECT c_custkey, {FAILED} AS failed_rules FROM customer WHERE {FAILED} <> ''""",
     "stream_scd1": LATEST,
     "stream_scd2": HISTORY,
+    "stream_rules": """
+        SELECT user_id, event_type, value, ts, ts AS start_at,
+               lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS end_at
+        FROM events WHERE value > 10 AND event_type IS NOT NULL""",
     "stream_scd2_late": TRACKED,
     "snapshot_sum": TOTALS,
     "medallion_star": """
@@ -189,4 +196,12 @@ ORACLE: dict[str, str] = {
                u.subscription_type, t.track_id, t.track_name, t.durationflag
         FROM events e LEFT JOIN u ON e.user_id = u.user_id AND u.rn = 1
                       LEFT JOIN t ON e.event_id = t.track_id""",
+    "refresh_one": """
+        SELECT o_custkey AS user_id, upper('user-' || o_custkey) AS user_name,
+               o_orderpriority AS subscription_type, o_orderdate AS start_at,
+               lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate) AS end_at
+        FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey, o_orderdate
+                                           ORDER BY o_orderpriority DESC) AS rn
+              FROM orders) z
+        WHERE rn = 1""",
 }

@@ -16,7 +16,7 @@ from strataflow.session import has_data
 from strataflow.sources.schema import resolve_schema
 from strataflow.sources.stream import stream_files, stream_table
 from strataflow.streaming.cdc import apply_changes, stage
-from strataflow.streaming.dedupe import stream_dedupe
+from strataflow.streaming.dedupe import stream_dedupe, stream_dedupe_changes
 from strataflow.streaming.sinks import append_stream
 
 
@@ -31,8 +31,8 @@ def deduped(df: DataFrame, spec: TableSpec) -> DataFrame:
     if spec.dedupe is None:
         return df
     if spec.dedupe == "key":
-        return stream_dedupe(df, spec.cdc.keys)
-    return stream_dedupe(df, [*spec.cdc.keys, spec.cdc.sequence_by])
+        return stream_dedupe(df, spec.cdc.keys, salts=spec.salts)
+    return stream_dedupe_changes(df, spec.cdc.keys, spec.cdc.sequence_by, spec.salts)
 
 
 def bronze_schema(spark: SparkSession, spec: TableSpec, layers: Layers) -> T.StructType:

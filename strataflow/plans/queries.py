@@ -21,7 +21,8 @@ from strataflow.plans.pipeline import run
 from strataflow.session import scratch_dir
 from strataflow.sources import read_layer, read_since, read_table, resolve_schema, stream_files
 from strataflow.streaming import (
-    append_stream, apply_changes, read_gold, read_snapshot, stage, stream_dedupe, write_snapshot,
+    append_stream, apply_changes, read_gold, read_snapshot, stage, stream_dedupe,
+    stream_dedupe_changes, write_snapshot,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -305,6 +306,17 @@ def backfill_window(spark, sf):
     return read_layer(spark, layers.path("bronze", "events"))
 
 
+@query
+def ingest_overlap(spark, sf):
+    """The second run reads two days again; the repeats go by key and sequence."""
+    layers = work(spark, "overlap")
+    spec = IngestSpec("events", "ts", overlap="2 days")
+    ingest_table(spark, spec, lambda spec: early(spark, sf), layers)
+    ingest_table(spark, spec, lambda spec: table(spark, sf, spec.table), layers)
+    bronze = read_layer(spark, layers.path("bronze", "events"))
+    return one_per_change(bronze, ["user_id"], "ts")
+
+
 @query
 def run_log(spark, sf):
     """Three passes over two tables; the last finds nothing new, and one entry always fails."""
@@ -365,6 +377,30 @@ def stream_dedupe_keys(spark, sf):
     return read_layer(spark, layers.path("silver", "lineitem"))
 
 
+@query
+def stream_dedupe_within(spark, sf):
+    """Keys are forgotten thirty days of event time after they were seen."""
+    layers = work(spark, "within")
+    keys = ["l_orderkey", "l_linenumber"]
+    stream = table_stream(spark, sf, "lineitem").select(*keys, "l_shipdate")
+    stream = stream_dedupe(stream, keys, within=("l_shipdate", "30 days")).select(*keys)
+    append_stream(stream, layers.checkpoint("lineitem"), layers.path("silver", "lineitem"))
+    return read_layer(spark, layers.path("silver", "lineitem"))
+
+
+@query
+def stream_dedupe_change(spark, sf):
+    """Copies of a change go, the changes of a key stay, over two runs that overlap."""
+    layers = work(spark, "changes")
+    bronze, silver = layers.path("bronze", "events"), layers.path("silver", "events")
+    for batch in (early(spark, sf), table(spark, sf, "events")):
+        land(batch, bronze)
+        stream = stream_files(spark, bronze, batch.schema)
+        once = stream_dedupe_changes(stream, ["user_id"], "ts")
+        append_stream(once, layers.checkpoint("events"), silver)
+    return read_layer(spark, silver)
+
+
 @query
 def stream_quarantine(spark, sf):
     layers = work(spark, "reject")
@@ -386,7 +422,7 @@ def applied(spark: SparkSession, sf: str, spec: CdcSpec, batches: list[DataFrame
         source = stream_files(spark, layers.path("bronze", spec.table), batch.schema)
         stage(source, spec, layers)
         apply_changes(spark, spec, source.schema, layers)
-    return named(read_gold(spark, spec, layers))
+    return named(read_gold(spark, spec, layers, source.schema))
 
 
 @query
@@ -399,6 +435,13 @@ def stream_scd2(spark, sf):
     return applied(spark, sf, CdcSpec("events", ["user_id"], "ts", 2, buckets=8))
 
 
+@query
+def stream_rules(spark, sf):
+    """Rules hold on the way into the log and again on the target."""
+    rules = {"priced": "value > 10", "known": "event_type IS NOT NULL"}
+    return applied(spark, sf, CdcSpec("events", ["user_id"], "ts", 2, rules, buckets=8))
+
+
 @query
 def stream_scd2_late(spark, sf):
     """The later half first: the earlier rows must find their place in the history."""
@@ -482,3 +525,13 @@ def medallion_star(spark, sf):
     ]
     tables = {n: current_versions(df) if n != "FactStream" else df for n, df in gold.items()}
     return build_join(spark, specs, tables)
+
+
+@query
+def refresh_one(spark, sf):
+    """A pass over a single table of the warehouse."""
+    layers = work(spark, "refresh")
+    source = warehouse(spark, sf)
+    run(spark, WAREHOUSE, lambda spec: source[spec.table], layers, only=["DimUser"])
+    users = read_gold(spark, WAREHOUSE[0].cdc, layers)
+    return named(users).select("user_id", "user_name", "subscription_type", "start_at", "end_at")

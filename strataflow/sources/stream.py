@@ -13,12 +13,15 @@ def stream_files(
     files_per_batch: int | None = None,
     bytes_per_batch: str | None = None,
     glob: str | None = None,
+    **options: str,
 ) -> DataFrame:
     """New files of a folder, each read once; the stream's checkpoint remembers the seen ones.
 
     ``files_per_batch`` or ``bytes_per_batch`` cuts a large backlog into several micro-batches.
+    Other file-source options pass through: ``cleanSource`` with ``sourceArchiveDir`` keeps the
+    folder short enough to list.
     """
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream.schema(schema).options(**options)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if bytes_per_batch:

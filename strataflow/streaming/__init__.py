@@ -1,8 +1,8 @@
 from strataflow.streaming.cdc import apply_changes, read_gold, rebuild, stage
-from strataflow.streaming.dedupe import stream_dedupe
+from strataflow.streaming.dedupe import stream_dedupe, stream_dedupe_changes
 from strataflow.streaming.sinks import append_stream, read_snapshot, write_snapshot
 
 __all__ = [
-    "apply_changes", "read_gold", "rebuild", "stage", "stream_dedupe",
+    "apply_changes", "read_gold", "rebuild", "stage", "stream_dedupe", "stream_dedupe_changes",
     "append_stream", "read_snapshot", "write_snapshot",
 ]

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from strataflow.config import CdcSpec, Layers
 from strataflow.functions.keys import bucket_of
-from strataflow.operators.history import scd1, scd2
+from strataflow.operators.history import END, START, scd1, scd2
 from strataflow.operators.quality import expect_all_or_drop, split
 from strataflow.session import session_conf
 from strataflow.streaming.sinks import append_stream
@@ -161,7 +161,22 @@ def rebuild(spark: SparkSession, spec: CdcSpec, schema: T.StructType, layers: La
         _replace_buckets(state_of(log, spec), spec, layers.path("gold", spec.table))
 
 
-def read_gold(spark: SparkSession, spec: CdcSpec, layers: Layers) -> DataFrame:
-    """The gold table without its bucket column; columns added over time read as NULL before."""
+def gold_schema(schema: T.StructType, spec: CdcSpec) -> T.StructType:
+    """The columns of the gold table for staged rows of this schema, without the bucket."""
+    if spec.scd_type == 1:
+        return schema
+    moment = schema[spec.sequence_by].dataType
+    return T.StructType([*schema.fields, T.StructField(START, moment), T.StructField(END, moment)])
+
+
+def read_gold(
+    spark: SparkSession, spec: CdcSpec, layers: Layers, schema: T.StructType | None = None
+) -> DataFrame:
+    """The gold table without its bucket column; columns added over time read as NULL before.
+
+    Given the schema of the staged rows, no footer is opened for planning.
+    """
     path = layers.path("gold", spec.table)
-    return spark.read.option("mergeSchema", True).parquet(path).drop(BUCKET)
+    if schema is None:
+        return spark.read.option("mergeSchema", True).parquet(path).drop(BUCKET)
+    return spark.read.schema(log_schema(gold_schema(schema, spec))).parquet(path).drop(BUCKET)

@@ -8,21 +8,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+SALTS = 16
+
 
 def stream_dedupe(
     df: DataFrame,
     keys: Sequence[str],
     within: tuple[str, str] | None = None,
-    salts: int = 0,
+    salts: int = SALTS,
 ) -> DataFrame:
     """The first row seen of each key, remembered in the query's state.
 
     The state grows with the number of distinct keys. ``within=(column, delay)`` bounds it:
     a key is forgotten once the event time has moved on by ``delay``.
 
-    Streaming de-duplication sends every row of a key to one task. Where one key may have
-    very many copies, ``salts`` first thins them in that many places each, so at most
-    ``salts`` rows of a key ever reach the task that decides.
+    Streaming de-duplication sends every row of a key to one task. So the rows of each key are
+    first thinned in ``salts`` places, and at most that many of them ever reach the task that
+    decides. ``salts=0`` saves that step where no key has many copies; a checkpoint keeps
+    the choice made at its first start.
     """
     stamp = "__event_time"
     if within is not None:
@@ -40,3 +43,18 @@ def stream_dedupe(
         salted = df.withColumn("__salt", F.floor(F.rand(17) * salts))
         df = once(salted, [*keys, "__salt"]).drop("__salt")
     return once(df, keys).drop(stamp)
+
+
+def stream_dedupe_changes(
+    df: DataFrame, keys: Sequence[str], sequence_by: str, salts: int = SALTS
+) -> DataFrame:
+    """Drop repeated copies of a change row, and nothing else.
+
+    Rows that agree in key and sequence but not in payload all pass: which one counts is settled
+    where all of them are known. The payload is remembered as a digest, which keeps the
+    state small and stays the same when a column is added that old rows lack.
+    """
+    payload = [c for c in df.columns if c not in {*keys, sequence_by}]
+    text = F.to_json(F.struct(*payload), {"ignoreNullFields": "true"}) if payload else F.lit("")
+    marked = df.withColumn("__payload", F.sha2(text, 256))
+    return stream_dedupe(marked, [*keys, sequence_by, "__payload"], salts=salts).drop("__payload")

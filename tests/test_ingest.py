@@ -59,6 +59,18 @@ def test_failed_write_leaves_the_mark(spark, layers, monkeypatch):
     assert landed(spark, layers) == [1, 2]
 
 
+def test_lost_mark_repeats_the_window(spark, layers, monkeypatch):
+    def broken(self, spec, value, data_type):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(ingest.WatermarkStore, "put", broken)
+        with pytest.raises(OSError):
+            load(spark, layers, 1)
+    assert load(spark, layers, 1).n_rows == 1
+    assert landed(spark, layers) == [1, 1]
+
+
 def test_backfill_lands_again_and_keeps_the_mark(spark, layers):
     load(spark, layers, 1, 2, 3)
     outcome = backfill(spark, SPEC, lambda _: source(spark, 1, 2, 3), layers, "2024-01-01", "2024-01-03")

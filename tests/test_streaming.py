@@ -10,7 +10,7 @@ from strataflow.plans.ingest import land
 from strataflow.sources import stream_files
 from strataflow.streaming import (
     append_stream, apply_changes, read_gold, read_snapshot, rebuild, stage, stream_dedupe,
-    write_snapshot,
+    stream_dedupe_changes, write_snapshot,
 )
 
 SCHEMA = "k int, t string, u int, at int"
@@ -120,13 +120,23 @@ def test_key_dedupe_remembers_between_runs(spark, layers, salts):
     assert rows(spark.read.parquet(silver)) == [(None, "x", 1), (1, "Free", 1), (3, "Free", 2)]
 
 
-def test_change_dedupe_keeps_later_versions(spark, layers):
+def test_change_dedupe_drops_copies_only(spark, layers):
     bronze, silver = layers.path("bronze", "u"), layers.path("silver", "u")
-    for batch in ([(1, "Free", 1)] * 2, [(1, "Premium", 2), (1, "Free", 1), (3, "Free", 2)]):
-        land(spark.createDataFrame(batch, "id int, plan string, at int"), bronze)
-        stream = stream_files(spark, bronze, spark.read.parquet(bronze).schema)
-        append_stream(stream_dedupe(stream, ["id", "at"]), layers.checkpoint("u"), silver)
-    assert rows(spark.read.parquet(silver)) == [(1, "Free", 1), (1, "Premium", 2), (3, "Free", 2)]
+    narrow, wide = "id int, plan string, at int", "id int, plan string, at int, mail string"
+    runs = [
+        ([(1, "Free", 1)] * 2, narrow),
+        ([(1, "Premium", 2), (1, "Free", 1), (1, "Family", 2)], narrow),
+        ([(1, "Free", 1, None), (1, "Free", 1, "x@y"), (3, "Free", 2, None)], wide),
+    ]
+    for batch, schema in runs:
+        df = spark.createDataFrame(batch, schema)
+        land(df, bronze)
+        stream = stream_files(spark, bronze, df.schema)
+        append_stream(stream_dedupe_changes(stream, ["id"], "at"), layers.checkpoint("u"), silver)
+    assert rows(spark.read.schema(df.schema).parquet(silver), "id", "plan", "at", "mail") == sorted([
+        (1, "Family", 2, None), (1, "Free", 1, None), (1, "Free", 1, "x@y"),
+        (1, "Premium", 2, None), (3, "Free", 2, None),
+    ], key=lambda r: [(v is not None, v) for v in r])
 
 
 def test_bounded_dedupe_on_wall_clock_time(spark, layers):
@@ -160,3 +170,44 @@ def test_snapshots(spark, layers):
     with pytest.raises(Exception):
         write_snapshot(spark.range(3).selectExpr("raise_error('x') AS id"), path)
     assert read_snapshot(spark, path).count() == 2
+
+
+def test_a_run_cut_short_is_repeated(spark, layers, monkeypatch):
+    """The target is written but the batch is not yet marked done; then everything runs again."""
+    import strataflow.streaming.cdc as cdc
+
+    spec = CdcSpec("t", ["k"], "at", 2, buckets=4)
+    data = changes(60, 9)
+    real = cdc._replace_buckets
+
+    def dies(state, spec, target):
+        real(state, spec, target)
+        raise OSError("driver lost")
+
+    monkeypatch.setattr(cdc, "_replace_buckets", dies)
+    with pytest.raises(Exception, match="driver lost"):
+        flow(spark, layers, spec, data[:30])
+    monkeypatch.setattr(cdc, "_replace_buckets", real)
+    assert flow(spark, layers, spec, data[30:]) == expected(data)
+
+
+def test_continuous_change_flow(spark, layers):
+    spec = CdcSpec("t", ["k"], "at", 1, buckets=2, name="live", once=False)
+    bronze = layers.path("bronze", "t")
+    land(spark.createDataFrame([(1, "A", 0, 1), (1, "B", 0, 2)], SCHEMA), bronze)
+    schema = spark.createDataFrame([], SCHEMA).schema
+    queries = stage(stream_files(spark, bronze, schema), spec, layers, interval="1 second")
+    try:
+        queries[0].processAllAvailable()
+        queries.append(apply_changes(spark, spec, schema, layers, interval="1 second"))
+        queries[-1].processAllAvailable()
+        assert rows(read_gold(spark, spec, layers)) == [(1, "B", 0, 2)]
+        assert rows(read_gold(spark, spec, layers, schema)) == [(1, "B", 0, 2)]
+    finally:
+        for query in queries:
+            query.stop()
+
+
+def test_null_key_has_a_bucket_of_its_own(spark, layers):
+    spec = CdcSpec("t", ["k"], "at", 1, bucket_expr="k div 100")
+    assert flow(spark, layers, spec, [(None, "A", 0, 1), (1, "B", 0, 1)]) == [(None, "A", 0, 1), (1, "B", 0, 1)]
