@@ -46,7 +46,7 @@ def search_steps(longest: int) -> Column:
     return F.array(*[F.lit(w) for w in widths or [1]])
 
 
-def upper_bound(items: Column, value: Column, steps: Column, read=lambda item: item) -> Column:
+def upper_bound(items: Column, value: Column, steps: Column) -> Column:
     """How many leading items of a sorted array are at most ``value``.
 
     A read beyond the end yields NULL and so does not advance.
@@ -54,5 +54,5 @@ def upper_bound(items: Column, value: Column, steps: Column, read=lambda item: i
     return F.aggregate(
         steps,
         F.lit(0),
-        lambda at, step: F.when(read(F.get(items, at + step - 1)) <= value, at + step).otherwise(at),
+        lambda at, step: F.when(F.get(items, at + step - 1) <= value, at + step).otherwise(at),
     )

@@ -8,13 +8,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataflow.config import SkewPolicy
-from strataflow.functions.keys import search_steps, upper_bound
 from strataflow.operators import skew
 from strataflow.operators.history import END, START
 
 BROADCAST_BYTES = 32 << 20
 BROADCAST_ROWS = 500_000
-FEW_VERSIONS = 64
+FEW_VERSIONS = 128
 
 
 def join_as_of(
@@ -34,14 +33,17 @@ def join_as_of(
     Facts and history share the key names; the versions of a key must not overlap, which
     ``scd2`` ensures. NULL keys and times match nothing.
 
-    The history is counted first. With few versions of every key, it is an equality join
-    that tests those few, in whichever way Spark finds best. With many versions of some key,
-    a history that is small goes to every task, where each fact searches its key's
-    sorted versions; else facts and versions are sorted together by key and time and each
-    fact takes the last version before it, so the work stays that of a sort.
+    The history is counted first. With few versions of every key it is an equality join that
+    tests those few; a history that is small in all goes to every task and the facts are not
+    shuffled. With many versions of some key, facts and versions are sorted together by key
+    and time and each fact takes the last version before it, so the work stays that of a sort.
+    The history is read more than once: give it as a table rather than as a long computation.
     """
     taken = [c for c in history.columns if c not in {*keys, start, end}]
     taken = list(columns) if columns is not None else taken
+    clash = sorted(set(taken) & set(facts.columns))
+    if clash:
+        raise ValueError(f"facts and history both have {', '.join(clash)}")
     versions = history.where(_present([*keys, start])).select(
         *keys, F.struct(start, end, *taken).alias("__version"), F.col(start).alias("__at")
     )
@@ -49,8 +51,6 @@ def join_as_of(
     small = total <= broadcast_rows and skew.estimated_bytes(versions) <= BROADCAST_BYTES
     if longest <= few:
         found = _by_join(facts, versions, keys, ts, start, end, small, policy)
-    elif small:
-        found = _by_search(facts, versions, keys, ts, start, longest)
     else:
         found = _by_scan(facts, versions, keys, ts, policy)
     valid = F.col(f"__version.{end}").isNull() | (F.col(ts) < F.col(f"__version.{end}"))
@@ -100,18 +100,6 @@ def _by_join(
     return light.unionByName(facts.where(skew.is_hot(keys, hot)).join(theirs, match, "left"))
 
 
-def _by_search(
-    facts: DataFrame, versions: DataFrame, keys: Sequence[str], ts: str, start: str, longest: int
-) -> DataFrame:
-    arrays = versions.groupBy(*keys).agg(F.sort_array(F.collect_list("__version")).alias("__versions"))
-    found = upper_bound(
-        F.col("__versions"), F.col(ts), search_steps(longest), lambda version: version[start]
-    )
-    joined = facts.join(F.broadcast(arrays), list(keys), "left")
-    # A read before the first version is NULL, as is one from a key without versions.
-    return joined.withColumn("__version", F.get("__versions", found - 1))
-
-
 def _by_scan(
     facts: DataFrame, versions: DataFrame, keys: Sequence[str], ts: str, policy: SkewPolicy
 ) -> DataFrame:

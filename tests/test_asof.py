@@ -9,11 +9,11 @@ from strataflow.operators import join_as_of, scd2
 WAYS = {
     "join": dict(few=10**9),
     "join unbounded": dict(few=10**9, broadcast_rows=0),
-    "search": dict(few=0),
-    "scan": dict(few=0, broadcast_rows=0),
-    "split scan": dict(
-        few=0, broadcast_rows=0, policy=SkewPolicy(rows_per_task=30, check_above_bytes=0)
+    "split join": dict(
+        few=10**9, broadcast_rows=0, policy=SkewPolicy(rows_per_task=30, check_above_bytes=0)
     ),
+    "scan": dict(few=0),
+    "split scan": dict(few=0, policy=SkewPolicy(rows_per_task=30, check_above_bytes=0)),
 }
 
 
@@ -68,3 +68,9 @@ def test_empty_history(spark):
     history = spark.createDataFrame([], "k int, plan string, __START_AT int, __END_AT int")
     facts = spark.createDataFrame([(1, 9)], "k int, ts int")
     assert rows(join_as_of(facts, history, ["k"], "ts")) == [(1, 9, None)]
+
+
+def test_column_clash_is_refused(spark):
+    history = spark.createDataFrame([(1, "a", 10, 20)], "k int, plan string, __START_AT int, __END_AT int")
+    with pytest.raises(ValueError, match="plan"):
+        join_as_of(spark.createDataFrame([(1, 9, "x")], "k int, ts int, plan string"), history, ["k"], "ts")
