@@ -54,6 +54,12 @@ class CdcSpec:
 
     ``bucket_expr`` may replace the default hash bucket by any expression over the keys, such
     as ``stream_id div 100000000``: keys that grow with time then change only the newest buckets.
+
+    ``merge`` says what a micro-batch is merged with. ``"log"`` recomputes the touched buckets from all
+    their change rows. ``"table"`` merges the new rows with the table's own rows; a history
+    is then also partitioned by the ``period`` (week, month, quarter or year) in which its versions
+    end, and only the periods from the oldest new row on are read and rewritten. It needs
+    every change to be a version, so no untracked columns, and a date or time as sequence.
     """
 
     table: str
@@ -64,10 +70,24 @@ class CdcSpec:
     untracked: Sequence[str] = ()
     buckets: int = 64
     bucket_expr: str | None = None
+    merge: str = "log"
+    period: str = "month"
     name: str | None = None
     once: bool = True
     skew: SkewPolicy = field(default_factory=SkewPolicy)
 
+    def __post_init__(self) -> None:
+        if self.scd_type not in (1, 2):
+            raise ValueError(f"{self.table}: scd_type must be 1 or 2")
+        if self.merge not in ("log", "table"):
+            raise ValueError(f"{self.table}: merge must be log or table")
+        if self.merge == "table" and self.untracked:
+            raise ValueError(f"{self.table}: untracked columns need merge='log'")
+
+    @property
+    def by_period(self) -> bool:
+        return self.merge == "table" and self.scd_type == 2
+
     @property
     def flow(self) -> str:
         return self.name or self.table

@@ -25,6 +25,17 @@ def bucket_of(keys: Sequence[str], buckets: int, expression: str | None = None)
     return F.pmod(F.hash(*keys), F.lit(buckets)).cast("long")
 
 
+def period_of(moment: Column, data_type: T.DataType, period: str) -> Column:
+    """The first day of the week, month, quarter or year of a date or time, in any session zone."""
+    if isinstance(data_type, T.TimestampType):
+        day = F.date_from_unix_date(F.floor(F.unix_micros(moment) / 86_400_000_000).cast("int"))
+    elif isinstance(data_type, (T.DateType, T.TimestampNTZType)):
+        day = F.to_date(moment)
+    else:
+        raise ValueError(f"a period needs a date or time, not {data_type.simpleString()}")
+    return F.trunc(day, period)
+
+
 def orderable(df: DataFrame, name: str) -> Column:
     """The column in a form that can be compared; maps compare as their sorted entries."""
     if isinstance(df.schema[name].dataType, T.MapType):

@@ -22,27 +22,30 @@ def flag_duration(df: DataFrame) -> DataFrame:
 # key, change column, type, silver steps, rules, de-duplication
 USER = TableSpec(
     IngestSpec("DimUser", "updated_at"),
-    CdcSpec("DimUser", ["user_id"], "updated_at", 2, {"rule_1": "user_id IS NOT NULL"}),
+    CdcSpec("DimUser", ["user_id"], "updated_at", 2, {"rule_1": "user_id IS NOT NULL"}, merge="table"),
     clean=[lambda df: upper_columns(df, ["user_name"])],
     dedupe="change",
 )
 ARTIST = TableSpec(
     IngestSpec("DimArtist", "updated_at"),
-    CdcSpec("DimArtist", ["artist_id"], "updated_at", 2),
+    CdcSpec("DimArtist", ["artist_id"], "updated_at", 2, merge="table"),
     dedupe="change",
 )
 TRACK = TableSpec(
     IngestSpec("DimTrack", "updated_at"),
-    CdcSpec("DimTrack", ["track_id"], "updated_at", 2),
+    CdcSpec("DimTrack", ["track_id"], "updated_at", 2, merge="table"),
     clean=[flag_duration, lambda df: regex_clean(df, "track_name")],
 )
-DATE = TableSpec(IngestSpec("DimDate", "date"), CdcSpec("DimDate", ["date_key"], "date", 2))
+DATE = TableSpec(
+    IngestSpec("DimDate", "date"),
+    CdcSpec("DimDate", ["date_key"], "date", 2, buckets=1, merge="table", period="year"),
+)
 STREAM = TableSpec(
     IngestSpec("FactStream", "stream_timestamp"),
     # Stream ids grow with time, so a day's rows touch the newest buckets only.
     CdcSpec(
         "FactStream", ["stream_id"], "stream_timestamp", 1,
-        bucket_expr="stream_id div 50000000",
+        bucket_expr="stream_id div 50000000", merge="table",
     ),
 )
 

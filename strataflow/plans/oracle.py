@@ -66,7 +66,7 @@ ORACLE: dict[str, str] = {
                CASE WHEN p_size < 15 THEN 'low' WHEN p_size < 30 THEN 'medium' ELSE 'high' END
                AS durationflag
         FROM part""",
-    "regex_clean_names": """
+    "regex_clean": """
         SELECT o_orderkey, regexp_replace(o_orderpriority, '-', ' ', 'g') AS o_orderpriority
         FROM orders""",
     "filter_in": "SELECT p_partkey, p_name FROM part WHERE p_partkey IN (46, 5)",
@@ -125,13 +125,13 @@ ORACLE: dict[str, str] = {
           SELECT 'known_segment', count(*) FROM customer
           WHERE NOT coalesce(c_mktsegment <> 'MACHINERY', FALSE)) x
         WHERE n_rows > 0""",
-    "scd1_latest": LATEST,
-    "scd2_history": HISTORY,
+    "scd1": LATEST,
+    "scd2": HISTORY,
     "scd2_tracked": TRACKED,
     "scd2_ties": PRIORITIES,
     "scd2_closed": f"SELECT * FROM ({HISTORY}) h WHERE end_at IS NOT NULL",
     "scd2_current": f"SELECT * FROM ({HISTORY}) h WHERE end_at IS NULL",
-    "as_of_moment": f"""
+    "as_of": f"""
         SELECT * FROM ({HISTORY}) h WHERE start_at <= TIMESTAMP '2024-01-15'
         AND (end_at IS NULL OR end_at > TIMESTAMP '2024-01-15')""",
     "ingest_window": "SELECT * FROM events WHERE ts > TIMESTAMP '2024-01-15'",
@@ -140,7 +140,7 @@ ORACLE: dict[str, str] = {
     "backfill_window": """
         SELECT * FROM events
         WHERE ts > TIMESTAMP '2024-01-10' AND ts <= TIMESTAMP '2024-01-15'""",
-    "layer_stats_all": f"""
+    "layer_stats": f"""
         SELECT 'bronze' AS layer, count(*) AS n_rows, max(ts) AS newest,
                count(DISTINCT user_id) AS n_keys FROM events
         UNION ALL
@@ -166,7 +166,7 @@ ORACLE: dict[str, str] = {
         SELECT event_id, ts, user_id, event_type, value,
                CASE WHEN ts > TIMESTAMP '2024-01-15' THEN props END AS props
         FROM events""",
-    "stream_dedupe_keys": LINE_KEYS,
+    "stream_dedupe": LINE_KEYS,
     "stream_dedupe_within": LINE_KEYS,
     "stream_dedupe_change": "SELECT DISTINCT * FROM events",
     "stream_quarantine": f"""
@@ -178,6 +178,8 @@ ORACLE: dict[str, str] = {
                lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS end_at
         FROM events WHERE value > 10 AND event_type IS NOT NULL""",
     "stream_scd2_late": TRACKED,
+    "stream_merge_scd1": LATEST,
+    "stream_merge_scd2": HISTORY,
     "snapshot_sum": TOTALS,
     "medallion_star": """
         WITH u AS (

@@ -33,7 +33,8 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
+    """Register a query under its name; a trailing underscore keeps clear of an operator's name."""
+    QUERIES[function.__name__.rstrip("_")] = function
     return function
 
 
@@ -95,7 +96,7 @@ def upper_bucket(spark, sf):
 
 
 @query
-def regex_clean_names(spark, sf):
+def regex_clean_(spark, sf):
     return regex_clean(table(spark, sf, "orders").select("o_orderkey", "o_orderpriority"), "o_orderpriority")
 
 
@@ -239,12 +240,12 @@ def rule_counts(spark, sf):
 
 
 @query
-def scd1_latest(spark, sf):
+def scd1_(spark, sf):
     return scd1(changes(spark, sf), ["user_id"], "ts")
 
 
 @query
-def scd2_history(spark, sf):
+def scd2_(spark, sf):
     return scd2(changes(spark, sf), ["user_id"], "ts", **VERSION)
 
 
@@ -260,17 +261,17 @@ def scd2_ties(spark, sf):
 
 @query
 def scd2_closed(spark, sf):
-    return closed_versions(scd2_history(spark, sf), "end_at")
+    return closed_versions(scd2_(spark, sf), "end_at")
 
 
 @query
 def scd2_current(spark, sf):
-    return current_versions(scd2_history(spark, sf), "end_at")
+    return current_versions(scd2_(spark, sf), "end_at")
 
 
 @query
-def as_of_moment(spark, sf):
-    return as_of(scd2_history(spark, sf), HALF, "start_at", "end_at")
+def as_of_(spark, sf):
+    return as_of(scd2_(spark, sf), HALF, "start_at", "end_at")
 
 
 # Incremental ingest
@@ -334,7 +335,7 @@ def run_log(spark, sf):
 
 
 @query
-def layer_stats_all(spark, sf):
+def layer_stats_(spark, sf):
     bronze = changes(spark, sf)
     layers = {
         "bronze": bronze,
@@ -369,7 +370,7 @@ def stream_evolve(spark, sf):
 
 
 @query
-def stream_dedupe_keys(spark, sf):
+def stream_dedupe_(spark, sf):
     layers = work(spark, "dedupe")
     keys = ["l_orderkey", "l_linenumber"]
     stream = stream_dedupe(table_stream(spark, sf, "lineitem").select(*keys), keys)
@@ -451,6 +452,23 @@ def stream_scd2_late(spark, sf):
     return applied(spark, sf, spec, batches)
 
 
+@query
+def stream_merge_scd1(spark, sf):
+    """Two runs, the later half first, each merged with the rows the table has."""
+    columns = changes(spark, sf).columns
+    batches = [late(spark, sf).select(*columns), early(spark, sf).select(*columns)]
+    return applied(spark, sf, CdcSpec("events", ["user_id"], "ts", 1, buckets=8, merge="table"), batches)
+
+
+@query
+def stream_merge_scd2(spark, sf):
+    """Two runs in time order: the second reads and rewrites the current versions only."""
+    columns = changes(spark, sf).columns
+    batches = [early(spark, sf).select(*columns), late(spark, sf).select(*columns)]
+    spec = CdcSpec("events", ["user_id"], "ts", 2, buckets=8, merge="table", period="week")
+    return applied(spark, sf, spec, batches)
+
+
 @query
 def snapshot_sum(spark, sf):
     path = work(spark, "snapshot").path("gold", "totals")
@@ -492,7 +510,8 @@ def warehouse(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
 WAREHOUSE = [
     TableSpec(
         IngestSpec("DimUser", "updated_at"),
-        CdcSpec("DimUser", ["user_id"], "updated_at", 2, {"rule_1": "user_id IS NOT NULL"}, buckets=8),
+        CdcSpec("DimUser", ["user_id"], "updated_at", 2, {"rule_1": "user_id IS NOT NULL"}, buckets=8,
+                merge="table", period="year"),
         clean=[lambda df: upper_columns(df, ["user_name"])],
         dedupe="change",
     ),

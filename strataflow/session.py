@@ -74,13 +74,25 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def has_data(spark: SparkSession, path: str) -> bool:
-    """Whether a table folder holds anything besides bookkeeping files."""
+    """Whether a table folder holds anything besides bookkeeping files, as Spark tells them apart."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(target):
         return False
     entries = fs.listStatusIterator(target)
     while entries.hasNext():
-        if entries.next().getPath().getName()[0] not in "_.":
+        name = entries.next().getPath().getName()
+        if not name.startswith(("_", ".")) or (name.startswith("_") and "=" in name):
             return True
     return False
+
+
+def put_marker(spark: SparkSession, path: str) -> None:
+    """Create an empty file."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True).close()
+
+
+def remove_marker(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, False)

@@ -1,26 +1,33 @@
 """Change rows from a stream into a type 1 or type 2 table kept in buckets.
 
 ``stage`` appends the valid change rows to a log partitioned by key bucket; ``apply_changes``
-follows the log and rebuilds the buckets that got new rows. What a bucket holds is a function
-of its part of the log alone: a repeated micro-batch changes nothing, late rows find
+follows the log and rewrites the parts of the table that its new rows can change. The table is a
+function of the set of logged rows: a repeated micro-batch changes nothing, late rows find
 their place, and a damaged table can be rebuilt.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
+from datetime import date
+from typing import Any
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from strataflow.config import CdcSpec, Layers
-from strataflow.functions.keys import bucket_of
+from strataflow.functions.keys import bucket_of, period_of
 from strataflow.operators.history import END, START, scd1, scd2
 from strataflow.operators.quality import expect_all_or_drop, split
-from strataflow.session import session_conf
+from strataflow.session import has_data, path_exists, put_marker, remove_marker, session_conf
 from strataflow.streaming.sinks import append_stream
 
 BUCKET = "__bucket"
+# The period a version ends in; versions still open have a date of their own.
+UNTIL = "__until"
+OPEN = date(9999, 12, 31)
 
 
 def rules_of(spec: CdcSpec) -> dict[str, str]:
@@ -69,32 +76,33 @@ def log_schema(source_schema: T.StructType) -> T.StructType:
     return T.StructType([*source_schema.fields, T.StructField(BUCKET, T.LongType())])
 
 
-def state_of(log: DataFrame, spec: CdcSpec) -> DataFrame:
-    """The table that a log of change rows amounts to."""
-    rows = expect_all_or_drop(log, spec.rules)
-    payload = rows.drop(BUCKET)
+def state_of(rows: DataFrame, spec: CdcSpec) -> DataFrame:
+    """The table that a set of change rows amounts to, with its partition columns."""
+    rows = expect_all_or_drop(rows, spec.rules)
     if spec.scd_type == 1:
-        state = scd1(payload, spec.keys, spec.sequence_by, spec.skew)
-    elif spec.scd_type == 2:
-        state = scd2(
-            payload, spec.keys, spec.sequence_by, untracked=spec.untracked, policy=spec.skew
-        )
+        state = scd1(rows, spec.keys, spec.sequence_by, spec.skew)
     else:
-        raise ValueError(f"{spec.table}: scd_type must be 1 or 2")
-    return state.withColumn(BUCKET, bucket_of(spec.keys, spec.buckets, spec.bucket_expr))
+        state = scd2(rows, spec.keys, spec.sequence_by, untracked=spec.untracked, policy=spec.skew)
+    state = state.withColumn(BUCKET, bucket_of(spec.keys, spec.buckets, spec.bucket_expr))
+    if spec.by_period:
+        ended = period_of(F.col(END), state.schema[END].dataType, spec.period)
+        state = state.withColumn(UNTIL, F.coalesce(ended, F.lit(OPEN)))
+    return state
 
 
-def _replace_buckets(state: DataFrame, spec: CdcSpec, target: str) -> None:
-    """Overwrite the buckets ``state`` has rows for, and no others.
+def _replace(state: DataFrame, spec: CdcSpec, target: str, balance: bool = False) -> None:
+    """Overwrite the partitions ``state`` has rows for, and no others.
 
-    Hash buckets need no shuffle of their own (see ``_aligned``); others are gathered first.
+    More change rows never empty a partition, so nothing outdated stays behind. Hash buckets need no
+    shuffle of their own (see ``_aligned``); others, and whole tables by period, are balanced.
     """
-    if spec.bucket_expr:
-        state = state.hint("rebalance", BUCKET)
+    parts = [BUCKET, UNTIL] if spec.by_period else [BUCKET]
+    if spec.bucket_expr or balance:
+        state = state.hint("rebalance", *parts)
     (
         state.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BUCKET)
+        .partitionBy(*parts)
         .parquet(target)
     )
 
@@ -114,6 +122,37 @@ def _aligned(session: SparkSession, spec: CdcSpec) -> dict[str, str]:
     }
 
 
+def _from_log(
+    session: SparkSession, spec: CdcSpec, schema: T.StructType, layers: Layers, buckets: list[int] | None
+) -> DataFrame:
+    """The change rows of some buckets, or of all."""
+    log = session.read.schema(log_schema(schema)).parquet(layers.path("stg", spec.table))
+    if buckets is not None:
+        log = log.where(F.col(BUCKET).isin(buckets))
+    return log.select(*schema.names)
+
+
+def _with_table(batch: DataFrame, spec: CdcSpec, schema: T.StructType, layers: Layers) -> DataFrame:
+    """A micro-batch's change rows and those rows of the table that they can affect.
+
+    A new row ends the version valid at its time, and becomes one that ends where that did. So versions
+    that ended before the period of a bucket's oldest new row stay as they are.
+    """
+    oldest = F.min(spec.sequence_by)
+    if spec.by_period:
+        oldest = period_of(oldest, schema[spec.sequence_by].dataType, spec.period)
+    # One row per touched bucket comes to the driver.
+    floors: dict[Any, list[int]] = defaultdict(list)
+    for bucket, floor in batch.groupBy(BUCKET).agg(oldest).collect():
+        floors[floor if spec.by_period else None].append(bucket)
+    affected = F.lit(False)
+    for floor, buckets in floors.items():
+        inside = F.col(BUCKET).isin(buckets)
+        affected |= inside & (F.col(UNTIL) >= F.lit(floor)) if spec.by_period else inside
+    table = _read_target(batch.sparkSession, spec, layers, schema).where(affected)
+    return table.select(*schema.names).unionByName(batch.select(*schema.names))
+
+
 def apply_changes(
     spark: SparkSession,
     spec: CdcSpec,
@@ -123,26 +162,35 @@ def apply_changes(
 ) -> StreamingQuery:
     """Keep the gold table up to date with its log. ``schema`` is that of the staged rows.
 
-    Only the buckets named in a micro-batch are read from the log and overwritten. Choose
-    ``bucket_expr`` so that a usual batch names few of them.
+    Only partitions that a micro-batch can change are read and overwritten. The overwrite is not
+    atomic, so a marker stands while it lasts; a run that finds one left behind, or no table,
+    cannot rely on the table's rows and writes the table anew from the log.
     """
     log_path, target = layers.path("stg", spec.table), layers.path("gold", spec.table)
-    full = log_schema(schema)
+    marker = f"{layers.state('apply', spec.flow)}/in_progress"
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        # At most one value per bucket comes to the driver.
-        touched = [row[0] for row in batch.select(BUCKET).distinct().collect()]
-        if not touched:
-            return
         # The query's own copy of the session, so the settings stay in this flow.
         session = batch.sparkSession
         for name, value in _aligned(session, spec).items():
             session.conf.set(name, value)
-        log = session.read.schema(full).parquet(log_path).where(F.col(BUCKET).isin(touched))
-        _replace_buckets(state_of(log, spec), spec, target)
+        if spec.merge == "log":
+            # At most one value per bucket comes to the driver.
+            touched = [row[0] for row in batch.select(BUCKET).distinct().collect()]
+            if touched:
+                _replace(state_of(_from_log(session, spec, schema, layers, touched), spec), spec, target)
+            return
+        anew = path_exists(session, marker) or not has_data(session, target)
+        if anew:
+            rows = _from_log(session, spec, schema, layers, None)
+        else:
+            rows = _with_table(batch, spec, schema, layers)
+        put_marker(session, marker)
+        _replace(state_of(rows, spec), spec, target, balance=anew and spec.by_period)
+        remove_marker(session, marker)
 
     writer = (
-        spark.readStream.schema(full)
+        spark.readStream.schema(log_schema(schema))
         .parquet(log_path)
         .writeStream.foreachBatch(merge)
         .option("checkpointLocation", layers.checkpoint(f"{spec.flow}_apply"))
@@ -155,28 +203,50 @@ def apply_changes(
 
 
 def rebuild(spark: SparkSession, spec: CdcSpec, schema: T.StructType, layers: Layers) -> None:
-    """Write every bucket of the gold table anew from the log."""
+    """Write every partition of the gold table anew from the log."""
     with session_conf(spark, _aligned(spark, spec)):
-        log = spark.read.schema(log_schema(schema)).parquet(layers.path("stg", spec.table))
-        _replace_buckets(state_of(log, spec), spec, layers.path("gold", spec.table))
+        rows = _from_log(spark, spec, schema, layers, None)
+        _replace(state_of(rows, spec), spec, layers.path("gold", spec.table), spec.by_period)
 
 
 def gold_schema(schema: T.StructType, spec: CdcSpec) -> T.StructType:
-    """The columns of the gold table for staged rows of this schema, without the bucket."""
+    """The columns of the gold table for staged rows of this schema, without the partitions."""
     if spec.scd_type == 1:
         return schema
     moment = schema[spec.sequence_by].dataType
     return T.StructType([*schema.fields, T.StructField(START, moment), T.StructField(END, moment)])
 
 
+def _read_target(
+    spark: SparkSession, spec: CdcSpec, layers: Layers, schema: T.StructType
+) -> DataFrame:
+    parts = [T.StructField(BUCKET, T.LongType())]
+    if spec.by_period:
+        parts.append(T.StructField(UNTIL, T.DateType()))
+    full = T.StructType([*gold_schema(schema, spec).fields, *parts])
+    return spark.read.schema(full).parquet(layers.path("gold", spec.table))
+
+
 def read_gold(
     spark: SparkSession, spec: CdcSpec, layers: Layers, schema: T.StructType | None = None
 ) -> DataFrame:
-    """The gold table without its bucket column; columns added over time read as NULL before.
+    """The gold table without its partition columns; columns added over time read as NULL before.
 
     Given the schema of the staged rows, no footer is opened for planning.
     """
-    path = layers.path("gold", spec.table)
     if schema is None:
-        return spark.read.option("mergeSchema", True).parquet(path).drop(BUCKET)
-    return spark.read.schema(log_schema(gold_schema(schema, spec))).parquet(path).drop(BUCKET)
+        path = layers.path("gold", spec.table)
+        return spark.read.option("mergeSchema", True).parquet(path).drop(BUCKET, UNTIL)
+    return _read_target(spark, spec, layers, schema).drop(BUCKET, UNTIL)
+
+
+def read_current(
+    spark: SparkSession, spec: CdcSpec, layers: Layers, schema: T.StructType
+) -> DataFrame:
+    """The current version of each key; a table kept by period is read in that part only."""
+    table = _read_target(spark, spec, layers, schema)
+    if spec.by_period:
+        table = table.where(F.col(UNTIL) == F.lit(OPEN))
+    elif spec.scd_type == 2:
+        table = table.where(F.col(END).isNull())
+    return table.drop(BUCKET, UNTIL)

@@ -33,7 +33,7 @@ def test_sums_and_keys_are_combined_before_the_shuffle(spark):
 
 
 def test_history_takes_one_shuffle(spark):
-    for name in ("scd1_latest", "scd2_history", "scd2_tracked", "scd2_ties", "as_of_moment"):
+    for name in ("scd1", "scd2", "scd2_tracked", "scd2_ties", "as_of"):
         text = plan(QUERIES[name](spark, SF))
         assert (text.count("Exchange hashpartitioning"), text.count("Sort [")) == (1, 1), name
 

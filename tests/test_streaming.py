@@ -1,4 +1,5 @@
 import random
+from datetime import datetime, timedelta
 
 import pytest
 from conftest import rows
@@ -9,7 +10,7 @@ from strataflow.functions.keys import bucket_of
 from strataflow.plans.ingest import land
 from strataflow.sources import stream_files
 from strataflow.streaming import (
-    append_stream, apply_changes, read_gold, read_snapshot, rebuild, stage, stream_dedupe,
+    append_stream, apply_changes, read_current, read_gold, read_snapshot, rebuild, stage, stream_dedupe,
     stream_dedupe_changes, write_snapshot,
 )
 
@@ -24,6 +25,22 @@ def flow(spark, layers, spec, data):
     return rows(read_gold(spark, spec, layers))
 
 
+DATED = "k int, t string, u int, at timestamp_ntz"
+
+
+def dated(data):
+    """The same changes, a sequence step being five days."""
+    return [(k, t, u, datetime(2024, 1, 1) + timedelta(days=5 * at)) for k, t, u, at in data]
+
+
+def dated_flow(spark, layers, spec, data, schema=DATED):
+    df = spark.createDataFrame(data, schema)
+    land(df, layers.path("bronze", spec.table))
+    stage(stream_files(spark, layers.path("bronze", spec.table), df.schema), spec, layers)
+    apply_changes(spark, spec, df.schema, layers)
+    return rows(read_gold(spark, spec, layers, df.schema))
+
+
 def changes(n, seed):
     rnd = random.Random(seed)
     return [
@@ -178,16 +195,16 @@ def test_a_run_cut_short_is_repeated(spark, layers, monkeypatch):
 
     spec = CdcSpec("t", ["k"], "at", 2, buckets=4)
     data = changes(60, 9)
-    real = cdc._replace_buckets
+    real = cdc._replace
 
-    def dies(state, spec, target):
-        real(state, spec, target)
+    def dies(state, spec, target, balance=False):
+        real(state, spec, target, balance)
         raise OSError("driver lost")
 
-    monkeypatch.setattr(cdc, "_replace_buckets", dies)
+    monkeypatch.setattr(cdc, "_replace", dies)
     with pytest.raises(Exception, match="driver lost"):
         flow(spark, layers, spec, data[:30])
-    monkeypatch.setattr(cdc, "_replace_buckets", real)
+    monkeypatch.setattr(cdc, "_replace", real)
     assert flow(spark, layers, spec, data[30:]) == expected(data)
 
 
@@ -211,3 +228,79 @@ def test_continuous_change_flow(spark, layers):
 def test_null_key_has_a_bucket_of_its_own(spark, layers):
     spec = CdcSpec("t", ["k"], "at", 1, bucket_expr="k div 100")
     assert flow(spark, layers, spec, [(None, "A", 0, 1), (1, "B", 0, 1)]) == [(None, "A", 0, 1), (1, "B", 0, 1)]
+
+
+def merged(**options):
+    return CdcSpec("t", ["k"], "at", **{"scd_type": 2, "buckets": 3, "merge": "table", **options})
+
+
+@pytest.mark.parametrize("order", [[0, 1, 2, 3], [2, 3, 0, 1], [3, 0, 2, 1]])
+@pytest.mark.parametrize("period", ["month", "year"])
+def test_merge_with_the_table_gives_the_same_history(spark, layers, order, period):
+    data = dated(sorted(changes(150, 12), key=lambda r: r[3]))
+    parts = [data[:50], data[50:90], data[90:], data[20:110:3]]
+    spec = merged(period=period)
+    seen = []
+    for part in order:
+        seen += parts[part]
+        assert dated_flow(spark, layers, spec, parts[part]) == expected(seen)
+    schema = spark.createDataFrame([], DATED).schema
+    want = [r for r in expected(data) if r[5] is None]
+    assert rows(read_current(spark, spec, layers, schema)) == want
+    rebuild(spark, spec, schema, layers)
+    assert rows(read_gold(spark, spec, layers)) == expected(data)
+
+
+def test_merge_leaves_earlier_periods_alone(spark, layers):
+    def files():
+        names = spark.read.parquet(layers.path("gold", "t")).inputFiles()
+        return {n for n in names if "__until=2024-02" in n or "__until=2024-01" in n}
+
+    data = dated([(k, "A", 0, at) for k in range(20) for at in range(0, 30, 3)])
+    dated_flow(spark, layers, merged(), data)
+    before = files()
+    late = dated([(k, "B", 0, 31) for k in range(5)])
+    assert dated_flow(spark, layers, merged(), late) == expected(data + late)
+    assert before and files() == before
+
+
+@pytest.mark.parametrize("spec", [merged(), merged(scd_type=1), merged(scd_type=1, bucket_expr="k div 10")])
+def test_merge_cut_short_in_the_middle(spark, layers, monkeypatch, spec):
+    """Half of the partitions are written when the driver goes; the rest must not be lost."""
+    import strataflow.streaming.cdc as cdc
+
+    def want(data):
+        full = expected(data)
+        current = sorted((r[:4] for r in full if r[5] is None), key=lambda r: (r[0] is not None, r))
+        return full if spec.scd_type == 2 else current
+
+    data = dated(sorted(changes(120, 13), key=lambda r: r[3]))
+    assert dated_flow(spark, layers, spec, data[:40]) == want(data[:40])
+    real = cdc._replace
+
+    def dies(state, spec, target, balance=False):
+        real(state.where("__bucket = 0 AND NOT (u = 1)"), spec, target, balance)
+        raise OSError("driver lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(cdc, "_replace", dies)
+        with pytest.raises(Exception, match="driver lost"):
+            dated_flow(spark, layers, spec, data[40:80])
+    assert dated_flow(spark, layers, spec, data[80:]) == want(data)
+
+
+def test_merge_with_zoned_times_and_dates(spark, layers):
+    data = dated(changes(40, 14))
+    for name, cut in (("timestamp", lambda t: t), ("date", lambda t: t.date())):
+        spec = CdcSpec(name, ["k"], "at", 2, buckets=2, merge="table")
+        schema = DATED.replace("timestamp_ntz", name)
+        typed = [(k, t, u, cut(at)) for k, t, u, at in data]
+        dated_flow(spark, layers, spec, typed[:20], schema)
+        assert dated_flow(spark, layers, spec, typed[20:], schema) == expected(typed)
+
+
+def test_merge_needs_versions_and_times(spark, layers):
+    with pytest.raises(ValueError):
+        merged(untracked=("u",))
+    with pytest.raises(Exception, match="a period needs a date or time"):
+        flow(spark, layers, merged(), [(1, "A", 0, 1)])
