@@ -34,6 +34,10 @@ class Outcome:
     error: str | None = None
 
 
+def failure(run_id: str, table: str, error: Exception) -> Outcome:
+    return Outcome(run_id, table, "failed", error=f"{type(error).__name__}: {error}"[:2000])
+
+
 class WatermarkStore:
     """The last change value copied, per table, as one appended row per successful run.
 
@@ -126,7 +130,7 @@ def run_all(
         try:
             return ingest_table(spark, spec, reader, layers, run_id)
         except Exception as error:
-            return Outcome(run_id, spec.table, "failed", error=f"{type(error).__name__}: {error}"[:2000])
+            return failure(run_id, spec.table, error)
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         return list(pool.map(one, specs))

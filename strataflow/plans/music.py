@@ -19,7 +19,7 @@ def flag_duration(df: DataFrame) -> DataFrame:
     return df.withColumn("durationflag", bucketize("duration_sec", DURATIONS, LONGEST))
 
 
-# key, change column, type, silver steps, rules, de-duplication
+# Each table's key, change column and type.
 USER = TableSpec(
     IngestSpec("DimUser", "updated_at"),
     CdcSpec("DimUser", ["user_id"], "updated_at", 2, {"rule_1": "user_id IS NOT NULL"}, merge="table"),
@@ -51,6 +51,7 @@ STREAM = TableSpec(
 
 TABLES = [USER, ARTIST, TRACK, DATE, STREAM]
 
+# The tables, columns and conditions of the listening query.
 LISTENS = [
     JoinSpec("FactStream", "factstream", "factstream.stream_id, factstream.listen_duration"),
     JoinSpec(

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from strataflow.config import Layers, TableSpec
 from strataflow.functions.columns import drop_columns
-from strataflow.plans.ingest import Outcome, Reader, run_all
+from strataflow.plans.ingest import Outcome, Reader, failure, run_all
 from strataflow.plans.monitor import record_runs
 from strataflow.session import has_data
 from strataflow.sources.schema import resolve_schema
@@ -75,20 +75,27 @@ def run(
     """One pass over all tables, or over those named in ``only``.
 
     Each layer takes what the one below has new, so a pass after a failure picks up what the
-    failed one left. The outcome of every table is logged before a failure is raised.
+    failed one left. One table's failure does not stop the others; all are logged before
+    they are raised together.
     """
     chosen = [s for s in specs if only is None or s.table in only]
     outcomes = run_all(spark, [s.ingest for s in chosen], reader, layers, parallel)
     record_runs(spark, outcomes, layers)
 
-    def upwards(spec: TableSpec) -> None:
-        schema = bronze_to_silver(spark, spec, layers)
-        if schema is not None:
-            silver_to_gold(spark, spec, layers, schema, quarantine)
+    def upwards(spec: TableSpec) -> Outcome | None:
+        try:
+            schema = bronze_to_silver(spark, spec, layers)
+            if schema is not None:
+                silver_to_gold(spark, spec, layers, schema, quarantine)
+            return None
+        except Exception as error:
+            return failure(outcomes[0].run_id, spec.table, error)
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-        list(pool.map(upwards, chosen))
-    failed = [o for o in outcomes if o.status == "failed"]
+        broken = [o for o in pool.map(upwards, chosen) if o is not None]
+    if broken:
+        record_runs(spark, broken, layers)
+    failed = [o for o in outcomes if o.status == "failed"] + broken
     if failed:
         raise RuntimeError("; ".join(f"{o.table}: {o.error}" for o in failed))
     return outcomes

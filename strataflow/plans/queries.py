@@ -167,8 +167,11 @@ def shipped(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def pit_join(spark, sf):
     history = priorities(spark, sf).withColumnRenamed("o_orderpriority", "priority_asof")
+    # The history becomes a table, as it is in the gold layer: it is read more than once.
+    path = work(spark, "history").path("gold", "priorities")
+    write_snapshot(history.drop("o_orderkey", "o_orderdate"), path)
     return join_as_of(
-        shipped(spark, sf), history, ["o_custkey"], "l_shipdate", ["priority_asof"], **VERSION
+        shipped(spark, sf), read_snapshot(spark, path), ["o_custkey"], "l_shipdate", **VERSION
     )
 
 

@@ -88,3 +88,37 @@ def test_single_table_failure_and_new_column(spark, layers, warehouse):
     assert rows(read_runs(spark, layers), "table", "status") == [
         ("DimArtist", "failed"), ("DimUser", "loaded"), ("DimUser", "loaded"),
     ]
+
+
+def test_a_table_that_fails_on_the_way_up_does_not_stop_the_others(spark, layers, warehouse, monkeypatch):
+    import strataflow.plans.pipeline as pipeline
+
+    real = pipeline.silver_to_gold
+
+    def failing(spark, spec, *rest):
+        if spec.table == "DimTrack":
+            raise OSError("no space")
+        real(spark, spec, *rest)
+
+    _, reader = warehouse
+    with monkeypatch.context() as patch:
+        patch.setattr(pipeline, "silver_to_gold", failing)
+        with pytest.raises(RuntimeError, match="DimTrack: OSError: no space"):
+            run(spark, TABLES, reader, layers, only=["DimTrack", "DimArtist"])
+    log = read_runs(spark, layers)
+    assert rows(log.where("status = 'failed'"), "table", "error") == [("DimTrack", "OSError: no space")]
+    assert {o.status for o in run(spark, TABLES, reader, layers, only=["DimTrack", "DimArtist"])} == {"empty"}
+    gold = {s.table: read_gold(spark, s.cdc, layers).count() for s in TABLES if s.table in ("DimTrack", "DimArtist")}
+    assert gold == {"DimTrack": 3, "DimArtist": 1}
+
+
+def test_show_a_catalog_table(spark, capsys):
+    from strataflow.__main__ import main
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS shown")
+    spark.range(9).write.mode("overwrite").saveAsTable("shown.numbers")
+    try:
+        main(["--catalog", "spark_catalog", "--schema", "shown", "--table", "numbers", "--rows", "2"])
+    finally:
+        spark.catalog.setCurrentDatabase("default")
+    assert "only showing top 2 rows" in capsys.readouterr().out

@@ -5,7 +5,7 @@ import pytest
 from strataflow.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
-WRITES = ("stream", "ingest", "backfill", "run_log", "snapshot", "medallion", "refresh", "layer")
+WRITES = ("pit_join", "stream", "ingest", "backfill", "run_log", "snapshot", "medallion", "refresh", "layer")
 
 
 def plan(df):
