@@ -131,7 +131,8 @@ class TableSpec:
 
     ``dedupe`` is ``"change"`` (repeated copies of a change go, so history survives),
     ``"key"`` (the first row of a key stays for ever) or ``None``. ``salts`` spreads the copies
-    of one key or change over that many tasks.
+    of one key or change over that many tasks. A backlog of bronze files is taken in micro-batches of
+    ``bytes_per_batch``, so that a run cut short loses no more than one of them.
     """
 
     ingest: IngestSpec
@@ -140,6 +141,7 @@ class TableSpec:
     drop: Sequence[str] = ("_rescued_data",)
     dedupe: str | None = None
     salts: int = 16
+    bytes_per_batch: int = 1 << 40
 
     @property
     def table(self) -> str:

@@ -46,7 +46,8 @@ def bronze_to_silver(spark: SparkSession, spec: TableSpec, layers: Layers) -> T.
     bronze = layers.path("bronze", spec.table)
     if not has_data(spark, bronze):
         return None
-    source = stream_files(spark, bronze, bronze_schema(spark, spec, layers))
+    schema = bronze_schema(spark, spec, layers)
+    source = stream_files(spark, bronze, schema, bytes_per_batch=spec.bytes_per_batch)
     silver = deduped(clean(source, spec), spec)
     append_stream(
         silver, layers.checkpoint(f"{spec.table}_silver"), path=layers.path("silver", spec.table)

@@ -474,9 +474,14 @@ def stream_merge_scd2(spark, sf):
 
 @query
 def snapshot_sum(spark, sf):
-    path = work(spark, "snapshot").path("gold", "totals")
-    write_snapshot(sum_by_key(spark, sf), path)
-    return read_snapshot(spark, path)
+    """Two datasets, the second computed from the first as it was written."""
+    layers = work(spark, "datasets")
+    write_snapshot(changes(spark, sf), layers.path("gold", "trips"))
+    trips = read_snapshot(spark, layers.path("gold", "trips"))
+    write_snapshot(
+        sum_by(trips, ["user_id"], "value", "total_value", scale=2), layers.path("gold", "totals")
+    )
+    return read_snapshot(spark, layers.path("gold", "totals"))
 
 
 # The whole flow

@@ -11,7 +11,7 @@ def stream_files(
     path: str,
     schema: T.StructType,
     files_per_batch: int | None = None,
-    bytes_per_batch: str | None = None,
+    bytes_per_batch: int | None = None,
     glob: str | None = None,
     **options: str,
 ) -> DataFrame:

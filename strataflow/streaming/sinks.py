@@ -11,7 +11,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from strataflow.session import ROCKSDB, path_exists, session_conf
 
-STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+# State is kept outside the heap, within one memory bound per executor, and a micro-batch uploads
+# what changed rather than all of it.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 # A query takes its copy of the session's options when it starts; flows may start in parallel.
 _start_lock = threading.Lock()
 
@@ -38,7 +44,7 @@ def append_stream(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)
-    with _start_lock, session_conf(df.sparkSession, {STATE_STORE: ROCKSDB}):
+    with _start_lock, session_conf(df.sparkSession, STATE_STORE):
         if table:
             if path:
                 writer = writer.option("path", path)

@@ -81,10 +81,11 @@ def test_stream_reads_each_file_once_and_schema_may_widen(spark, layers):
     assert query.recentProgress[-1]["numInputRows"] == 1
 
 
-def test_backlog_is_cut_into_batches(spark, layers):
+@pytest.mark.parametrize("limit", [{"files_per_batch": 1}, {"bytes_per_batch": 1}])
+def test_backlog_is_cut_into_batches(spark, layers, limit):
     bronze = layers.path("bronze", "t")
     spark.range(8).repartition(4).write.parquet(bronze)
-    stream = stream_files(spark, bronze, spark.range(1).schema, files_per_batch=1)
+    stream = stream_files(spark, bronze, spark.range(1).schema, **limit)
     query = append_stream(stream, layers.checkpoint("t"), layers.path("silver", "t"))
     assert len([p for p in query.recentProgress if p["numInputRows"]]) == 4
     assert read_layer(spark, layers.path("silver", "t")).count() == 8
