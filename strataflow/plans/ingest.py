@@ -59,7 +59,7 @@ class WatermarkStore:
         return SENTINEL if isinstance(data_type, (T.DateType, T.TimestampType, T.TimestampNTZType)) else None
 
     def put(self, spec: IngestSpec, value: Any, data_type: T.DataType) -> None:
-        row = self.spark.range(1).select(bound(value, data_type).alias("watermark"))
+        row = self.spark.range(0, 1, 1, 1).select(bound(value, data_type).alias("watermark"))
         row.write.mode("append").parquet(self.layers.state("watermark", spec.table))
 
 

@@ -8,13 +8,21 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strataflow.config import Layers
 from strataflow.plans.ingest import Outcome
+from strataflow.session import literal_rows
 
-RUN_SCHEMA = (
-    "run_id string, table string, status string, n_rows long, low string, high string, error string"
-)
+RUN_SCHEMA = T.StructType([
+    T.StructField("run_id", T.StringType()),
+    T.StructField("table", T.StringType()),
+    T.StructField("status", T.StringType()),
+    T.StructField("n_rows", T.LongType()),
+    T.StructField("low", T.StringType()),
+    T.StructField("high", T.StringType()),
+    T.StructField("error", T.StringType()),
+])
 
 
 def layer_stats(
@@ -50,9 +58,11 @@ def layer_stats(
 
 def record_runs(spark: SparkSession, outcomes: Sequence[Outcome], layers: Layers) -> None:
     """Append the outcomes, good and bad, to the run log."""
-    rows = [tuple(asdict(o).values()) for o in outcomes]
-    log = spark.createDataFrame(rows, RUN_SCHEMA).withColumn("logged_at", F.current_timestamp())
-    log.coalesce(1).write.mode("append").parquet(layers.state("runs", "log"))
+    if not outcomes:
+        return
+    rows = [tuple(asdict(o)[name] for name in RUN_SCHEMA.names) for o in outcomes]
+    log = literal_rows(spark, rows, RUN_SCHEMA).withColumn("logged_at", F.current_timestamp())
+    log.write.mode("append").parquet(layers.state("runs", "log"))
 
 
 def read_runs(spark: SparkSession, layers: Layers) -> DataFrame:

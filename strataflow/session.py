@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -67,6 +69,15 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return tempfile.mkdtemp(prefix=f"{purpose}-")
 
 
+def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
+    """A few rows of bookkeeping as one row of literals, which needs no Python worker to read."""
+    structs = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for f, v in zip(schema.fields, row)])
+        for row in rows
+    ]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists on whatever file system the path belongs to."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

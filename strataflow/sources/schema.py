@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
-from strataflow.session import has_data
+from strataflow.session import has_data, literal_rows
 
 STATE = T.StructType([
     T.StructField("resolved_at", T.StringType()),
@@ -77,5 +77,5 @@ def resolve_schema(
     observed = _observe(spark, path, since)
     schema = known if observed is None else observed if known is None else widen(known, observed)
     row = (now.isoformat(), schema.json())
-    spark.createDataFrame([row], STATE).coalesce(1).write.mode("append").json(store)
+    literal_rows(spark, [row], STATE).write.mode("append").json(store)
     return schema

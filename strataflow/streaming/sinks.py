@@ -11,11 +11,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from strataflow.session import ROCKSDB, path_exists, session_conf
 
-# State is kept outside the heap, within one memory bound per executor, and a micro-batch uploads
-# what changed rather than all of it.
+# State is kept outside the heap, and a micro-batch uploads what changed rather than all of it.
 STATE_STORE = {
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
-    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 # A query takes its copy of the session's options when it starts; flows may start in parallel.
