@@ -19,7 +19,8 @@ def build(
 
     Tables come from ``tables`` or else from the catalog. A condition is SQL over the aliases.
     How each join runs is left to Spark, which knows the sizes at run time: small tables
-    are sent to the tasks, and a hot or NULL key's partition is split.
+    are sent to the tasks, and a hot or NULL key's partition is split. It can split only what it
+    shuffles for the join, so give dimensions as tables rather than as window computations.
 
     An entry with a ``parent`` joins on to that dimension before the dimension joins the base, so
     the base is shuffled once for the pair. Its condition must be equalities with the

@@ -76,3 +76,9 @@ def gold_tables(spark: SparkSession, layers: Layers) -> dict[str, DataFrame]:
 
 def listens(spark: SparkSession, layers: Layers) -> DataFrame:
     return build(spark, LISTENS, gold_tables(spark, layers))
+
+
+def register_gold(spark: SparkSession, layers: Layers) -> None:
+    """Name every gold table, history and all, for SQL: ``gold_dimuser`` and so on."""
+    for spec in TABLES:
+        read_gold(spark, spec.cdc, layers).createOrReplaceTempView(f"gold_{spec.table.lower()}")

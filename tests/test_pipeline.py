@@ -6,7 +6,7 @@ import pytest
 from conftest import rows
 
 from strataflow.plans import read_runs, run
-from strataflow.plans.music import TABLES, USER, gold_tables, listens
+from strataflow.plans.music import TABLES, USER, gold_tables, listens, register_gold
 from strataflow.streaming import read_gold
 
 D1, D2 = datetime(2024, 1, 1), datetime(2024, 2, 1)
@@ -65,6 +65,11 @@ def test_bulk_then_increment(spark, layers, warehouse):
     assert rows(gold["DimArtist"], "genre") == [("pop",)]
     assert rows(gold["DimTrack"].where("track_id IN (46, 5)"), "track_id", "durationflag") == [(5, "high"), (46, "medium")]
     assert gold["DimDate"].count() == 2
+    register_gold(spark, layers)
+    assert spark.sql("SELECT * FROM gold_dimtrack").count() == 4
+    closed = spark.sql("SELECT track_id, durationflag FROM gold_dimtrack WHERE `__END_AT` IS NOT NULL")
+    assert rows(closed) == [(46, "low")]
+    assert spark.sql("SELECT * FROM gold_dimtrack WHERE track_id IN (46, 5)").count() == 3
     assert rows(gold["FactStream"], "stream_id", "listen_duration") == [(100, 65), (101, 70), (102, 10)]
 
     assert {o.status for o in run(spark, TABLES, reader, layers)} == {"empty"}
