@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from strataflow.config import IngestSpec, Layers
 from strataflow.operators.aggregates import high_watermark
 from strataflow.session import has_data
-from strataflow.sources.batch import SENTINEL, bound, read_since
+from strataflow.sources.batch import SENTINEL, bound, portable, read_since, shown
 
 # Given a table's entry, its whole source as a lazy frame: a JDBC table, a folder, a catalog name.
 Reader = Callable[[IngestSpec], DataFrame]
@@ -53,7 +53,9 @@ class WatermarkStore:
         path = self.layers.state("watermark", spec.table)
         if has_data(self.spark, path):
             schema = T.StructType([T.StructField("watermark", data_type)])
-            return self.spark.read.schema(schema).parquet(path).agg(F.max("watermark")).first()[0]
+            marks = self.spark.read.schema(schema).parquet(path)
+            highest = marks.agg(F.max("watermark").alias("watermark"))
+            return highest.select(portable("watermark", data_type)).first()[0]
         if spec.from_date:
             return spec.from_date
         return SENTINEL if isinstance(data_type, (T.DateType, T.TimestampType, T.TimestampNTZType)) else None
@@ -88,16 +90,17 @@ def ingest_table(
     data_type = reader(spec).schema[spec.cdc_col].dataType
     low, limit = window if window else (store.get(spec, data_type), None)
     overlap = None if window else spec.overlap
-    shown = None if low is None else str(low)
-    news = read_since(lambda: reader(spec), spec.cdc_col, low, limit)
-    high, n_rows = high_watermark(news, spec.cdc_col).first()
+    since = shown(low, data_type)
+    news = high_watermark(read_since(lambda: reader(spec), spec.cdc_col, low, limit), spec.cdc_col)
+    high, n_rows = news.select(portable("high", data_type), "n_rows").first()
     if n_rows == 0:
-        return Outcome(run_id, spec.table, "empty", 0, shown, shown)
+        return Outcome(run_id, spec.table, "empty", 0, since, since)
     rows = read_since(lambda: reader(spec), spec.cdc_col, low, high, overlap)
     land(rows, layers.path("bronze", spec.table))
     if window is None:
         store.put(spec, high, data_type)
-    return Outcome(run_id, spec.table, "backfilled" if window else "loaded", n_rows, shown, str(high))
+    status = "backfilled" if window else "loaded"
+    return Outcome(run_id, spec.table, status, n_rows, since, shown(high, data_type))
 
 
 def backfill(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timedelta
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,8 +30,29 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.read.table(name)
 
 
+def portable(column: str, data_type: T.DataType) -> Column:
+    """A change value in a form that passes through Python unchanged, whatever the time zones."""
+    if isinstance(data_type, T.TimestampType):
+        return F.unix_micros(column)
+    if isinstance(data_type, T.TimestampNTZType):
+        return F.col(column).cast("string")
+    return F.col(column)
+
+
+def shown(value: Any, data_type: T.DataType) -> str | None:
+    """A portable change value as text; instants are in UTC."""
+    if isinstance(data_type, T.TimestampType) and isinstance(value, int):
+        value = datetime(1970, 1, 1) + timedelta(microseconds=value)
+    return None if value is None else str(value)
+
+
 def bound(value: Any, data_type: T.DataType) -> Column:
     """A literal of the change column's own type, so the comparison reaches the source."""
+    if isinstance(data_type, T.TimestampType) and isinstance(value, int):
+        return F.timestamp_micros(F.lit(value))
+    if isinstance(data_type, T.TimestampNTZType):
+        # A datetime as a literal would be an instant, and shift with the session's zone.
+        value = str(value)
     return F.lit(value).cast(data_type)
 
 

@@ -106,6 +106,26 @@ def test_number_and_date_change_columns(spark, layers):
     assert ingest_table(spark, IngestSpec("d", "d"), lambda _: dates, layers).high == "2024-01-01"
 
 
+@pytest.mark.parametrize("name", ["timestamp", "timestamp_ntz"])
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Tokyo"])
+def test_marks_do_not_shift_with_the_session_zone(spark, layers, name, zone):
+    # Both instants show as 01:30 in New York, on the night the clocks go back.
+    moments = ["2024-11-03T05:30:00.000001Z", "2024-11-03T06:30:00.000001Z", "2024-11-04T00:00:00Z"]
+    spec = IngestSpec("z", "ts")
+
+    def table(n):
+        df = spark.createDataFrame([(i, m) for i, m in enumerate(moments[:n])], "id int, ts string")
+        return df.selectExpr("id", f"cast(replace(ts, '{'Z' if name.endswith('ntz') else '#'}', '') AS {name}) AS ts")
+
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        for n in (1, 2, 2, 3):
+            ingest_table(spark, spec, lambda _: table(n), layers)
+        assert rows(spark.read.parquet(layers.path("bronze", "z")), "id") == [(0,), (1,), (2,)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_one_failure_does_not_stop_the_others(spark, layers):
     def reader(spec):
         return source(spark, 1) if spec.table == "t" else spark.read.parquet("/no/such/place")
