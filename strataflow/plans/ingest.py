@@ -58,7 +58,8 @@ class WatermarkStore:
             return highest.select(portable("watermark", data_type)).first()[0]
         if spec.from_date:
             return spec.from_date
-        return SENTINEL if isinstance(data_type, (T.DateType, T.TimestampType, T.TimestampNTZType)) else None
+        dated = isinstance(data_type, (T.DateType, T.TimestampType, T.TimestampNTZType))
+        return SENTINEL if dated else None
 
     def put(self, spec: IngestSpec, value: Any, data_type: T.DataType) -> None:
         row = self.spark.range(0, 1, 1, 1).select(bound(value, data_type).alias("watermark"))
@@ -80,10 +81,12 @@ def ingest_table(
 ) -> Outcome:
     """Copy one table's new rows to bronze.
 
-    The newest change value is read first, from that column alone, and fixes the window's end: rows that
-    arrive meanwhile wait for the next run. Without rows past the mark nothing is written; late
-    rows within the entry's ``overlap`` come along with the next new one. The mark moves only after the rows are in place; a run that fails in between repeats its window,
-    and the repeats are dropped further on, by key and sequence.
+    The newest change value is read first, from that column alone, and fixes the window's end:
+    rows that arrive meanwhile wait for the next run. Without rows past the mark nothing is
+    written; late rows within the entry's ``overlap`` come along with the next new one. The
+    mark moves only after the rows are in place; a run that fails in between repeats its
+    window, and the repeats are dropped further on, by key and sequence. Rows without a change
+    value are in no window.
     """
     run_id = run_id or uuid.uuid4().hex
     store = WatermarkStore(spark, layers)
@@ -91,7 +94,8 @@ def ingest_table(
     low, limit = window if window else (store.get(spec, data_type), None)
     overlap = None if window else spec.overlap
     since = shown(low, data_type)
-    news = high_watermark(read_since(lambda: reader(spec), spec.cdc_col, low, limit), spec.cdc_col)
+    news = read_since(lambda: reader(spec), spec.cdc_col, low, limit)
+    news = high_watermark(news.where(F.col(spec.cdc_col).isNotNull()), spec.cdc_col)
     high, n_rows = news.select(portable("high", data_type), "n_rows").first()
     if n_rows == 0:
         return Outcome(run_id, spec.table, "empty", 0, since, since)

@@ -119,8 +119,6 @@ def test_split_plan_partitions_by_chunk(spark):
 
 
 def test_one_shuffle_and_one_sort_per_history(spark):
-    from strataflow.session import build_session  # noqa: F401
-
     df = frame(spark, [(1, "A", 1, 1)])
     plan = scd2(df, ["k"], "at", ["u"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1

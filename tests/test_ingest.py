@@ -96,7 +96,9 @@ def test_a_late_row_comes_with_the_next_new_one(spark, layers):
 
 
 def test_number_and_date_change_columns(spark, layers):
-    df = spark.createDataFrame([(9,), (10,)], "n long")
+    df = spark.createDataFrame([(9,), (10,), (None,)], "n long")
+    empty = ingest_table(spark, IngestSpec("none", "n"), lambda _: df.where("n IS NULL"), layers)
+    assert empty.status == "empty"
     spec = IngestSpec("n", "n")
     first = ingest_table(spark, spec, lambda _: df, layers)
     assert (first.low, first.high, first.n_rows) == (None, "10", 2)

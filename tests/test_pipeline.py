@@ -63,7 +63,8 @@ def test_bulk_then_increment(spark, layers, warehouse):
     ]
     gold = gold_tables(spark, layers)
     assert rows(gold["DimArtist"], "genre") == [("pop",)]
-    assert rows(gold["DimTrack"].where("track_id IN (46, 5)"), "track_id", "durationflag") == [(5, "high"), (46, "medium")]
+    tracks = gold["DimTrack"].where("track_id IN (46, 5)")
+    assert rows(tracks, "track_id", "durationflag") == [(5, "high"), (46, "medium")]
     assert gold["DimDate"].count() == 2
     register_gold(spark, layers)
     assert spark.sql("SELECT * FROM gold_dimtrack").count() == 4
