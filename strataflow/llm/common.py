@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,18 +43,33 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Batches cut so that ``column`` holds about SLICE_BYTES each, or one longer row."""
+def slices(
+    batches: Iterator[pa.RecordBatch], column: str = "text", size: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """The same rows in order, in batches in which ``column`` holds about ``size`` bytes.
+
+    A longer value is a batch of its own.
+    """
+
+    def joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        return pa.concat_batches(parts) if len(parts) > 1 else parts[0]
+
+    waiting, held = [], 0
     for batch in batches:
-        begin = size = 0
-        for row, value in enumerate(batch.column(column)):
-            more = value.as_buffer().size if value.is_valid else 0
-            if row > begin and size + more > SLICE_BYTES:
-                yield batch.slice(begin, row - begin)
-                begin, size = row, 0
-            size += more
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+        begin = 0
+        for row, more in enumerate(lengths):
+            if held and held + more > size:
+                if row > begin:
+                    waiting.append(batch.slice(begin, row - begin))
+                if waiting:
+                    yield joined(waiting)
+                waiting, held, begin = [], 0, row
+            held += more
         if batch.num_rows > begin:
-            yield batch.slice(begin)
+            waiting.append(batch.slice(begin))
+    if waiting:
+        yield joined(waiting)
 
 
 def executor_slots(spark: SparkSession) -> int:

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from strataflow.llm.bpe import bpe_roundtrip
 from strataflow.llm.exact_dedup import exact_groups
+from strataflow.llm.packing import packed
+from strataflow.llm.token_files import read_token_files, write_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -34,3 +38,26 @@ SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
   doc_id IS NOT DISTINCT FROM min(doc_id) OVER w AS kept, digest AS text_sha256
 FROM d WINDOW w AS (PARTITION BY digest)
 """
+
+
+@query
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe_roundtrip(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+@query
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blocks, table = write_token_files(
+        read(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        end_id=0,
+        vocabulary=50_257,
+    )
+    return read_token_files(blocks, table)
+
+
+@query
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return packed(read(spark, sf_dir, "documents"), tokenizer, end_id=1)
