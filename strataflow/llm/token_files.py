@@ -81,25 +81,24 @@ class Coder:
         body = b"".join(w.tobytes() for w in reversed(words))
         points.reverse()
         rest = b"".join(struct.pack("<I", given - at) + states for at, states in points) + body
-        head = _HEAD.pack(
+        fields = (
             b"RANS", 1, self.check, n, lanes, every, len(points), given,
-            zlib.crc32(ids.astype("<u4").tobytes()), zlib.crc32(rest),
-        )
-        return head + rest
+            zlib.crc32(ids.astype("<u4").tobytes()),
+        )
+        whole = zlib.crc32(rest, zlib.crc32(_HEAD.pack(*fields, 0)))
+        return _HEAD.pack(*fields, whole) + rest
 
     def _head(self, block: bytes) -> tuple[int, ...]:
         if len(block) < _HEAD.size:
             raise CorruptBlock("too short")
         magic, version, check, *rest = _HEAD.unpack_from(block)
-        n, lanes, every, points, words, crc, whole = rest
+        n, lanes, every, points, words, crc, _ = rest
         if magic != b"RANS" or version != 1 or check != self.check or not lanes or not every:
             raise CorruptBlock("not a block of this table")
         if len(block) != _HEAD.size + points * (4 + 8 * lanes) + 4 * words:
             raise CorruptBlock("wrong length")
         if points != -(-n // (lanes * every)):
             raise CorruptBlock("wrong number of checkpoints")
-        if zlib.crc32(memoryview(block)[_HEAD.size :]) != whole:
-            raise CorruptBlock("damaged")
         return n, lanes, every, points, words, crc
 
     def decode_from(self, block: bytes, point: int) -> np.ndarray:
@@ -130,7 +129,12 @@ class Coder:
         return out
 
     def decode(self, block: bytes) -> np.ndarray:
+        """All ids of a block, which is checked as a whole."""
         n, _, _, points, _, crc = self._head(block)
+        *fields, whole = _HEAD.unpack_from(block)
+        rest = memoryview(block)[_HEAD.size :]
+        if zlib.crc32(rest, zlib.crc32(_HEAD.pack(*fields, 0))) != whole:
+            raise CorruptBlock("damaged")
         parts = [self.decode_from(block, k) for k in range(points)]
         ids = np.concatenate(parts) if parts else np.zeros(0, np.int64)
         if len(ids) != n or zlib.crc32(ids.astype("<u4").tobytes()) != crc:
