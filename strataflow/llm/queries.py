@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from strataflow.llm.bpe import bpe_roundtrip
 from strataflow.llm.exact_dedup import exact_groups
 from strataflow.llm.packing import packed
+from strataflow.llm.quality import quality
 from strataflow.llm.token_files import read_token_files, write_token_files
+from strataflow.llm.toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -61,3 +63,13 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     return packed(read(spark, sf_dir, "documents"), tokenizer, end_id=1)
+
+
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
