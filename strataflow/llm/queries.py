@@ -11,6 +11,7 @@ from strataflow.llm.bpe import bpe_roundtrip
 from strataflow.llm.exact_dedup import exact_groups
 from strataflow.llm.packing import packed
 from strataflow.llm.quality import quality
+from strataflow.llm.simhash import near_duplicates
 from strataflow.llm.token_files import read_token_files, write_token_files
 from strataflow.llm.toxicity import toxicity
 
@@ -73,3 +74,8 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read(spark, sf_dir, "documents"), shingle=4, bits=4)
