@@ -7,11 +7,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from strataflow.llm.ann import nearest
 from strataflow.llm.bpe import bpe_roundtrip
 from strataflow.llm.exact_dedup import exact_groups
 from strataflow.llm.packing import packed
 from strataflow.llm.quality import quality
 from strataflow.llm.simhash import near_duplicates
+from strataflow.llm.token_counts import token_counts
 from strataflow.llm.token_files import read_token_files, write_token_files
 from strataflow.llm.toxicity import toxicity
 
@@ -79,3 +81,14 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"), shingle=4, bits=4)
+
+
+@query
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = public_tokenizers.path("piece_bpe_32k.model")
+    return token_counts(read(spark, sf_dir, "documents"), pieces)
+
+
+@query
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(read(spark, sf_dir, "embeddings"), k=20, query_every=20)[0]
