@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from strataflow.llm.common import saved, texts
-from strataflow.llm.tokens import ChunkIds, Encoder, encoded
+from strataflow.llm.tokens import ChunkIds, Encoder, encoded, spread
 
 SLICE = 8 << 20
 
@@ -191,11 +191,9 @@ def piece_encoder(path: str, pattern: str) -> tuple[Bpe, Encoder]:
         ids, lengths = bpe.encode([p.encode() for p in pieces])
         numbers = np.array([p for row in found for p in row], np.int64)
         own = lengths[numbers]
-        ends = np.cumsum(own)
-        starts = (np.cumsum(lengths) - lengths)[numbers]
-        at = np.arange(int(own.sum())) + np.repeat(starts - (ends - own), own)
+        at = spread((np.cumsum(lengths) - lengths)[numbers], own)
         bounds = np.cumsum([0, *map(len, found)])
-        return ids[at], np.diff(np.r_[0, ends][bounds])
+        return ids[at], np.diff(np.r_[0, np.cumsum(own)][bounds])
 
     return bpe, encode
 

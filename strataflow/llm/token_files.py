@@ -28,8 +28,8 @@ from strataflow.llm.common import saved, texts
 from strataflow.llm.tokens import chunk_ids, encoded, library_encoder
 
 SCALE = 20
-LANES = 512
-STEPS = 256
+LANES = 1024
+STEPS = 128
 BLOCK_IDS = 1 << 18
 _HEAD = struct.Struct("<4s9I")
 _LOW = np.uint64(1 << 31)

@@ -8,6 +8,7 @@ putting together are array operations over the bytes of a slice of documents.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -16,7 +17,7 @@ import pyarrow as pa
 from strataflow.llm.common import SLICE_BYTES, slices
 
 #: Chunks that a worker remembers (about 60 bytes each); beyond it starts anew.
-REMEMBERED = 600_000
+REMEMBERED = 1_000_000
 #: Longer chunks are looked up within a slice only.
 SHORT = 15
 
@@ -52,6 +53,12 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """All indices of runs that are given by start and length, run after run."""
+    ends = np.cumsum(lengths)
+    return np.arange(int(lengths.sum())) + np.repeat(starts - (ends - lengths), lengths)
+
+
 class ChunkTable:
     """Open addressing over keys of two words; numbers keys in the order of insertion."""
 
@@ -167,44 +174,59 @@ class ChunkIds:
             self._keep(*self.encode([c.decode() for c in seen]), first)
         length = self.lengths[asked]
         ends = np.cumsum(length)
-        where = np.arange(int(ends[-1])) + np.repeat(self.starts[asked] - (ends - length), length)
-        ids = self.ids[where]
+        ids = self.ids[spread(self.starts[asked], length)]
         self.filled = kept
         return ids, np.diff(np.r_[0, ends][np.searchsorted(begin, offsets)])
 
 
+#: Strings that lower-casing and composing leave as long as they are.
+_PLAIN = re.compile(r" [\x21-\x7e\xa1-\xff][\x00-\x7f\xa1-\xff]*")
+_WHITE = {code: None for code in (9, 10, 11, 12, 13, 32)}
+
+
 def library_encoder(path: str) -> Encoder:
     """The tokenizers library; strings of special tokens are ordinary text.
 
-    Chunks that start with a space and a word can't influence each other: they go to it as one text,
-    and the offsets of the tokens tell whose they are.
+    Chunks that start with a space and a word can't influence each other: many go to it as one
+    text, and the bytes that each token stands for tell which chunk it is of.
     """
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
+    drops_white = tokenizer.normalizer is not None
+    vocabulary = tokenizer.get_vocab()
+    width = np.zeros(max(vocabulary.values()) + 1, np.int64)
+    for token, number in vocabulary.items():  # in byte-level vocabularies a character is a byte
+        width[number] = len(token.removesuffix("</w>") if drops_white else token)
 
-    def joined(chunks: Sequence[str]) -> list[list[int]]:
-        encoding = tokenizer.encode("".join(chunks), add_special_tokens=False)
-        begins = np.cumsum([0, *map(len, chunks[:-1])])
-        owner = np.searchsorted(begins, [o[0] for o in encoding.offsets], "right")
-        at = np.searchsorted(owner, np.arange(1, len(chunks) + 2)).tolist()
-        ids = encoding.ids
-        return [ids[a:b] for a, b in zip(at, at[1:])]
+    def ids_of(strings: list[str]) -> list[np.ndarray]:
+        found = tokenizer.encode_batch_fast(strings, add_special_tokens=False)
+        return [np.array(e.ids, np.int32) for e in found]
 
     def encode(chunks: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
-        found: list = [None] * len(chunks)
-        plain = [k for k, c in enumerate(chunks) if c[0] == " " and not c[1:2].isspace()]
-        for begin in range(0, len(plain), 256):
-            group = plain[begin : begin + 256]
-            for k, ids in zip(group, joined([chunks[k] for k in group])):
-                found[k] = ids
-        for k, ids in enumerate(found):
-            if ids is None:
-                found[k] = tokenizer.encode(chunks[k], add_special_tokens=False).ids
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter((i for x in found for i in x), np.int32, int(lengths.sum())), lengths
+        plain = [k for k, c in enumerate(chunks) if _PLAIN.fullmatch(c)]
+        groups = [plain[a : a + 256] for a in range(0, len(plain), 256)]
+        found = ids_of(["".join([chunks[k] for k in g]) for g in groups])
+        counts = []
+        for group, ids in zip(groups, found):
+            strings = [chunks[k].translate(_WHITE) if drops_white else chunks[k] for k in group]
+            ends = np.cumsum([len(x.encode()) for x in strings])
+            token_ends = np.cumsum(width[ids])
+            cut = np.searchsorted(token_ends, ends) + 1
+            if not np.array_equal(token_ends[cut - 1], ends):
+                raise ValueError(f"{path}: tokens don't stand for the bytes of the text")
+            counts.append(np.diff(np.r_[0, cut]))
+        rest = np.setdiff1d(np.arange(len(chunks)), plain).tolist()
+        others = ids_of([chunks[k] for k in rest])
+        ids = np.concatenate([np.zeros(0, np.int32), *found, *others])
+        given = np.concatenate([np.zeros(0, np.int64), *counts, list(map(len, others))])
+        # Back to the order of the chunks.
+        lengths, starts = np.zeros((2, len(chunks)), np.int64)
+        order = np.array([*plain, *rest], np.int64)
+        lengths[order], starts[order] = given, np.cumsum(given) - given
+        return ids[spread(starts, lengths)], lengths
 
     return encode
 
