@@ -74,3 +74,21 @@ def slices(
 
 def executor_slots(spark: SparkSession) -> int:
     return max(1, spark.sparkContext.defaultParallelism)
+
+
+def frequent(df: DataFrame, column: str, tracked: int, most: int, least: int) -> DataFrame:
+    """The values of a long column that a Misra-Gries sketch holds to occur ``least`` times or more.
+
+    Tasks send sketches of bounded size. At most ``most`` rows; none for an empty table. A value with
+    more than about 1/tracked of all rows is never missed.
+    """
+    return (
+        df.select(column, (F.spark_partition_id() % 64).alias("part"))
+        .groupBy("part")
+        .agg(F.expr(f"approx_top_k_accumulate({column}, {tracked})").alias("sketch"))
+        .groupBy(F.lit("all"))
+        .agg(F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"))
+        .select(F.expr(f"inline(approx_top_k_estimate(sketch, {min(most, tracked)}))"))
+        .where(F.col("count") >= least)
+        .select(F.col("item").alias(column))
+    )

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import saved, texts
+from strataflow.llm.common import frequent, saved, texts
 
 #: Counters of the sketch: a digest with more than about 1/TRACKED of all rows is never missed.
 TRACKED = 16_384
@@ -27,20 +27,6 @@ def digest(text: Column) -> Column:
     return F.sha2(plain.cast("binary"), 256)
 
 
-def _frequent(digests: DataFrame, tracked: int, most: int, least: int) -> DataFrame:
-    """Hashes ``h`` of the digests that the sketch holds to be frequent; at most ``most`` rows."""
-    return (
-        digests.select(F.xxhash64("digest").alias("h"))
-        .groupBy((F.spark_partition_id() % 64).alias("part"))
-        .agg(F.expr(f"approx_top_k_accumulate(h, {tracked})").alias("sketch"))
-        .groupBy(F.lit("all"))
-        .agg(F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"))
-        .select(F.expr(f"inline(approx_top_k_estimate(sketch, {most}))"))
-        .where(F.col("count") >= least)
-        .select(F.col("item").alias("h"))
-    )
-
-
 def exact_groups(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -60,7 +46,8 @@ def exact_groups(
     digests = saved(
         picked.select("doc_id", F.unhex(digest(F.col("text"))).alias("digest")), "digests"
     )
-    candidates = _frequent(digests, tracked, most_winners, least_copies)
+    hashes = digests.select(F.xxhash64("digest").alias("h"))
+    candidates = frequent(hashes, "h", tracked, most_winners, least_copies)
     # The sketch counts hashes; these are the true counts of its few candidates.
     winners = (
         digests.withColumn("h", F.xxhash64("digest"))

@@ -13,6 +13,7 @@ from strataflow.llm.exact_dedup import exact_groups
 from strataflow.llm.packing import packed
 from strataflow.llm.quality import quality
 from strataflow.llm.simhash import near_duplicates
+from strataflow.llm.suffix_dedup import remove_repeats
 from strataflow.llm.token_counts import token_counts
 from strataflow.llm.token_files import read_token_files, write_token_files
 from strataflow.llm.toxicity import toxicity
@@ -92,3 +93,8 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(read(spark, sf_dir, "embeddings"), k=20, query_every=20)[0]
+
+
+@query
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(read(spark, sf_dir, "documents"), length=200)
