@@ -57,7 +57,7 @@ def exact_groups(
         .where(F.col("group_size") >= least_copies)
     )
     winners = saved(winners, "winners")
-    frequent = digests.join(F.broadcast(winners), "digest")
+    copied = digests.join(F.broadcast(winners), "digest")
     same = Window.partitionBy("digest")
     others = digests.join(F.broadcast(winners), "digest", "left_anti").select(
         "digest",
@@ -65,10 +65,20 @@ def exact_groups(
         F.min("doc_id").over(same).alias("keep_id"),
         F.count("*").over(same).alias("group_size"),
     )
-    return frequent.select(others.columns).unionAll(others).select(
+    return copied.select(others.columns).unionAll(others).select(
         "doc_id",
         "keep_id",
         "group_size",
         F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
     )
+
+
+def without_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``exact_groups`` keeps, all columns as they are."""
+    gone = exact_groups(docs, id_column, text_column).where("not kept")
+    gone = gone.select(F.col("doc_id").alias("__gone_id"), F.col("text_sha256").alias("__gone_text"))
+    same = F.col(id_column).cast("long").eqNullSafe(F.col("__gone_id")) & (
+        digest(F.col(text_column)) == F.col("__gone_text")
+    )
+    return docs.join(gone.distinct(), same, "left_anti")
