@@ -2,11 +2,49 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from strataflow.llm.common import saved
+from strataflow.llm.exact_dedup import without_copies
+from strataflow.llm.packing import packed
+from strataflow.llm.simhash import without_near_copies
+from strataflow.llm.suffix_dedup import without_repeats
+from strataflow.llm.toxicity import without_toxic
 
-STAGES: list = []
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model, learned from ``labels``, doesn't reject."""
+    return without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of texts that are equal but for white space, that with the smallest id."""
+    return without_copies(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by fingerprints of four-word shingles, that with the smallest id."""
+    return without_near_copies(docs, shingle=4, bits=4)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the passages of 200 bytes or more that occur elsewhere too."""
+    return without_repeats(docs, length=200)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' tokens in sequences of at most 4096."""
+    return packed(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1, capacity=4096)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("exact_dedup", drop_copies),
+    ("simhash", drop_near_copies),
+    ("suffix_dedup", cut_repeats),
+    ("packing", pack),
+]
 
 #: Trained and tokenizer-based stages have no SQL; tests compare with a brute-force version.
 ORACLE_SQL = None

@@ -75,15 +75,19 @@ def _ones(hashes: list[int]) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id and fingerprint (as a signed number) of every row."""
+    """doc_id, text_hash and fingerprint (as a signed number) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             found = [fingerprint(t.as_buffer().to_pybytes(), shingle) for t in part.column("text")]
             signed = np.array(found, np.uint64).view(np.int64)
-            yield pa.record_batch([part.column("doc_id"), pa.array(signed)], ["doc_id", "fp"])
+            yield pa.record_batch(
+                [part.column("doc_id"), part.column("text_hash"), pa.array(signed)],
+                ["doc_id", "text_hash", "fp"],
+            )
 
-    return docs.mapInArrow(run, "doc_id long, fp long")
+    hashed = docs.withColumn("text_hash", F.xxhash64("text"))
+    return hashed.mapInArrow(run, "doc_id long, text_hash long, fp long")
 
 
 def table_keys(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -207,7 +211,7 @@ def near_duplicates(
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
-    """One row per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id.
+    """One row per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id, text_hash.
 
     Fingerprints that differ in at most ``bits`` (0 to 4) bits are linked, and the component's id is the
     smallest doc_id that can be reached. Texts without words (NULL, empty, white space) have
@@ -243,7 +247,29 @@ def near_duplicates(
     own = distinct.join(linked, "fp", "left").select(
         "fp", F.coalesce("component_id", "least").alias("component_id")
     )
-    return rows.join(own, "fp").select("doc_id", hex16(F.col("fp")).alias("fingerprint"), "component_id")
+    return rows.join(own, "fp").select(
+        "doc_id", hex16(F.col("fp")).alias("fingerprint"), "component_id", "text_hash"
+    )
+
+
+def without_near_copies(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **parameters: int
+) -> DataFrame:
+    """The rows of ``docs`` with the smallest id of their component, all columns as they are.
+
+    Of a component in which no row has an id all rows stay.
+    """
+    near = near_duplicates(
+        docs, id_column=id_column, text_column=text_column, **parameters
+    )
+    gone = near.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
+        F.col("doc_id").alias("__gone_id"), F.col("text_hash").alias("__gone_text")
+    )
+    text = F.xxhash64(F.coalesce(F.col(text_column), F.lit("")))
+    same = F.col(id_column).cast("long").eqNullSafe(F.col("__gone_id")) & (
+        text == F.col("__gone_text")
+    )
+    return docs.join(gone.distinct(), same, "left_anti")
 
 
 def hex16(value: Column) -> Column:

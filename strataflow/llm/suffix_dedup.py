@@ -517,7 +517,8 @@ def remove_repeats(
     tracked: int = TRACKED,
 ) -> DataFrame:
     """One row per row of ``docs``: the columns ``keep`` (default: doc_id), then n_bytes, n_removed,
-    n_spans, kept_sha256, and with ``with_text`` the remaining bytes as ``kept``.
+    n_spans, kept_sha256, and with ``with_text`` the remaining text as ``kept``, without the characters
+    of which only a part remains.
 
     Texts are their UTF-8 bytes; each byte covered by a string of ``length`` bytes that starts anywhere
     else too, in the same text or another, is removed; strings are judged on the input. NULL counts
@@ -571,7 +572,8 @@ def remove_repeats(
                 edges = [0, *np.stack([lo, hi + 1], axis=1).ravel().tolist(), len(text)]
                 kept = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2]))
                 digest = hashlib.sha256(kept).hexdigest()
-                rows.append((unit, len(text) - len(kept), len(lo), digest, kept))
+                left = kept.decode("utf-8", "ignore") if with_text else None
+                rows.append((unit, len(text) - len(kept), len(lo), digest, left))
             fields = list(zip(*rows))[: 5 if with_text else 4]
             if rows:
                 yield pa.record_batch([pa.array(x) for x in fields], names)
@@ -581,6 +583,20 @@ def remove_repeats(
         "unit", "z", "known_lo", "known_hi", "los", "his"
     )
     schema = "unit long, n_removed long, n_spans long, kept_sha256 string"
-    done = saved(result.mapInArrow(cut, schema + ", kept binary" * with_text), "kept")
+    done = saved(result.mapInArrow(cut, schema + ", kept string" * with_text), "kept")
     rows = table.select("row", F.col("first").alias("unit"), F.col("n").alias("n_bytes"))
     return rows.join(done, "unit").select("row.*", "n_bytes", *names[1:])
+
+
+def without_repeats(docs: DataFrame, text_column: str = "text", **parameters: int) -> DataFrame:
+    """All rows of ``docs`` with repeated passages cut out of the text; n_chars, if there, follows."""
+    names = docs.columns
+    carried = docs.select(F.struct(*names).alias("__row"), F.col(text_column).alias("__text"))
+    cut = remove_repeats(carried, text_column="__text", keep=["__row"], with_text=True, **parameters)
+    new = {text_column: F.col("kept"), "n_chars": F.length("kept").cast("long")}
+    return cut.select(
+        *[
+            (new[c].cast(docs.schema[c].dataType) if c in new else F.col("__row")[c]).alias(c)
+            for c in names
+        ]
+    )

@@ -6,7 +6,7 @@ the model is a few thousand weights that go to every task. A feature counts once
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 
 from strataflow.llm.common import saved, slices
 from strataflow.llm.features import word_grams
-from strataflow.llm.learn import sample, scored, sigmoid
+from strataflow.llm.learn import SLICE, sample, scored, sigmoid
 from strataflow.llm.tokens import text_bytes
 
 
@@ -80,7 +80,7 @@ def train(
     """The model, learned in one task from a bounded sample whose features all tasks extract."""
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
+        for part in slices(batches, "text", SLICE):
             bucket, owner = model.features(*text_bytes(part.column("text")))
             pairs = np.unique(owner << model.bits | bucket)
             cut = np.searchsorted(pairs >> model.bits, np.arange(part.num_rows + 1))
@@ -133,7 +133,13 @@ def toxicity(
     held out and not learned from; repeated rows are scored each. Without usable labels every text
     is held to be clean. An empty table gives no rows.
     """
-    weights, bias = train(docs, labels, label, model, id_column, text_column)
+    score = scorer(train(docs, labels, label, model, id_column, text_column), model)
+    return scored(docs, score, threshold, "toxicity", id_column, text_column)
+
+
+def scorer(trained: tuple[np.ndarray, float], model: Ftrl) -> Callable:
+    """Scores texts given by bytes and offsets; only weights that are not zero go to the tasks."""
+    weights, bias = trained
     found = np.flatnonzero(weights)
     values = weights[found]
 
@@ -142,4 +148,24 @@ def toxicity(
         full[found] = values
         return model.score(full, bias, data, offsets)
 
-    return scored(docs, score, threshold, "toxicity", id_column, text_column)
+    return score
+
+
+def without_toxic(
+    docs: DataFrame,
+    labels: DataFrame,
+    label: str = "toxic",
+    model: Ftrl = Ftrl(),
+    threshold: float = 0.5,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, that ``toxicity`` doesn't predict to be toxic."""
+    score = scorer(train(docs, labels, label, model, id_column, text_column), model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, text_column, SLICE):
+            values = score(*text_bytes(part.column(text_column).fill_null("")))
+            yield part.filter(pa.array(values < threshold))
+
+    return saved(docs.mapInArrow(run, docs.schema), "clean")
