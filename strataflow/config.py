@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 @dataclass(frozen=True)
@@ -19,6 +20,11 @@ class Layers:
     def path(self, layer: str, table: str) -> str:
         return f"{self.base.rstrip('/')}/{layer}/{table}"
 
+    def table(self, layer: str, table: str) -> str | None:
+        """The name of a layer's table in the configured schema, if there is one."""
+        parts = [self.catalog, self.schema, f"{layer}_{table.lower()}"]
+        return ".".join(p for p in parts if p) if self.schema else None
+
     def checkpoint(self, flow: str) -> str:
         """One checkpoint folder per flow; two flows must never share one."""
         return f"{self.base.rstrip('/')}/_checkpoints/{flow}"
@@ -59,7 +65,11 @@ class CdcSpec:
     their change rows. ``"table"`` merges the new rows with the table's own rows; a history
     is then also partitioned by the ``period`` (week, month, quarter or year) in which its versions
     end, and only the periods from the oldest new row on are read and rewritten. It needs
-    every change to be a version, so no untracked columns, and a date or time as sequence.
+    every change to be a version, so no untracked columns, and a date or time as sequence. ``"auto"``
+    is the table where that is given, else the log.
+
+    ``on_broken`` says what becomes of rows that break a rule: ``"drop"`` leaves them out (the stage can
+    keep them in quarantine), ``"fail"`` stops the flow before the table is touched.
     """
 
     table: str
@@ -70,24 +80,48 @@ class CdcSpec:
     untracked: Sequence[str] = ()
     buckets: int = 64
     bucket_expr: str | None = None
-    merge: str = "log"
+    merge: str = "auto"
     period: str = "month"
     name: str | None = None
     once: bool = True
     skew: SkewPolicy = field(default_factory=SkewPolicy)
+    on_broken: str = "drop"
 
     def __post_init__(self) -> None:
         if self.scd_type not in (1, 2):
             raise ValueError(f"{self.table}: scd_type must be 1 or 2")
-        if self.merge not in ("log", "table"):
-            raise ValueError(f"{self.table}: merge must be log or table")
+        if self.merge not in ("auto", "log", "table"):
+            raise ValueError(f"{self.table}: merge must be auto, log or table")
+        if self.on_broken not in ("drop", "fail"):
+            raise ValueError(f"{self.table}: on_broken must be drop or fail")
         if self.merge == "table" and self.untracked:
             raise ValueError(f"{self.table}: untracked columns need merge='log'")
 
+    def resolved(self, schema: T.StructType) -> CdcSpec:
+        """The same with ``merge`` settled for change rows of this schema."""
+        if self.merge != "auto":
+            return self
+        timed = isinstance(
+            schema[self.sequence_by].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)
+        )
+        table = not self.untracked and (self.scd_type == 1 or timed)
+        return replace(self, merge="table" if table else "log")
+
     @property
     def by_period(self) -> bool:
         return self.merge == "table" and self.scd_type == 2
 
+    @property
+    def scheme(self) -> str:
+        """What decides the bucket of a key."""
+        return repr((list(self.keys), self.buckets, self.bucket_expr))
+
+    @property
+    def fingerprint(self) -> str:
+        """What the rows and the layout of the table depend on."""
+        shape = (self.sequence_by, self.scd_type, sorted(self.rules.items()), sorted(self.untracked))
+        return repr((self.scheme, *shape, self.merge, self.period if self.by_period else None))
+
     @property
     def flow(self) -> str:
         return self.name or self.table
@@ -132,7 +166,9 @@ class TableSpec:
     ``dedupe`` is ``"change"`` (repeated copies of a change go, so history survives),
     ``"key"`` (the first row of a key stays for ever) or ``None``. ``salts`` spreads the copies
     of one key or change over that many tasks. A backlog of bronze files is taken in micro-batches of
-    ``bytes_per_batch``, so that a run cut short loses no more than one of them.
+    ``bytes_per_batch``, so that a run cut short loses no more than one of them. ``archive`` is a folder
+    outside the layer that read bronze files move to, so that the listing stays short; rows that
+    are there count as not landed when late rows are looked for.
     """
 
     ingest: IngestSpec
@@ -142,6 +178,7 @@ class TableSpec:
     dedupe: str | None = None
     salts: int = 16
     bytes_per_batch: int = 1 << 40
+    archive: str | None = None
 
     @property
     def table(self) -> str:

@@ -14,13 +14,13 @@ def sum_by(
     """Sum of ``value`` per key, combined in each task before the shuffle.
 
     Sums of doubles depend on the order of the rows; ``scale`` sums as a decimal with that many
-    digits instead, which gives the same result on every run.
+    digits instead (each value is rounded to them), which gives the same result on every run.
     """
     column = F.col(value)
     if scale is None:
         total = F.sum(column)
     else:
-        total = F.sum(column.cast(f"decimal(18,{scale})")).cast("double")
+        total = F.sum(column.cast(f"decimal(38,{scale})")).cast("double")
     return df.groupBy(*keys).agg(total.alias(alias))
 
 

@@ -6,13 +6,15 @@ import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strataflow.config import IngestSpec, Layers
+from strataflow.functions.keys import row_digest
 from strataflow.operators.aggregates import high_watermark
 from strataflow.session import has_data
 from strataflow.sources.batch import SENTINEL, bound, portable, read_since, shown
@@ -32,10 +34,12 @@ class Outcome:
     low: str | None = None
     high: str | None = None
     error: str | None = None
+    n_null: int = 0
+    n_late: int = 0
 
 
 def failure(run_id: str, table: str, error: Exception) -> Outcome:
-    return Outcome(run_id, table, "failed", error=f"{type(error).__name__}: {error}"[:2000])
+    return Outcome(run_id, table, "failed", error=f"{type(error).__name__}: {error}")
 
 
 class WatermarkStore:
@@ -71,6 +75,19 @@ def land(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def lacking(spark: SparkSession, rows: DataFrame, landed: Callable[[], DataFrame], path: str) -> DataFrame:
+    """The rows that the bronze folder doesn't hold yet; ``landed`` reads the part that could.
+
+    Rows are compared by a digest of all their values. Equal rows that arrive together all land.
+    """
+    if not has_data(spark, path):
+        return rows
+    names = ["__digest_1", "__digest_2"]
+    there = landed().select(*[d.alias(n) for d, n in zip(row_digest(rows, rows.columns), names)])
+    marked = rows.withColumns(dict(zip(names, row_digest(rows, rows.columns))))
+    return marked.join(there, names, "left_anti").drop(*names)
+
+
 def ingest_table(
     spark: SparkSession,
     spec: IngestSpec,
@@ -78,33 +95,54 @@ def ingest_table(
     layers: Layers,
     run_id: str | None = None,
     window: tuple[Any, Any] | None = None,
+    only_lacking: bool = False,
 ) -> Outcome:
     """Copy one table's new rows to bronze.
 
     The newest change value is read first, from that column alone, and fixes the window's end:
-    rows that arrive meanwhile wait for the next run. Without rows past the mark nothing is
-    written; late rows within the entry's ``overlap`` come along with the next new one. The
-    mark moves only after the rows are in place; a run that fails in between repeats its
-    window, and the repeats are dropped further on, by key and sequence. Rows without a change
-    value are in no window.
+    rows that arrive meanwhile wait for the next run. Rows that turned up late are looked for
+    within the entry's ``overlap`` behind the mark, whether there is news or not, and of them those
+    land that bronze lacks. Without either nothing is written. The mark moves only after the rows
+    are in place; a run that fails in between repeats its window, and the repeats are dropped
+    further on, by key and sequence. Rows without a change value are in no window; the outcome tells
+    their number.
     """
     run_id = run_id or uuid.uuid4().hex
     store = WatermarkStore(spark, layers)
-    data_type = reader(spec).schema[spec.cdc_col].dataType
+    bronze = layers.path("bronze", spec.table)
+    source = reader(spec)
+    schema, data_type = source.schema, source.schema[spec.cdc_col].dataType
     low, limit = window if window else (store.get(spec, data_type), None)
-    overlap = None if window else spec.overlap
     since = shown(low, data_type)
+    n_null = source.where(F.col(spec.cdc_col).isNull()).count()
     news = read_since(lambda: reader(spec), spec.cdc_col, low, limit)
     news = high_watermark(news.where(F.col(spec.cdc_col).isNotNull()), spec.cdc_col)
     high, n_rows = news.select(portable("high", data_type), "n_rows").first()
-    if n_rows == 0:
-        return Outcome(run_id, spec.table, "empty", 0, since, since)
-    rows = read_since(lambda: reader(spec), spec.cdc_col, low, high, overlap)
-    land(rows, layers.path("bronze", spec.table))
-    if window is None:
+    rows = read_since(lambda: reader(spec), spec.cdc_col, low, high) if n_rows else None
+    there = lambda: spark.read.schema(schema).parquet(bronze)
+    if rows is not None and only_lacking:
+        landed = lambda: read_since(there, spec.cdc_col, low, high)
+        rows = lacking(spark, rows, landed, bronze)
+    late, seen = None, Observation()
+    if spec.overlap and window is None and low is not None:
+        behind = lambda read: read_since(read, spec.cdc_col, low, low, spec.overlap)
+        late = lacking(spark, behind(lambda: reader(spec)), lambda: behind(there), bronze)
+        if not late.take(1):
+            late = None
+    if rows is None and late is None:
+        return Outcome(run_id, spec.table, "empty", 0, since, since, n_null=n_null)
+    parts = [] if rows is None else [rows]
+    if late is not None:
+        parts.append(late.observe(seen, F.count(F.lit(1)).alias("n")))
+    land(reduce(DataFrame.unionAll, parts), bronze)
+    if window is None and n_rows:
         store.put(spec, high, data_type)
     status = "backfilled" if window else "loaded"
-    return Outcome(run_id, spec.table, status, n_rows, since, shown(high, data_type))
+    top = shown(high, data_type) if n_rows else since
+    n_late = seen.get["n"] if late is not None else 0
+    return Outcome(
+        run_id, spec.table, status, n_rows, since, top, n_null=n_null, n_late=n_late
+    )
 
 
 def backfill(
@@ -114,9 +152,16 @@ def backfill(
     layers: Layers,
     from_value: Any,
     to_value: Any,
+    only_lacking: bool = False,
 ) -> Outcome:
-    """Copy the rows with ``from_value < change value <= to_value`` again; the mark stays."""
-    return ingest_table(spark, spec, reader, layers, window=(from_value, to_value))
+    """Copy the rows with ``from_value < change value <= to_value`` again; the mark stays.
+
+    Silver drops the copies of tables that are de-duplicated; for others ``only_lacking`` lands
+    those rows only that bronze doesn't hold.
+    """
+    return ingest_table(
+        spark, spec, reader, layers, window=(from_value, to_value), only_lacking=only_lacking
+    )
 
 
 def run_all(

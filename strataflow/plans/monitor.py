@@ -22,6 +22,8 @@ RUN_SCHEMA = T.StructType([
     T.StructField("low", T.StringType()),
     T.StructField("high", T.StringType()),
     T.StructField("error", T.StringType()),
+    T.StructField("n_null", T.LongType()),
+    T.StructField("n_late", T.LongType()),
 ])
 
 
@@ -66,4 +68,24 @@ def record_runs(spark: SparkSession, outcomes: Sequence[Outcome], layers: Layers
 
 
 def read_runs(spark: SparkSession, layers: Layers) -> DataFrame:
-    return spark.read.parquet(layers.state("runs", "log"))
+    """All outcomes; columns that older runs lack read as NULL."""
+    return spark.read.option("mergeSchema", True).parquet(layers.state("runs", "log"))
+
+
+def record_stats(
+    spark: SparkSession, run_id: str, table: str, stats: DataFrame, layers: Layers
+) -> None:
+    """Append a table's rows of ``layer_stats`` to the log of layers, as text where types differ."""
+    rows = stats.select(
+        F.lit(run_id).alias("run_id"),
+        F.lit(table).alias("table"),
+        "layer",
+        "n_rows",
+        F.col("newest").cast("string").alias("newest"),
+        "n_keys",
+    )
+    rows.write.mode("append").parquet(layers.state("stats", "log"))
+
+
+def read_stats(spark: SparkSession, layers: Layers) -> DataFrame:
+    return spark.read.parquet(layers.state("stats", "log"))

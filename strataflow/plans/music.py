@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 from strataflow.config import CdcSpec, IngestSpec, JoinSpec, Layers, TableSpec
 from strataflow.functions.columns import bucketize, regex_clean, upper_columns
-from strataflow.operators.history import current_versions
 from strataflow.operators.metajoin import build
-from strataflow.streaming.cdc import read_gold
+from strataflow.plans.pipeline import silver_schema
+from strataflow.streaming.cdc import read_current, read_gold
 
 # The labels of a track's length and the seconds they end at.
 DURATIONS = [(150, "low"), (300, "medium")]
@@ -28,25 +30,31 @@ USER = TableSpec(
 )
 ARTIST = TableSpec(
     IngestSpec("DimArtist", "updated_at"),
-    CdcSpec("DimArtist", ["artist_id"], "updated_at", 2, merge="table"),
+    CdcSpec("DimArtist", ["artist_id"], "updated_at", 2, {"rule_1": "artist_id IS NOT NULL"}, merge="table"),
     dedupe="change",
 )
 TRACK = TableSpec(
     IngestSpec("DimTrack", "updated_at"),
-    CdcSpec("DimTrack", ["track_id"], "updated_at", 2, merge="table"),
+    CdcSpec("DimTrack", ["track_id"], "updated_at", 2, {"rule_1": "track_id IS NOT NULL"}, merge="table"),
     clean=[flag_duration, lambda df: regex_clean(df, "track_name")],
+    dedupe="change",
 )
 DATE = TableSpec(
     IngestSpec("DimDate", "date"),
-    CdcSpec("DimDate", ["date_key"], "date", 2, buckets=1, merge="table", period="year"),
+    CdcSpec(
+        "DimDate", ["date_key"], "date", 2, {"rule_1": "date_key IS NOT NULL"}, buckets=1,
+        merge="table", period="year",
+    ),
+    dedupe="change",
 )
 STREAM = TableSpec(
     IngestSpec("FactStream", "stream_timestamp"),
     # Stream ids grow with time, so a day's rows touch the newest buckets only.
     CdcSpec(
-        "FactStream", ["stream_id"], "stream_timestamp", 1,
+        "FactStream", ["stream_id"], "stream_timestamp", 1, {"rule_1": "stream_id IS NOT NULL"},
         bucket_expr="stream_id div 50000000", merge="table",
     ),
+    dedupe="change",
 )
 
 TABLES = [USER, ARTIST, TRACK, DATE, STREAM]
@@ -65,15 +73,22 @@ LISTENS = [
 ]
 
 
-def gold_tables(spark: SparkSession, layers: Layers) -> dict[str, DataFrame]:
-    """The star schema to query: the fact, and each dimension's current versions."""
+def serving(spark: SparkSession, specs: Sequence[TableSpec], layers: Layers) -> dict[str, DataFrame]:
+    """Facts as they are, and each dimension's current versions: of a table kept by period only
+    that part is read, and its schema is the one kept for the flow, so that no footer is opened."""
     tables = {}
-    for spec in TABLES:
-        gold = read_gold(spark, spec.cdc, layers)
-        tables[spec.table] = current_versions(gold) if spec.cdc.scd_type == 2 else gold
+    for spec in specs:
+        schema = silver_schema(spark, spec, layers)
+        read = read_current if spec.cdc.scd_type == 2 else read_gold
+        tables[spec.table] = read(spark, spec.cdc, layers, schema)
     return tables
 
 
+def gold_tables(spark: SparkSession, layers: Layers) -> dict[str, DataFrame]:
+    """The star schema to query: the fact, and each dimension's current versions."""
+    return serving(spark, TABLES, layers)
+
+
 def listens(spark: SparkSession, layers: Layers) -> DataFrame:
     return build(spark, LISTENS, gold_tables(spark, layers))
 
@@ -81,4 +96,5 @@ def listens(spark: SparkSession, layers: Layers) -> DataFrame:
 def register_gold(spark: SparkSession, layers: Layers) -> None:
     """Name every gold table, history and all, for SQL: ``gold_dimuser`` and so on."""
     for spec in TABLES:
-        read_gold(spark, spec.cdc, layers).createOrReplaceTempView(f"gold_{spec.table.lower()}")
+        gold = read_gold(spark, spec.cdc, layers, silver_schema(spark, spec, layers))
+        gold.createOrReplaceTempView(f"gold_{spec.table.lower()}")

@@ -7,12 +7,14 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from strataflow.config import Layers, TableSpec
 from strataflow.functions.columns import drop_columns
 from strataflow.plans.ingest import Outcome, Reader, failure, run_all
-from strataflow.plans.monitor import record_runs
+from strataflow.plans.monitor import layer_stats, record_runs, record_stats
 from strataflow.session import has_data
+from strataflow.sources.batch import read_layer
 from strataflow.sources.schema import resolve_schema
 from strataflow.sources.stream import stream_files, stream_table
 from strataflow.streaming.cdc import apply_changes, stage
@@ -41,27 +43,96 @@ def bronze_schema(spark: SparkSession, spec: TableSpec, layers: Layers) -> T.Str
     )
 
 
-def bronze_to_silver(spark: SparkSession, spec: TableSpec, layers: Layers) -> T.StructType | None:
-    """Clean the bronze files that are new and append them; gives the silver schema."""
+def silver_schema(spark: SparkSession, spec: TableSpec, layers: Layers) -> T.StructType:
+    """The schema of the silver rows, from the one kept for bronze; no data file is opened."""
+    kept = resolve_schema(
+        spark, layers.path("bronze", spec.table), layers.state("schema", spec.table), evolve=False
+    )
+    return clean(spark.createDataFrame([], kept), spec).schema
+
+
+def bronze_to_silver(
+    spark: SparkSession, spec: TableSpec, layers: Layers
+) -> tuple[T.StructType, StreamingQuery] | None:
+    """Clean the bronze files that are new and append them; gives the silver schema and the query."""
     bronze = layers.path("bronze", spec.table)
     if not has_data(spark, bronze):
         return None
     schema = bronze_schema(spark, spec, layers)
-    source = stream_files(spark, bronze, schema, bytes_per_batch=spec.bytes_per_batch)
+    archived = {"cleanSource": "archive", "sourceArchiveDir": spec.archive} if spec.archive else {}
+    source = stream_files(spark, bronze, schema, bytes_per_batch=spec.bytes_per_batch, **archived)
     silver = deduped(clean(source, spec), spec)
-    append_stream(
-        silver, layers.checkpoint(f"{spec.table}_silver"), path=layers.path("silver", spec.table)
+    query = append_stream(
+        silver,
+        layers.checkpoint(f"{spec.table}_silver"),
+        path=layers.path("silver", spec.table),
+        once=spec.cdc.once,
     )
-    return silver.schema
+    return silver.schema, query
 
 
 def silver_to_gold(
     spark: SparkSession, spec: TableSpec, layers: Layers, schema: T.StructType, quarantine: bool = False
-) -> None:
-    """Stage the silver rows that are new and bring the gold table up to date."""
+) -> list[StreamingQuery]:
+    """Stage the silver rows that are new and bring the gold table up to date; gives the queries."""
     source = stream_table(spark, layers.path("silver", spec.table), schema)
-    stage(source, spec.cdc, layers, quarantine)
-    apply_changes(spark, spec.cdc, schema, layers)
+    return [
+        *stage(source, spec.cdc, layers, quarantine),
+        apply_changes(spark, spec.cdc, schema, layers),
+    ]
+
+
+def name_tables(spark: SparkSession, specs: Sequence[TableSpec], layers: Layers) -> list[str]:
+    """Silver and gold under their names in the configured schema, over the layers' folders."""
+    names = []
+    if layers.schema:
+        parts = [p for p in (layers.catalog, layers.schema) if p]
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {'.'.join(f'`{p}`' for p in parts)}")
+    for spec in specs:
+        for layer in ("silver", "gold"):
+            name, path = layers.table(layer, spec.table), layers.path(layer, spec.table)
+            if name is None or not has_data(spark, path):
+                continue
+            if not spark.catalog.tableExists(name):
+                spark.catalog.createTable(name, path=path, source="parquet")
+            # Files and partitions have changed behind the name.
+            spark.catalog.refreshTable(name)
+            names.append(name)
+    return names
+
+
+def table_stats(spark: SparkSession, spec: TableSpec, layers: Layers) -> DataFrame:
+    """Rows, newest change and (estimated) keys of a table's layers; reads those columns only."""
+    kept = {
+        layer: read_layer(spark, layers.path(layer, spec.table))
+        for layer in ("bronze", "silver", "gold")
+        if has_data(spark, layers.path(layer, spec.table))
+    }
+    return layer_stats(kept, spec.cdc.sequence_by, spec.cdc.keys, approximate=True)
+
+
+def start(
+    spark: SparkSession, specs: Sequence[TableSpec], layers: Layers, quarantine: bool = False
+) -> dict[str, list[StreamingQuery]]:
+    """The flows of tables with ``once=False``, running; the handles tell of a later failure.
+
+    A table needs rows in bronze to begin with, as they give its schema.
+    """
+    running: dict[str, list[StreamingQuery]] = {}
+    for spec in specs:
+        begun = None if spec.cdc.once else bronze_to_silver(spark, spec, layers)
+        if begun is None:
+            continue
+        schema, query = begun
+        running[spec.table] = [query]
+        # The streams above need folders to look at.
+        query.processAllAvailable()
+        source = stream_table(spark, layers.path("silver", spec.table), schema)
+        staged = stage(source, spec.cdc, layers, quarantine)
+        running[spec.table] += staged
+        staged[0].processAllAvailable()
+        running[spec.table].append(apply_changes(spark, spec.cdc, schema, layers))
+    return running
 
 
 def run(
@@ -72,9 +143,14 @@ def run(
     only: Sequence[str] | None = None,
     quarantine: bool = False,
     parallel: int = 4,
+    stats: bool = False,
 ) -> list[Outcome]:
     """One pass over all tables, or over those named in ``only``.
 
+    With a schema in ``layers`` the silver and gold tables are named in it. ``stats`` appends each
+    layer's row count and freshness to a log, at the price of reading keys and change values.
+    Tables whose flows run on (``once=False``) are only landed here; see ``start``.
+
     Each layer takes what the one below has new, so a pass after a failure picks up what the
     failed one left. One table's failure does not stop the others; all are logged before
     they are raised together.
@@ -85,15 +161,19 @@ def run(
 
     def upwards(spec: TableSpec) -> Outcome | None:
         try:
-            schema = bronze_to_silver(spark, spec, layers)
-            if schema is not None:
-                silver_to_gold(spark, spec, layers, schema, quarantine)
+            begun = bronze_to_silver(spark, spec, layers) if spec.cdc.once else None
+            if begun is not None:
+                silver_to_gold(spark, spec, layers, begun[0], quarantine)
+            if stats and has_data(spark, layers.path("bronze", spec.table)):
+                found = table_stats(spark, spec, layers)
+                record_stats(spark, outcomes[0].run_id, spec.table, found, layers)
             return None
         except Exception as error:
             return failure(outcomes[0].run_id, spec.table, error)
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         broken = [o for o in pool.map(upwards, chosen) if o is not None]
+    name_tables(spark, chosen, layers)
     if broken:
         record_runs(spark, broken, layers)
     failed = [o for o in outcomes if o.status == "failed"] + broken

@@ -98,10 +98,29 @@ def has_data(spark: SparkSession, path: str) -> bool:
     return False
 
 
-def put_marker(spark: SparkSession, path: str) -> None:
-    """Create an empty file."""
+def put_marker(spark: SparkSession, path: str, text: str = "") -> None:
+    """Create a small file, in place of one that is there."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True).close()
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+
+
+def read_marker(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file; None if it isn't there."""
+    if not path_exists(spark, path):
+        return None
+    rows = spark.read.text(path, wholetext=True).collect()
+    return rows[0][0] if rows else ""
+
+
+def session_copy(spark: SparkSession) -> SparkSession:
+    """A session with the same settings, whose own can change without touching other threads."""
+    copy = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(name):
+            copy.conf.set(name, value)
+    return copy
 
 
 def remove_marker(spark: SparkSession, path: str) -> None:

@@ -1,8 +1,8 @@
 from strataflow.streaming.cdc import apply_changes, read_current, read_gold, rebuild, stage
-from strataflow.streaming.dedupe import stream_dedupe, stream_dedupe_changes
+from strataflow.streaming.dedupe import append_within, stream_dedupe, stream_dedupe_changes
 from strataflow.streaming.sinks import append_stream, read_snapshot, write_snapshot
 
 __all__ = [
     "apply_changes", "read_current", "read_gold", "rebuild", "stage", "stream_dedupe", "stream_dedupe_changes",
-    "append_stream", "read_snapshot", "write_snapshot",
+    "append_stream", "append_within", "read_snapshot", "write_snapshot",
 ]

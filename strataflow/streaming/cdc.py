@@ -9,6 +9,7 @@ their place, and a damaged table can be rebuilt.
 from __future__ import annotations
 
 from collections import defaultdict
+from dataclasses import replace
 from datetime import date
 from typing import Any
 
@@ -20,14 +21,24 @@ from pyspark.sql.streaming import StreamingQuery
 from strataflow.config import CdcSpec, Layers
 from strataflow.functions.keys import bucket_of, period_of
 from strataflow.operators.history import END, START, scd1, scd2
-from strataflow.operators.quality import expect_all_or_drop, split
-from strataflow.session import has_data, path_exists, put_marker, remove_marker, session_conf
+from strataflow.operators.quality import broken_rules, expect_all_or_drop, report, split
+from strataflow.session import (
+    has_data, literal_rows, put_marker, read_marker, remove_marker, session_copy,
+)
 from strataflow.streaming.sinks import append_stream
 
 BUCKET = "__bucket"
 # The period a version ends in; versions still open have a date of their own.
 UNTIL = "__until"
 OPEN = date(9999, 12, 31)
+# Buckets that a filter or a marker names one by one; beyond, they stand for the whole table.
+MOST_NAMED = 10_000
+WHOLE = "all"
+SPEC_ROW = T.StructType([
+    T.StructField("number", T.LongType()),
+    T.StructField("scheme", T.StringType()),
+    T.StructField("fingerprint", T.StringType()),
+])
 
 
 def rules_of(spec: CdcSpec) -> dict[str, str]:
@@ -47,7 +58,9 @@ def stage(
     Rows are spread to the tasks by bucket just before writing, so a task opens few files. The
     rebalance step sizes tasks by bytes: small buckets share one, a large bucket gets many.
     """
-    valid, rejected = split(source, rules_of(spec))
+    # Rules that stop the flow are looked at before the table is written, not here.
+    rules = rules_of(spec) if spec.on_broken == "drop" else rules_of(replace(spec, rules={}))
+    valid, rejected = split(source, rules)
     bucketed = valid.withColumn(BUCKET, bucket_of(spec.keys, spec.buckets, spec.bucket_expr))
     queries = [
         append_stream(
@@ -90,18 +103,24 @@ def state_of(rows: DataFrame, spec: CdcSpec) -> DataFrame:
     return state
 
 
+def _check(rows: DataFrame, spec: CdcSpec) -> None:
+    """Raise if rows break a rule that stops the flow."""
+    if spec.on_broken == "fail":
+        report(broken_rules(rows, spec.rules), spec.table)
+
+
 def _replace(state: DataFrame, spec: CdcSpec, target: str, balance: bool = False) -> None:
-    """Overwrite the partitions ``state`` has rows for, and no others.
+    """Overwrite the partitions ``state`` has rows for, or the whole table (``balance``).
 
     More change rows never empty a partition, so nothing outdated stays behind. Hash buckets need no
     shuffle of their own (see ``_aligned``); others, and whole tables by period, are balanced.
     """
     parts = [BUCKET, UNTIL] if spec.by_period else [BUCKET]
-    if spec.bucket_expr or balance:
+    if spec.bucket_expr or (balance and spec.by_period):
         state = state.hint("rebalance", *parts)
     (
         state.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if balance else "dynamic")
         .partitionBy(*parts)
         .parquet(target)
     )
@@ -122,37 +141,79 @@ def _aligned(session: SparkSession, spec: CdcSpec) -> dict[str, str]:
     }
 
 
+def _known(spark: SparkSession, spec: CdcSpec, layers: Layers) -> list[tuple[str, str]]:
+    """(scheme, fingerprint) of every spec the table was kept by, oldest first."""
+    path = layers.state("spec", spec.flow)
+    if not has_data(spark, path):
+        return []
+    # One row per change of the spec.
+    return [(r["scheme"], r["fingerprint"]) for r in
+            spark.read.schema(SPEC_ROW).parquet(path).orderBy("number").collect()]
+
+
+def _remember(spark: SparkSession, spec: CdcSpec, layers: Layers) -> None:
+    known = _known(spark, spec, layers)
+    if known and known[-1] == (spec.scheme, spec.fingerprint):
+        return
+    row = literal_rows(spark, [(len(known), spec.scheme, spec.fingerprint)], SPEC_ROW)
+    row.write.mode("append").parquet(layers.state("spec", spec.flow))
+
+
 def _from_log(
     session: SparkSession, spec: CdcSpec, schema: T.StructType, layers: Layers, buckets: list[int] | None
 ) -> DataFrame:
     """The change rows of some buckets, or of all."""
     log = session.read.schema(log_schema(schema)).parquet(layers.path("stg", spec.table))
     if buckets is not None:
-        log = log.where(F.col(BUCKET).isin(buckets))
+        bucket = F.col(BUCKET)
+        if {scheme for scheme, _ in _known(session, spec, layers)} - {spec.scheme}:
+            # Part of the log is laid out by other buckets.
+            bucket = bucket_of(spec.keys, spec.buckets, spec.bucket_expr)
+        log = log.where(bucket.isin(buckets))
     return log.select(*schema.names)
 
 
-def _with_table(batch: DataFrame, spec: CdcSpec, schema: T.StructType, layers: Layers) -> DataFrame:
+def _touched(batch: DataFrame, spec: CdcSpec) -> list[int] | None:
+    """The buckets of a micro-batch, or None if they are too many to name."""
+    buckets = batch.select(bucket_of(spec.keys, spec.buckets, spec.bucket_expr).alias(BUCKET))
+    rows = buckets.distinct().limit(MOST_NAMED + 1).collect()
+    return [row[0] for row in rows] if len(rows) <= MOST_NAMED else None
+
+
+def _with_table(
+    batch: DataFrame, spec: CdcSpec, schema: T.StructType, layers: Layers, touched: list[int] | None
+) -> DataFrame:
     """A micro-batch's change rows and those rows of the table that they can affect.
 
     A new row ends the version valid at its time, and becomes one that ends where that did. So versions
-    that ended before the period of a bucket's oldest new row stay as they are.
+    that ended before the period of a bucket's oldest new row stay as they are. With too many buckets
+    to name, the oldest row of all counts.
     """
     oldest = F.min(spec.sequence_by)
     if spec.by_period:
         oldest = period_of(oldest, schema[spec.sequence_by].dataType, spec.period)
-    # One row per touched bucket comes to the driver.
-    floors: dict[Any, list[int]] = defaultdict(list)
-    for bucket, floor in batch.groupBy(BUCKET).agg(oldest).collect():
-        floors[floor if spec.by_period else None].append(bucket)
-    affected = F.lit(False)
-    for floor, buckets in floors.items():
-        inside = F.col(BUCKET).isin(buckets)
-        affected |= inside & (F.col(UNTIL) >= F.lit(floor)) if spec.by_period else inside
+    if touched is None:
+        affected = F.lit(True)
+        if spec.by_period:
+            affected = F.col(UNTIL) >= F.lit(batch.agg(oldest).first()[0])
+    else:
+        bucket = bucket_of(spec.keys, spec.buckets, spec.bucket_expr)
+        # One row per touched bucket, of which there are at most MOST_NAMED.
+        floors: dict[Any, list[int]] = defaultdict(list)
+        for number, floor in batch.groupBy(bucket.alias(BUCKET)).agg(oldest).collect():
+            floors[floor if spec.by_period else None].append(number)
+        affected = F.lit(False)
+        for floor, buckets in floors.items():
+            inside = F.col(BUCKET).isin(buckets)
+            affected |= inside & (F.col(UNTIL) >= F.lit(floor)) if spec.by_period else inside
     table = _read_target(batch.sparkSession, spec, layers, schema).where(affected)
     return table.select(*schema.names).unionByName(batch.select(*schema.names))
 
 
+def _marker(spec: CdcSpec, layers: Layers) -> str:
+    return f"{layers.state('apply', spec.flow)}/in_progress"
+
+
 def apply_changes(
     spark: SparkSession,
     spec: CdcSpec,
@@ -163,30 +224,41 @@ def apply_changes(
     """Keep the gold table up to date with its log. ``schema`` is that of the staged rows.
 
     Only partitions that a micro-batch can change are read and overwritten. The overwrite is not
-    atomic, so a marker stands while it lasts; a run that finds one left behind, or no table,
-    cannot rely on the table's rows and writes the table anew from the log.
+    atomic, so a marker that names the buckets stands while it lasts; a run that finds one left behind
+    writes those buckets anew from the log. What the table is kept by is remembered beside it: under
+    another spec it is first written anew as a whole.
     """
+    spec = spec.resolved(schema)
     log_path, target = layers.path("stg", spec.table), layers.path("gold", spec.table)
-    marker = f"{layers.state('apply', spec.flow)}/in_progress"
+    marker = _marker(spec, layers)
+    known = _known(spark, spec, layers)
+    if has_data(spark, target) and (not known or known[-1] != (spec.scheme, spec.fingerprint)):
+        rebuild(spark, spec, schema, layers)
+    _remember(spark, spec, layers)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         # The query's own copy of the session, so the settings stay in this flow.
         session = batch.sparkSession
         for name, value in _aligned(session, spec).items():
             session.conf.set(name, value)
-        if spec.merge == "log":
-            # At most one value per bucket comes to the driver.
-            touched = [row[0] for row in batch.select(BUCKET).distinct().collect()]
-            if touched:
-                _replace(state_of(_from_log(session, spec, schema, layers, touched), spec), spec, target)
+        touched = _touched(batch, spec)
+        if touched == []:
             return
-        anew = path_exists(session, marker) or not has_data(session, target)
-        if anew:
-            rows = _from_log(session, spec, schema, layers, None)
+        _check(batch, spec)
+        left = read_marker(session, marker)
+        new = not has_data(session, target)
+        if left is not None:
+            named = left != WHOLE and touched is not None
+            touched = sorted({*touched, *map(int, left.split())}) if named else None
+        if new:
+            touched = None
+        if left is not None or new or spec.merge == "log":
+            rows = _from_log(session, spec, schema, layers, touched)
         else:
-            rows = _with_table(batch, spec, schema, layers)
-        put_marker(session, marker)
-        _replace(state_of(rows, spec), spec, target, balance=anew and spec.by_period)
+            rows = _with_table(batch, spec, schema, layers, touched)
+        put_marker(session, marker, WHOLE if touched is None else " ".join(map(str, touched)))
+        anew = touched is None and (left is not None or new or spec.merge == "log")
+        _replace(state_of(rows, spec), spec, target, balance=anew)
         remove_marker(session, marker)
 
     writer = (
@@ -203,10 +275,17 @@ def apply_changes(
 
 
 def rebuild(spark: SparkSession, spec: CdcSpec, schema: T.StructType, layers: Layers) -> None:
-    """Write every partition of the gold table anew from the log."""
-    with session_conf(spark, _aligned(spark, spec)):
-        rows = _from_log(spark, spec, schema, layers, None)
-        _replace(state_of(rows, spec), spec, layers.path("gold", spec.table), spec.by_period)
+    """Write the whole gold table anew from the log; nothing of the old one stays."""
+    spec = spec.resolved(schema)
+    session, marker = session_copy(spark), _marker(spec, layers)
+    for name, value in _aligned(session, spec).items():
+        session.conf.set(name, value)
+    rows = _from_log(session, spec, schema, layers, None)
+    _check(rows, spec)
+    put_marker(session, marker, WHOLE)
+    _replace(state_of(rows, spec), spec, layers.path("gold", spec.table), balance=True)
+    _remember(session, spec, layers)
+    remove_marker(session, marker)
 
 
 def gold_schema(schema: T.StructType, spec: CdcSpec) -> T.StructType:
@@ -234,7 +313,9 @@ def read_gold(
 
     Given the schema of the staged rows, no footer is opened for planning.
     """
-    if schema is None:
+    if schema is not None:
+        spec = spec.resolved(schema)
+    else:
         path = layers.path("gold", spec.table)
         return spark.read.option("mergeSchema", True).parquet(path).drop(BUCKET, UNTIL)
     return _read_target(spark, spec, layers, schema).drop(BUCKET, UNTIL)
@@ -244,6 +325,7 @@ def read_current(
     spark: SparkSession, spec: CdcSpec, layers: Layers, schema: T.StructType
 ) -> DataFrame:
     """The current version of each key; a table kept by period is read in that part only."""
+    spec = spec.resolved(schema)
     table = _read_target(spark, spec, layers, schema)
     if spec.by_period:
         table = table.where(F.col(UNTIL) == F.lit(OPEN))

@@ -7,8 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
+
+from strataflow.functions.keys import day_of, from_micros, row_digest, to_micros
+from strataflow.session import has_data
 
 SALTS = 16
+DIGEST = ["__digest_1", "__digest_2"]
 
 
 def stream_dedupe(
@@ -20,7 +25,8 @@ def stream_dedupe(
     """The first row seen of each key, remembered in the query's state.
 
     The state grows with the number of distinct keys. ``within=(column, delay)`` bounds it:
-    a key is forgotten once the event time has moved on by ``delay``.
+    a key is forgotten once the event time has moved on by ``delay``, and rows older than that
+    are dropped, whether their key was seen or not. ``append_within`` keeps those.
 
     Streaming de-duplication sends every row of a key to one task. So the rows of each key are
     first thinned in ``salts`` places, and at most that many of them ever reach the task that
@@ -51,10 +57,75 @@ def stream_dedupe_changes(
     """Drop repeated copies of a change row, and nothing else.
 
     Rows that agree in key and sequence but not in payload all pass: which one counts is settled
-    where all of them are known. The payload is remembered as a digest, which keeps the
-    state small and stays the same when a column is added that old rows lack.
+    where all of them are known. The payload is remembered as two hashes of its exact values, which
+    keeps the state small and stays the same when a column is added that old rows lack.
     """
     payload = [c for c in df.columns if c not in {*keys, sequence_by}]
-    text = F.to_json(F.struct(*payload), {"ignoreNullFields": "true"}) if payload else F.lit("")
-    marked = df.withColumn("__payload", F.sha2(text, 256))
-    return stream_dedupe(marked, [*keys, sequence_by, "__payload"], salts=salts).drop("__payload")
+    marked = df.withColumns(dict(zip(DIGEST, row_digest(df, payload))))
+    return stream_dedupe(marked, [*keys, sequence_by, *DIGEST], salts=salts).drop(*DIGEST)
+
+
+def append_within(
+    df: DataFrame,
+    keys: Sequence[str],
+    column: str,
+    delay: str,
+    checkpoint: str,
+    path: str,
+    late_path: str,
+    once: bool = True,
+    interval: str = "1 minute",
+) -> StreamingQuery:
+    """Append the first row of each key to ``path``, and late rows, all of them, to ``late_path``.
+
+    A row is late if it is older, by more than ``delay`` (such as ``"30 days"``), than the newest row
+    of the micro-batches before; a row without a time is never late. Others are compared with
+    the rows of the same time span that the target has, so there is no state but the target: its
+    days before the span are not read. A repeated micro-batch replaces its own files. Both
+    folders are partitioned by day and micro-batch (columns ``__day`` and ``__batch``).
+    """
+    kind = df.schema[column].dataType
+    parts = ["__day", "__batch"]
+    schema = T.StructType([
+        *df.schema.fields, T.StructField("__day", T.DateType()), T.StructField("__batch", T.LongType())
+    ])
+    marks = f"{path.rstrip('/')}_marks"
+
+    def write(rows: DataFrame, batch_id: int, target: str) -> None:
+        rows = rows.withColumns({"__day": day_of(F.col(column), kind), "__batch": F.lit(batch_id)})
+        writer = rows.hint("rebalance", "__day").write.mode("overwrite")
+        writer.option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(target)
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        floor = None
+        if has_data(session, marks):
+            # One row per micro-batch, of which one comes back.
+            seen = session.read.parquet(marks).where(F.col("__batch") < batch_id)
+            floor = seen.agg(F.max("mark")).first()[0]
+        fresh, late = batch, None
+        if floor is not None:
+            # The mark is kept as a number, which no time zone shifts.
+            least = from_micros(F.lit(floor), kind) - F.expr(f"INTERVAL {delay}")
+            in_time = F.coalesce(F.col(column) >= least, F.lit(True))
+            fresh, late = batch.where(in_time), batch.where(~in_time)
+            write(late, batch_id, late_path)
+        fresh = fresh.dropDuplicates(list(keys))
+        if has_data(session, path):
+            there = session.read.schema(schema).parquet(path).where(F.col("__batch") < batch_id)
+            if floor is not None:
+                near = F.col("__day") >= day_of(least, kind)
+                there = there.where(F.coalesce(near & (F.col(column) >= least), F.lit(True)))
+            same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
+            fresh = fresh.alias("a").join(there.select(*keys).alias("b"), same, "left_anti")
+        write(fresh, batch_id, path)
+        mark = batch.agg(F.max(to_micros(F.col(column), kind)).alias("mark"))
+        mark = mark.where("mark IS NOT NULL").withColumn("__batch", F.lit(batch_id).cast("long"))
+        mark.write.mode("append").parquet(marks)
+
+    writer = df.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)
+    query = writer.start()
+    if once:
+        query.awaitTermination()
+    return query
