@@ -14,6 +14,8 @@ from strataflow.llm.tokens import text_bytes
 
 #: Longer texts are left out of learning, so that its memory is bounded; they are scored like others.
 TRAIN_CHARS = 50_000
+#: Bytes of text whose features a task has in memory at a time, some hundred times that.
+SLICE = 1 << 20
 
 
 def sample(
@@ -53,7 +55,7 @@ def scored(
     """doc_id, held_out, score, predicted of every row; ``score`` takes bytes and text offsets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
+        for part in slices(batches, "text", SLICE):
             values = score(*text_bytes(part.column("text")))
             yield pa.record_batch([part.column("doc_id"), pa.array(values)], ["doc_id", "score"])
 

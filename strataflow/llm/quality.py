@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 
 from strataflow.llm.common import saved, slices
 from strataflow.llm.features import subword_grams
-from strataflow.llm.learn import sample, scored, sigmoid
+from strataflow.llm.learn import SLICE, sample, scored, sigmoid
 from strataflow.llm.tokens import text_bytes
 
 
@@ -25,7 +25,7 @@ from strataflow.llm.tokens import text_bytes
 class Subwords:
     """``rows`` bounds the labelled texts that are learned from; ``bits`` the number of buckets."""
 
-    rows: int = 10_000
+    rows: int = 8_000
     bits: int = 18
     chars: tuple[int, ...] = (2, 3, 4)
     size: int = 8
@@ -79,7 +79,7 @@ def train(
     """The model, learned in one task from a bounded sample whose features all tasks extract."""
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
+        for part in slices(batches, "text", SLICE):
             groups = list(model.features(*text_bytes(part.column("text"))))
             pairs, counts = np.unique(
                 np.concatenate([owner << model.bits | bucket for bucket, owner in groups]),
@@ -87,7 +87,7 @@ def train(
             )
             cut = pa.array(np.searchsorted(pairs >> model.bits, np.arange(part.num_rows + 1)), "i4")
             at = pa.ListArray.from_arrays(cut, pa.array(pairs & ((1 << model.bits) - 1), pa.int32()))
-            of = pa.ListArray.from_arrays(cut, pa.array(counts, pa.int32()))
+            of = pa.ListArray.from_arrays(cut, pa.array(np.minimum(counts, 32_767), pa.int16()))
             yield pa.record_batch(
                 [part.column("doc_id"), part.column("label"), at, of],
                 ["doc_id", "label", "at", "n"],
@@ -106,7 +106,7 @@ def train(
         )
 
     chosen = sample(docs, labels, label, model.rows, id_column, text_column)
-    schema = "doc_id long, label int, at array<int>, n array<int>"
+    schema = "doc_id long, label int, at array<int>, n array<short>"
     features = saved(chosen.mapInArrow(extract, schema), "quality-features")
     one = features.repartition(1).sortWithinPartitions("doc_id", "at").select("label", "at", "n")
     found = saved(one.mapInArrow(learn, "values binary, bias double"), "quality").collect()
