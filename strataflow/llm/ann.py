@@ -3,8 +3,9 @@
 The tree is fitted on a bounded sample and sent to every task; every vector is put into its leaf. A
 query takes leaves from a priority queue over the nodes seen so far. How many leaves are visited is
 calibrated: for some queries the true neighbours are found by scanning all rows, and the visits
-are widened until the wanted share of them lies in visited leaves. Leaves with many vectors or
-many visits are split into cells of bounded size.
+are widened until the wanted share of them lies in visited leaves. Neighbouring leaves make up
+cells of bounded size, and a query gets its nearest of all the leaves it visits in a cell; a leaf with
+many vectors, and a cell with many visits, is split.
 """
 
 from __future__ import annotations
@@ -28,9 +29,9 @@ BRANCH = 16
 LEAF_ROWS = 256
 SAMPLE_LEAF = 8
 CALIBRATED = 100
-RECALL = 0.97
-#: Vectors, and visiting queries, in one cell.
-CELL_VECTORS = 4_096
+RECALL = 0.95
+#: Numbers in the vectors of one cell, and queries that visit it.
+CELL_NUMBERS = 1 << 19
 CELL_QUERIES = 4_096
 
 
@@ -180,57 +181,72 @@ def nearest(
     queries = index.where(F.col("vec_id") % query_every == 0)
     visits, measured = calibrate(index, queries, tree, size, k, recall)
 
+    # A row for each leaf, of which there are no more than the sample allows.
+    held = np.zeros(tree_leaves, np.int64)
+    for leaf, count in index.groupBy("leaf").count().collect():
+        held[leaf] = count
+    cell_of, parts_of = cells(held, max(256, CELL_NUMBERS // size))
+
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            rows: list[tuple] = []
             own = _matrix(batch.column("vector"), size)
-            found = [tree.visits(q, visits) for q in own]
-            of = np.repeat(np.arange(len(found)), [len(x) for x in found])
-            yield pa.record_batch(
-                [
-                    batch.column("vec_id").take(pa.array(of)),
-                    pa.array([leaf for x in found for leaf in x], pa.int64()),
-                    batch.column("vector").take(pa.array(of)),
-                ],
-                ["query_id", "leaf", "query"],
-            )
+            for name, query in zip(batch.column("vec_id").to_pylist(), own):
+                leaves = np.sort(tree.visits(query, visits))
+                leaves = leaves[held[leaves] > 0]
+                cuts = np.flatnonzero(np.diff(cell_of[leaves])) + 1
+                for group in np.split(leaves, cuts) if len(leaves) else []:
+                    rows.append((name, int(cell_of[group[0]]), group.tolist(), query.tobytes()))
+            if rows:
+                kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
+                yield pa.record_batch(
+                    [pa.array(x, t) for x, t in zip(zip(*rows), kinds)],
+                    ["query_id", "cell", "leaves", "query"],
+                )
 
     asked = saved(
         queries.select("vec_id", "vector").mapInArrow(
-            visit, "query_id long, leaf long, query binary"
+            visit, "query_id long, cell long, leaves array<long>, query binary"
         ),
         "visits",
     )
-    # A row for each leaf, of which there are no more than the sample allows.
-    held = index.groupBy("leaf").agg(F.ceil(F.count("*") / CELL_VECTORS).cast("int").alias("parts"))
-    met = asked.groupBy("leaf").agg(F.ceil(F.count("*") / CELL_QUERIES).cast("int").alias("shares"))
-    leaves = F.broadcast(saved(held.join(met, "leaf"), "leaves"))
+    met = asked.groupBy("cell").agg(F.ceil(F.count("*") / CELL_QUERIES).cast("int").alias("shares"))
+    layout = spark.createDataFrame(
+        list(zip(range(tree_leaves), cell_of.tolist(), parts_of.tolist())),
+        "leaf long, cell long, parts int",
+    )
+    layout = saved(layout.join(met, "cell"), "layout")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     part = F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int")
     share = F.pmod(F.xxhash64("query_id"), F.col("shares")).cast("int")
-    cells = index.join(leaves, "leaf").select(
-        "leaf", part.alias("part"), every("shares").alias("share"), "vec_id", "vector"
+    members = index.join(F.broadcast(layout), "leaf").select(
+        "cell", part.alias("part"), every("shares").alias("share"), "vec_id", "leaf", "vector"
     )
-    callers = asked.join(leaves, "leaf").select(
-        "leaf", every("parts").alias("part"), share.alias("share"), "query_id", "query"
+    sizes = layout.groupBy("cell").agg(F.max("parts").alias("parts"), F.max("shares").alias("shares"))
+    callers = asked.join(F.broadcast(sizes), "cell").select(
+        "cell", every("parts").alias("part"), share.alias("share"), "query_id", "leaves", "query"
     )
 
     def compare(own: pd.DataFrame, calls: pd.DataFrame) -> pd.DataFrame:
         if not len(own) or not len(calls):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
         ids, vectors = own["vec_id"].to_numpy(), _matrix(own["vector"], size)
+        names, leaf = np.unique(own["leaf"].to_numpy(), return_inverse=True)
         query_ids, asking = calls["query_id"].to_numpy(), _matrix(calls["query"], size)
         out = []
         for begin in range(0, len(asking), 256):
             close = asking[begin : begin + 256] @ vectors.T
             for q in range(len(close)):
                 name, query = query_ids[begin + q], asking[begin + q]
-                found, scores = best(ids, vectors, name, query, close[q], k)
+                seen = np.isin(names, calls["leaves"].iloc[begin + q])[leaf]
+                near = np.where(seen, close[q], -np.inf)
+                found, scores = best(ids, vectors, name, query, near, k)
                 out.append((np.full(len(found), name), found, scores))
         columns = [np.concatenate(x) for x in zip(*out)]
         return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), columns)))
 
-    by = ["leaf", "part", "share"]
-    pairs = cells.groupBy(by).cogroup(callers.groupBy(by)).applyInPandas(
+    by = ["cell", "part", "share"]
+    pairs = members.groupBy(by).cogroup(callers.groupBy(by)).applyInPandas(
         compare, "query_id long, vec_id long, score double"
     )
     pairs = pairs.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
@@ -240,6 +256,20 @@ def nearest(
     return found, {"leaves": tree_leaves, "visits": visits, "recall": measured}
 
 
+def cells(held: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The cell of each leaf, and into how many parts that cell is split.
+
+    Leaves in a row share a cell as long as it has at most ``most`` rows.
+    """
+    cell, filled = np.zeros(len(held), np.int64), 0
+    for leaf, count in enumerate(held.tolist()):
+        start = leaf > 0 and filled + count > most
+        cell[leaf] = cell[leaf - 1] + start if leaf else 0
+        filled = count if start else filled + count
+    rows = np.bincount(cell, held)
+    return cell, np.maximum(1, -(-rows // most))[cell].astype(np.int64)
+
+
 def calibrate(
     index: DataFrame, queries: DataFrame, tree: Tree, size: int, k: int, recall: float
 ) -> tuple[int, float]:

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 
 from strataflow.llm import ann
-from strataflow.llm.ann import Tree, nearest
+from strataflow.llm.ann import Tree, cells, nearest
 
 
 def brute(rows, k, every):
@@ -47,7 +47,7 @@ def test_recall_on_the_table(spark):
 
 def test_every_leaf_is_exact(spark, monkeypatch):
     """All leaves visited: the same rows as brute force, ties and split cells included."""
-    monkeypatch.setattr(ann, "CELL_VECTORS", 16)
+    monkeypatch.setattr(ann, "cells", lambda held, most: cells(held, 16))
     monkeypatch.setattr(ann, "CELL_QUERIES", 3)
     monkeypatch.setattr(ann, "LEAF_ROWS", 20)
     chance = np.random.default_rng(3)
@@ -81,3 +81,8 @@ def test_odd_vectors(spark):
 def test_few_rows(spark, rows):
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     assert nearest(frame)[0].collect() == []
+
+
+def test_cells():
+    cell, parts = cells(np.array([3, 4, 2, 30, 0, 1]), 8)
+    assert cell.tolist() == [0, 0, 1, 2, 3, 3] and parts.tolist() == [1, 1, 1, 4, 1, 1]
