@@ -41,7 +41,7 @@ def to_micros(moment: Column, data_type: T.DataType) -> Column:
     if isinstance(data_type, T.DateType):
         return F.unix_date(moment).cast("long") * 86_400_000_000
     day = F.unix_date(F.to_date(moment)).cast("long") * 86_400_000_000
-    clock = F.hour(moment) * 3600 + F.minute(moment) * 60
+    clock = (F.hour(moment) * 3600 + F.minute(moment) * 60).cast("long")
     return day + clock * 1_000_000 + (F.date_part(F.lit("SECOND"), moment) * 1_000_000).cast("long")
 
 

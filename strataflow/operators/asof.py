@@ -14,6 +14,8 @@ from strataflow.operators.history import END, START
 BROADCAST_BYTES = 32 << 20
 BROADCAST_ROWS = 500_000
 FEW_VERSIONS = 128
+# Keys with more versions than that whose names alone may go to every task.
+BUSY_KEYS = 10_000
 
 
 def join_as_of(
@@ -33,10 +35,11 @@ def join_as_of(
     Facts and history share the key names; the versions of a key must not overlap, which
     ``scd2`` ensures. NULL keys and times match nothing.
 
-    The history is counted first. With few versions of every key it is an equality join that
-    tests those few; a history that is small in all goes to every task and the facts are not
-    shuffled. With many versions of some key, facts and versions are sorted together by key
-    and time and each fact takes the last version before it, so the work stays that of a sort.
+    The history is counted first. Keys with few versions take an equality join that tests those few;
+    a history that is small in all goes to every task and the facts are not shuffled. For keys
+    with many versions, facts and versions are sorted together by key and time and each fact takes
+    the last version before it, so the work stays that of a sort. Only where very many keys
+    have many versions do all take that way.
     The history is read more than once: give it as a table rather than as a long computation.
     """
     taken = [c for c in history.columns if c not in {*keys, start, end}]
@@ -47,12 +50,27 @@ def join_as_of(
     versions = history.where(_present([*keys, start])).select(
         *keys, F.struct(start, end, *taken).alias("__version"), F.col(start).alias("__at")
     )
-    total, longest = _count(versions, keys)
+    total, busy = _count(versions, keys, few)
     small = total <= broadcast_rows and skew.estimated_bytes(versions) <= BROADCAST_BYTES
-    if longest <= few:
-        found = _by_join(facts, versions, keys, ts, start, end, small, policy)
-    else:
+    if busy == 0:
+        found = _by_join(facts, versions, keys, ts, start, end, total, small, policy)
+    elif busy > BUSY_KEYS:
         found = _by_scan(facts, versions, keys, ts, policy)
+    else:
+        names = versions.groupBy(*keys).count().where(F.col("count") > few).select(*keys)
+        names = F.broadcast(names)
+        light = _by_join(
+            facts.join(names, list(keys), "left_anti").select(*facts.columns),
+            versions.join(names, list(keys), "left_anti").select(*versions.columns),
+            keys, ts, start, end, total, small, policy,
+        )
+        heavy = _by_scan(
+            facts.join(names, list(keys), "left_semi").select(*facts.columns),
+            versions.join(names, list(keys), "left_semi").select(*versions.columns),
+            keys, ts, policy,
+        )
+        columns = [*facts.columns, "__version"]
+        found = light.select(*columns).unionByName(heavy.select(*columns))
     valid = F.col(f"__version.{end}").isNull() | (F.col(ts) < F.col(f"__version.{end}"))
     return found.select(
         *facts.columns, *[F.when(valid, F.col(f"__version.{c}")).alias(c) for c in taken]
@@ -66,9 +84,10 @@ def _present(columns: Sequence[str]) -> Column:
     return test
 
 
-def _count(versions: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
-    """The number of versions in all, and of the key that has most; reads the keys only."""
-    row = versions.groupBy(*keys).count().agg(F.sum("count"), F.max("count")).first()
+def _count(versions: DataFrame, keys: Sequence[str], few: int) -> tuple[int, int]:
+    """The number of versions in all, and of keys that have more than a few; reads the keys only."""
+    counts = versions.groupBy(*keys).count()
+    row = counts.agg(F.sum("count"), F.count_if(F.col("count") > few)).first()
     return row[0] or 0, row[1] or 0
 
 
@@ -79,9 +98,11 @@ def _by_join(
     ts: str,
     start: str,
     end: str,
+    total: int,
     small: bool,
     policy: SkewPolicy,
 ) -> DataFrame:
+    plain = versions
     names = {c: f"__k{i}" for i, c in enumerate(keys)}
     versions = versions.drop("__at").withColumnsRenamed(names)
     stops = F.col(f"__version.{end}")
@@ -93,11 +114,17 @@ def _by_join(
     hot = skew.find_hot(facts, keys, policy)
     if not hot:
         return facts.join(versions, match, "left")
-    # The hot keys are few, and each has few versions: those go to every task, so that the
-    # facts of a hot key (or of no key at all) stay where they are.
     light = facts.where(~skew.is_hot(keys, hot)).join(versions, match, "left")
-    theirs = F.broadcast(versions.where(skew.is_hot(list(names.values()), hot)))
-    return light.unionByName(facts.where(skew.is_hot(keys, hot)).join(theirs, match, "left"))
+    heavy = facts.where(skew.is_hot(keys, hot))
+    # The versions of the hot keys go to every task if they are small, so that the facts of a hot
+    # key (or of no key at all) stay where they are.
+    theirs = versions.where(skew.is_hot(list(names.values()), hot))
+    share = theirs.count() / max(1, total)
+    if share * skew.estimated_bytes(versions) <= BROADCAST_BYTES:
+        return light.unionByName(heavy.join(F.broadcast(theirs), match, "left"))
+    columns = [*facts.columns, "__version"]
+    heavy = _by_scan(heavy, plain.where(skew.is_hot(keys, hot)), keys, ts, policy)
+    return light.select(*columns).unionByName(heavy.select(*columns))
 
 
 def _by_scan(

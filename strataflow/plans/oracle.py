@@ -54,6 +54,27 @@ concat_ws(',', CASE WHEN c_acctbal >= 0 THEN NULL ELSE 'not_in_debt' END,
                CASE WHEN c_mktsegment <> 'MACHINERY' THEN NULL ELSE 'known_segment' END)
 """
 
+RULED = """
+SELECT user_id, event_type, value, ts, ts AS start_at,
+       lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS end_at
+FROM events WHERE value > 10 AND event_type IS NOT NULL
+"""
+
+CROWDED = """
+WITH o AS (SELECT o_orderkey, o_orderdate, o_orderpriority,
+                  CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE o_custkey END AS o_custkey FROM orders),
+h AS (
+  SELECT o_custkey, o_orderpriority, o_orderdate AS start_at,
+         lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate) AS end_at
+  FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey, o_orderdate
+                                     ORDER BY o_orderpriority DESC, o_orderkey DESC) AS rn FROM o) z
+  WHERE rn = 1)
+SELECT l.l_orderkey, l.l_linenumber, l.l_shipdate, o.o_custkey, h.o_orderpriority AS priority_asof
+FROM lineitem l JOIN o ON l.l_orderkey = o.o_orderkey
+LEFT JOIN h ON h.o_custkey = o.o_custkey AND l.l_shipdate >= h.start_at
+           AND (h.end_at IS NULL OR l.l_shipdate < h.end_at)
+"""
+
 ORACLE: dict[str, str] = {
     "scan_project": SCAN,
     "select_star": "SELECT * FROM nation",
@@ -173,10 +194,54 @@ ORACLE: dict[str, str] = {
         SELECT c_custkey, {FAILED} AS failed_rules FROM customer WHERE {FAILED} <> ''""",
     "stream_scd1": LATEST,
     "stream_scd2": HISTORY,
-    "stream_rules": """
-        SELECT user_id, event_type, value, ts, ts AS start_at,
-               lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS end_at
-        FROM events WHERE value > 10 AND event_type IS NOT NULL""",
+    "stream_rules": RULED,
+    "rebuild_rebucketed": HISTORY,
+    "rebuild_rule_change": RULED,
+    "apply_after_spec_change": HISTORY,
+    "scd1_hot": LATEST,
+    "scd2_hot": HISTORY,
+    "scd2_tracked_hot": TRACKED,
+    "pit_join_skewed": CROWDED,
+    "pit_join_hot": CROWDED,
+    "ingest_late_quiet": "SELECT * FROM events WHERE ts <= TIMESTAMP '2024-01-15'",
+    "backfill_silver": "SELECT user_id, event_type, value, ts FROM events",
+    "stream_dedupe_exact": """
+        SELECT event_id, user_id, CAST(ts AS DATE) AS day, ts AS seen FROM events
+        UNION ALL
+        SELECT event_id, user_id, CAST(ts AS DATE), ts + INTERVAL 1 MICROSECOND FROM events""",
+    "stream_dedupe_late": """
+        WITH m AS (SELECT max(ts) - INTERVAL 20 DAY AS least FROM events)
+        SELECT event_id, user_id, ts, FALSE AS late FROM events, m
+        WHERE ts > TIMESTAMP '2024-01-15' OR ts >= least
+        UNION ALL
+        SELECT event_id, user_id, ts, TRUE FROM events, m, range(2)
+        WHERE ts <= TIMESTAMP '2024-01-15' AND ts < least""",
+    "rules_all_gold": """
+        WITH u AS (
+          SELECT DISTINCT CASE WHEN o_custkey % 10 <> 0 THEN o_custkey END AS k,
+                 upper('user-' || o_custkey) AS name, o_orderpriority AS p, o_orderdate AS moment
+          FROM orders),
+        t AS (
+          SELECT DISTINCT CASE WHEN p_partkey % 10 <> 0 THEN p_partkey END AS k,
+                 regexp_replace(concat_ws('-', p_brand, p_name), '-', ' ', 'g') AS name, p_size
+          FROM part),
+        f AS (SELECT DISTINCT CASE WHEN event_id % 10 <> 0 THEN event_id END AS k,
+                     user_id, event_id, value, ts FROM events)
+        SELECT 'DimUser' AS "table", 'gold' AS place, count(DISTINCT (k, moment)) AS n_rows,
+               count(DISTINCT (k, moment)) AS n_keys FROM u WHERE k IS NOT NULL
+        UNION ALL SELECT 'DimUser', 'quarantine', count(*), 0 FROM u WHERE k IS NULL
+        UNION ALL SELECT 'DimTrack', 'gold', count(*), count(k) FROM t WHERE k IS NOT NULL
+        UNION ALL SELECT 'DimTrack', 'quarantine', count(*), 0 FROM t WHERE k IS NULL
+        UNION ALL SELECT 'FactStream', 'gold', count(*), count(k) FROM f WHERE k IS NOT NULL
+        UNION ALL SELECT 'FactStream', 'quarantine', count(*), 0 FROM f WHERE k IS NULL""",
+    "catalog_layers": """
+        SELECT event_id AS stream_id, user_id, event_id AS track_id, value AS listen_duration,
+               ts AS stream_timestamp FROM events""",
+    "run_stats": """
+        WITH p AS (SELECT count(*) AS n, max(ts) AS high FROM events WHERE ts <= TIMESTAMP '2024-01-15'
+                   UNION ALL SELECT count(*), max(ts) FROM events)
+        SELECT 'FactStream' AS "table", layer, n AS n_rows, high AS newest
+        FROM p, (VALUES ('bronze'), ('silver'), ('gold')) l(layer)""",
     "stream_scd2_late": TRACKED,
     "stream_merge_scd1": LATEST,
     "stream_merge_scd2": HISTORY,

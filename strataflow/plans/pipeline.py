@@ -96,6 +96,8 @@ def name_tables(spark: SparkSession, specs: Sequence[TableSpec], layers: Layers)
             if not spark.catalog.tableExists(name):
                 spark.catalog.createTable(name, path=path, source="parquet")
             # Files and partitions have changed behind the name.
+            if layer == "gold":
+                spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
             spark.catalog.refreshTable(name)
             names.append(name)
     return names

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from strataflow.config import CdcSpec, IngestSpec, JoinSpec, Layers, TableSpec
+from strataflow.config import CdcSpec, IngestSpec, JoinSpec, Layers, SkewPolicy, TableSpec
 from strataflow.functions import bucketize, drop_columns, regex_clean, upper_columns
 from strataflow.operators import (
     any_per_key, as_of, build_join, classify, closed_versions, current_versions, distinct_dates,
@@ -15,13 +19,13 @@ from strataflow.operators import (
     one_per_change, preview, scd1, scd2, split, sum_by,
 )
 from strataflow.plans.ingest import backfill, ingest_table, land, run_all
-from strataflow.plans.monitor import layer_stats, read_runs, record_runs
-from strataflow.plans.music import DURATIONS, LONGEST
-from strataflow.plans.pipeline import run
+from strataflow.plans.monitor import layer_stats, read_runs, read_stats, record_runs
+from strataflow.plans.music import DURATIONS, LONGEST, TABLES, serving
+from strataflow.plans.pipeline import run, silver_schema
 from strataflow.session import scratch_dir
 from strataflow.sources import read_layer, read_since, read_table, resolve_schema, stream_files
 from strataflow.streaming import (
-    append_stream, apply_changes, read_gold, read_snapshot, stage, stream_dedupe,
+    append_stream, append_within, apply_changes, read_gold, read_snapshot, rebuild, stage, stream_dedupe,
     stream_dedupe_changes, write_snapshot,
 )
 
@@ -175,6 +179,40 @@ def pit_join(spark, sf):
     )
 
 
+def crowded(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Facts and a history in which a third of all orders are those of one customer."""
+    orders = table(spark, sf, "orders").withColumn(
+        "o_custkey", F.when(F.col("o_orderkey") % 3 == 0, F.lit(0)).otherwise(F.col("o_custkey"))
+    )
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
+    facts = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        *lines.columns, "o_custkey"
+    )
+    rows = orders.select("o_custkey", "o_orderpriority", "o_orderkey", "o_orderdate")
+    rows = one_per_change(rows, ["o_custkey"], "o_orderdate")
+    history = scd2(rows, ["o_custkey"], "o_orderdate", **VERSION)
+    history = history.withColumnRenamed("o_orderpriority", "priority_asof")
+    path = work(spark, "crowded").path("gold", "priorities")
+    write_snapshot(history.drop("o_orderkey", "o_orderdate"), path)
+    return facts, read_snapshot(spark, path)
+
+
+@query
+def pit_join_skewed(spark, sf):
+    """One customer has thousands of versions: only its facts take the sorted way."""
+    facts, history = crowded(spark, sf)
+    return join_as_of(facts, history, ["o_custkey"], "l_shipdate", broadcast_rows=0, **VERSION)
+
+
+@query
+def pit_join_hot(spark, sf):
+    """The same with each key's rows cut into runs."""
+    facts, history = crowded(spark, sf)
+    return join_as_of(
+        facts, history, ["o_custkey"], "l_shipdate", broadcast_rows=0, policy=HOT, **VERSION
+    )
+
+
 # Aggregation and de-duplication
 
 
@@ -257,6 +295,25 @@ def scd2_tracked(spark, sf):
     return scd2(changes(spark, sf), ["user_id"], "ts", untracked=["value"], **VERSION)
 
 
+# Every user and customer counts as a key with too many rows, as far as there are that many.
+HOT = SkewPolicy(rows_per_task=16, check_above_bytes=0)
+
+
+@query
+def scd1_hot(spark, sf):
+    return scd1(changes(spark, sf), ["user_id"], "ts", HOT)
+
+
+@query
+def scd2_hot(spark, sf):
+    return scd2(changes(spark, sf), ["user_id"], "ts", policy=HOT, **VERSION)
+
+
+@query
+def scd2_tracked_hot(spark, sf):
+    return scd2(changes(spark, sf), ["user_id"], "ts", untracked=["value"], policy=HOT, **VERSION)
+
+
 @query
 def scd2_ties(spark, sf):
     return priorities(spark, sf).select("o_custkey", "o_orderpriority", "start_at", "end_at")
@@ -321,6 +378,30 @@ def ingest_overlap(spark, sf):
     return one_per_change(bronze, ["user_id"], "ts")
 
 
+@query
+def ingest_late_quiet(spark, sf):
+    """Half the rows of a day turn up late, and nothing newer with them."""
+    layers = work(spark, "quiet")
+    spec = IngestSpec("events", "ts", overlap="3 days")
+    day = F.to_date("ts") == F.lit("2024-01-13").cast("date")
+    punctual = early(spark, sf).where(~(day & (F.col("event_id") % 2 == 0)))
+    for source in (punctual, early(spark, sf), early(spark, sf)):
+        ingest_table(spark, spec, lambda spec, source=source: source, layers)
+    return read_layer(spark, layers.path("bronze", "events"))
+
+
+@query
+def backfill_silver(spark, sf):
+    """A backfill lands rows again; silver has each once."""
+    layers = work(spark, "again")
+    spec = TableSpec(EVENTS, CdcSpec("events", ["user_id"], "ts", 1, buckets=4), dedupe="change")
+    source = changes(spark, sf)
+    run(spark, [spec], lambda spec: source, layers)
+    backfill(spark, EVENTS, lambda spec: source, layers, "2024-01-10", HALF)
+    run(spark, [spec], lambda spec: source, layers)
+    return read_layer(spark, layers.path("silver", "events"))
+
+
 @query
 def run_log(spark, sf):
     """Three passes over two tables; the last finds nothing new, and one entry always fails."""
@@ -405,6 +486,37 @@ def stream_dedupe_change(spark, sf):
     return read_layer(spark, silver)
 
 
+@query
+def stream_dedupe_exact(spark, sf):
+    """Payloads that differ by a microsecond are two changes; their copies in a second run go."""
+    layers = work(spark, "exact")
+    bronze, silver = layers.path("bronze", "events"), layers.path("silver", "events")
+    for batch in (early(spark, sf), table(spark, sf, "events")):
+        seen = batch.select("event_id", "user_id", F.to_date("ts").alias("day"), F.col("ts").alias("seen"))
+        later = seen.withColumn("seen", F.col("seen") + F.expr("INTERVAL 0.000001 SECOND"))
+        land(seen.unionAll(later), bronze)
+        once = stream_dedupe_changes(stream_files(spark, bronze, seen.schema), ["event_id"], "day")
+        append_stream(once, layers.checkpoint("events"), silver)
+    return read_layer(spark, silver)
+
+
+@query
+def stream_dedupe_late(spark, sf):
+    """The earlier half comes second: what is too late to compare is kept apart, not lost."""
+    layers = work(spark, "too_late")
+    bronze, silver = layers.path("bronze", "events"), layers.path("silver", "events")
+    apart = layers.path("late", "events")
+    for batch in (late(spark, sf), early(spark, sf)):
+        batch = batch.select("event_id", "user_id", "ts")
+        land(batch.unionAll(batch), bronze)
+        stream = stream_files(spark, bronze, batch.schema)
+        append_within(stream, ["event_id"], "ts", "20 days", layers.checkpoint("events"), silver, apart)
+    columns = ["event_id", "user_id", "ts"]
+    kept = read_layer(spark, silver).select(*columns, F.lit(False).alias("late"))
+    # Late rows are kept as they came, copies included.
+    return kept.unionAll(read_layer(spark, apart).select(*columns, F.lit(True).alias("late")))
+
+
 @query
 def stream_quarantine(spark, sf):
     layers = work(spark, "reject")
@@ -446,6 +558,49 @@ def stream_rules(spark, sf):
     return applied(spark, sf, CdcSpec("events", ["user_id"], "ts", 2, rules, buckets=8))
 
 
+def filled(spark: SparkSession, sf: str, spec: CdcSpec, rows: DataFrame, layers: Layers) -> T.StructType:
+    """A run of the flow over some of the events; gives their schema."""
+    rows = rows.select(*changes(spark, sf).columns)
+    land(rows, layers.path("bronze", spec.table))
+    source = stream_files(spark, layers.path("bronze", spec.table), rows.schema)
+    stage(source, spec, layers)
+    apply_changes(spark, spec, rows.schema, layers)
+    return rows.schema
+
+
+@query
+def rebuild_rebucketed(spark, sf):
+    """The whole table again, in fewer buckets: nothing of the old layout stays."""
+    layers = work(spark, "rebucketed")
+    spec = CdcSpec("events", ["user_id"], "ts", 2, buckets=8, period="week")
+    schema = filled(spark, sf, spec, table(spark, sf, "events"), layers)
+    fewer = replace(spec, buckets=2)
+    rebuild(spark, fewer, schema, layers)
+    return named(read_gold(spark, fewer, layers, schema))
+
+
+@query
+def rebuild_rule_change(spark, sf):
+    """The whole table again, under rules it didn't have before."""
+    layers = work(spark, "ruled")
+    spec = CdcSpec("events", ["user_id"], "ts", 2, buckets=8)
+    schema = filled(spark, sf, spec, table(spark, sf, "events"), layers)
+    ruled = replace(spec, rules={"priced": "value > 10", "known": "event_type IS NOT NULL"})
+    rebuild(spark, ruled, schema, layers)
+    return named(read_gold(spark, ruled, layers, schema))
+
+
+@query
+def apply_after_spec_change(spark, sf):
+    """Other buckets and another way to merge from one run to the next."""
+    layers = work(spark, "changed")
+    first = CdcSpec("events", ["user_id"], "ts", 2, buckets=8)
+    filled(spark, sf, first, early(spark, sf), layers)
+    then = replace(first, buckets=3, merge="log")
+    schema = filled(spark, sf, then, late(spark, sf), layers)
+    return named(read_gold(spark, then, layers, schema))
+
+
 @query
 def stream_scd2_late(spark, sf):
     """The later half first: the earlier rows must find their place in the history."""
@@ -544,14 +699,73 @@ def medallion_star(spark, sf):
     layers = work(spark, "medallion")
     source = warehouse(spark, sf)
     run(spark, WAREHOUSE, lambda spec: source[spec.table], layers)
-    gold = {s.table: read_gold(spark, s.cdc, layers) for s in WAREHOUSE}
     specs = [
         JoinSpec("FactStream", "f", "f.stream_id, f.listen_duration"),
         JoinSpec("DimUser", "u", "u.user_id, u.user_name, u.subscription_type", "f.user_id = u.user_id"),
         JoinSpec("DimTrack", "t", "t.track_id, t.track_name, t.durationflag", "f.track_id = t.track_id"),
     ]
-    tables = {n: current_versions(df) if n != "FactStream" else df for n, df in gold.items()}
-    return build_join(spark, specs, tables)
+    return build_join(spark, specs, serving(spark, WAREHOUSE, layers))
+
+
+@query
+def rules_all_gold(spark, sf):
+    """Rows without a key reach no gold table; each is in quarantine. Rows per table and place."""
+    layers = work(spark, "ruled_gold")
+    source = warehouse(spark, sf)
+    # Few buckets and long periods, as the tables are small.
+    specs = [
+        replace(s, cdc=replace(s.cdc, buckets=4, period="year"), salts=0)
+        for s in TABLES
+        if s.table in source
+    ]
+    for spec in specs:
+        key = spec.cdc.keys[0]
+        source[spec.table] = source[spec.table].withColumn(
+            key, F.when(F.col(key) % 10 != 0, F.col(key))
+        )
+    run(spark, specs, lambda spec: source[spec.table], layers, quarantine=True)
+
+    def counted(spec: TableSpec, place: str, rows: DataFrame) -> DataFrame:
+        key = F.col(spec.cdc.keys[0])
+        return rows.agg(F.count("*").alias("n_rows"), F.count(key).alias("n_keys")).select(
+            F.lit(spec.table).alias("table"), F.lit(place).alias("place"), "n_rows", "n_keys"
+        )
+
+    parts = [
+        counted(s, place, rows)
+        for s in specs
+        for place, rows in (
+            ("gold", read_gold(spark, s.cdc, layers, silver_schema(spark, s, layers))),
+            ("quarantine", read_layer(spark, layers.path("quarantine", s.table))),
+        )
+    ]
+    return reduce(DataFrame.unionAll, parts)
+
+
+@query
+def catalog_layers(spark, sf):
+    """A pass whose silver and gold tables have names, read by name."""
+    folder = scratch_dir(spark, "named")
+    layers = Layers(folder, schema=f"strata_{uuid.uuid4().hex}")
+    source = warehouse(spark, sf)
+    run(spark, WAREHOUSE, lambda spec: source[spec.table], layers, only=["FactStream"])
+    columns = ["stream_id", "user_id", "track_id", "listen_duration", "stream_timestamp"]
+    gold = read_table(spark, layers.table("gold", "FactStream")).select(*columns)
+    silver = read_table(spark, layers.table("silver", "FactStream")).select("stream_id")
+    return gold.join(silver, "stream_id", "left_semi")
+
+
+@query
+def run_stats(spark, sf):
+    """Rows and newest change of each layer after each of two passes."""
+    layers = work(spark, "stats")
+    source = warehouse(spark, sf)
+    facts = source["FactStream"]
+    half = facts.where(F.col("stream_timestamp") <= F.lit(HALF).cast("timestamp_ntz"))
+    for rows in (half, facts):
+        run(spark, WAREHOUSE, lambda spec, rows=rows: rows, layers, only=["FactStream"], stats=True)
+    newest = F.col("newest").cast("timestamp_ntz").alias("newest")
+    return read_stats(spark, layers).select("table", "layer", "n_rows", newest)
 
 
 @query
