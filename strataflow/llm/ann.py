@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import saved
+from strataflow.llm.common import saved, ship
 
 #: Numbers in the sample that the tree is fitted on (rows times dimensions).
 FITTED = 2_000_000
@@ -150,6 +150,7 @@ def nearest(
     Ties go to the smaller id. Without candidates or queries there are no rows.
     """
     spark = table.sparkSession
+    ship(spark)
     vector = F.col(vector_column).cast("array<double>")
     rows = table.select(F.col(id_column).cast("long").alias("vec_id"), vector.alias("vector"))
     rows = rows.where(F.col("vec_id").isNotNull() & usable(F.col("vector")))

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator, Mapping
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import strataflow
 from strataflow.session import scratch_dir, session_conf
 
 #: Rows of one Arrow batch: with texts of some KB it stays at a few MB, and a batch of long
@@ -17,6 +21,26 @@ BATCH_ROWS = 512
 SLICE_BYTES = 4 << 20
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the package to the Python workers of a session, wherever they run; once a session.
+
+    To be called before a function is handed to a DataFrame, as that settles what its workers get.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(strataflow.__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
+
+
 def saved(
     df: DataFrame, purpose: str, conf: Mapping[str, str] | None = None, by: str | None = None
 ) -> DataFrame:
@@ -32,6 +56,7 @@ def saved(
 
 def texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Only the id and the text, under fixed names; a NULL text is empty."""
+    ship(docs.sparkSession)
     return docs.select(
         F.col(id_column).cast("long").alias("doc_id"),
         F.coalesce(F.col(text_column), F.lit("")).alias("text"),
