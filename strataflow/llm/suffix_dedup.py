@@ -25,10 +25,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import frequent, saved, slices
+from strataflow.llm.common import frequent, saved, ship, slices
 from strataflow.llm.features import BASE, mixed, powers, prefix_sums, span_hash
 from strataflow.llm.tokens import spread
 
@@ -527,6 +527,7 @@ def remove_repeats(
     """
     if length < 2 * PERIOD + NAME:
         raise ValueError(f"length must be at least {2 * PERIOD + NAME}")
+    ship(docs.sparkSession)
     carried = F.struct(*[F.col(c) for c in (["doc_id"] if keep is None else keep)])
     plain = docs.select(carried.alias("row"), F.coalesce(text_column, F.lit("")).alias("text"))
     table = saved(units(plain, length, plain.schema["row"].dataType.simpleString()), "units")
@@ -589,14 +590,25 @@ def remove_repeats(
 
 
 def without_repeats(docs: DataFrame, text_column: str = "text", **parameters: int) -> DataFrame:
-    """All rows of ``docs`` with repeated passages cut out of the text; n_chars, if there, follows."""
+    """All rows of ``docs`` with repeated passages cut out of the text; n_chars, if there, follows.
+
+    A NULL text stays NULL, and its row as it is.
+    """
     names = docs.columns
-    carried = docs.select(F.struct(*names).alias("__row"), F.col(text_column).alias("__text"))
-    cut = remove_repeats(carried, text_column="__text", keep=["__row"], with_text=True, **parameters)
-    new = {text_column: F.col("kept"), "n_chars": F.length("kept").cast("long")}
-    return cut.select(
-        *[
-            (new[c].cast(docs.schema[c].dataType) if c in new else F.col("__row")[c]).alias(c)
-            for c in names
-        ]
+    others = [F.col(c) for c in names if c != text_column]
+    carried = docs.select(
+        F.struct(F.col(text_column).isNull().alias("__null"), *others).alias("__row"),
+        F.col(text_column).alias("__text"),
     )
+    cut = remove_repeats(carried, text_column="__text", keep=["__row"], with_text=True, **parameters)
+    row, there = F.col("__row"), ~F.col("__row")["__null"]
+
+    def column(name: str) -> Column:
+        if name == text_column:
+            return F.when(there, F.col("kept"))
+        if name == "n_chars":
+            count = F.length("kept").cast(docs.schema[name].dataType)
+            return F.when(there, count).otherwise(row[name])
+        return row[name]
+
+    return cut.select(*[column(c).alias(c) for c in names])

@@ -71,3 +71,13 @@ def test_clean_documents_stay(spark):
     for _, stage in corpus_pipeline.STAGES[1:3]:
         docs = stage(spark, docs, SF)
     assert docs.count() == len(rows)
+
+
+def test_cutting_keeps_nulls_and_counts(spark):
+    text = "".join(chr(97 + k * k % 23) + chr(97 + k * 7 % 19) for k in range(150))
+    rows = [(1, None, 7, "x"), (2, text + " one", 9, "y"), (3, "two! " + text, 9, None), (4, "é", 1, "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars int, kept string")
+    cut = dict(corpus_pipeline.STAGES)["suffix_dedup"](spark, docs, SF)
+    assert cut.columns == docs.columns and cut.schema["n_chars"] == docs.schema["n_chars"]
+    found = {r["doc_id"]: (r["text"], r["n_chars"], r["kept"]) for r in cut.collect()}
+    assert found == {1: (None, 7, "x"), 2: (" one", 4, "y"), 3: ("two! ", 5, None), 4: ("é", 1, "z")}
