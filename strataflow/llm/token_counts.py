@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame
 from strataflow.llm.common import saved, slices, texts
 
 #: What a worker remembers before it starts anew: nodes (about 150 bytes each) and pre-tokens.
-NODES = 600_000
-PRE_TOKENS = 300_000
+NODES = 1_200_000
+PRE_TOKENS = 600_000
 #: How much worse than any piece an unknown character is.
 UNKNOWN = 10.0
 WORD_START = "▁"
@@ -47,8 +47,10 @@ class Trie:
     """Forward scores of prefixes. An unknown character counts as its UTF-8 bytes."""
 
     def __init__(self, scores: Mapping[str, float], most_nodes: int = NODES):
-        self.scores, self.most_nodes = scores, most_nodes
-        self.longest = max(map(len, scores), default=1)
+        self.most_nodes = most_nodes
+        #: All ends of pieces; what is no piece itself has no score.
+        self.ends: dict[str, float] = {p[k:]: -math.inf for p in scores for k in range(1, len(p))}
+        self.ends.update(scores)
         self.unknown = min(scores.values(), default=0.0) - UNKNOWN
         self.clear()
 
@@ -71,20 +73,26 @@ class Trie:
 
     def _add(self, above: int, text: str, end: int) -> int:
         """A node for text[:end] under that of text[:end - 1]."""
-        score, best, tokens = -math.inf, self.best, 0
-        start, node = end - 1, above
-        while node >= 0 and end - start <= self.longest:
-            piece = self.scores.get(text[start:end])
-            if piece is not None:
-                if best[node] + piece >= score:  # the longest of equal ones is looked at last
-                    score, tokens = best[node] + piece, self.tokens[node] + 1
-            elif start == end - 1:
-                score = best[node] + self.unknown
-                tokens = self.tokens[node] + len(text[start].encode("utf-8", "surrogatepass"))
-            node, start = self.parent[node], start - 1
-        self.parent.append(above)
+        best, parent, ends = self.best, self.parent, self.ends
+        letter = text[end - 1]
+        alone = ends.get(letter, -math.inf)
+        if alone > -math.inf:
+            score, tokens = best[above] + alone, 1
+        else:
+            score, tokens = best[above] + self.unknown, len(letter.encode())
+        last, node, start = above, parent[above], end - 2
+        while node >= 0:
+            # Longer pieces that end here must end like this too.
+            piece = ends.get(text[start:end])
+            if piece is None:
+                break
+            if best[node] + piece >= score:  # the longest of equal ones is looked at last
+                score, last, tokens = best[node] + piece, node, 1
+            node = parent[node]
+            start -= 1
+        parent.append(above)
         best.append(score)
-        self.tokens.append(tokens)
+        self.tokens.append(self.tokens[last] + tokens)
         return len(best) - 1
 
 
