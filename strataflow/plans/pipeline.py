@@ -52,7 +52,7 @@ def silver_schema(spark: SparkSession, spec: TableSpec, layers: Layers) -> T.Str
 
 
 def bronze_to_silver(
-    spark: SparkSession, spec: TableSpec, layers: Layers
+    spark: SparkSession, spec: TableSpec, layers: Layers, interval: str = "1 minute"
 ) -> tuple[T.StructType, StreamingQuery] | None:
     """Clean the bronze files that are new and append them; gives the silver schema and the query."""
     bronze = layers.path("bronze", spec.table)
@@ -67,6 +67,7 @@ def bronze_to_silver(
         layers.checkpoint(f"{spec.table}_silver"),
         path=layers.path("silver", spec.table),
         once=spec.cdc.once,
+        interval=interval,
     )
     return silver.schema, query
 
@@ -114,15 +115,19 @@ def table_stats(spark: SparkSession, spec: TableSpec, layers: Layers) -> DataFra
 
 
 def start(
-    spark: SparkSession, specs: Sequence[TableSpec], layers: Layers, quarantine: bool = False
+    spark: SparkSession,
+    specs: Sequence[TableSpec],
+    layers: Layers,
+    quarantine: bool = False,
+    interval: str = "1 minute",
 ) -> dict[str, list[StreamingQuery]]:
     """The flows of tables with ``once=False``, running; the handles tell of a later failure.
 
-    A table needs rows in bronze to begin with, as they give its schema.
+    Each looks for news every ``interval``. A table needs rows in bronze to begin with, as they give its schema.
     """
     running: dict[str, list[StreamingQuery]] = {}
     for spec in specs:
-        begun = None if spec.cdc.once else bronze_to_silver(spark, spec, layers)
+        begun = None if spec.cdc.once else bronze_to_silver(spark, spec, layers, interval)
         if begun is None:
             continue
         schema, query = begun
@@ -130,10 +135,10 @@ def start(
         # The streams above need folders to look at.
         query.processAllAvailable()
         source = stream_table(spark, layers.path("silver", spec.table), schema)
-        staged = stage(source, spec.cdc, layers, quarantine)
+        staged = stage(source, spec.cdc, layers, quarantine, interval)
         running[spec.table] += staged
         staged[0].processAllAvailable()
-        running[spec.table].append(apply_changes(spark, spec.cdc, schema, layers))
+        running[spec.table].append(apply_changes(spark, spec.cdc, schema, layers, interval))
     return running
 
 

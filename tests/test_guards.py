@@ -190,7 +190,7 @@ def test_flows_that_run_on_give_their_handles(spark, layers):
         [(k, "A", 0, datetime(2024, 1, k)) for k in ks], SOURCE
     )
     run(spark, [spec], lambda _: source(1), layers)
-    running = start(spark, [spec], layers)["t"]
+    running = start(spark, [spec], layers, interval="1 second")["t"]
     try:
         assert len(running) == 3 and all(q.isActive for q in running)
         run(spark, [spec], lambda _: source(1, 2), layers)
