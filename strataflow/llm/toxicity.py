@@ -168,4 +168,4 @@ def without_toxic(
             values = score(*text_bytes(part.column(text_column).fill_null("")))
             yield part.filter(pa.array(values < threshold))
 
-    return saved(docs.mapInArrow(run, docs.schema), "clean")
+    return docs.mapInArrow(run, docs.schema)
