@@ -108,10 +108,25 @@ def put_marker(spark: SparkSession, path: str, text: str = "") -> None:
 
 def read_marker(spark: SparkSession, path: str) -> str | None:
     """The text of a small file; None if it isn't there."""
-    if not path_exists(spark, path):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(target):
         return None
-    rows = spark.read.text(path, wholetext=True).collect()
-    return rows[0][0] if rows else ""
+    stream = fs.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def read_markers(spark: SparkSession, folder: str) -> list[str]:
+    """The texts of a folder's small files, in order of their names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(target):
+        return []
+    paths = sorted(status.getPath().toString() for status in fs.listStatus(target))
+    return [read_marker(spark, path) or "" for path in paths]
 
 
 def session_copy(spark: SparkSession) -> SparkSession:

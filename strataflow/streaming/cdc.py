@@ -23,7 +23,7 @@ from strataflow.functions.keys import bucket_of, period_of
 from strataflow.operators.history import END, START, scd1, scd2
 from strataflow.operators.quality import broken_rules, expect_all_or_drop, report, split
 from strataflow.session import (
-    has_data, literal_rows, put_marker, read_marker, remove_marker, session_copy,
+    has_data, put_marker, read_marker, read_markers, remove_marker, session_copy,
 )
 from strataflow.streaming.sinks import append_stream
 
@@ -34,11 +34,6 @@ OPEN = date(9999, 12, 31)
 # Buckets that a filter or a marker names one by one; beyond, they stand for the whole table.
 MOST_NAMED = 10_000
 WHOLE = "all"
-SPEC_ROW = T.StructType([
-    T.StructField("number", T.LongType()),
-    T.StructField("scheme", T.StringType()),
-    T.StructField("fingerprint", T.StringType()),
-])
 
 
 def rules_of(spec: CdcSpec) -> dict[str, str]:
@@ -141,22 +136,19 @@ def _aligned(session: SparkSession, spec: CdcSpec) -> dict[str, str]:
     }
 
 
-def _known(spark: SparkSession, spec: CdcSpec, layers: Layers) -> list[tuple[str, str]]:
-    """(scheme, fingerprint) of every spec the table was kept by, oldest first."""
-    path = layers.state("spec", spec.flow)
-    if not has_data(spark, path):
-        return []
-    # One row per change of the spec.
-    return [(r["scheme"], r["fingerprint"]) for r in
-            spark.read.schema(SPEC_ROW).parquet(path).orderBy("number").collect()]
+def _known(spark: SparkSession, spec: CdcSpec, layers: Layers) -> list[str]:
+    """What the table was kept by, oldest first: a small file per change of the spec.
+
+    A file that a broken run left half written equals no spec.
+    """
+    return read_markers(spark, layers.state("spec", spec.flow))
 
 
 def _remember(spark: SparkSession, spec: CdcSpec, layers: Layers) -> None:
     known = _known(spark, spec, layers)
-    if known and known[-1] == (spec.scheme, spec.fingerprint):
-        return
-    row = literal_rows(spark, [(len(known), spec.scheme, spec.fingerprint)], SPEC_ROW)
-    row.write.mode("append").parquet(layers.state("spec", spec.flow))
+    if not known or known[-1] != spec.fingerprint:
+        path = f"{layers.state('spec', spec.flow)}/{len(known):08d}"
+        put_marker(spark, path, spec.fingerprint)
 
 
 def _from_log(
@@ -166,7 +158,7 @@ def _from_log(
     log = session.read.schema(log_schema(schema)).parquet(layers.path("stg", spec.table))
     if buckets is not None:
         bucket = F.col(BUCKET)
-        if {scheme for scheme, _ in _known(session, spec, layers)} - {spec.scheme}:
+        if any(repr(spec.scheme) not in known for known in _known(session, spec, layers)):
             # Part of the log is laid out by other buckets.
             bucket = bucket_of(spec.keys, spec.buckets, spec.bucket_expr)
         log = log.where(bucket.isin(buckets))
@@ -232,7 +224,7 @@ def apply_changes(
     log_path, target = layers.path("stg", spec.table), layers.path("gold", spec.table)
     marker = _marker(spec, layers)
     known = _known(spark, spec, layers)
-    if has_data(spark, target) and (not known or known[-1] != (spec.scheme, spec.fingerprint)):
+    if has_data(spark, target) and (not known or known[-1] != spec.fingerprint):
         rebuild(spark, spec, schema, layers)
     _remember(spark, spec, layers)
 
