@@ -74,8 +74,8 @@ def test_clusters(spark, monkeypatch, compared):
             bits = chance.sample(range(64), chance.randint(0, 5))
             values.append(centre ^ sum(1 << b for b in bits))
     fps = [(k, v) for k, v in enumerate(values)]
-    signed = [(k, int(np.uint64(v).view(np.int64))) for k, v in fps]
-    frame = spark.createDataFrame(signed, "doc_id long, fp long")
+    signed = [(k, k, int(np.uint64(v).view(np.int64))) for k, v in fps]
+    frame = spark.createDataFrame(signed, "doc_id long, text_hash long, fp long")
     monkeypatch.setattr(simhash, "fingerprints", lambda docs, shingle: frame)
     docs = spark.createDataFrame([], "doc_id long, text string")
     got = found(near_duplicates(docs, compared=compared), "doc_id", "component_id")
