@@ -63,6 +63,37 @@ def texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
     )
 
 
+def one_of_each(
+    docs: DataFrame, doc_id: Column, text_key: Column, settled: DataFrame
+) -> DataFrame:
+    """The rows of ``docs`` that ``settled`` leaves, all columns as they are.
+
+    ``settled`` has doc_id, text_key, kept, at most once for each id and key: no row of a key that isn't
+    kept stays, and exactly one of a key that is. Rows of other keys stay as they are. The one row is
+    chosen by a hash of all its columns, combined before the shuffle.
+    """
+    settled = saved(
+        settled.select(
+            F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.col("kept").alias("__kept")
+        ),
+        "settled",
+    )
+    same = doc_id.eqNullSafe(F.col("__id")) & (text_key == F.col("__key"))
+    others = docs.join(settled.drop("__kept"), same, "left_anti")
+    repeated = settled.where("__kept")
+    if not repeated.take(1):
+        return others
+    row = F.struct(*[F.col(f"`{name}`") for name in docs.columns])
+    # Grouped by a struct, rows are not taken to be dealt out by the join: it may split a hot key.
+    one = (
+        docs.join(repeated, same, "left_semi")
+        .groupBy(F.struct(doc_id, text_key).alias("__of"))
+        .agg(F.min_by(row, F.xxhash64(F.to_json(row))).alias("__row"))
+        .select("__row.*")
+    )
+    return others.unionAll(one)
+
+
 def held_out(doc_id: Column) -> Column:
     """The fold that no model learns from: crc32 of the id as text, modulo 5, is 0."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))

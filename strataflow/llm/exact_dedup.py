@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import frequent, saved, texts
+from strataflow.llm.common import frequent, one_of_each, saved, texts
 
 #: Counters of the sketch: a digest with more than about 1/TRACKED of all rows is never missed.
 TRACKED = 16_384
@@ -75,10 +75,15 @@ def exact_groups(
 
 
 def without_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows of ``docs`` that ``exact_groups`` keeps, all columns as they are."""
-    gone = exact_groups(docs, id_column, text_column).where("not kept")
-    gone = gone.select(F.col("doc_id").alias("__gone_id"), F.col("text_sha256").alias("__gone_text"))
-    same = F.col(id_column).cast("long").eqNullSafe(F.col("__gone_id")) & (
-        digest(F.col(text_column)) == F.col("__gone_text")
+    """One row of each group of ``exact_groups``, all columns as they are.
+
+    It is of the smallest id; of rows that share it, or of a group without ids, one stays.
+    """
+    groups = exact_groups(docs, id_column, text_column).where("group_size > 1")
+    keys = groups.groupBy("doc_id", F.col("text_sha256").alias("text_key"), "kept").count()
+    return one_of_each(
+        docs,
+        F.col(id_column).cast("long"),
+        digest(F.col(text_column)),
+        keys.where("not kept or count > 1"),
     )
-    return docs.join(gone.distinct(), same, "left_anti")

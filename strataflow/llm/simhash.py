@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import saved, slices, texts
+from strataflow.llm.common import one_of_each, saved, slices, texts
 from strataflow.llm.graph import components
 
 #: Fingerprints under one key that a task compares with each other.
@@ -219,10 +219,29 @@ def near_duplicates(
     component of NULL ids only has component_id NULL. Repeated rows have equal results; an empty
     table gives no rows.
     """
+    rows = linked(docs, F.col("doc_id"), shingle, bits, compared, id_column, text_column)
+    return rows.select(
+        "doc_id",
+        hex16(F.col("fp")).alias("fingerprint"),
+        F.col("least").alias("component_id"),
+        "text_hash",
+    )
+
+
+def linked(
+    docs: DataFrame,
+    value: Column,
+    shingle: int = 4,
+    bits: int = LINKED_BITS,
+    compared: int = COMPARED,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+) -> DataFrame:
+    """doc_id, text_hash, fp of every row, and the least ``value`` (made of these) in its component."""
     if not 0 <= bits <= LINKED_BITS:
         raise ValueError(f"bits must be 0 to {LINKED_BITS}")
     rows = saved(fingerprints(texts(docs, id_column, text_column), shingle), "fingerprints")
-    distinct = saved(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
+    distinct = saved(rows.groupBy("fp").agg(F.min(value).alias("least")), "distinct")
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -240,36 +259,34 @@ def near_duplicates(
     elif busy.take(1):
         raise ValueError("busy keys are settled for 4 bits only")
     roots = components(links)
-    # The smallest id of each component, and of each fingerprint that has links.
+    # The least value of each component, and of each fingerprint that has links.
     member = distinct.join(roots.withColumnRenamed("node", "fp"), "fp")
-    least = member.groupBy("root").agg(F.min("least").alias("component_id"))
-    linked = member.join(least, "root").select("fp", "component_id")
-    own = distinct.join(linked, "fp", "left").select(
-        "fp", F.coalesce("component_id", "least").alias("component_id")
-    )
-    return rows.join(own, "fp").select(
-        "doc_id", hex16(F.col("fp")).alias("fingerprint"), "component_id", "text_hash"
-    )
+    least = member.groupBy("root").agg(F.min("least").alias("of_all"))
+    settled = member.join(least, "root").select("fp", "of_all")
+    own = distinct.join(settled, "fp", "left").select("fp", F.coalesce("of_all", "least").alias("least"))
+    return rows.join(own, "fp").select("doc_id", "text_hash", "fp", "least")
 
 
 def without_near_copies(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **parameters: int
 ) -> DataFrame:
-    """The rows of ``docs`` with the smallest id of their component, all columns as they are.
+    """One row of each component, all columns as they are.
 
-    Of a component in which no row has an id all rows stay.
+    It is of the smallest id, and of that the text of the smallest hash; of equal rows one stays, as
+    does one of a component in which no row has an id.
     """
-    near = near_duplicates(
-        docs, id_column=id_column, text_column=text_column, **parameters
-    )
-    gone = near.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("__gone_id"), F.col("text_hash").alias("__gone_text")
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    rows = linked(docs, first, id_column=id_column, text_column=text_column, **parameters)
+    kept = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (
+        F.col("text_hash") == F.col("least.text_hash")
     )
-    text = F.xxhash64(F.coalesce(F.col(text_column), F.lit("")))
-    same = F.col(id_column).cast("long").eqNullSafe(F.col("__gone_id")) & (
-        text == F.col("__gone_text")
+    keys = rows.groupBy("doc_id", F.col("text_hash").alias("text_key"), kept.alias("kept")).count()
+    return one_of_each(
+        docs,
+        F.col(id_column).cast("long"),
+        F.xxhash64(F.coalesce(F.col(text_column), F.lit(""))),
+        keys.where("not kept or count > 1"),
     )
-    return docs.join(gone.distinct(), same, "left_anti")
 
 
 def hex16(value: Column) -> Column:

@@ -81,3 +81,27 @@ def test_cutting_keeps_nulls_and_counts(spark):
     assert cut.columns == docs.columns and cut.schema["n_chars"] == docs.schema["n_chars"]
     found = {r["doc_id"]: (r["text"], r["n_chars"], r["kept"]) for r in cut.collect()}
     assert found == {1: (None, 7, "x"), 2: (" one", 4, "y"), 3: ("two! ", 5, None), 4: ("é", 1, "z")}
+
+
+def test_repeated_rows_keep_their_text_once(spark):
+    """A row that came twice, rows without ids, and texts of one id, through all filters and the cut."""
+    def text(word):
+        return " ".join(f"{word}{k * k % 97}{word}" for k in range(60))
+
+    near = text("ab").upper()
+    rows = [
+        (1, text("xy"), "a"), (1, text("xy"), "a"), (1, text("xy").replace(" ", "  "), "b"),
+        (None, text("pq"), None), (None, text("pq"), "c"), (None, text("pq"), "c"),
+        (7, text("ab"), "d"), (7, near, "e"), (7, near, "e"), (8, near, "f"), (9, "short", "g"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    copies = dict(corpus_pipeline.STAGES)["exact_dedup"](spark, docs, SF)
+    assert sorted(str(r["doc_id"]) for r in copies.collect()) == ["1", "7", "7", "9", "None"]
+    lone = dict(corpus_pipeline.STAGES)["simhash"](spark, docs, SF)
+    assert sorted(str(r["doc_id"]) for r in lone.collect()) == ["1", "7", "9", "None"]
+    for _, stage in corpus_pipeline.STAGES[1:4]:
+        docs = stage(spark, docs, SF)
+    found = {r["doc_id"]: r["text"] for r in docs.collect()}
+    assert docs.count() == len(found) == 4
+    assert " ".join(found[1].split()) == text("xy") and len(found[1]) > 200
+    assert found[None] == text("pq") and found[7] in (text("ab"), near) and found[9] == "short"
