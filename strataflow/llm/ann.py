@@ -3,7 +3,8 @@
 The tree is fitted on a bounded sample and sent to every task; every vector is put into its leaf. A
 query takes leaves from a priority queue over the nodes seen so far. How many leaves are visited is
 calibrated: for some queries the true neighbours are found by scanning all rows, and the visits
-are widened until the wanted share of them lies in visited leaves. Neighbouring leaves make up
+are widened until the wanted share of them lies in visited leaves. A query whose leaves hold too few
+candidates goes on. Neighbouring leaves make up
 cells of bounded size, and a query gets its nearest of all the leaves it visits in a cell; a leaf with
 many vectors, and a cell with many visits, is split.
 """
@@ -92,6 +93,15 @@ class Tree:
                 heapq.heappush(heap, (-close, child))
         return found
 
+    def reach(self, query: np.ndarray, count: int, counted: np.ndarray, least: int) -> list[int]:
+        """As ``visits``, going on until the leaves hold ``least`` of what is ``counted`` in them."""
+        found = self.visits(query, count)
+        if counted[found].sum() < least:
+            every = self.visits(query, len(self.leaf))
+            enough = int(np.searchsorted(np.cumsum(counted[every]), least)) + 1
+            found = every[: max(count, enough)]
+        return found
+
 
 def distances(rows: np.ndarray, centres: np.ndarray) -> np.ndarray:
     """Squared distances, but for a number that is the same for all centres."""
@@ -187,13 +197,18 @@ def nearest(
     for leaf, count in index.groupBy("leaf").count().collect():
         held[leaf] = count
     cell_of, parts_of = cells(held, max(256, CELL_NUMBERS // size))
+    # Ids, each counted in one of its leaves: a query must meet ``k`` besides its own.
+    counted = np.zeros(tree_leaves, np.int64)
+    first = index.groupBy("vec_id").agg(F.min("leaf").alias("leaf"))
+    for leaf, count in first.groupBy("leaf").count().collect():
+        counted[leaf] = count
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
             own = _matrix(batch.column("vector"), size)
             for name, query in zip(batch.column("vec_id").to_pylist(), own):
-                leaves = np.sort(tree.visits(query, visits))
+                leaves = np.sort(tree.reach(query, visits, counted, k + 1))
                 leaves = leaves[held[leaves] > 0]
                 cuts = np.flatnonzero(np.diff(cell_of[leaves])) + 1
                 for group in np.split(leaves, cuts) if len(leaves) else []:

@@ -83,6 +83,29 @@ def test_few_rows(spark, rows):
     assert nearest(frame)[0].collect() == []
 
 
+def test_outliers_get_all_their_rows(spark, monkeypatch):
+    """Groups of copies make the calibrated visits few; a small outlying leaf has too few rows."""
+    monkeypatch.setattr(ann, "LEAF_ROWS", 20)
+    centres = np.eye(12) * 10
+    rows = [(k, centres[k // 20 % 12].tolist()) for k in range(1, 2400)]
+    rows += [
+        (20_000 + 1000 * k + j, (-(20 + j / 10) * centres[k]).tolist()) for k in range(3) for j in range(8)
+    ]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    found, info = nearest(table, k=20, query_every=20)
+    queries = [i for i, _ in rows if i % 20 == 0]
+    assert info["visits"] < info["leaves"] / 4
+    assert {q: len(own) for q, own in got(found).items()} == dict.fromkeys(queries, 20)
+
+
+def test_visits_go_on_until_enough():
+    tree = Tree(np.array([[0.0], [3.0], [2.0], [1.0]]), {0: np.array([1, 2, 3])}, {1: 0, 2: 1, 3: 2})
+    counted = np.array([1, 0, 5])
+    reach = lambda count, least: tree.reach(np.ones(1), count, counted, least)
+    assert reach(1, 1) == [0] and reach(1, 2) == [0, 1, 2] and reach(1, 99) == [0, 1, 2]
+    assert reach(2, 1) == [0, 1]
+
+
 def test_cells():
     cell, parts = cells(np.array([3, 4, 2, 30, 0, 1]), 8)
     assert cell.tolist() == [0, 0, 1, 2, 3, 3] and parts.tolist() == [1, 1, 1, 4, 1, 1]
