@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from strataflow.llm.common import held_out, saved, slices, texts
 from strataflow.llm.tokens import text_bytes
 
-#: Longer texts are left out of learning, so that its memory is bounded; they are scored like others.
-TRAIN_CHARS = 50_000
+#: Bytes of all texts that a model learns from, so that its memory is bounded.
+TRAIN_BYTES = 128 << 20
 #: Bytes of text whose features a task has in memory at a time, some hundred times that.
 SLICE = 1 << 20
 
@@ -23,24 +23,42 @@ def sample(
 ) -> DataFrame:
     """``label`` (0 or 1) and text of at most ``rows`` labelled documents outside the held-out fold.
 
-    Which they are is decided by a hash of the id. Labels that are NULL or no 0 or 1 are left out; of
-    several labels of an id the largest counts.
+    They are taken in the order of a hash of the id, as long as their texts have at most TRAIN_BYTES in
+    all; one that doesn't fit is passed over. Only labels of ids in ``docs`` play a part. Those that are
+    NULL or no 0 or 1 are left out; of several labels of an id the largest counts, of several texts
+    that with the smallest hash.
     """
-    chosen = (
+    given = (
         labels.select(F.col(id_column).cast("long").alias("doc_id"), F.col(label).alias("label"))
         .where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1))
         .where(~held_out(F.col("doc_id")))
         .groupBy("doc_id")
         .agg(F.max("label").cast("int").alias("label"))
+    )
+    named = texts(docs, id_column, text_column).withColumn("hash", F.xxhash64("text"))
+    # Numbers only; of equal hashes the texts are held to be equal.
+    known = (
+        named.select("doc_id", "hash", F.octet_length("text").cast("long").alias("bytes"))
+        .groupBy("doc_id")
+        .agg(F.min("hash").alias("hash"), F.min_by("bytes", "hash").alias("bytes"))
+    )
+    first = (
+        given.join(known, "doc_id")
+        .where(F.col("bytes") <= TRAIN_BYTES)
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(rows)
     )
-    # Two numbers for each of at most ``rows`` rows.
+    # Four numbers for each of at most ``rows`` rows.
+    chosen, room = [], TRAIN_BYTES
+    for row in first.select("doc_id", "label", "hash", "bytes").collect():
+        if row["bytes"] <= room:
+            room -= row["bytes"]
+            chosen.append((row["doc_id"], row["label"], row["hash"]))
+    chosen = docs.sparkSession.createDataFrame(chosen, "doc_id long, label int, hash long")
     return (
-        texts(docs, id_column, text_column)
-        .where(F.length("text") <= TRAIN_CHARS)
-        .join(F.broadcast(chosen), "doc_id")
-        .select("doc_id", "label", "text")
+        named.join(F.broadcast(chosen), ["doc_id", "hash"])
+        .groupBy("doc_id")
+        .agg(F.first("label").alias("label"), F.first("text").alias("text"))
     )
 
 

@@ -3,6 +3,7 @@ import zlib
 import numpy as np
 import pytest
 
+from strataflow.llm import learn
 from strataflow.llm.features import subword_grams, word_grams
 from strataflow.llm.quality import Subwords, quality
 from strataflow.llm.toxicity import Ftrl, toxicity, without_toxic
@@ -102,3 +103,19 @@ def test_sgd_learns_a_bucket():
     values, bias = Subwords(bits=8, epochs=5).learn(rows, labels)
     right = [(share @ values[at] + bias > 0) == y for (at, share), y in zip(rows, labels)]
     assert np.mean(right) > 0.95
+
+
+def test_sample_takes_long_texts_and_known_ids_once(spark, monkeypatch):
+    rows = [(k, f"{k} " * (30_000 if k % 2 else 3)) for k in range(1, 60)]
+    learnt = [r for r in rows if not fold(r[0])]
+    docs = spark.createDataFrame(rows + rows + [(4, "another text")], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(1, 5000)], "doc_id long, toxic int")
+    took = lambda n: learn.sample(docs, labels, "toxic", n, "doc_id", "text").collect()
+    got = took(len(learnt))
+    assert sorted(r["doc_id"] for r in got) == [k for k, _ in learnt]
+    assert all(r["label"] == r["doc_id"] % 2 for r in got)
+    assert {r["text"] for r in got} - {"another text"} <= {t for _, t in learnt}
+    monkeypatch.setattr(learn, "TRAIN_BYTES", 200_000)
+    few = took(len(learnt))
+    total = sum(len(r["text"]) for r in few)
+    assert 100_000 < total <= 200_000 and any(len(r["text"]) > 50_000 for r in few)
