@@ -11,6 +11,7 @@ from strataflow.llm.ann import nearest
 from strataflow.llm.bpe import bpe_roundtrip
 from strataflow.llm.exact_dedup import exact_groups
 from strataflow.llm.packing import packed
+from strataflow.llm.periodic_runs import periodic_runs
 from strataflow.llm.quality import quality
 from strataflow.llm.simhash import near_duplicates
 from strataflow.llm.suffix_dedup import remove_repeats
@@ -98,3 +99,8 @@ def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(read(spark, sf_dir, "documents"), length=200)
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs(read(spark, sf_dir, "documents"), rearrange=True)
