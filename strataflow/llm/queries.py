@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from strataflow.llm.ann import nearest
 from strataflow.llm.bpe import bpe_roundtrip
 from strataflow.llm.exact_dedup import exact_groups
+from strataflow.llm.html_text import html_text
 from strataflow.llm.packing import packed
 from strataflow.llm.periodic_runs import periodic_runs
 from strataflow.llm.quality import quality
@@ -104,3 +105,8 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs(read(spark, sf_dir, "documents"), rearrange=True)
+
+
+@query
+def op12_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text(read(spark, sf_dir, "pages"))
