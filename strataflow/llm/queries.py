@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from strataflow.llm.ann import nearest
 from strataflow.llm.bpe import bpe_roundtrip
+from strataflow.llm.conversation_trie import conversation_trie
 from strataflow.llm.exact_dedup import exact_groups
 from strataflow.llm.html_text import html_text
 from strataflow.llm.packing import packed
@@ -110,3 +111,8 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text(read(spark, sf_dir, "pages"))
+
+
+@query
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(read(spark, sf_dir, "conversations"), rebuild=True)
