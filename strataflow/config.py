@@ -64,9 +64,11 @@ class CdcSpec:
     ``merge`` says what a micro-batch is merged with. ``"log"`` recomputes the touched buckets from all
     their change rows. ``"table"`` merges the new rows with the table's own rows; a history
     is then also partitioned by the ``period`` (week, month, quarter or year) in which its versions
-    end, and only the periods from the oldest new row on are read and rewritten. It needs
-    every change to be a version, so no untracked columns, and a date or time as sequence. ``"auto"``
-    is the table where that is given, else the log.
+    end, and only the periods from the oldest new row on are read and rewritten. It needs a date or time
+    as sequence. With ``untracked`` columns a late row that falls into a version of several changes has
+    that version's changes read from the log. ``"auto"`` is the table where that is given, else the log.
+
+    ``compact_after`` says after how many batches the log is compacted; None: never.
 
     ``on_broken`` says what becomes of rows that break a rule: ``"drop"`` leaves them out (the stage can
     keep them in quarantine), ``"fail"`` stops the flow before the table is touched.
@@ -86,6 +88,7 @@ class CdcSpec:
     once: bool = True
     skew: SkewPolicy = field(default_factory=SkewPolicy)
     on_broken: str = "drop"
+    compact_after: int | None = 16
 
     def __post_init__(self) -> None:
         if self.scd_type not in (1, 2):
@@ -94,8 +97,6 @@ class CdcSpec:
             raise ValueError(f"{self.table}: merge must be auto, log or table")
         if self.on_broken not in ("drop", "fail"):
             raise ValueError(f"{self.table}: on_broken must be drop or fail")
-        if self.merge == "table" and self.untracked:
-            raise ValueError(f"{self.table}: untracked columns need merge='log'")
 
     def resolved(self, schema: T.StructType) -> CdcSpec:
         """The same with ``merge`` settled for change rows of this schema."""
@@ -104,8 +105,7 @@ class CdcSpec:
         timed = isinstance(
             schema[self.sequence_by].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)
         )
-        table = not self.untracked and (self.scd_type == 1 or timed)
-        return replace(self, merge="table" if table else "log")
+        return replace(self, merge="table" if self.scd_type == 1 or timed else "log")
 
     @property
     def by_period(self) -> bool:

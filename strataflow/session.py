@@ -98,6 +98,33 @@ def has_data(spark: SparkSession, path: str) -> bool:
     return False
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """The names of what a folder holds; none if it isn't there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(target)) if fs.exists(target) else []
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(target)
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder; its new parent is made if need be."""
+    old, new = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (source, target))
+    fs = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(new.getParent())
+    if not fs.rename(old, new):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder with all in it; nothing if it isn't there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def put_marker(spark: SparkSession, path: str, text: str = "") -> None:
     """Create a small file, in place of one that is there."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -1,87 +1,41 @@
 """Change rows from a stream into a type 1 or type 2 table kept in buckets.
 
-``stage`` appends the valid change rows to a log partitioned by key bucket; ``apply_changes``
-follows the log and rewrites the parts of the table that its new rows can change. The table is a
-function of the set of logged rows: a repeated micro-batch changes nothing, late rows find
+``stage`` (see ``changelog``) appends the valid change rows to a log partitioned by key bucket;
+``apply_changes`` follows the log and rewrites the parts of the table that its new rows can change. The
+table is a function of the set of logged rows: a repeated micro-batch changes nothing, late rows find
 their place, and a damaged table can be rebuilt.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections import defaultdict
-from dataclasses import replace
 from datetime import date
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from strataflow.config import CdcSpec, Layers
-from strataflow.functions.keys import bucket_of, period_of
+from strataflow.functions.keys import bucket_of, orderable, period_of
 from strataflow.operators.history import END, START, scd1, scd2
-from strataflow.operators.quality import broken_rules, expect_all_or_drop, report, split
+from strataflow.operators.quality import broken_rules, expect_all_or_drop, report
 from strataflow.session import (
-    has_data, put_marker, read_marker, read_markers, remove_marker, session_copy,
+    has_data, put_marker, read_marker, read_markers, remove_folder, scratch_dir, session_copy,
+)
+from strataflow.streaming.changelog import (
+    BATCH, BUCKET, compact, due, log_path, log_schema, mark_applied, read_log, release, rules_of, stage,
 )
-from strataflow.streaming.sinks import append_stream
 
-BUCKET = "__bucket"
 # The period a version ends in; versions still open have a date of their own.
 UNTIL = "__until"
 OPEN = date(9999, 12, 31)
 # Buckets that a filter or a marker names one by one; beyond, they stand for the whole table.
 MOST_NAMED = 10_000
 WHOLE = "all"
-
-
-def rules_of(spec: CdcSpec) -> dict[str, str]:
-    """The table's rules, and that a change row must say when it happened."""
-    return {**spec.rules, "has_sequence": f"`{spec.sequence_by}` IS NOT NULL"}
-
-
-def stage(
-    source: DataFrame,
-    spec: CdcSpec,
-    layers: Layers,
-    quarantine: bool = False,
-    interval: str = "1 minute",
-) -> list[StreamingQuery]:
-    """Append a stream of change rows to the table's log; optionally keep the rejected rows.
-
-    Rows are spread to the tasks by bucket just before writing, so a task opens few files. The
-    rebalance step sizes tasks by bytes: small buckets share one, a large bucket gets many.
-    """
-    # Rules that stop the flow are looked at before the table is written, not here.
-    rules = rules_of(spec) if spec.on_broken == "drop" else rules_of(replace(spec, rules={}))
-    valid, rejected = split(source, rules)
-    bucketed = valid.withColumn(BUCKET, bucket_of(spec.keys, spec.buckets, spec.bucket_expr))
-    queries = [
-        append_stream(
-            bucketed.hint("rebalance", BUCKET),
-            layers.checkpoint(f"{spec.flow}_stg"),
-            path=layers.path("stg", spec.table),
-            once=spec.once,
-            interval=interval,
-            partition_by=[BUCKET],
-        )
-    ]
-    if quarantine:
-        queries.append(
-            append_stream(
-                rejected,
-                layers.checkpoint(f"{spec.flow}_quarantine"),
-                path=layers.path("quarantine", spec.table),
-                once=spec.once,
-                interval=interval,
-            )
-        )
-    return queries
-
-
-def log_schema(source_schema: T.StructType) -> T.StructType:
-    return T.StructType([*source_schema.fields, T.StructField(BUCKET, T.LongType())])
+ENDED = "."
 
 
 def state_of(rows: DataFrame, spec: CdcSpec) -> DataFrame:
@@ -152,17 +106,13 @@ def _remember(spark: SparkSession, spec: CdcSpec, layers: Layers) -> None:
 
 
 def _from_log(
-    session: SparkSession, spec: CdcSpec, schema: T.StructType, layers: Layers, buckets: list[int] | None
+    session: SparkSession, spec: CdcSpec, schema: T.StructType, layers: Layers,
+    buckets: list[int] | None, between: tuple[Any, Any] | None = None,
 ) -> DataFrame:
     """The change rows of some buckets, or of all."""
-    log = session.read.schema(log_schema(schema)).parquet(layers.path("stg", spec.table))
-    if buckets is not None:
-        bucket = F.col(BUCKET)
-        if any(repr(spec.scheme) not in known for known in _known(session, spec, layers)):
-            # Part of the log is laid out by other buckets.
-            bucket = bucket_of(spec.keys, spec.buckets, spec.bucket_expr)
-        log = log.where(bucket.isin(buckets))
-    return log.select(*schema.names)
+    # Part of the log may be laid out by other buckets.
+    same = all(repr(spec.scheme) in known for known in _known(session, spec, layers))
+    return read_log(session, spec, schema, layers, buckets, between, known_schemes=same)
 
 
 def _touched(batch: DataFrame, spec: CdcSpec) -> list[int] | None:
@@ -174,8 +124,8 @@ def _touched(batch: DataFrame, spec: CdcSpec) -> list[int] | None:
 
 def _with_table(
     batch: DataFrame, spec: CdcSpec, schema: T.StructType, layers: Layers, touched: list[int] | None
-) -> DataFrame:
-    """A micro-batch's change rows and those rows of the table that they can affect.
+) -> tuple[DataFrame, Column]:
+    """A micro-batch's change rows with those rows of the table that they can affect, and where these are.
 
     A new row ends the version valid at its time, and becomes one that ends where that did. So versions
     that ended before the period of a bucket's oldest new row stay as they are. With too many buckets
@@ -199,11 +149,115 @@ def _with_table(
             inside = F.col(BUCKET).isin(buckets)
             affected |= inside & (F.col(UNTIL) >= F.lit(floor)) if spec.by_period else inside
     table = _read_target(batch.sparkSession, spec, layers, schema).where(affected)
-    return table.select(*schema.names).unionByName(batch.select(*schema.names))
+    if spec.untracked:
+        return _with_runs(table, batch, spec, schema, layers, touched), affected
+    return table.select(*schema.names).unionByName(batch.select(*schema.names)), affected
+
+
+def _with_runs(
+    table: DataFrame, batch: DataFrame, spec: CdcSpec, schema: T.StructType, layers: Layers,
+    touched: list[int] | None,
+) -> DataFrame:
+    """The same for versions that stand for a run of changes which differ in untracked columns only.
+
+    Two points stand for such a run: its first change, of which the table knows the time and the tracked
+    columns, and its last, which is the table's row. A new row outside of all runs, or one that agrees with the
+    run it falls into, needs no more. One that splits a run, or meets its first change, needs the changes of
+    that run, which are read from the log: in the touched buckets, between the ends of such runs.
+    """
+    session, seq, names = batch.sparkSession, spec.sequence_by, schema.names
+    tracked = [c for c in names if c not in {*spec.keys, seq, *spec.untracked}]
+    bounds = [f"__k{n}" for n in range(len(spec.keys))]
+    runs = table.where(F.col(START) < F.col(seq)).select(
+        *[F.col(k).alias(b) for k, b in zip(spec.keys, bounds)],
+        F.col(START).alias("__low"), F.col(seq).alias("__high"),
+        F.struct(F.lit(1), *[orderable(table, c) for c in tracked]).alias("__was"),
+    )
+    new = batch.select(*spec.keys, seq, F.struct(F.lit(1), *[orderable(batch, c) for c in tracked]).alias("__is"))
+    same_key = [F.col(k).eqNullSafe(F.col(b)) for k, b in zip(spec.keys, bounds)]
+
+    def meets(key: list[Column]) -> Column:
+        return _all(key) & F.col(seq).between(F.col("__low"), F.col("__high"))
+
+    splits = (F.col(seq) == F.col("__low")) | ~F.col("__was").eqNullSafe(F.col("__is"))
+    hit = runs.join(new, meets(same_key) & splits, "left_semi").drop("__was")
+    folder = scratch_dir(session, "split-runs")
+    hit.write.parquet(folder)
+    hit = session.read.schema(hit.schema).parquet(folder)
+    ends = hit.agg(F.min("__low"), F.max("__high")).first()
+    inner = session.createDataFrame([], schema)
+    if ends[0] is not None:
+        log = _from_log(session, spec, schema, layers, touched, (ends[0], ends[1]))
+        inner = log.join(hit, meets(same_key), "left_semi").select(*names)
+        table = table.join(hit, _all(same_key) & (F.col(START) == F.col("__low")), "left_anti")
+    first = table.where(F.col(START) < F.col(seq)).withColumn(seq, F.col(START))
+    points = table.select(*names).unionByName(first.select(*names)).unionByName(inner)
+    return points.unionByName(batch.select(*names))
+
+
+def _all(conditions: list[Column]) -> Column:
+    out = F.lit(True)
+    for condition in conditions:
+        out &= condition
+    return out
 
 
-def _marker(spec: CdcSpec, layers: Layers) -> str:
-    return f"{layers.state('apply', spec.flow)}/in_progress"
+def _attempts(spec: CdcSpec, layers: Layers) -> str:
+    return layers.state("attempt", spec.flow)
+
+
+def _begin(session: SparkSession, spec: CdcSpec, layers: Layers, touched: list[int] | None) -> None:
+    """Name the buckets that are about to be overwritten, in a small file of this attempt's own."""
+    text = WHOLE if touched is None else " ".join(map(str, touched))
+    put_marker(session, f"{_attempts(spec, layers)}/{uuid.uuid4().hex}", f"{text} {ENDED}")
+
+
+def _left(session: SparkSession, spec: CdcSpec, layers: Layers) -> str | list[int] | None:
+    """What attempts that didn't end have named: buckets, WHOLE, or None if there are none.
+
+    A file that isn't complete stands for the whole table.
+    """
+    texts = read_markers(session, _attempts(spec, layers))
+    old = read_marker(session, f"{layers.state('apply', spec.flow)}/in_progress")
+    named: set[int] = set()
+    for text in [*texts, *([] if old is None else [""])]:
+        words = text.split()
+        if not words or words[-1] != ENDED or words[0] == WHOLE:
+            return WHOLE
+        named.update(map(int, words[:-1]))
+    return sorted(named) if texts else None
+
+
+def _done(session: SparkSession, spec: CdcSpec, layers: Layers) -> None:
+    remove_folder(session, _attempts(spec, layers))
+    remove_folder(session, f"{layers.state('apply', spec.flow)}/in_progress")
+
+
+def _overwrite(
+    session: SparkSession, rows: DataFrame, spec: CdcSpec, schema: T.StructType, layers: Layers,
+    touched: list[int] | None, affected: Column, anew: bool,
+) -> None:
+    """Bring the affected partitions, or the whole table (``anew``), to the state that ``rows`` amount to."""
+    target, state = layers.path("gold", spec.table), state_of(rows, spec)
+    if anew or not (spec.untracked and spec.by_period):
+        _begin(session, spec, layers, touched)
+        _replace(state, spec, target, balance=anew)
+        _done(session, spec, layers)
+        return
+    # Versions can grow together, so a partition may lose its last row: such are removed by name. The state
+    # is written apart first, as its partitions must be known and it reads what is overwritten.
+    folder, parts = scratch_dir(session, "state"), [BUCKET, UNTIL]
+    state.write.parquet(folder)
+    state = session.read.schema(state.schema).parquet(folder)
+    there = _read_target(session, spec, layers, schema).where(affected).select(*parts).distinct()
+    # One row per partition at most.
+    emptied = there.join(state.select(*parts).distinct(), parts, "left_anti").collect()
+    _begin(session, spec, layers, touched)
+    _replace(state, spec, target)
+    for row in emptied:
+        remove_folder(session, f"{target}/{BUCKET}={row[BUCKET]}/{UNTIL}={row[UNTIL]}")
+    _done(session, spec, layers)
+    remove_folder(session, folder)
 
 
 def apply_changes(
@@ -216,14 +270,16 @@ def apply_changes(
     """Keep the gold table up to date with its log. ``schema`` is that of the staged rows.
 
     Only partitions that a micro-batch can change are read and overwritten. The overwrite is not
-    atomic, so a marker that names the buckets stands while it lasts; a run that finds one left behind
-    writes those buckets anew from the log. What the table is kept by is remembered beside it: under
-    another spec it is first written anew as a whole.
+    atomic, so a small file that names the buckets stands while it lasts; a run that finds some left
+    behind writes those buckets anew from the log. What the table is kept by is remembered beside it: under
+    another spec, rows in quarantine that its rules let through join the log, and the table is
+    first written anew as a whole.
     """
     spec = spec.resolved(schema)
-    log_path, target = layers.path("stg", spec.table), layers.path("gold", spec.table)
-    marker = _marker(spec, layers)
+    target = layers.path("gold", spec.table)
     known = _known(spark, spec, layers)
+    if known and known[-1] != spec.fingerprint:
+        release(spark, spec, schema, layers)
     if has_data(spark, target) and (not known or known[-1] != spec.fingerprint):
         rebuild(spark, spec, schema, layers)
     _remember(spark, spec, layers)
@@ -237,25 +293,31 @@ def apply_changes(
         if touched == []:
             return
         _check(batch, spec)
-        left = read_marker(session, marker)
+        # One row per batch of the log.
+        names = [row[0] for row in batch.select(BATCH).distinct().collect()]
+        left = _left(session, spec, layers)
         new = not has_data(session, target)
         if left is not None:
-            named = left != WHOLE and touched is not None
-            touched = sorted({*touched, *map(int, left.split())}) if named else None
+            touched = sorted({*touched, *left}) if left != WHOLE and touched is not None else None
         if new:
             touched = None
-        if left is not None or new or spec.merge == "log":
+        from_log = left is not None or new or spec.merge == "log"
+        if from_log:
             rows = _from_log(session, spec, schema, layers, touched)
+            affected = F.lit(True) if touched is None else F.col(BUCKET).isin(touched)
         else:
-            rows = _with_table(batch, spec, schema, layers, touched)
-        put_marker(session, marker, WHOLE if touched is None else " ".join(map(str, touched)))
-        anew = touched is None and (left is not None or new or spec.merge == "log")
-        _replace(state_of(rows, spec), spec, target, balance=anew)
-        remove_marker(session, marker)
-
+            rows, affected = _with_table(batch, spec, schema, layers, touched)
+        anew = from_log and touched is None
+        _overwrite(session, rows, spec, schema, layers, touched, affected, anew)
+        mark_applied(session, spec, layers, names)
+        if due(session, spec, layers):
+            compact(session, spec, schema, layers)
+
+    # Files that were compacted away before a batch was marked done have been applied.
     writer = (
         spark.readStream.schema(log_schema(schema))
-        .parquet(log_path)
+        .option("ignoreMissingFiles", True)
+        .parquet(log_path(spec, layers))
         .writeStream.foreachBatch(merge)
         .option("checkpointLocation", layers.checkpoint(f"{spec.flow}_apply"))
     )
@@ -269,15 +331,15 @@ def apply_changes(
 def rebuild(spark: SparkSession, spec: CdcSpec, schema: T.StructType, layers: Layers) -> None:
     """Write the whole gold table anew from the log; nothing of the old one stays."""
     spec = spec.resolved(schema)
-    session, marker = session_copy(spark), _marker(spec, layers)
+    session = session_copy(spark)
     for name, value in _aligned(session, spec).items():
         session.conf.set(name, value)
     rows = _from_log(session, spec, schema, layers, None)
     _check(rows, spec)
-    put_marker(session, marker, WHOLE)
+    _begin(session, spec, layers, None)
     _replace(state_of(rows, spec), spec, layers.path("gold", spec.table), balance=True)
     _remember(session, spec, layers)
-    remove_marker(session, marker)
+    _done(session, spec, layers)
 
 
 def gold_schema(schema: T.StructType, spec: CdcSpec) -> T.StructType:

@@ -1,0 +1,246 @@
+"""The change log: one pass, compaction, release; and gold kept by runs, without the log where possible."""
+
+import random
+from dataclasses import replace
+from datetime import date, datetime
+
+import pytest
+from conftest import rows
+from test_history import expected
+from test_streaming import DATED, changes, dated, dated_flow, merged
+
+from strataflow.config import CdcSpec, Layers
+from strataflow.plans.ingest import land
+from strataflow.session import children, put_marker
+from strataflow.sources import stream_files
+from strataflow.streaming import apply_changes, read_current, read_gold, rebuild, stage
+from strataflow.streaming import cdc, changelog
+
+
+def by_runs(**options):
+    return merged(untracked=("u",), **options)
+
+
+@pytest.mark.parametrize("seed, order", [(0, [0, 1, 2, 3]), (1, [2, 3, 0, 1]), (2, [3, 1, 2, 0])])
+def test_runs_merged_with_the_table(spark, layers, seed, order):
+    """Late rows, ties and repeated rows, in any order: the history is that of all changes."""
+    data = dated(sorted(changes(130, 20 + seed), key=lambda r: r[3]))
+    parts = [data[:45], data[45:80], data[80:], data[10:110:4]]
+    spec, seen = by_runs(period="month", compact_after=2), []
+    for part in order:
+        seen += parts[part]
+        assert dated_flow(spark, layers, spec, parts[part]) == expected(seen, True)
+    schema = spark.createDataFrame([], DATED).schema
+    want = [r for r in expected(data, True) if r[5] is None]
+    assert rows(read_current(spark, spec, layers, schema)) == want
+    rebuild(spark, spec, schema, layers)
+    assert rows(read_gold(spark, spec, layers)) == expected(data, True)
+
+
+def test_one_row_at_a_time(spark, layers):
+    chance = random.Random(5)
+    data = [(1, chance.choice("AB"), chance.randrange(3), chance.randrange(7)) for _ in range(9)]
+    spec, data = by_runs(buckets=1), dated(data)
+    for k in range(len(data)):
+        assert dated_flow(spark, layers, spec, data[k : k + 1]) == expected(data[: k + 1], True), k
+
+
+def files(spark, layers, *periods):
+    names = spark.read.parquet(layers.path("gold", "t")).inputFiles()
+    return {n for n in names if any(f"__until={p}" in n for p in periods)}
+
+
+def test_closed_periods_are_left_alone(spark, layers, monkeypatch):
+    logs = []
+    real = changelog.read_log
+
+    def looked(*args, **options):
+        out = real(*args, **options)
+        logs.append(out)
+        return out
+
+    data = dated([(k, "AB"[at % 2], 0, at) for k in range(20) for at in range(30)])
+    dated_flow(spark, layers, by_runs(), data)
+    before = files(spark, layers, "2024-01", "2024-02")
+    monkeypatch.setattr(cdc, "read_log", looked)
+    late = dated([(k, "B", 1, 31) for k in range(5)])
+    assert dated_flow(spark, layers, by_runs(), late) == expected(data + late, True)
+    assert before and files(spark, layers, "2024-01", "2024-02") == before
+    # Nothing was split, so the log was not read.
+    assert logs == []
+    split = dated([(1, "A", 7, 32)])
+    more = dated([(1, "B", 5, 33), (1, "B", 6, 40)])
+    dated_flow(spark, layers, by_runs(), more)
+    assert dated_flow(spark, layers, by_runs(), split) == expected(data + late + more + split, True)
+    assert len(logs) == 1 and files(spark, layers, "2024-01", "2024-02") == before
+
+
+def test_a_partition_that_loses_its_last_row(spark, layers):
+    """An earlier start of the next run moves the end of the one before into another month."""
+    spec, day = by_runs(buckets=1), lambda m, d: datetime(2024, m, d)
+    data = [(1, "A", 0, day(1, 1)), (1, "B", 0, day(3, 5))]
+    dated_flow(spark, layers, spec, data)
+    assert files(spark, layers, "2024-03")
+    data.append((1, "B", 1, day(2, 10)))
+    assert dated_flow(spark, layers, spec, data[2:]) == expected(data, True)
+    assert not files(spark, layers, "2024-03") and files(spark, layers, "2024-02")
+
+
+@pytest.mark.parametrize("marker", ["", "0 1", "all", "0 1 ."])
+def test_a_marker_cut_short_stands_for_the_table(spark, layers, marker):
+    """Two crashes: files of two buckets are gone, and the file that named them was not written to its end."""
+    spec = merged(buckets=2)
+    data = dated(changes(70, 31))
+    dated_flow(spark, layers, spec, data[:50])
+    gold = layers.path("gold", "t")
+    for bucket in (0, 1):
+        cdc.remove_folder(spark, f"{gold}/__bucket={bucket}")
+    put_marker(spark, f"{layers.state('attempt', 't')}/one", marker)
+    assert dated_flow(spark, layers, spec, data[50:]) == expected(data)
+    assert children(spark, layers.state("attempt", "t")) == []
+
+
+def test_marker_of_the_earlier_kind(spark, layers):
+    spec, data = merged(buckets=2), dated(changes(40, 32))
+    dated_flow(spark, layers, spec, data[:30])
+    cdc.remove_folder(spark, f"{layers.path('gold', 't')}/__bucket=0")
+    put_marker(spark, f"{layers.state('apply', 't')}/in_progress", "")
+    assert dated_flow(spark, layers, spec, data[30:]) == expected(data)
+
+
+def log_files(spark, layers):
+    schema = changelog.log_schema(spark.createDataFrame([], DATED).schema)
+    spec = merged()
+    tail = [f"{changelog.log_path(spec, layers)}/__batch={n}" for n in changelog.batches(spark, spec, layers)]
+    held = [f"{layers.path('stg_segments', 't')}/{n}" for n, _ in changelog.manifest(spark, spec, layers).segments]
+    return sum(len(spark.read.schema(schema).parquet(p).inputFiles()) for p in tail + held)
+
+
+def test_the_log_stays_short(spark, layers):
+    """Twenty runs: files and folders stay bounded, exact copies go, the history is whole."""
+    spec, data, most = merged(buckets=1, compact_after=3, period="year"), dated(changes(200, 33)), 0
+    for k in range(20):
+        dated_flow(spark, layers, spec, data[10 * k : 10 * k + 10] + data[:3])
+        most = max(most, log_files(spark, layers))
+    schema = spark.createDataFrame([], DATED).schema
+    assert rows(read_gold(spark, spec, layers)) == expected(data)
+    # Twenty batches of one bucket: three that wait, and segments of falling size.
+    assert most <= 8
+    assert len(children(spark, changelog.log_path(spec, layers))) <= 3
+    held = changelog.manifest(spark, spec, layers).segments
+    assert len(children(spark, layers.path("stg_segments", "t"))) == len(held) <= 4
+    changelog.mark_applied(spark, spec, layers, changelog.batches(spark, spec, layers))
+    while len(changelog.manifest(spark, spec, layers).segments) > 1 or changelog.batches(spark, spec, layers):
+        dated_flow(spark, layers, replace(spec, compact_after=1), data)
+    found = changelog.read_log(spark, spec, schema, layers)
+    assert rows(found) == rows(spark.createDataFrame(data, DATED).distinct())
+    rebuild(spark, spec, schema, layers)
+    assert rows(read_gold(spark, spec, layers)) == expected(data)
+
+
+def test_compaction_cut_short(spark, layers, monkeypatch):
+    spec, data = merged(buckets=2, compact_after=2), dated(changes(90, 34))
+    schema = spark.createDataFrame([], DATED).schema
+    real, gone = changelog.remove_folder, []
+
+    def dies(spark, path):
+        gone.append(path)
+        raise OSError("driver lost")
+
+    dated_flow(spark, layers, spec, data[:30])
+    # After the manifest stands, before anything is removed: the batches are not counted twice.
+    monkeypatch.setattr(changelog, "remove_folder", lambda s, p: dies(s, p) if "__batch" in p else real(s, p))
+    with pytest.raises(Exception, match="driver lost"):
+        dated_flow(spark, layers, spec, data[30:60])
+    monkeypatch.setattr(changelog, "remove_folder", real)
+    assert gone and changelog.batches(spark, spec, layers) == []
+    # Before the manifest stands: the segment has no name.
+    changelog.mark_applied(spark, spec, layers, ["none"])
+    put_marker(spark, f"{layers.state('compact', 't')}/00000002", "segment half")
+    assert dated_flow(spark, layers, spec, data[60:]) == expected(data)
+    rebuild(spark, spec, schema, layers)
+    assert rows(read_gold(spark, spec, layers)) == expected(data)
+
+
+def test_pruned_reading_of_segments(spark, layers):
+    spec = merged(buckets=2, compact_after=1)
+    data = dated([(k, "A", 0, at) for k in range(30) for at in range(60)])
+    dated_flow(spark, layers, spec, data)
+    schema = spark.createDataFrame([], DATED).schema
+    low, high = datetime(2024, 3, 3), datetime(2024, 3, 20)
+    found = changelog.read_log(spark, spec, schema, layers, [1], (low, high))
+    plan = found._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(__bucket" in plan and "__at" in plan.split("PartitionFilters")[1]
+    assert {r["at"].month for r in found.collect()} == {3}
+    assert all(low <= r["at"] <= high for r in found.collect())
+
+
+def test_rules_change_and_rejected_rows_are_released(spark, layers):
+    ruled = CdcSpec("t", ["k"], "at", 2, {"known": "t <> 'B'"}, buckets=2, compact_after=1)
+    data = dated(changes(60, 35))
+    bronze = layers.path("bronze", "t")
+
+    def once(spec, part):
+        df = spark.createDataFrame(part, DATED)
+        land(df, bronze)
+        stage(stream_files(spark, bronze, df.schema), spec, layers, quarantine=True)
+        apply_changes(spark, spec, df.schema, layers)
+        return rows(read_gold(spark, spec, layers, df.schema))
+
+    assert once(ruled, data[:40]) == expected([r for r in data[:40] if r[1] != "B"])
+    rejected = spark.read.parquet(layers.path("quarantine", "t"))
+    assert rejected.count() == sum(r[1] == "B" for r in data[:40])
+    free = replace(ruled, rules={"known": "u < 2"})
+    assert once(free, data[40:]) == expected([r for r in data if r[2] < 2])
+    held = rows(spark.read.parquet(layers.path("quarantine", "t")), "k", "t", "u", "at", "failed_rules")
+    # Rows that went into the log under other rules stay there, left out of the table.
+    want = [(*r, ["known"]) for k, r in enumerate(data) if r[2] == 2 and (k >= 40 or r[1] == "B")]
+    assert held == sorted(want, key=lambda r: [(v is not None, v) for v in r])
+    assert once(replace(free, rules={}), []) == expected(data)
+
+
+def test_a_batch_is_read_once(spark, layers, tmp_path):
+    """Valid and rejected rows come from one pass over the source."""
+    spec = CdcSpec("t", ["k"], "at", 2, {"known": "t = 'A'"}, buckets=2)
+    seen = spark.sparkContext.accumulator(0)
+    land(spark.createDataFrame(dated(changes(50, 36)), DATED).repartition(1), layers.path("bronze", "t"))
+    source = stream_files(spark, layers.path("bronze", "t"), spark.createDataFrame([], DATED).schema)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    queries = stage(source.mapInArrow(counted, source.schema), spec, layers, quarantine=True)
+    assert len(queries) == 1 and seen.value == 50
+    held = spark.read.parquet(layers.path("quarantine", "t")).count()
+    assert held + spark.read.parquet(layers.path("stg", "t")).count() == 50
+
+
+def test_a_repeated_batch_is_written_once(spark, layers):
+    spec, rules = merged(), changelog.rules_of(merged())
+    df = spark.createDataFrame(dated(changes(30, 37)), DATED)
+    for _ in range(2):
+        changelog._write_batch(df, spec, layers, "000000000000-x", rules, True)
+    assert spark.read.parquet(layers.path("stg", "t")).count() == 30
+    # Put into quarantine, but not yet into the log.
+    cdc.remove_folder(spark, f"{layers.path('stg', 't')}/__batch=000000000000-x")
+    changelog._write_batch(df, spec, layers, "000000000000-x", rules, True)
+    assert spark.read.parquet(layers.path("stg", "t")).count() == 30
+    assert children(spark, layers.path("stg", "_incoming")) == []
+
+
+def test_logs_of_the_earlier_layout_are_refused(spark, layers):
+    put_marker(spark, f"{layers.path('stg', 't')}/_spark_metadata/0", "x")
+    land(spark.createDataFrame(dated(changes(5, 38)), DATED), layers.path("bronze", "t"))
+    source = stream_files(spark, layers.path("bronze", "t"), spark.createDataFrame([], DATED).schema)
+    with pytest.raises(ValueError, match="earlier layout"):
+        stage(source, merged(), layers)
+
+
+def test_runs_with_dates(spark, layers):
+    data = [(k, t, u, at.date()) for k, t, u, at in dated(changes(60, 39))]
+    spec, schema = by_runs(period="quarter"), DATED.replace("timestamp_ntz", "date")
+    dated_flow(spark, layers, spec, data[30:], schema)
+    assert isinstance(data[0][3], date)
+    assert dated_flow(spark, layers, spec, data[:30], schema) == expected(data, True)

@@ -299,8 +299,6 @@ def test_merge_with_zoned_times_and_dates(spark, layers):
         assert dated_flow(spark, layers, spec, typed[20:], schema) == expected(typed)
 
 
-def test_merge_needs_versions_and_times(spark, layers):
-    with pytest.raises(ValueError):
-        merged(untracked=("u",))
+def test_merge_needs_times(spark, layers):
     with pytest.raises(Exception, match="a period needs a date or time"):
         flow(spark, layers, merged(), [(1, "A", 0, 1)])
