@@ -165,7 +165,9 @@ class TableSpec:
 
     ``dedupe`` is ``"change"`` (repeated copies of a change go, so history survives),
     ``"key"`` (the first row of a key stays for ever) or ``None``. ``salts`` spreads the copies
-    of one key or change over that many tasks. A backlog of bronze files is taken in micro-batches of
+    of one key or change over that many tasks. ``within`` (such as ``"30 days"``) bounds what is remembered: a row
+    is compared with those that silver has from that long before its batch's oldest one on, by way of a small
+    filter per day, and there is no state; see ``append_known``. A backlog of bronze files is taken in micro-batches of
     ``bytes_per_batch``, so that a run cut short loses no more than one of them. ``archive`` is a folder
     outside the layer that read bronze files move to, so that the listing stays short; rows that
     are there count as not landed when late rows are looked for.
@@ -177,6 +179,7 @@ class TableSpec:
     drop: Sequence[str] = ("_rescued_data",)
     dedupe: str | None = None
     salts: int = 16
+    within: str | None = None
     bytes_per_batch: int = 1 << 40
     archive: str | None = None
 

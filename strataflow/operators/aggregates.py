@@ -30,8 +30,13 @@ def preview(df: DataFrame, n: int, order_by: Sequence[str | Column]) -> DataFram
 
 
 def high_watermark(df: DataFrame, cdc_col: str) -> DataFrame:
-    """One row: the highest change value and the number of rows. Reads a single column."""
-    return df.agg(F.max(cdc_col).alias("high"), F.count(F.lit(1)).alias("n_rows"))
+    """One row: the highest change value, and how many rows have one and how many don't. Reads a
+    single column."""
+    return df.agg(
+        F.max(cdc_col).alias("high"),
+        F.count(cdc_col).alias("n_rows"),
+        F.count_if(F.col(cdc_col).isNull()).alias("n_null"),
+    )
 
 
 def distinct_dates(df: DataFrame, column: str) -> DataFrame:

@@ -114,10 +114,9 @@ def ingest_table(
     schema, data_type = source.schema, source.schema[spec.cdc_col].dataType
     low, limit = window if window else (store.get(spec, data_type), None)
     since = shown(low, data_type)
-    n_null = source.where(F.col(spec.cdc_col).isNull()).count()
-    news = read_since(lambda: reader(spec), spec.cdc_col, low, limit)
-    news = high_watermark(news.where(F.col(spec.cdc_col).isNotNull()), spec.cdc_col)
-    high, n_rows = news.select(portable("high", data_type), "n_rows").first()
+    news = read_since(lambda: reader(spec), spec.cdc_col, low, limit, or_null=True)
+    news = high_watermark(news, spec.cdc_col).select(portable("high", data_type), "n_rows", "n_null")
+    high, n_rows, n_null = news.first()
     rows = read_since(lambda: reader(spec), spec.cdc_col, low, high) if n_rows else None
     there = lambda: spark.read.schema(schema).parquet(bronze)
     if rows is not None and only_lacking:

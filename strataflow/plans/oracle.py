@@ -243,6 +243,16 @@ ORACLE: dict[str, str] = {
         SELECT 'FactStream' AS "table", layer, n AS n_rows, high AS newest
         FROM p, (VALUES ('bronze'), ('silver'), ('gold')) l(layer)""",
     "stream_scd2_late": TRACKED,
+    "stream_scd2_runs": TRACKED,
+    "apply_after_compaction": HISTORY,
+    "rebuild_after_compaction": RULED,
+    "release_rejected": RULED,
+    "recover_twice": HISTORY,
+    "flow_dedupe_within": "SELECT user_id, event_type, value, ts FROM events",
+    "catalog_widened": """
+        SELECT event_id AS stream_id, user_id, ts AS stream_timestamp,
+               CASE WHEN ts > TIMESTAMP '2024-01-15' THEN 'device ' || (user_id % 3) END AS device_type
+        FROM events""",
     "stream_merge_scd1": LATEST,
     "stream_merge_scd2": HISTORY,
     "snapshot_sum": TOTALS,

@@ -13,14 +13,21 @@ from strataflow.config import Layers, TableSpec
 from strataflow.functions.columns import drop_columns
 from strataflow.plans.ingest import Outcome, Reader, failure, run_all
 from strataflow.plans.monitor import layer_stats, record_runs, record_stats
-from strataflow.session import has_data
+from strataflow.session import children, has_data
 from strataflow.sources.batch import read_layer
 from strataflow.sources.schema import resolve_schema
 from strataflow.sources.stream import stream_files, stream_table
-from strataflow.streaming.cdc import apply_changes, stage
-from strataflow.streaming.dedupe import stream_dedupe, stream_dedupe_changes
+from strataflow.streaming.cdc import UNTIL, apply_changes, target_schema
+from strataflow.streaming.changelog import BATCH, BUCKET, stage
+from strataflow.streaming.dedupe import (
+    DAY, append_known, known_schema, stream_dedupe, stream_dedupe_changes,
+)
 from strataflow.streaming.sinks import append_stream
 
+#: Partitions named in one statement to the catalog, and how one without a value is shown.
+PARTITIONS_AT_ONCE = 500
+NO_VALUE = ("__HIVE_DEFAULT_PARTITION__", "null")
+
 
 def clean(df: DataFrame, spec: TableSpec) -> DataFrame:
     """A table's silver work without the de-duplication; for batch and stream alike."""
@@ -61,6 +68,20 @@ def bronze_to_silver(
     schema = bronze_schema(spark, spec, layers)
     archived = {"cleanSource": "archive", "sourceArchiveDir": spec.archive} if spec.archive else {}
     source = stream_files(spark, bronze, schema, bytes_per_batch=spec.bytes_per_batch, **archived)
+    if spec.within is not None and spec.dedupe:
+        silver = clean(source, spec)
+        query = append_known(
+            silver,
+            spec.cdc.keys,
+            spec.cdc.sequence_by,
+            layers.checkpoint(f"{spec.table}_silver"),
+            layers.path("silver", spec.table),
+            within=spec.within,
+            change=spec.dedupe == "change",
+            once=spec.cdc.once,
+            interval=interval,
+        )
+        return silver.schema, query
     silver = deduped(clean(source, spec), spec)
     query = append_stream(
         silver,
@@ -76,15 +97,56 @@ def silver_to_gold(
     spark: SparkSession, spec: TableSpec, layers: Layers, schema: T.StructType, quarantine: bool = False
 ) -> list[StreamingQuery]:
     """Stage the silver rows that are new and bring the gold table up to date; gives the queries."""
-    source = stream_table(spark, layers.path("silver", spec.table), schema)
+    source = stream_table(spark, layers.path("silver", spec.table), schema).select(*schema.names)
     return [
         *stage(source, spec.cdc, layers, quarantine),
         apply_changes(spark, spec.cdc, schema, layers),
     ]
 
 
+def _named_schema(spark: SparkSession, spec: TableSpec, layers: Layers, layer: str) -> T.StructType:
+    """The schema kept for a flow, with the partition columns; no data file is opened."""
+    schema = silver_schema(spark, spec, layers)
+    if layer == "gold":
+        return target_schema(schema, spec.cdc.resolved(schema))
+    parts = known_schema().fields[-2:] if spec.within is not None and spec.dedupe else []
+    return T.StructType([*schema.fields, *parts])
+
+
+def _add_partitions(spark: SparkSession, name: str, path: str, parts: Sequence[str]) -> None:
+    """Partitions that the folder has and the catalog hasn't, and away with those that are gone.
+
+    Names only are compared: a table's folders are listed, not what is in them.
+    """
+    known = {row[0] for row in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    there = [""]
+    for part in parts:
+        deeper = []
+        for place in there:
+            names = children(spark, f"{path}/{place}" if place else path)
+            deeper += [f"{place}/{n}".strip("/") for n in names if n.startswith(f"{part}=")]
+        there = deeper
+
+    def spec_of(place: str) -> str:
+        pairs = [p.split("=", 1) for p in place.split("/")]
+        return ", ".join(f"`{n}`=null" if v in NO_VALUE else f"`{n}`='{v}'" for n, v in pairs)
+
+    for name_ in NO_VALUE:
+        known = {k.replace(f"={name_}", f"={NO_VALUE[0]}") for k in known}
+    new, gone = sorted(set(there) - known), sorted(known - set(there))
+    for places, verb in ((new, "ADD IF NOT EXISTS"), (gone, "DROP IF EXISTS")):
+        joint = " " if verb.startswith("ADD") else ", "
+        for at in range(0, len(places), PARTITIONS_AT_ONCE):
+            listed = joint.join(f"PARTITION ({spec_of(p)})" for p in places[at : at + PARTITIONS_AT_ONCE])
+            spark.sql(f"ALTER TABLE {name} {verb} {listed}")
+
+
 def name_tables(spark: SparkSession, specs: Sequence[TableSpec], layers: Layers) -> list[str]:
-    """Silver and gold under their names in the configured schema, over the layers' folders."""
+    """Silver and gold under their names in the configured schema, over the layers' folders.
+
+    A name has the schema kept for its flow: columns that a run has brought are added to it, so earlier rows
+    read NULL there. Of gold only partitions that are new or gone are told to the catalog.
+    """
     names = []
     if layers.schema:
         parts = [p for p in (layers.catalog, layers.schema) if p]
@@ -94,11 +156,20 @@ def name_tables(spark: SparkSession, specs: Sequence[TableSpec], layers: Layers)
             name, path = layers.table(layer, spec.table), layers.path(layer, spec.table)
             if name is None or not has_data(spark, path):
                 continue
+            schema = _named_schema(spark, spec, layers, layer)
+            parted = [f for f in schema.names if f in (BUCKET, UNTIL, BATCH, DAY)]
             if not spark.catalog.tableExists(name):
-                spark.catalog.createTable(name, path=path, source="parquet")
-            # Files and partitions have changed behind the name.
-            if layer == "gold":
-                spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+                columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+                by = f" PARTITIONED BY ({', '.join(f'`{p}`' for p in parted)})" if parted else ""
+                spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet{by} LOCATION '{path}'")
+            known = {f.lower() for f in spark.table(name).columns}
+            added = [f for f in schema.fields if f.name.lower() not in known]
+            if added:
+                columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
+                spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")
+            if parted:
+                _add_partitions(spark, name, path, parted)
+            # Files have changed behind the name.
             spark.catalog.refreshTable(name)
             names.append(name)
     return names
@@ -134,7 +205,7 @@ def start(
         running[spec.table] = [query]
         # The streams above need folders to look at.
         query.processAllAvailable()
-        source = stream_table(spark, layers.path("silver", spec.table), schema)
+        source = stream_table(spark, layers.path("silver", spec.table), schema).select(*schema.names)
         staged = stage(source, spec.cdc, layers, quarantine, interval)
         running[spec.table] += staged
         staged[0].processAllAvailable()

@@ -22,11 +22,11 @@ from strataflow.plans.ingest import backfill, ingest_table, land, run_all
 from strataflow.plans.monitor import layer_stats, read_runs, read_stats, record_runs
 from strataflow.plans.music import DURATIONS, LONGEST, TABLES, serving
 from strataflow.plans.pipeline import run, silver_schema
-from strataflow.session import scratch_dir
+from strataflow.session import put_marker, remove_folder, scratch_dir
 from strataflow.sources import read_layer, read_since, read_table, resolve_schema, stream_files
 from strataflow.streaming import (
-    append_stream, append_within, apply_changes, read_gold, read_snapshot, rebuild, stage, stream_dedupe,
-    stream_dedupe_changes, write_snapshot,
+    append_known, append_stream, append_within, apply_changes, read_gold, read_snapshot, rebuild, stage,
+    stream_dedupe, stream_dedupe_changes, write_snapshot,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -464,13 +464,37 @@ def stream_dedupe_(spark, sf):
 
 @query
 def stream_dedupe_within(spark, sf):
-    """Keys are forgotten thirty days of event time after they were seen."""
+    """Two runs, the second with rows of the first again: keys are looked up in the days near a batch."""
     layers = work(spark, "within")
     keys = ["l_orderkey", "l_linenumber"]
-    stream = table_stream(spark, sf, "lineitem").select(*keys, "l_shipdate")
-    stream = stream_dedupe(stream, keys, within=("l_shipdate", "30 days")).select(*keys)
-    append_stream(stream, layers.checkpoint("lineitem"), layers.path("silver", "lineitem"))
-    return read_layer(spark, layers.path("silver", "lineitem"))
+    lines = table(spark, sf, "lineitem").select(*keys, "l_shipdate")
+    bronze, silver = layers.path("bronze", "lineitem"), layers.path("silver", "lineitem")
+    for batch in (lines.where("l_orderkey % 2 = 0"), lines):
+        land(batch, bronze)
+        stream = stream_files(spark, bronze, batch.schema)
+        # The copies of a line are shipped up to seven years apart.
+        append_known(
+            stream, keys, "l_shipdate", layers.checkpoint("lineitem"), silver,
+            within="2600 days", change=False, period="year",
+        )
+    return read_layer(spark, silver).select(*keys)
+
+
+@query
+def flow_dedupe_within(spark, sf):
+    """The flow with its silver layer kept without state: late rows and copies in three passes."""
+    layers = work(spark, "flow_within")
+    spec = TableSpec(
+        EVENTS, CdcSpec("events", ["user_id"], "ts", 2, buckets=4), dedupe="change", within="0 days"
+    )
+    source = changes(spark, sf)
+    moment = F.lit(HALF).cast("timestamp_ntz")
+    run(spark, [spec], lambda spec: source.where(F.col("ts") > moment), layers)
+    backfill(spark, EVENTS, lambda spec: source, layers, "2024-01-01", "2024-01-20")
+    run(spark, [spec], lambda spec: source, layers)
+    backfill(spark, EVENTS, lambda spec: source, layers, "2023-01-01", "2024-02-01")
+    run(spark, [spec], lambda spec: source, layers)
+    return read_layer(spark, layers.path("silver", "events")).select(*source.columns)
 
 
 @query
@@ -610,6 +634,66 @@ def stream_scd2_late(spark, sf):
     return applied(spark, sf, spec, batches)
 
 
+@query
+def stream_scd2_runs(spark, sf):
+    """Four runs out of order, merged by runs of like changes: a late row splits the run it falls into."""
+    rows = changes(spark, sf)
+    parts = [rows.where(F.pmod(F.hash("ts"), F.lit(4)) == k) for k in (2, 0, 3, 1)]
+    spec = CdcSpec("events", ["user_id"], "ts", 2, untracked=["value"], buckets=4, merge="table", period="week")
+    return applied(spark, sf, spec, parts)
+
+
+@query
+def apply_after_compaction(spark, sf):
+    """The log is compacted after each run; late rows then find it as it is, and recompute from it."""
+    rows = changes(spark, sf)
+    parts = [rows.where(F.pmod(F.hash("ts"), F.lit(3)) == k) for k in (1, 0, 2)]
+    spec = CdcSpec("events", ["user_id"], "ts", 2, buckets=4, merge="log", compact_after=1)
+    return applied(spark, sf, spec, parts)
+
+
+@query
+def rebuild_after_compaction(spark, sf):
+    """Rules that come after a compaction: what the old ones left out of the table is in the log still."""
+    layers = work(spark, "compacted")
+    spec = CdcSpec("events", ["user_id"], "ts", 2, {"priced": "value > 50"}, buckets=4, compact_after=1)
+    open_ = replace(spec, rules={})
+    filled(spark, sf, open_, early(spark, sf), layers)
+    schema = filled(spark, sf, open_, late(spark, sf), layers)
+    rebuild(spark, spec, schema, layers)
+    ruled = replace(spec, rules={"priced": "value > 10", "known": "event_type IS NOT NULL"})
+    rebuild(spark, ruled, schema, layers)
+    return named(read_gold(spark, ruled, layers, schema))
+
+
+@query
+def release_rejected(spark, sf):
+    """Rows in quarantine come into the table once rules change that kept them out."""
+    layers = work(spark, "released")
+    strict = CdcSpec("events", ["user_id"], "ts", 2, {"priced": "value > 50"}, buckets=4)
+    loose = replace(strict, rules={"priced": "value > 10", "known": "event_type IS NOT NULL"})
+    for spec, rows in ((strict, early(spark, sf)), (loose, late(spark, sf))):
+        rows = rows.select(*changes(spark, sf).columns)
+        land(rows, layers.path("bronze", "events"))
+        source = stream_files(spark, layers.path("bronze", "events"), rows.schema)
+        stage(source, spec, layers, quarantine=True)
+        apply_changes(spark, spec, rows.schema, layers)
+    return named(read_gold(spark, loose, layers, rows.schema))
+
+
+@query
+def recover_twice(spark, sf):
+    """Two crashes in a row: one in the middle of a write, one while its marker was being written."""
+    layers = work(spark, "crashed")
+    spec = CdcSpec("events", ["user_id"], "ts", 2, buckets=4)
+    filled(spark, sf, spec, early(spark, sf), layers)
+    # What they leave behind: files of a bucket gone, and a marker without its end.
+    remove_folder(spark, f"{layers.path('gold', 'events')}/__bucket=1")
+    put_marker(spark, f"{layers.state('attempt', 'events')}/cut-short", "1 2")
+    schema = filled(spark, sf, spec, late(spark, sf), layers)
+    return named(read_gold(spark, spec, layers, schema))
+
+
 @query
 def stream_merge_scd1(spark, sf):
     """Two runs, the later half first, each merged with the rows the table has."""
@@ -755,6 +839,22 @@ def catalog_layers(spark, sf):
     return gold.join(silver, "stream_id", "left_semi")
 
 
+@query
+def catalog_widened(spark, sf):
+    """A column that the second pass brings is in the named tables too; earlier rows have NULL there."""
+    layers = Layers(scratch_dir(spark, "widened"), schema=f"strata_{uuid.uuid4().hex}")
+    facts = warehouse(spark, sf)["FactStream"]
+    half = facts.where(F.col("stream_timestamp") <= F.lit(HALF).cast("timestamp_ntz"))
+    wider = facts.withColumn("device_type", F.concat(F.lit("device "), F.col("user_id") % 3))
+    for rows in (half, wider):
+        run(spark, WAREHOUSE, lambda spec, rows=rows: rows, layers, only=["FactStream"])
+    columns = ["stream_id", "user_id", "device_type", "stream_timestamp"]
+    gold = read_table(spark, layers.table("gold", "FactStream")).select(*columns)
+    silver = read_table(spark, layers.table("silver", "FactStream")).select("stream_id", "device_type")
+    both = (gold["stream_id"] == silver["stream_id"]) & gold["device_type"].eqNullSafe(silver["device_type"])
+    return gold.join(silver, both, "left_semi")
+
+
 @query
 def run_stats(spark, sf):
     """Rows and newest change of each layer after each of two passes."""

@@ -62,21 +62,25 @@ def read_since(
     low: Any = None,
     high: Any = None,
     overlap: str | None = None,
+    or_null: bool = False,
 ) -> DataFrame:
-    """Rows with ``low < cdc_col <= high``; an absent bound is open.
+    """Rows with ``low < cdc_col <= high``; an absent bound is open. ``or_null`` adds those without a value.
 
     ``overlap`` (an interval such as ``"1 day"``) reads that much again from ``low``
     backwards, for sources whose rows can turn up late; later steps drop the repeats.
     """
     df = reader()
     data_type = df.schema[cdc_col].dataType
-    column = F.col(cdc_col)
+    column, inside = F.col(cdc_col), None
     if low is not None:
         lowest = bound(low, data_type)
         if overlap:
-            df = df.where(column >= (lowest - F.expr(f"INTERVAL {overlap}")).cast(data_type))
+            inside = column >= (lowest - F.expr(f"INTERVAL {overlap}")).cast(data_type)
         else:
-            df = df.where(column > lowest)
+            inside = column > lowest
     if high is not None:
-        df = df.where(column <= bound(high, data_type))
-    return df
+        below = column <= bound(high, data_type)
+        inside = below if inside is None else inside & below
+    if inside is None:
+        return df
+    return df.where(inside | column.isNull() if or_null else inside)

@@ -350,13 +350,18 @@ def gold_schema(schema: T.StructType, spec: CdcSpec) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(START, moment), T.StructField(END, moment)])
 
 
-def _read_target(
-    spark: SparkSession, spec: CdcSpec, layers: Layers, schema: T.StructType
-) -> DataFrame:
+def target_schema(schema: T.StructType, spec: CdcSpec) -> T.StructType:
+    """The same with the partition columns; ``spec`` is resolved."""
     parts = [T.StructField(BUCKET, T.LongType())]
     if spec.by_period:
         parts.append(T.StructField(UNTIL, T.DateType()))
-    full = T.StructType([*gold_schema(schema, spec).fields, *parts])
+    return T.StructType([*gold_schema(schema, spec).fields, *parts])
+
+
+def _read_target(
+    spark: SparkSession, spec: CdcSpec, layers: Layers, schema: T.StructType
+) -> DataFrame:
+    full = target_schema(schema, spec)
     return spark.read.schema(full).parquet(layers.path("gold", spec.table))
 
 

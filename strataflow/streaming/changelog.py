@@ -51,7 +51,7 @@ def log_schema(source_schema: T.StructType) -> T.StructType:
     return T.StructType([*source_schema.fields, *added])
 
 
-def _token(spark: SparkSession, checkpoint: str) -> str:
+def checkpoint_token(spark: SparkSession, checkpoint: str) -> str:
     """A name for the checkpoint's life, so that batches of a new one never pass for those of an old one."""
     path = f"{checkpoint}/_token"
     known = read_marker(spark, path)
@@ -107,7 +107,7 @@ def stage(
     if path_exists(spark, f"{log}/_spark_metadata"):
         raise ValueError(f"{log} is a log of an earlier layout; stage its source anew under another base")
     make_folder(spark, log)
-    token = _token(spark, checkpoint)
+    token = checkpoint_token(spark, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         _write_batch(batch, spec, layers, f"{batch_id:012d}-{token}", rules, quarantine)

@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from strataflow.functions.keys import day_of, from_micros, row_digest, to_micros
-from strataflow.session import has_data
+from strataflow.session import children, has_data, make_folder, move, path_exists, remove_folder
+from strataflow.streaming.changelog import BATCH, checkpoint_token
 
 SALTS = 16
 DIGEST = ["__digest_1", "__digest_2"]
+DAY = "__day"
+# Days that a filter names one by one; beyond, it names the first and the last.
+MOST_DAYS = 1_000
 
 
 def stream_dedupe(
@@ -129,3 +134,80 @@ def append_within(
     if once:
         query.awaitTermination()
     return query
+
+
+def known_schema() -> T.StructType:
+    """What a folder written by ``append_known`` remembers of its rows."""
+    return T.StructType([
+        *[T.StructField(d, T.LongType()) for d in DIGEST],
+        T.StructField(BATCH, T.StringType()), T.StructField(DAY, T.DateType()),
+    ])
+
+
+def append_known(
+    df: DataFrame,
+    keys: Sequence[str],
+    sequence_by: str,
+    checkpoint: str,
+    path: str,
+    within: str = "0 days",
+    change: bool = True,
+    period: str = "day",
+    once: bool = True,
+    interval: str = "1 minute",
+) -> StreamingQuery:
+    """Append the rows that ``path`` doesn't know yet; there is no state but the folder itself.
+
+    Rows are kept by batch and day (or week, month, quarter, year: ``period``, for rows spread over many days) with
+    two hashes of what makes them equal: the whole row (``change``), so that copies of a change go, or its
+    key, so that the first row of a key stays. A batch is compared with the hashes, and nothing else, of the days it
+    can meet. Copies of a change have one time, so these are the batch's own days, whatever their age: late
+    rows find their copies too, and none is lost. For keys they reach from ``within`` (such as ``"30 days"``)
+    before its first day to as much behind its last: a key that turns up later than that is kept again. A row
+    without a time meets others without one.
+
+    A batch is written apart and moved into place as a whole, so that a repeated one changes nothing.
+    """
+    spark, kind = df.sparkSession, df.schema[sequence_by].dataType
+    make_folder(spark, path)
+    token = checkpoint_token(spark, checkpoint)
+    day = day_of(F.col(sequence_by), kind)
+    day = day if period == "day" else F.trunc(day, period)
+
+    def near(batch: DataFrame) -> Column:
+        if change:
+            days = [r[0] for r in batch.select(DAY).distinct().limit(MOST_DAYS + 1).collect()]
+            timed = [d for d in days if d is not None]
+            if len(days) <= MOST_DAYS:
+                return F.col(DAY).isin(timed) | F.col(DAY).isNull()
+        ends = batch.agg(F.min(DAY).alias("a"), F.max(DAY).alias("b"))
+        span = F.expr(f"INTERVAL {'0 days' if change else within}")
+        first = (F.col("a") - span).cast("date")
+        first = first if period == "day" else F.trunc(first, period)
+        # The end of a period is no later than the beginning of the next, some 366 days on.
+        last = F.col("b") + span + F.expr("INTERVAL 0 days" if period == "day" else "INTERVAL 366 days")
+        first, last = ends.select(first, last.cast("date")).first()
+        return F.col(DAY).between(F.lit(first), F.lit(last)) | F.col(DAY).isNull()
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        session, name = batch.sparkSession, f"{batch_id:012d}-{token}"
+        place = f"{path}/{BATCH}={name}"
+        if path_exists(session, place):
+            return
+        same = row_digest(batch, batch.columns if change else keys)
+        rows = batch.withColumns({**dict(zip(DIGEST, same)), DAY: day}).dropDuplicates(DIGEST)
+        if any(child.startswith(BATCH) for child in children(session, path)):
+            there = session.read.schema(known_schema()).parquet(path)
+            there = there.where(near(batch.withColumn(DAY, day))).select(*DIGEST)
+            rows = rows.join(there, DIGEST, "left_anti")
+        incoming = f"{path.rstrip('/')}_incoming/{name}-{uuid.uuid4().hex[:8]}"
+        rows.hint("rebalance", DAY).write.partitionBy(DAY).parquet(incoming)
+        move(session, incoming, place)
+
+    writer = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)
+    query = writer.start()
+    if once:
+        query.awaitTermination()
+        remove_folder(spark, f"{path.rstrip('/')}_incoming")
+    return query

@@ -9,12 +9,16 @@ from conftest import rows
 from test_history import expected
 from test_streaming import DATED, changes, dated, dated_flow, merged
 
-from strataflow.config import CdcSpec, Layers
-from strataflow.plans.ingest import land
+from pyspark.sql import DataFrameReader
+
+from strataflow.config import CdcSpec, IngestSpec, Layers, TableSpec
+from strataflow.plans import run
+from strataflow.plans.ingest import ingest_table, land
 from strataflow.session import children, put_marker
-from strataflow.sources import stream_files
-from strataflow.streaming import apply_changes, read_current, read_gold, rebuild, stage
-from strataflow.streaming import cdc, changelog
+from strataflow.sources import read_since, stream_files
+from strataflow.streaming import (
+    append_known, apply_changes, cdc, changelog, dedupe, read_current, read_gold, rebuild, stage,
+)
 
 
 def by_runs(**options):
@@ -244,3 +248,108 @@ def test_runs_with_dates(spark, layers):
     dated_flow(spark, layers, spec, data[30:], schema)
     assert isinstance(data[0][3], date)
     assert dated_flow(spark, layers, spec, data[:30], schema) == expected(data, True)
+
+
+def known_flow(spark, layers, batch, change=True, within="0 days", schema=DATED):
+    df = spark.createDataFrame(batch, schema)
+    bronze, silver = layers.path("bronze", "k"), layers.path("silver", "k")
+    land(df, bronze)
+    stream = stream_files(spark, bronze, df.schema)
+    query = append_known(stream, ["k"], "at", layers.checkpoint("k"), silver, within, change)
+    assert query.lastProgress["stateOperators"] == []
+    return rows(spark.read.schema(df.schema).parquet(silver).select(*df.columns))
+
+
+def test_copies_go_whatever_their_age(spark, layers):
+    data = dated(changes(80, 41)) + [(9, "A", 0, None), (9, "A", 0, None)]
+    late = [r for r in data if r[3] is None or r[3].month < 3]
+    assert known_flow(spark, layers, data[30:]) == rows(spark.createDataFrame(set(data[30:]), DATED))
+    assert known_flow(spark, layers, data[:40] + late) == rows(spark.createDataFrame(set(data), DATED))
+    # A column that old rows lack makes no new change of a row without it.
+    wide = [(*r, None) for r in data[:20]] + [(*data[0], "x")]
+    found = known_flow(spark, layers, wide, schema=DATED + ", more string")
+    assert len(found) == len(set(data)) + 1 and sum(r[4] == "x" for r in found) == 1
+
+
+def test_keys_within_a_span(spark, layers):
+    day = lambda d: datetime(2024, 1, d)
+    assert len(known_flow(spark, layers, [(1, "A", 0, day(1)), (1, "B", 0, day(1))], False, "5 days")) == 1
+    assert len(known_flow(spark, layers, [(1, "C", 0, day(6)), (2, "A", 0, day(6))], False, "5 days")) == 2
+    assert len(known_flow(spark, layers, [(1, "D", 0, day(20))], False, "5 days")) == 3
+    # Earlier than all, and too early to meet the others.
+    assert len(known_flow(spark, layers, [(2, "E", 0, datetime(2023, 1, 1))], False, "5 days")) == 4
+
+
+def test_only_days_of_the_batch_are_read(spark, layers, monkeypatch):
+    data = dated([(k, "A", 0, at) for k in range(4) for at in range(40)])
+    known_flow(spark, layers, data)
+    found = []
+    real = DataFrameReader.parquet
+
+    def looked(self, *paths, **options):
+        out = real(self, *paths, **options)
+        if any("silver" in p for p in paths):
+            found.append(out)
+        return out
+
+    monkeypatch.setattr(DataFrameReader, "parquet", looked)
+    known_flow(spark, layers, data[:1] + dated([(7, "B", 0, 39)]))
+    assert found[0].columns == ["__digest_1", "__digest_2", "__batch", "__day"]
+
+
+def test_a_batch_of_known_rows_cut_short(spark, layers, monkeypatch):
+    data = dated(changes(40, 42))
+    real = dedupe.move
+
+    def dies(spark, source, target):
+        real(spark, source, target)
+        raise OSError("driver lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(dedupe, "move", dies)
+        with pytest.raises(Exception, match="driver lost"):
+            known_flow(spark, layers, data[:30])
+    assert known_flow(spark, layers, data[20:]) == rows(spark.createDataFrame(set(data), DATED))
+
+
+def test_named_tables_of_a_flow_without_state(spark, tmp_path):
+    layers = Layers(str(tmp_path), schema="known_rows")
+    cdc_spec = CdcSpec("t", ["k"], "at", 2, buckets=2)
+    spec = TableSpec(IngestSpec("t", "at"), cdc_spec, dedupe="change", within="0 days")
+    data = sorted(dated(changes(40, 43)), key=lambda r: r[3])
+    for part, schema in ((data[:25], DATED), ([(*r, "x") for r in data], DATED + ", more string")):
+        df = spark.createDataFrame(part, schema)
+        run(spark, [spec], lambda _, df=df: df, layers)
+    try:
+        late = [r for r in data[25:] if r[3] > max(x[3] for x in data[:25])]
+        silver = spark.table("known_rows.silver_t")
+        assert rows(silver, "k", "t", "u", "at") == rows(spark.createDataFrame({*data[:25], *late}, DATED))
+        assert {r["more"] for r in silver.collect()} <= {None, "x"} and "more" in spark.table("known_rows.gold_t").columns
+        gold = rows(spark.table("known_rows.gold_t"), "k", "t", "u", "at", "__START_AT", "__END_AT")
+        assert gold == expected([*data[:25], *late])
+    finally:
+        spark.sql("DROP SCHEMA known_rows CASCADE")
+
+
+def test_an_empty_run_takes_few_jobs(spark, layers):
+    df = spark.createDataFrame(dated(changes(40, 44)) + [(1, "A", 0, None)], DATED)
+    path = layers.path("source", "t")
+    df.write.parquet(path)
+    spec, reader = IngestSpec("t", "at"), lambda _: spark.read.schema(DATED).parquet(path)
+    assert ingest_table(spark, spec, reader, layers).n_null == 1
+    tracker, group = spark.sparkContext.statusTracker(), "empty-run"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        outcome = ingest_table(spark, spec, reader, layers)
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+    assert (outcome.status, outcome.n_null) == ("empty", 1)
+    assert len(tracker.getJobIdsForGroup(group)) <= 4
+
+
+def test_the_null_count_is_pushed_down(spark, layers):
+    path = layers.path("source", "t")
+    spark.createDataFrame(dated(changes(9, 45)), DATED).write.parquet(path)
+    news = read_since(lambda: spark.read.schema(DATED).parquet(path), "at", "2024-01-05", or_null=True)
+    plan = news._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [Or(GreaterThan(at" in plan and "IsNull(at)" in plan
