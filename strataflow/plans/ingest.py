@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from strataflow.config import IngestSpec, Layers
 from strataflow.functions.keys import row_digest
 from strataflow.operators.aggregates import high_watermark
-from strataflow.session import has_data
+from strataflow.session import has_data, remove_folder
 from strataflow.sources.batch import SENTINEL, bound, portable, read_since, shown
 
 # Given a table's entry, its whole source as a lazy frame: a JDBC table, a folder, a catalog name.
@@ -96,8 +96,9 @@ def ingest_table(
     run_id: str | None = None,
     window: tuple[Any, Any] | None = None,
     only_lacking: bool = False,
+    tally: Any = None,
 ) -> Outcome:
-    """Copy one table's new rows to bronze.
+    """Copy one table's new rows to bronze; a ``tally`` counts them as they are written.
 
     The newest change value is read first, from that column alone, and fixes the window's end:
     rows that arrive meanwhile wait for the next run. Rows that turned up late are looked for
@@ -133,7 +134,15 @@ def ingest_table(
     parts = [] if rows is None else [rows]
     if late is not None:
         parts.append(late.observe(seen, F.count(F.lit(1)).alias("n")))
-    land(reduce(DataFrame.unionAll, parts), bronze)
+    landed = reduce(DataFrame.unionAll, parts)
+    if tally is None:
+        # Counts that were kept so far are no longer those of the folder.
+        remove_folder(spark, layers.state("tally", spec.table))
+        land(landed, bronze)
+    else:
+        landed, counted = tally.watched(landed)
+        land(landed, bronze)
+        tally.put("bronze", run_id, counted)
     if window is None and n_rows:
         store.put(spec, high, data_type)
     status = "backfilled" if window else "loaded"
@@ -169,6 +178,7 @@ def run_all(
     reader: Reader,
     layers: Layers,
     parallel: int = 4,
+    tallies: Mapping[str, Any] | None = None,
 ) -> list[Outcome]:
     """Copy every configured table; one table's failure does not stop the others.
 
@@ -179,7 +189,8 @@ def run_all(
 
     def one(spec: IngestSpec) -> Outcome:
         try:
-            return ingest_table(spark, spec, reader, layers, run_id)
+            tally = (tallies or {}).get(spec.table)
+            return ingest_table(spark, spec, reader, layers, run_id, tally=tally)
         except Exception as error:
             return failure(run_id, spec.table, error)
 

@@ -243,6 +243,18 @@ ORACLE: dict[str, str] = {
         SELECT 'FactStream' AS "table", layer, n AS n_rows, high AS newest
         FROM p, (VALUES ('bronze'), ('silver'), ('gold')) l(layer)""",
     "stream_scd2_late": TRACKED,
+    "gold_as_of": f"""
+        SELECT * FROM ({HISTORY}) h WHERE start_at <= TIMESTAMP '2024-01-15'
+        AND (end_at IS NULL OR end_at > TIMESTAMP '2024-01-15')""",
+    "gold_changes": f"""
+        WITH h AS ({HISTORY}),
+        f AS (SELECT user_id, min(start_at) AS first_at FROM h GROUP BY 1)
+        SELECT h.*, CASE WHEN start_at = first_at THEN 'opened' ELSE 'updated' END AS change
+        FROM h JOIN f USING (user_id)
+        WHERE start_at > TIMESTAMP '2024-01-01 02:00:00' AND start_at <= TIMESTAMP '2024-01-06'
+        UNION ALL
+        SELECT h.*, 'closed' FROM h
+        WHERE end_at > TIMESTAMP '2024-01-01 02:00:00' AND end_at <= TIMESTAMP '2024-01-06'""",
     "stream_scd2_runs": TRACKED,
     "apply_after_compaction": HISTORY,
     "rebuild_after_compaction": RULED,

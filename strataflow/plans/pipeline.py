@@ -12,9 +12,9 @@ from pyspark.sql.streaming import StreamingQuery
 from strataflow.config import Layers, TableSpec
 from strataflow.functions.columns import drop_columns
 from strataflow.plans.ingest import Outcome, Reader, failure, run_all
-from strataflow.plans.monitor import layer_stats, record_runs, record_stats
+from strataflow.plans.monitor import record_runs, record_stats
+from strataflow.plans.tally import FlowLog, Tally, forget
 from strataflow.session import children, has_data
-from strataflow.sources.batch import read_layer
 from strataflow.sources.schema import resolve_schema
 from strataflow.sources.stream import stream_files, stream_table
 from strataflow.streaming.cdc import UNTIL, apply_changes, target_schema
@@ -94,13 +94,14 @@ def bronze_to_silver(
 
 
 def silver_to_gold(
-    spark: SparkSession, spec: TableSpec, layers: Layers, schema: T.StructType, quarantine: bool = False
+    spark: SparkSession, spec: TableSpec, layers: Layers, schema: T.StructType, quarantine: bool = False,
+    tally: Tally | None = None,
 ) -> list[StreamingQuery]:
     """Stage the silver rows that are new and bring the gold table up to date; gives the queries."""
     source = stream_table(spark, layers.path("silver", spec.table), schema).select(*schema.names)
     return [
-        *stage(source, spec.cdc, layers, quarantine),
-        apply_changes(spark, spec.cdc, schema, layers),
+        *stage(source, spec.cdc, layers, quarantine, tally=tally),
+        apply_changes(spark, spec.cdc, schema, layers, tally=tally),
     ]
 
 
@@ -175,16 +176,6 @@ def name_tables(spark: SparkSession, specs: Sequence[TableSpec], layers: Layers)
     return names
 
 
-def table_stats(spark: SparkSession, spec: TableSpec, layers: Layers) -> DataFrame:
-    """Rows, newest change and (estimated) keys of a table's layers; reads those columns only."""
-    kept = {
-        layer: read_layer(spark, layers.path(layer, spec.table))
-        for layer in ("bronze", "silver", "gold")
-        if has_data(spark, layers.path(layer, spec.table))
-    }
-    return layer_stats(kept, spec.cdc.sequence_by, spec.cdc.keys, approximate=True)
-
-
 def start(
     spark: SparkSession,
     specs: Sequence[TableSpec],
@@ -195,7 +186,10 @@ def start(
     """The flows of tables with ``once=False``, running; the handles tell of a later failure.
 
     Each looks for news every ``interval``. A table needs rows in bronze to begin with, as they give its schema.
+    Their micro-batches are written down as they end, see ``read_flows``.
     """
+    log = FlowLog(spark, layers)
+    spark.streams.addListener(log)
     running: dict[str, list[StreamingQuery]] = {}
     for spec in specs:
         begun = None if spec.cdc.once else bronze_to_silver(spark, spec, layers, interval)
@@ -203,13 +197,17 @@ def start(
             continue
         schema, query = begun
         running[spec.table] = [query]
+        log.follow(f"{spec.table}_silver", query.id)
         # The streams above need folders to look at.
         query.processAllAvailable()
         source = stream_table(spark, layers.path("silver", spec.table), schema).select(*schema.names)
         staged = stage(source, spec.cdc, layers, quarantine, interval)
         running[spec.table] += staged
+        log.follow(f"{spec.table}_stage", staged[0].id)
         staged[0].processAllAvailable()
         running[spec.table].append(apply_changes(spark, spec.cdc, schema, layers, interval))
+        log.follow(f"{spec.table}_apply", running[spec.table][-1].id)
+        forget(spark, [spec.table], layers)
     return running
 
 
@@ -226,7 +224,8 @@ def run(
     """One pass over all tables, or over those named in ``only``.
 
     With a schema in ``layers`` the silver and gold tables are named in it. ``stats`` appends each
-    layer's row count and freshness to a log, at the price of reading keys and change values.
+    layer's row count, freshness and keys to a log. They are counted while the layers are written (see ``tally``):
+    only the first pass with ``stats``, or one after a pass without, reads what was there before.
     Tables whose flows run on (``once=False``) are only landed here; see ``start``.
 
     Each layer takes what the one below has new, so a pass after a failure picks up what the
@@ -234,16 +233,23 @@ def run(
     they are raised together.
     """
     chosen = [s for s in specs if only is None or s.table in only]
-    outcomes = run_all(spark, [s.ingest for s in chosen], reader, layers, parallel)
+    tallies = {s.table: Tally(spark, s, layers) for s in chosen if stats and s.cdc.once}
+    counted = {table for table, tally in tallies.items() if tally.begin()}
+    forget(spark, [s.table for s in chosen if s.table not in counted], layers)
+    counting = {s.ingest.table: tallies[s.table] for s in chosen if s.table in counted}
+    outcomes = run_all(spark, [s.ingest for s in chosen], reader, layers, parallel, counting)
     record_runs(spark, outcomes, layers)
 
     def upwards(spec: TableSpec) -> Outcome | None:
+        tally = tallies.get(spec.table)
         try:
             begun = bronze_to_silver(spark, spec, layers) if spec.cdc.once else None
             if begun is not None:
-                silver_to_gold(spark, spec, layers, begun[0], quarantine)
-            if stats and has_data(spark, layers.path("bronze", spec.table)):
-                found = table_stats(spark, spec, layers)
+                adding = tally if spec.table in counted else None
+                silver_to_gold(spark, spec, layers, begun[0], quarantine, adding)
+            if tally and begun is not None:
+                tally.end(spec.table in counted)
+                found = tally.totals(begun[0][spec.cdc.sequence_by].dataType)
                 record_stats(spark, outcomes[0].run_id, spec.table, found, layers)
             return None
         except Exception as error:

@@ -25,8 +25,8 @@ from strataflow.plans.pipeline import run, silver_schema
 from strataflow.session import put_marker, remove_folder, scratch_dir
 from strataflow.sources import read_layer, read_since, read_table, resolve_schema, stream_files
 from strataflow.streaming import (
-    append_known, append_stream, append_within, apply_changes, read_gold, read_snapshot, rebuild, stage,
-    stream_dedupe, stream_dedupe_changes, write_snapshot,
+    append_known, append_stream, append_within, apply_changes, changes_between, read_as_of, read_gold,
+    read_snapshot, rebuild, stage, stream_dedupe, stream_dedupe_changes, write_snapshot,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -711,6 +711,25 @@ def stream_merge_scd2(spark, sf):
     return applied(spark, sf, spec, batches)
 
 
+@query
+def gold_as_of(spark, sf):
+    """The history as it was at a moment, from the periods that end after it."""
+    layers = work(spark, "as_of")
+    spec = CdcSpec("events", ["user_id"], "ts", 2, buckets=4, period="week")
+    schema = filled(spark, sf, spec, table(spark, sf, "events"), layers)
+    return named(read_as_of(spark, spec, layers, schema, HALF))
+
+
+@query
+def gold_changes(spark, sf):
+    """What became of the history in five days: versions that came, and versions that went."""
+    layers = work(spark, "feed")
+    spec = CdcSpec("events", ["user_id"], "ts", 2, buckets=4, period="week")
+    schema = filled(spark, sf, spec, table(spark, sf, "events"), layers)
+    feed = changes_between(spark, spec, layers, schema, "2024-01-01 02:00:00", "2024-01-06")
+    return named(feed).withColumnRenamed("__change", "change")
+
+
 @query
 def snapshot_sum(spark, sf):
     """Two datasets, the second computed from the first as it was written."""

@@ -25,6 +25,7 @@ from strataflow.operators.quality import broken_rules, expect_all_or_drop, repor
 from strataflow.session import (
     has_data, put_marker, read_marker, read_markers, remove_folder, scratch_dir, session_copy,
 )
+from strataflow.sources.batch import bound
 from strataflow.streaming.changelog import (
     BATCH, BUCKET, compact, due, log_path, log_schema, mark_applied, read_log, release, rules_of, stage,
 )
@@ -266,8 +267,10 @@ def apply_changes(
     schema: T.StructType,
     layers: Layers,
     interval: str = "1 minute",
+    tally: Any = None,
 ) -> StreamingQuery:
-    """Keep the gold table up to date with its log. ``schema`` is that of the staged rows.
+    """Keep the gold table up to date with its log. ``schema`` is that of the staged rows; a ``tally`` counts the
+    partitions that are written.
 
     Only partitions that a micro-batch can change are read and overwritten. The overwrite is not
     atomic, so a small file that names the buckets stands while it lasts; a run that finds some left
@@ -282,6 +285,8 @@ def apply_changes(
         release(spark, spec, schema, layers)
     if has_data(spark, target) and (not known or known[-1] != spec.fingerprint):
         rebuild(spark, spec, schema, layers)
+        if tally:
+            tally.put_gold(_read_target(spark, spec, layers, schema), F.lit(True))
     _remember(spark, spec, layers)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
@@ -309,6 +314,8 @@ def apply_changes(
             rows, affected = _with_table(batch, spec, schema, layers, touched)
         anew = from_log and touched is None
         _overwrite(session, rows, spec, schema, layers, touched, affected, anew)
+        if tally:
+            tally.put_gold(_read_target(session, spec, layers, schema), F.lit(True) if anew else affected)
         mark_applied(session, spec, layers, names)
         if due(session, spec, layers):
             compact(session, spec, schema, layers)
@@ -391,3 +398,51 @@ def read_current(
     elif spec.scd_type == 2:
         table = table.where(F.col(END).isNull())
     return table.drop(BUCKET, UNTIL)
+
+
+def _since(
+    spark: SparkSession, spec: CdcSpec, layers: Layers, schema: T.StructType, moment: Column
+) -> DataFrame:
+    """The versions that end after a moment, or haven't; of a table kept by period in those periods only."""
+    table = _read_target(spark, spec, layers, schema)
+    if spec.by_period:
+        floor = period_of(moment, schema[spec.sequence_by].dataType, spec.period)
+        table = table.where(F.col(UNTIL) >= floor)
+    return table.where(F.col(END).isNull() | (F.col(END) > moment)).drop(BUCKET, UNTIL)
+
+
+def read_as_of(
+    spark: SparkSession, spec: CdcSpec, layers: Layers, schema: T.StructType, moment: Any
+) -> DataFrame:
+    """The versions of a history that were valid at a moment; the start belongs to a version, the end doesn't.
+
+    Only periods that end after the moment are read.
+    """
+    spec = spec.resolved(schema)
+    at = bound(moment, schema[spec.sequence_by].dataType)
+    return _since(spark, spec, layers, schema, at).where(F.col(START) <= at)
+
+
+def changes_between(
+    spark: SparkSession, spec: CdcSpec, layers: Layers, schema: T.StructType, after: Any, upto: Any
+) -> DataFrame:
+    """What happened to a history with ``after < time <= upto``, as versions with a column ``__change``.
+
+    ``opened``: the first version of a key, or one that takes the place of none; ``updated``: a version
+    whose start is another's end; ``closed``: a version that ended, its end being the time. So an update is two
+    rows, the version that came and the one that went. With untracked columns a version counts by its
+    first change. Only periods that end after ``after`` are read.
+    """
+    spec = spec.resolved(schema)
+    kind = schema[spec.sequence_by].dataType
+    low, high = bound(after, kind), bound(upto, kind)
+    # A version that ends at the first moment after ``after`` is needed to tell an update from an opening.
+    table = _since(spark, spec, layers, schema, low).where(F.col(START) <= high)
+    closed = table.where((F.col(END) > low) & (F.col(END) <= high))
+    came = table.where(F.col(START) > low)
+    ends = closed.select(*[F.col(k).alias(f"__k{n}") for n, k in enumerate(spec.keys)], F.col(END).alias("__ended"))
+    same = _all([F.col(k).eqNullSafe(F.col(f"__k{n}")) for n, k in enumerate(spec.keys)])
+    follows = came.join(ends, same & (F.col(START) == F.col("__ended")), "left")
+    kind_of = F.when(F.col("__ended").isNull(), F.lit("opened")).otherwise(F.lit("updated"))
+    news = follows.select(*table.columns, kind_of.alias("__change"))
+    return news.unionAll(closed.select(*table.columns, F.lit("closed").alias("__change")))

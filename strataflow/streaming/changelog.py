@@ -62,7 +62,8 @@ def checkpoint_token(spark: SparkSession, checkpoint: str) -> str:
 
 
 def _write_batch(
-    rows: DataFrame, spec: CdcSpec, layers: Layers, name: str, rules: dict[str, str], quarantine: bool
+    rows: DataFrame, spec: CdcSpec, layers: Layers, name: str, rules: dict[str, str], quarantine: bool,
+    tally: Any = None,
 ) -> None:
     """Rows of one batch into the log and, of those that fail a rule, into quarantine; in one pass."""
     spark = rows.sparkSession
@@ -73,13 +74,17 @@ def _write_batch(
         return
     passes = F.size(FAILED) == 0
     marked = classify(rows, rules).withColumn(VERDICT, passes)
-    marked = marked if quarantine else marked.where(VERDICT)
+    marked = marked if quarantine or tally else marked.where(VERDICT)
     own = bucket_of(spec.keys, spec.buckets, spec.bucket_expr)
     marked = marked.withColumn(BUCKET, F.when(F.col(VERDICT), own).otherwise(F.lit(-1).cast("long")))
     incoming = f"{layers.path('stg', '_incoming')}/{spec.table}-{name}-{uuid.uuid4().hex[:8]}"
     # Sized by bytes: small buckets share a task, a large bucket gets many.
-    parted = marked.hint("rebalance", VERDICT, BUCKET).write.partitionBy(VERDICT, BUCKET)
-    parted.parquet(incoming)
+    marked = marked.hint("rebalance", VERDICT, BUCKET)
+    if tally:
+        # Behind the shuffle, where a task that is run again is not counted again.
+        marked, counted = tally.watched(marked)
+        marked = marked if quarantine else marked.where(VERDICT)
+    marked.write.partitionBy(VERDICT, BUCKET).parquet(incoming)
     # Quarantine first: a batch that is in the log is done.
     for verdict in ("false", "true"):
         if verdict in places and not path_exists(spark, places[verdict]):
@@ -89,6 +94,8 @@ def _write_batch(
             else:
                 make_folder(spark, places[verdict])
     remove_folder(spark, incoming)
+    if tally:
+        tally.put("silver", name, counted)
 
 
 def stage(
@@ -97,8 +104,9 @@ def stage(
     layers: Layers,
     quarantine: bool = False,
     interval: str = "1 minute",
+    tally: Any = None,
 ) -> list[StreamingQuery]:
-    """Append a stream of change rows to the table's log; optionally keep the rejected rows.
+    """Append a stream of change rows to the table's log; optionally keep the rejected rows, and count all.
 
     The source is read once: valid and rejected rows are told apart as they are written.
     """
@@ -110,7 +118,7 @@ def stage(
     token = checkpoint_token(spark, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        _write_batch(batch, spec, layers, f"{batch_id:012d}-{token}", rules, quarantine)
+        _write_batch(batch, spec, layers, f"{batch_id:012d}-{token}", rules, quarantine, tally)
 
     writer = source.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if spec.once else writer.trigger(processingTime=interval)

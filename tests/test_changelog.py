@@ -17,7 +17,8 @@ from strataflow.plans.ingest import ingest_table, land
 from strataflow.session import children, put_marker
 from strataflow.sources import read_since, stream_files
 from strataflow.streaming import (
-    append_known, apply_changes, cdc, changelog, dedupe, read_current, read_gold, rebuild, stage,
+    append_known, apply_changes, cdc, changelog, changes_between, dedupe, read_as_of, read_current, read_gold,
+    rebuild, stage,
 )
 
 
@@ -353,3 +354,24 @@ def test_the_null_count_is_pushed_down(spark, layers):
     news = read_since(lambda: spark.read.schema(DATED).parquet(path), "at", "2024-01-05", or_null=True)
     plan = news._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [Or(GreaterThan(at" in plan and "IsNull(at)" in plan
+
+
+@pytest.mark.parametrize("untracked", [(), ("u",)])
+def test_time_travel_and_change_feed(spark, layers, untracked):
+    spec, data = merged(untracked=untracked), dated(changes(150, 46))
+    dated_flow(spark, layers, spec, data[:100])
+    dated_flow(spark, layers, spec, data[100:])
+    schema, history = spark.createDataFrame([], DATED).schema, expected(data, bool(untracked))
+    starts, ends = -2, -1
+    low, high = datetime(2024, 3, 1), datetime(2024, 5, 7)
+    for moment in (low, high, datetime(2023, 1, 1), datetime(2030, 1, 1)):
+        want = [r for r in history if r[starts] <= moment and (r[ends] is None or r[ends] > moment)]
+        assert rows(read_as_of(spark, spec, layers, schema, moment)) == want
+    feed = changes_between(spark, spec, layers, schema, low, high)
+    ended = {(r[0], r[ends]) for r in history}
+    want = [(*r, "updated" if (r[0], r[starts]) in ended else "opened") for r in history if low < r[starts] <= high]
+    want += [(*r, "closed") for r in history if r[ends] and low < r[ends] <= high]
+    assert rows(feed) == sorted(want, key=lambda r: [(v is not None, v) for v in r])
+    for found in (feed, read_as_of(spark, spec, layers, schema, low)):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(__until" in plan and ">= 2024-03-01" in plan
