@@ -3,10 +3,12 @@
 The tree is fitted on a bounded sample and sent to every task; every vector is put into its leaf. A
 query takes leaves from a priority queue over the nodes seen so far. How many leaves are visited is
 calibrated: for some queries the true neighbours are found by scanning all rows, and the visits
-are widened until the wanted share of them lies in visited leaves. A query whose leaves hold too few
-candidates goes on. Neighbouring leaves make up
-cells of bounded size, and a query gets its nearest of all the leaves it visits in a cell; a leaf with
-many vectors, and a cell with many visits, is split.
+are widened until the wanted share of all of them lies in visited leaves, and of nearly each query's own at
+least half. What that finds is measured on other queries. Where it takes more than half of the leaves, as
+with vectors of little structure, the tree saves nothing: all leaves are visited, and the search is exact.
+A query whose leaves hold too few candidates goes on. Neighbouring leaves make up cells of bounded size,
+and a query is multiplied with the rows of the leaves that it visits in a cell; a leaf with many vectors, and
+a cell with many visits, is split.
 """
 
 from __future__ import annotations
@@ -29,8 +31,11 @@ BRANCH = 16
 #: Rows per leaf that the depth of the tree aims at, and the least sample rows that a leaf is cut from.
 LEAF_ROWS = 256
 SAMPLE_LEAF = 8
+#: Queries that the visits are calibrated with, and as many others that the recall is measured with.
 CALIBRATED = 100
-RECALL = 0.95
+RECALL = 0.97
+#: The share of queries that may find less than half of their neighbours, by the calibration.
+POOR = 0.01
 #: Numbers in the vectors of one cell, and queries that visit it.
 CELL_NUMBERS = 1 << 19
 CELL_QUERIES = 4_096
@@ -152,7 +157,8 @@ def nearest(
     id_column: str = "vec_id",
     vector_column: str = "embedding",
 ) -> tuple[DataFrame, dict[str, float]]:
-    """query_id, rank, vec_id, score of the ``k`` nearest found of every query, and the calibration.
+    """query_id, rank, vec_id, score of the ``k`` nearest found of every query, and the calibration: leaves,
+    visits, recall and the share of poor queries (less than half found), both measured on queries of their own.
 
     Queries are the rows whose id is divisible by ``query_every``. Vectors that are NULL, zero, of
     another length than most, or hold NULL or non-finite numbers take no part, nor do NULL ids.
@@ -167,7 +173,7 @@ def nearest(
     common = rows.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), "n").first()
     schema = "query_id long, rank int, vec_id long, score double"
     if common is None:
-        return spark.createDataFrame([], schema), {"leaves": 0, "visits": 0, "recall": 1.0}
+        return spark.createDataFrame([], schema), {"leaves": 0, "visits": 0, "recall": 1.0, "poor": 0.0}
     size = common["n"]
     rows = rows.where(F.size("vector") == size)
 
@@ -190,13 +196,14 @@ def nearest(
         rows.mapInArrow(assign, "vec_id long, leaf long, vector binary").distinct(), "index"
     )
     queries = index.where(F.col("vec_id") % query_every == 0)
-    visits, measured = calibrate(index, queries, tree, size, k, recall)
+    visits, measured, poor = calibrate(index, queries, tree, size, k, recall)
 
     # A row for each leaf, of which there are no more than the sample allows.
     held = np.zeros(tree_leaves, np.int64)
     for leaf, count in index.groupBy("leaf").count().collect():
         held[leaf] = count
     cell_of, parts_of = cells(held, max(256, CELL_NUMBERS // size))
+    used_cells = np.unique(cell_of[held > 0]).tolist()
     # Ids, each counted in one of its leaves: a query must meet ``k`` besides its own.
     counted = np.zeros(tree_leaves, np.int64)
     first = index.groupBy("vec_id").agg(F.min("leaf").alias("leaf"))
@@ -208,6 +215,10 @@ def nearest(
             rows: list[tuple] = []
             own = _matrix(batch.column("vector"), size)
             for name, query in zip(batch.column("vec_id").to_pylist(), own):
+                if visits >= tree_leaves:
+                    # All of a cell's leaves are meant where none is named.
+                    rows += [(name, cell, [], query.tobytes()) for cell in used_cells]
+                    continue
                 leaves = np.sort(tree.reach(query, visits, counted, k + 1))
                 leaves = leaves[held[leaves] > 0]
                 cuts = np.flatnonzero(np.diff(cell_of[leaves])) + 1
@@ -246,17 +257,28 @@ def nearest(
     def compare(own: pd.DataFrame, calls: pd.DataFrame) -> pd.DataFrame:
         if not len(own) or not len(calls):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+        own = own.sort_values("leaf", kind="stable")
         ids, vectors = own["vec_id"].to_numpy(), _matrix(own["vector"], size)
-        names, leaf = np.unique(own["leaf"].to_numpy(), return_inverse=True)
+        names, starts = np.unique(own["leaf"].to_numpy(), return_index=True)
+        ends = np.r_[starts[1:], len(ids)]
         query_ids, asking = calls["query_id"].to_numpy(), _matrix(calls["query"], size)
         out = []
         for begin in range(0, len(asking), 256):
-            close = asking[begin : begin + 256] @ vectors.T
-            for q in range(len(close)):
-                name, query = query_ids[begin + q], asking[begin + q]
-                seen = np.isin(names, calls["leaves"].iloc[begin + q])[leaf]
-                near = np.where(seen, close[q], -np.inf)
-                found, scores = best(ids, vectors, name, query, near, k)
+            part = asking[begin : begin + 256]
+            asked_leaves = calls["leaves"].iloc[begin : begin + 256]
+            seen = np.zeros((len(part), len(names)), bool)
+            for q, leaves in enumerate(asked_leaves):
+                seen[q] = True if not len(leaves) else np.isin(names, leaves)
+            close = np.full((len(part), len(ids)), -np.inf)
+            if seen.all():
+                close = part @ vectors.T
+            else:
+                for leaf in np.flatnonzero(seen.any(axis=0)):
+                    who, rows = np.flatnonzero(seen[:, leaf]), slice(starts[leaf], ends[leaf])
+                    close[who, rows] = part[who] @ vectors[rows].T
+            for q, query in enumerate(part):
+                name = query_ids[begin + q]
+                found, scores = best(ids, vectors, name, query, close[q], k)
                 out.append((np.full(len(found), name), found, scores))
         columns = [np.concatenate(x) for x in zip(*out)]
         return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), columns)))
@@ -269,7 +291,7 @@ def nearest(
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     found = saved(ranked.select("query_id", "rank", "vec_id", "score"), "nearest")
-    return found, {"leaves": tree_leaves, "visits": visits, "recall": measured}
+    return found, {"leaves": tree_leaves, "visits": visits, "recall": measured, "poor": poor}
 
 
 def cells(held: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -288,11 +310,14 @@ def cells(held: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
 
 def calibrate(
     index: DataFrame, queries: DataFrame, tree: Tree, size: int, k: int, recall: float
-) -> tuple[int, float]:
-    """Leaves to visit, and the recall measured, by a scan of all rows for CALIBRATED queries."""
-    chosen = queries.orderBy(F.xxhash64("vec_id", F.lit(1)), "vec_id").limit(CALIBRATED).collect()
+) -> tuple[int, float, float]:
+    """Leaves to visit, and the recall and the share of poor queries measured, by a scan of all rows.
+
+    Every other query of 2 * CALIBRATED settles the visits; the others measure what they find.
+    """
+    chosen = queries.orderBy(F.xxhash64("vec_id", F.lit(1)), "vec_id").limit(2 * CALIBRATED).collect()
     if not chosen:
-        return 1, 1.0
+        return 1, 1.0, 0.0
     names = np.array([r["vec_id"] for r in chosen])
     asking = np.frombuffer(b"".join(r["vector"] for r in chosen), "<f8").reshape(-1, size)
 
@@ -324,9 +349,26 @@ def calibrate(
     true = pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     places = {q: {leaf: n for n, leaf in enumerate(tree.visits(asking[q], len(tree.leaf)))}
               for q in range(len(names))}
-    # k rows for each of a fixed number of queries.
-    needed = np.sort([places[r["q"]][r["leaf"]] for r in true.select("q", "leaf").collect()])
-    if not len(needed):
-        return 1, 1.0
-    visits = int(needed[int(np.ceil(recall * len(needed))) - 1]) + 1
-    return visits, float((needed < visits).mean())
+    # k rows for each of a fixed number of queries: how many visits it takes to find each.
+    needed: dict[int, list[int]] = {}
+    for q, leaf in true.select("q", "leaf").collect():
+        needed.setdefault(q, []).append(places[q][leaf] + 1)
+    if not needed:
+        return 1, 1.0, 0.0
+    return settled(needed, len(tree.leaf), recall)
+
+
+def settled(needed: dict[int, list[int]], leaves: int, recall: float) -> tuple[int, float, float]:
+    """Visits, recall and share of poor queries from the visits needed for each neighbour of each query."""
+    fitting = [sorted(n) for q, n in sorted(needed.items()) if q % 2 == 0 or len(needed) == 1]
+    pooled = np.sort(np.concatenate([fitting[0], *fitting[1:]]))
+    visits = int(pooled[int(np.ceil(recall * len(pooled))) - 1])
+    # To find half of a query's neighbours takes as many visits as the middle one of them does.
+    halves = np.sort([own[(len(own) + 1) // 2 - 1] for own in fitting])
+    visits = max(visits, int(halves[int(np.ceil((1 - POOR) * len(halves))) - 1]))
+    if 2 * visits > leaves:
+        return leaves, 1.0, 0.0
+    others = [np.array(n) for q, n in needed.items() if q % 2 or len(needed) == 1]
+    found = [(own <= visits).mean() for own in others]
+    hits = np.concatenate(others) <= visits
+    return visits, float(hits.mean()), float(np.mean(np.array(found) < 0.5))

@@ -57,13 +57,13 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    blocks, table = write_token_files(
+    folder = write_token_files(
         read(spark, sf_dir, "documents"),
         public_tokenizers.path("byte_bpe_50k.json"),
         end_id=0,
         vocabulary=50_257,
     )
-    return read_token_files(blocks, table)
+    return read_token_files(spark, folder)
 
 
 @query

@@ -10,7 +10,8 @@ Format, all little-endian. A block holds the ids of whole documents and can be r
 Id ``i`` belongs to lane ``i % lanes``; each lane is a coder of its own with a 64-bit state that
 takes in or gives out 32-bit words. All blocks share one table of frequencies, counted over the whole
 corpus and scaled to 2**SCALE. A checkpoint has what decoding needs to start at its step.
-A file is a Parquet table of such blocks, with the ids and lengths of the documents in each.
+A folder of token files has a Parquet table of such blocks, with the ids and lengths of the documents in
+each, and one of a single row with the frequencies; a reader needs nothing else.
 """
 
 from __future__ import annotations
@@ -21,16 +22,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import saved, texts
+from strataflow.llm.common import BATCH_ROWS, saved, ship, texts
 from strataflow.llm.tokens import chunk_ids, encoded, library_encoder
+from strataflow.session import scratch_dir, session_conf
 
 SCALE = 20
 LANES = 1024
 STEPS = 128
 BLOCK_IDS = 1 << 18
+BLOCKS = (
+    "part long, block long, first long, n_ids long, doc_ids array<long>, lengths array<long>, "
+    "payload binary"
+)
 _HEAD = struct.Struct("<4s9I")
 _LOW = np.uint64(1 << 31)
 _WORD = np.uint64(32)
@@ -187,10 +193,11 @@ def write_token_files(
     vocabulary: int,
     id_column: str = "doc_id",
     text_column: str = "text",
-) -> tuple[DataFrame, np.ndarray]:
-    """The token file table in ascending order of id, and its frequency table.
+) -> str:
+    """Writes the token files of ``docs`` and gives their folder, which holds all that a reader needs.
 
-    Columns: part, block, first (ids before it in its part), n_ids, doc_ids, lengths, payload. Parts
+    ``blocks`` is a table in ascending order of id, ``table`` the frequencies that its blocks are coded by,
+    with a checksum. Columns of blocks: part, block, first (ids before it in its part), n_ids, doc_ids, lengths, payload. Parts
     and blocks ascend with the ids of documents; NULL ids come first; repeated ids lie together. A
     NULL or empty text has the end id only. A block ends with a document, so a very long text makes
     one long block (with its checkpoints). An empty table makes no blocks.
@@ -236,16 +243,27 @@ def write_token_files(
         .sortWithinPartitions("doc_id", "h")
         .select("doc_id", "n", "ids", F.spark_partition_id().cast("long").alias("part"))
     )
-    blocks = ordered.mapInArrow(
-        run,
-        "part long, block long, first long, n_ids long, doc_ids array<long>, "
-        "lengths array<long>, payload binary",
-    )
-    return saved(blocks, "token-files"), table
+    blocks = ordered.mapInArrow(run, BLOCKS)
+    folder = scratch_dir(docs.sparkSession, "token-files")
+    with session_conf(docs.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS)}):
+        blocks.write.option("compression", "zstd").parquet(f"{folder}/blocks")
+    raw = table.astype("<i8").tobytes()
+    one = docs.sparkSession.createDataFrame([(raw, zlib.crc32(raw))], "frequencies binary, crc32 long")
+    one.coalesce(1).write.parquet(f"{folder}/table")
+    return folder
+
 
+def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Decodes every block of a folder of token files: doc_id, start, n_tokens, ids_crc32.
 
-def read_token_files(blocks: DataFrame, table: np.ndarray) -> DataFrame:
-    """Decodes every block: doc_id, start, n_tokens, ids_crc32; a broken block raises an error."""
+    Nothing but the folder is needed. A broken table or block raises an error.
+    """
+    ship(spark)
+    blocks = spark.read.schema(BLOCKS).parquet(f"{folder}/blocks")
+    raw, crc = spark.read.parquet(f"{folder}/table").select("frequencies", "crc32").first()
+    if zlib.crc32(raw) != crc:
+        raise CorruptBlock("the frequency table is damaged")
+    table = np.frombuffer(raw, "<i8").astype(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder(table)

@@ -86,13 +86,15 @@ def test_few_rows(spark, rows):
 def test_outliers_get_all_their_rows(spark, monkeypatch):
     """Groups of copies make the calibrated visits few; a small outlying leaf has too few rows."""
     monkeypatch.setattr(ann, "LEAF_ROWS", 20)
+    # The outliers would widen the visits of all, if they counted.
+    monkeypatch.setattr(ann, "POOR", 0.2)
     centres = np.eye(12) * 10
     rows = [(k, centres[k // 20 % 12].tolist()) for k in range(1, 2400)]
     rows += [
         (20_000 + 1000 * k + j, (-(20 + j / 10) * centres[k]).tolist()) for k in range(3) for j in range(8)
     ]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
-    found, info = nearest(table, k=20, query_every=20)
+    found, info = nearest(table, k=20, query_every=20, recall=0.95)
     queries = [i for i, _ in rows if i % 20 == 0]
     assert info["visits"] < info["leaves"] / 4
     assert {q: len(own) for q, own in got(found).items()} == dict.fromkeys(queries, 20)
@@ -109,3 +111,57 @@ def test_visits_go_on_until_enough():
 def test_cells():
     cell, parts = cells(np.array([3, 4, 2, 30, 0, 1]), 8)
     assert cell.tolist() == [0, 0, 1, 2, 3, 3] and parts.tolist() == [1, 1, 1, 4, 1, 1]
+
+
+def clustered(count, seed):
+    """Groups of very different sizes and widths around centres of different lengths."""
+    chance = np.random.default_rng(seed)
+    centres = chance.normal(0, 1, (60, 16)) * chance.uniform(0.3, 3, (60, 1))
+    group = np.minimum(chance.geometric(0.06, count) - 1, 59)
+    rows = centres[group] + chance.normal(0, 0.15, (count, 16)) * chance.uniform(0.1, 2, (60, 1))[group]
+    return [(k, v.tolist()) for k, v in enumerate(rows)]
+
+
+def test_recall_of_each_query(spark):
+    """What is reported holds for all queries; none of them goes without."""
+    rows = clustered(6_400, 11)
+    found, info = nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4))
+    want, own = brute(rows, 20, 20), got(found)
+    each = [len({i for i, _ in want[q]} & {i for i, _ in own[q]}) / 20 for q in want]
+    assert np.mean(each) >= 0.95 and abs(np.mean(each) - info["recall"]) < 0.05
+    assert min(each) > 0 and np.mean(np.array(each) < 0.5) <= 0.02
+
+
+def test_exact_where_the_tree_saves_nothing(spark):
+    chance = np.random.default_rng(12)
+    rows = [(k, chance.normal(0, 1, 24).tolist()) for k in range(3_000)]
+    found, info = nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4))
+    assert info == {"leaves": info["leaves"], "visits": info["leaves"], "recall": 1.0, "poor": 0.0}
+    want, own = brute(rows, 20, 20), got(found)
+    assert {q: [i for i, _ in v] for q, v in own.items()} == {q: [i for i, _ in v] for q, v in want.items()}
+
+
+def test_visits_are_settled_for_each_query():
+    # Nine neighbours in ten are in the first leaf, but one query of two needs 30 visits for any.
+    needed = {q: [1] * 20 for q in range(0, 190)} | {q: [30] * 20 for q in range(190, 200)}
+    visits, recall, poor = ann.settled(needed, 100, 0.9)
+    assert (visits, recall, poor) == (30, 1.0, 0.0)
+    assert ann.settled(needed, 50, 0.9) == (50, 1.0, 0.0)
+    # Measured on others than those that settle the visits.
+    needed = {q: [1] * 20 if q % 2 == 0 else [1] * 15 + [9] * 5 for q in range(200)}
+    assert ann.settled(needed, 100, 0.97) == (1, 0.75, 0.0)
+
+
+def test_scores_of_visited_leaves_only(spark, monkeypatch):
+    """With few visits, what is found has its exact score, and nothing is found elsewhere."""
+    monkeypatch.setattr(ann, "POOR", 0.7)
+    rows = clustered(4_000, 13)
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(2)
+    monkeypatch.setattr(ann, "LEAF_ROWS", 40)
+    exact = brute(rows, 20, 20)
+    found, info = nearest(table, recall=0.3)
+    assert info["visits"] <= info["leaves"] / 2 and info["recall"] < 0.9
+    scores = {q: dict(v) for q, v in brute(rows, len(rows), 20).items()}
+    own = got(found)
+    assert own.keys() == exact.keys()
+    assert all(abs(scores[q][i] - s) < 1e-9 for q, v in own.items() for i, s in v)

@@ -90,8 +90,9 @@ def test_byte_bpe(name, request):
 @pytest.mark.parametrize("name", ["edge_docs", "small_docs", "no_docs"])
 def test_token_files(name, request):
     docs, encode = request.getfixturevalue(name), library(BYTES)
-    blocks, table = write_token_files(docs, BYTES, 0, 50_257)
-    got = found(read_token_files(blocks, table), "start", "doc_id", "n_tokens", "ids_crc32")
+    folder = write_token_files(docs, BYTES, 0, 50_257)
+    # A session of its own knows nothing but the folder.
+    got = found(read_token_files(docs.sparkSession.newSession(), folder), "start", "doc_id", "n_tokens", "ids_crc32")
     want, start = [], 0
     for doc, text in sorted(rows(docs), key=lambda r: (r[0] is not None, r[0])):
         ids = encode(text) + [0]
@@ -103,6 +104,19 @@ def test_token_files(name, request):
     assert in_order(r[1:] for r in got) == in_order(want)
 
 
+def test_a_damaged_table_is_refused(small_docs):
+    spark = small_docs.sparkSession
+    folder = write_token_files(small_docs.limit(3), BYTES, 0, 50_257)
+    row = spark.read.parquet(f"{folder}/table").first()
+    broken = bytearray(row["frequencies"])
+    broken[9] ^= 1
+    other = f"{folder}-broken"
+    spark.createDataFrame([(broken, row["crc32"])], "frequencies binary, crc32 long").write.parquet(f"{other}/table")
+    spark.read.parquet(f"{folder}/blocks").write.parquet(f"{other}/blocks")
+    with pytest.raises(CorruptBlock):
+        read_token_files(spark, other)
+
+
 @pytest.mark.parametrize("n", [0, 1, 7, 8, 1000, 4097])
 def test_blocks(n):
     ids = np.random.default_rng(n).zipf(1.5, n) % 300
