@@ -15,7 +15,6 @@ from pyspark.sql import types as T
 
 from strataflow.config import IngestSpec, Layers
 from strataflow.functions.keys import row_digest
-from strataflow.operators.aggregates import high_watermark
 from strataflow.session import has_data, remove_folder
 from strataflow.sources.batch import SENTINEL, bound, portable, read_since, shown
 
@@ -116,8 +115,11 @@ def ingest_table(
     low, limit = window if window else (store.get(spec, data_type), None)
     since = shown(low, data_type)
     news = read_since(lambda: reader(spec), spec.cdc_col, low, limit, or_null=True)
-    news = high_watermark(news, spec.cdc_col).select(portable("high", data_type), "n_rows", "n_null")
-    high, n_rows, n_null = news.first()
+    without = F.count_if(F.col(spec.cdc_col).isNull())
+    news = news.agg(
+        F.max(spec.cdc_col).alias("high"), F.count(spec.cdc_col).alias("n_rows"), without.alias("n_null")
+    )
+    high, n_rows, n_null = news.select(portable("high", data_type), "n_rows", "n_null").first()
     rows = read_since(lambda: reader(spec), spec.cdc_col, low, high) if n_rows else None
     there = lambda: spark.read.schema(schema).parquet(bronze)
     if rows is not None and only_lacking:
