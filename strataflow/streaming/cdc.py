@@ -182,7 +182,7 @@ def _with_runs(
 
     splits = (F.col(seq) == F.col("__low")) | ~F.col("__was").eqNullSafe(F.col("__is"))
     hit = runs.join(new, meets(same_key) & splits, "left_semi").drop("__was")
-    folder = scratch_dir(session, "split-runs")
+    folder = f"{_splits(spec, layers)}/{uuid.uuid4().hex}"
     hit.write.parquet(folder)
     hit = session.read.schema(hit.schema).parquet(folder)
     ends = hit.agg(F.min("__low"), F.max("__high")).first()
@@ -203,6 +203,11 @@ def _all(conditions: list[Column]) -> Column:
     return out
 
 
+def _splits(spec: CdcSpec, layers: Layers) -> str:
+    """Where a merge keeps the runs that its new rows split, until it is done."""
+    return layers.state("split", spec.flow)
+
+
 def _attempts(spec: CdcSpec, layers: Layers) -> str:
     return layers.state("attempt", spec.flow)
 
@@ -231,6 +236,7 @@ def _left(session: SparkSession, spec: CdcSpec, layers: Layers) -> str | list[in
 
 def _done(session: SparkSession, spec: CdcSpec, layers: Layers) -> None:
     remove_folder(session, _attempts(spec, layers))
+    remove_folder(session, _splits(spec, layers))
     remove_folder(session, f"{layers.state('apply', spec.flow)}/in_progress")
 
 
