@@ -23,8 +23,6 @@ from strataflow.llm.tokens import chunk_ids, encoded, library_encoder
 
 #: Pieces that one task packs.
 GROUP = 32_768
-#: The search ends once so many of the least full sequences in a row can't be improved.
-PATIENCE = 16
 
 
 def best_fit(lengths: np.ndarray, capacity: int) -> np.ndarray:
@@ -49,56 +47,78 @@ def best_fit(lengths: np.ndarray, capacity: int) -> np.ndarray:
     return found
 
 
-def improve(
-    lengths: np.ndarray, bins: np.ndarray, capacity: int, patience: int = PATIENCE
-) -> np.ndarray:
-    """Local search from a packing; never more sequences than before, often fewer."""
+def _reach(
+    sums: np.ndarray, theirs: np.ndarray, room: np.ndarray, over: np.ndarray
+) -> tuple[int, int, int]:
+    """The best exchange of one of ``sums`` (ascending) for one of ``theirs``: value, which sum, which of theirs.
+
+    A sequence gains the sum less its own piece, at most its room. The growth of squared fills rises with the
+    gain, so the largest sum that fits is the best for each of ``theirs``.
+    """
+    if not len(sums) or not len(theirs):
+        return 0, -1, -1
+    at = np.searchsorted(sums, theirs + room, side="right") - 1
+    gain = np.where(at >= 0, sums[np.maximum(at, 0)] - theirs, 0)
+    value = np.where(gain > 0, 2 * gain * (over + gain), 0)
+    k = int(np.argmax(value))
+    return int(value[k]), int(at[k]), k
+
+
+def improve(lengths: np.ndarray, bins: np.ndarray, capacity: int) -> np.ndarray:
+    """Local search from a packing; never more sequences than before, often fewer.
+
+    Every underfull sequence is tried as a source, the least full first, until no source has an improving
+    exchange or the sequences are as few as their tokens allow. A source that failed is only compared
+    with sequences that have changed since.
+    """
     lengths, bins = lengths.astype(np.int64), bins.copy()
     if not len(bins):
         return bins
     fill = np.bincount(bins, lengths).astype(np.int64)
-    fewest = -(-int(lengths.sum()) // capacity)
-    stuck: set[int] = set()
-    while (fill > 0).sum() > fewest and len(stuck) < patience:
-        open_bins = np.flatnonzero((fill > 0) & (fill < capacity))
-        rest = [b for b in open_bins[np.argsort(fill[open_bins])].tolist() if b not in stuck]
-        if len(rest) < 2:
-            break
-        source = rest[0]
-        own = np.flatnonzero(bins == source)
-        # Partners: a piece of a fuller, underfull sequence, or its free room (index -1).
-        partner = np.flatnonzero((fill[bins] < capacity) & (fill[bins] >= fill[source]))
-        partner = partner[bins[partner] != source]
-        targets = open_bins[(fill[open_bins] >= fill[source]) & (open_bins != source)]
-        theirs = np.r_[lengths[partner], np.zeros(len(targets), np.int64)]
-        at = np.r_[bins[partner], targets]
-        piece = np.r_[partner, np.full(len(targets), -1)]
-        room = capacity - fill[at]
-        gives = [(a,) for a in own.tolist()] + [
-            (a, b) for i, a in enumerate(own.tolist()) for b in own.tolist()[i + 1 :]
-        ]
-        best, move = 0, None
-        for given in gives:
-            gain = lengths[list(given)].sum() - theirs
-            fits = (gain > 0) & (gain <= room)
-            if len(given) == 2:
-                fits &= piece >= 0
-            if fits.any():
-                better = np.where(fits, 2 * gain * (fill[at] - fill[source]) + 2 * gain**2, 0)
-                k = int(np.argmax(better))
-                if better[k] > best:
-                    best, move = int(better[k]), (given, k, int(gain[k]))
-        if move is None:
-            stuck.add(source)
-            continue
-        given, k, gain = move
-        target = int(at[k])
-        bins[list(given)] = target
-        if piece[k] >= 0:
-            bins[piece[k]] = source
-        fill[target] += gain
-        fill[source] -= gain
-        stuck.clear()
+    fewest, used = -(-int(lengths.sum()) // capacity), int((fill > 0).sum())
+    changed, tried, clock = np.ones(len(fill), np.int64), np.zeros(len(fill), np.int64), 1
+    moved = True
+    while moved and used > fewest:
+        moved = False
+        sources = np.flatnonzero((fill > 0) & (fill < capacity))
+        for source in sources[np.argsort(fill[sources], kind="stable")].tolist():
+            while 0 < fill[source] < capacity and used > fewest:
+                since = 0 if changed[source] > tried[source] else tried[source]
+                usable = (changed > since) & (fill < capacity) & (fill >= fill[source])
+                usable[source] = False
+                targets = np.flatnonzero(usable)
+                if not len(targets):
+                    break
+                own = np.flatnonzero(bins == source)
+                own = own[np.argsort(lengths[own], kind="stable")]
+                partner = np.flatnonzero(usable[bins])
+                # One piece for one, or into free room.
+                singles, first = np.unique(lengths[own], return_index=True)
+                theirs = np.r_[lengths[partner], np.zeros(len(targets), np.int64)]
+                at = np.r_[bins[partner], targets]
+                room, over = capacity - fill[at], fill[at] - fill[source]
+                one = _reach(singles, theirs, room, over)
+                # Two for one. Of pieces of one length two are enough.
+                few = own[np.r_[[True] * min(2, len(own)), lengths[own[2:]] != lengths[own[:-2]]]]
+                left, right = np.triu_indices(len(few), 1)
+                pairs, which = np.unique(lengths[few[left]] + lengths[few[right]], return_index=True)
+                n = len(partner)
+                two = _reach(pairs, theirs[:n], room[:n], over[:n])
+                value, k, to = max(one, two)
+                if not value:
+                    break
+                given = [own[first[k]]] if one >= two else [few[left[which[k]]], few[right[which[k]]]]
+                target, gain = int(at[to]), int(lengths[given].sum() - theirs[to])
+                bins[given] = target
+                if to < n:
+                    bins[partner[to]] = source
+                fill[target] += gain
+                fill[source] -= gain
+                used -= int(fill[source] == 0)
+                clock += 1
+                changed[[source, target]] = clock
+                moved = True
+            tried[source] = clock
     return bins
 
 
@@ -158,7 +178,10 @@ def packed(
         return rows.assign(sequence_id=(rows["part"].to_numpy() << 32) + bins, offset=offset)[names]
 
     names = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
-    dealt = cut.withColumn("part", F.monotonically_increasing_id() % groups)
+    # A running number within a partition, from a start that differs between partitions: short ones
+    # would else all begin with the same groups.
+    nth = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    dealt = cut.withColumn("part", F.pmod(nth + F.hash(F.spark_partition_id()), F.lit(groups)))
     return saved(
         dealt.groupBy("part")
         .applyInPandas(

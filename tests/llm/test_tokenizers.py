@@ -163,7 +163,7 @@ def test_local_search(seed):
     before = best_fit(lengths, 100)
     assert np.bincount(before, lengths).max() <= 100
     for start in (before, worst):
-        after = improve(lengths, start, 100, patience=60)
+        after = improve(lengths, start, 100)
         fill = np.bincount(after, lengths)
         assert fill.max() <= 100 and (fill > 0).sum() <= len(np.unique(start))
     assert (fill > 0).sum() <= len(np.unique(before)) + 2
@@ -173,3 +173,39 @@ def test_local_search_finds_an_exchange():
     lengths = np.array([6, 4, 5, 3, 2])  # 10 + 10, but one by one 6+3, 5+4, 2
     bins = improve(lengths, np.array([0, 1, 1, 0, 2]), 10)
     assert len(np.unique(bins)) == 2
+
+
+def test_local_search_tries_every_source():
+    # Forty sequences can give their one piece to none; the next one can empty itself.
+    lengths = np.array([51] * 40 + [10] * 6 + [80])
+    bins = np.r_[np.arange(40), [40] * 6, 41]
+    after = improve(lengths, bins, 100)
+    assert np.bincount(after, lengths).max() <= 100
+    assert len(np.unique(after)) == 41
+
+
+def no_exchange_left(lengths, bins, capacity):
+    """No piece or pair can be given to a fuller sequence, for one of its pieces or for free room."""
+    fill = np.bincount(bins, lengths)
+    for source in np.flatnonzero((fill > 0) & (fill < capacity)):
+        own = lengths[bins == source].tolist()
+        pairs = [a + b for i, a in enumerate(own) for b in own[i + 1 :]]
+        for target in np.flatnonzero((fill < capacity) & (fill >= fill[source])):
+            if target == source:
+                continue
+            theirs, room = lengths[bins == target].tolist(), capacity - fill[target]
+            if any(0 < g - t <= room for g in own for t in [0, *theirs]):
+                return False
+            if any(0 < g - t <= room for g in pairs for t in theirs):
+                return False
+    return True
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_local_search_ends_where_nothing_improves(seed):
+    chance = np.random.default_rng(seed)
+    lengths = chance.integers(1, 60 if seed % 2 else 100, 80)
+    bins = improve(lengths, np.arange(80) // (1 + seed % 2), 120)
+    fewest = -(-lengths.sum() // 120)
+    assert np.bincount(bins, lengths).max() <= 120
+    assert len(np.unique(bins)) == fewest or no_exchange_left(lengths, bins, 120)
