@@ -2,13 +2,14 @@
 
 A Misra-Gries sketch over the digests names those that may be frequent. Their true counts are then
 taken, and the verified winners, a bounded number of rows, are broadcast: copies of a frequent
-text are settled where they are read. All other digests meet in an ordinary shuffle, in which no
-group can hold more than a small share of the rows.
+text are settled where they are read. All other digests are counted in an ordinary shuffle, combined before
+it, and the counts of those that repeat are joined back. No task needs the rows of a group together,
+so a group of any size, named by the sketch or not, can be split.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataflow.llm.common import frequent, one_of_each, saved, texts
@@ -58,12 +59,18 @@ def exact_groups(
     )
     winners = saved(winners, "winners")
     copied = digests.join(F.broadcast(winners), "digest")
-    same = Window.partitionBy("digest")
-    others = digests.join(F.broadcast(winners), "digest", "left_anti").select(
+    rest = digests.join(F.broadcast(winners), "digest", "left_anti")
+    repeated = (
+        rest.groupBy("digest")
+        .agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
+        .where("group_size > 1")
+    )
+    alone = F.col("group_size").isNull()
+    others = rest.join(repeated, "digest", "left").select(
         "digest",
         "doc_id",
-        F.min("doc_id").over(same).alias("keep_id"),
-        F.count("*").over(same).alias("group_size"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
+        F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
     )
     return copied.select(others.columns).unionAll(others).select(
         "doc_id",

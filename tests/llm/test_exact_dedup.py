@@ -36,6 +36,15 @@ def test_hot_group_with_a_small_sketch(spark):
     assert found(got, *COLUMNS) == brute(rows)
 
 
+def test_more_heavy_digests_than_winners(spark):
+    rows = [(i, f"text {i % 5000}") for i in range(20_000)] + [(None, "no id"), (None, "no id"), (None, "one")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = exact_groups(docs, most_winners=50, least_copies=2)
+    assert found(got, *COLUMNS) == brute(rows)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+
+
 def test_empty_table(no_docs):
     got = exact_groups(no_docs)
     assert got.columns == COLUMNS and got.count() == 0
