@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from strataflow.config import SkewPolicy
 from strataflow.operators import skew
+from strataflow.operators.cells import CELL, choose_cells, common_kind, in_cells
 from strataflow.operators.history import END, START
 
 BROADCAST_BYTES = 32 << 20
@@ -29,6 +30,7 @@ def join_as_of(
     policy: SkewPolicy = SkewPolicy(),
     broadcast_rows: int = BROADCAST_ROWS,
     few: int = FEW_VERSIONS,
+    cells: bool = False,
 ) -> DataFrame:
     """All facts, with ``columns`` of the version where ``start <= ts < end``, else NULL.
 
@@ -39,7 +41,9 @@ def join_as_of(
     a history that is small in all goes to every task and the facts are not shuffled. For keys
     with many versions, facts and versions are sorted together by key and time and each fact takes
     the last version before it, so the work stays that of a sort. Only where very many keys
-    have many versions do all take that way.
+    have many versions do all take that way. With ``cells`` such keys take an equality join on key and cell of
+    time instead, in which a fact meets the few versions of its cell: nothing is sorted by time, a busy key's
+    rows go to as many tasks as it has cells, and Spark can split a cell that is hot all the same.
     The history is read more than once: give it as a table rather than as a long computation.
     """
     taken = [c for c in history.columns if c not in {*keys, start, end}]
@@ -54,21 +58,22 @@ def join_as_of(
     small = total <= broadcast_rows and skew.estimated_bytes(versions) <= BROADCAST_BYTES
     if busy == 0:
         found = _by_join(facts, versions, keys, ts, start, end, total, small, policy)
-    elif busy > BUSY_KEYS:
+    elif busy > BUSY_KEYS and not cells:
         found = _by_scan(facts, versions, keys, ts, policy)
     else:
         names = versions.groupBy(*keys).count().where(F.col("count") > few).select(*keys)
-        names = F.broadcast(names)
+        names = F.broadcast(names) if busy <= BUSY_KEYS else names
         light = _by_join(
             facts.join(names, list(keys), "left_anti").select(*facts.columns),
             versions.join(names, list(keys), "left_anti").select(*versions.columns),
             keys, ts, start, end, total, small, policy,
         )
-        heavy = _by_scan(
-            facts.join(names, list(keys), "left_semi").select(*facts.columns),
-            versions.join(names, list(keys), "left_semi").select(*versions.columns),
-            keys, ts, policy,
-        )
+        busy_facts = facts.join(names, list(keys), "left_semi").select(*facts.columns)
+        busy_versions = versions.join(names, list(keys), "left_semi").select(*versions.columns)
+        if cells:
+            heavy = _by_cells(busy_facts, busy_versions, keys, ts, start, end, few)
+        else:
+            heavy = _by_scan(busy_facts, busy_versions, keys, ts, policy)
         columns = [*facts.columns, "__version"]
         found = light.select(*columns).unionByName(heavy.select(*columns))
     valid = F.col(f"__version.{end}").isNull() | (F.col(ts) < F.col(f"__version.{end}"))
@@ -127,6 +132,26 @@ def _by_join(
     return light.select(*columns).unionByName(heavy.select(*columns))
 
 
+def _by_cells(
+    facts: DataFrame, versions: DataFrame, keys: Sequence[str], ts: str, start: str, end: str, few: int
+) -> DataFrame:
+    """Of keys that have versions, each fact with the version of its cell that is valid at its time."""
+    kind = common_kind(facts.schema[ts].dataType, versions.schema["__at"].dataType)
+    begins, stops = F.col(f"__version.{start}"), F.col(f"__version.{end}")
+    chosen = choose_cells(versions, keys, begins, stops, kind, few)
+    if chosen is None:
+        return facts.withColumn("__version", F.lit(None).cast(versions.schema["__version"].dataType))
+    names = {c: f"__k{i}" for i, c in enumerate(keys)}
+    laid = in_cells(versions.drop("__at"), chosen, begins, stops)
+    laid = laid.withColumnsRenamed({**names, CELL: "__its_cell"})
+    match = (F.col(CELL) == F.col("__its_cell")) & (begins <= F.col(ts))
+    match &= stops.isNull() | (F.col(ts) < stops)
+    for key, name in names.items():
+        match &= F.col(key) == F.col(name)
+    found = facts.withColumn(CELL, chosen.of(F.col(ts))).join(laid, match, "left")
+    return found.select(*facts.columns, "__version")
+
+
 def _by_scan(
     facts: DataFrame, versions: DataFrame, keys: Sequence[str], ts: str, policy: SkewPolicy
 ) -> DataFrame:

@@ -203,6 +203,7 @@ ORACLE: dict[str, str] = {
     "scd2_tracked_hot": TRACKED,
     "pit_join_skewed": CROWDED,
     "pit_join_hot": CROWDED,
+    "pit_join_cells": CROWDED,
     "ingest_late_quiet": "SELECT * FROM events WHERE ts <= TIMESTAMP '2024-01-15'",
     "backfill_silver": "SELECT user_id, event_type, value, ts FROM events",
     "stream_dedupe_exact": """

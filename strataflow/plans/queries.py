@@ -213,6 +213,15 @@ def pit_join_hot(spark, sf):
     )
 
 
+@query
+def pit_join_cells(spark, sf):
+    """The customer with thousands of versions is met by cells of time."""
+    facts, history = crowded(spark, sf)
+    return join_as_of(
+        facts, history, ["o_custkey"], "l_shipdate", broadcast_rows=0, few=4, cells=True, **VERSION
+    )
+
+
 # Aggregation and de-duplication
 
 

@@ -2,9 +2,11 @@ import random
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from strataflow.config import SkewPolicy
 from strataflow.operators import join_as_of, scd2
+from strataflow.operators.cells import MOST_COPIES, choose_cells, in_cells
 
 WAYS = {
     "join": dict(few=10**9),
@@ -12,6 +14,8 @@ WAYS = {
     "split join": dict(
         few=10**9, broadcast_rows=0, policy=SkewPolicy(rows_per_task=30, check_above_bytes=0)
     ),
+    "cells": dict(few=0, cells=True),
+    "cells of busy keys": dict(few=20, broadcast_rows=0, cells=True),
     "scan": dict(few=0),
     "split scan": dict(few=0, policy=SkewPolicy(rows_per_task=30, check_above_bytes=0)),
 }
@@ -74,3 +78,48 @@ def test_column_clash_is_refused(spark):
     history = spark.createDataFrame([(1, "a", 10, 20)], "k int, plan string, __START_AT int, __END_AT int")
     with pytest.raises(ValueError, match="plan"):
         join_as_of(spark.createDataFrame([(1, 9, "x")], "k int, ts int, plan string"), history, ["k"], "ts")
+
+
+@pytest.mark.parametrize("unit", ["date", "timestamp", "timestamp_ntz", "double"])
+def test_cells_of_each_kind_of_time(spark, unit):
+    def moment(n):
+        day = f"date_add(date'2023-12-01', cast({n} as int))"
+        return f"cast({n} / 3 as double)" if unit == "double" else f"cast({day} as {unit})"
+
+    changes = spark.range(60).selectExpr("id % 2 as k", f"{moment('id * 7 % 120')} as at", "id as plan")
+    facts = spark.range(200).selectExpr("id", "id % 3 as k", f"{moment('id - 20')} as ts")
+    history = scd2(changes, ["k"], "at")
+    ways = [join_as_of(facts, history, ["k"], "ts", ["plan"], few=few, cells=True) for few in (3, 10**9)]
+    assert rows(ways[0]) == rows(ways[1])
+
+
+def test_cells_are_few_and_their_rows_bounded(spark):
+    # One key with a version per second of an hour, others that change once in years.
+    dense = spark.range(3600).selectExpr("1 as k", "id + 1000000000 as at")
+    sparse = spark.range(2000).selectExpr("id % 200 + 2 as k", "id * 1000000 as at")
+    changes = dense.unionAll(sparse).withColumn("plan", F.rand(1))
+    history = scd2(changes, ["k"], "at")
+    begins, stops = F.col("__START_AT"), F.col("__END_AT")
+    kind = history.schema["__START_AT"].dataType
+    cells = choose_cells(history, ["k"], begins, stops, kind, 16)
+    laid = in_cells(history, cells, begins, stops)
+    assert laid.count() == cells.rows <= MOST_COPIES * history.count()
+    only = history.where("k = 1")
+    cells = choose_cells(only, ["k"], begins, stops, kind, 16)
+    assert cells.most <= 16 and cells.rows <= 2 * 3600
+
+
+def test_cells_without_versions(spark):
+    history = spark.createDataFrame([], "k int, at int, plan string")
+    assert choose_cells(history, ["k"], F.col("at"), F.col("at"), history.schema["at"].dataType, 8) is None
+
+
+def test_cells_need_no_order_in_time(spark, data):
+    facts = data[1]
+    history = spark.createDataFrame(
+        [(7, n, n + 1, "x") for n in range(400)], "k int, __START_AT int, __END_AT int, plan string"
+    )
+    facts = spark.createDataFrame(facts, "id int, k int, ts int")
+    plan = join_as_of(facts, history, ["k"], "ts", few=10, broadcast_rows=0, cells=True)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in text and "__cell" in text
