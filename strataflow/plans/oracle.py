@@ -192,6 +192,9 @@ ORACLE: dict[str, str] = {
     "stream_dedupe_change": "SELECT DISTINCT * FROM events",
     "stream_quarantine": f"""
         SELECT c_custkey, {FAILED} AS failed_rules FROM customer WHERE {FAILED} <> ''""",
+    "sum_incremental": f"""
+        SELECT event_type, CAST(sum(CAST(value AS DECIMAL(38,2))) AS DOUBLE) AS total_value, count(*) AS n_rows
+        FROM ({LATEST}) l GROUP BY event_type""",
     "stream_scd1": LATEST,
     "stream_scd2": HISTORY,
     "stream_rules": RULED,

@@ -25,7 +25,7 @@ from strataflow.plans.pipeline import run, silver_schema
 from strataflow.session import put_marker, remove_folder, scratch_dir
 from strataflow.sources import read_layer, read_since, read_table, resolve_schema, stream_files
 from strataflow.streaming import (
-    append_known, append_stream, append_within, apply_changes, changes_between, read_as_of, read_gold,
+    SumSpec, append_known, append_stream, append_within, apply_changes, changes_between, kept_sums, read_as_of, read_gold,
     read_snapshot, rebuild, stage, stream_dedupe, stream_dedupe_changes, write_snapshot,
 )
 
@@ -739,6 +739,19 @@ def gold_changes(spark, sf):
     return named(feed).withColumnRenamed("__change", "change")
 
 
+@query
+def sum_incremental(spark, sf):
+    """Sums over the versions in force, kept over three runs with late rows: versions that went are taken back."""
+    layers = work(spark, "kept_sums")
+    spec = CdcSpec("events", ["user_id"], "ts", 2, buckets=4, period="week")
+    sums = SumSpec("in_force", spec, ["event_type"], {"total_value": ("value", 2)}, "__END_AT IS NULL")
+    rows = changes(spark, sf)
+    for k in (1, 0, 2):
+        schema = filled(spark, sf, spec, rows.where(F.pmod(F.hash("ts"), F.lit(3)) == k), layers)
+        found = kept_sums(spark, sums, layers, schema)
+    return found.withColumn("total_value", F.col("total_value").cast("double"))
+
+
 @query
 def snapshot_sum(spark, sf):
     """Two datasets, the second computed from the first as it was written."""
