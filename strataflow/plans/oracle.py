@@ -272,6 +272,9 @@ ORACLE: dict[str, str] = {
     "stream_merge_scd1": LATEST,
     "stream_merge_scd2": HISTORY,
     "snapshot_sum": TOTALS,
+    "refresh_downstream": f"""
+        SELECT CAST(floor(total_value / 100) AS BIGINT) AS band, count(*) AS n_users
+        FROM ({TOTALS}) t GROUP BY 1""",
     "medallion_star": """
         WITH u AS (
           SELECT o_custkey AS user_id, upper('user-' || o_custkey) AS user_name,

@@ -18,6 +18,7 @@ from strataflow.operators import (
     expect_all_or_drop, expect_all_or_fail, high_watermark, join_as_of, latest_per_key,
     one_per_change, preview, scd1, scd2, split, sum_by,
 )
+from strataflow.plans.datasets import Dataset, read_dataset, refresh
 from strataflow.plans.ingest import backfill, ingest_table, land, run_all
 from strataflow.plans.monitor import layer_stats, read_runs, read_stats, record_runs
 from strataflow.plans.music import DURATIONS, LONGEST, TABLES, serving
@@ -764,6 +765,22 @@ def snapshot_sum(spark, sf):
     return read_snapshot(spark, layers.path("gold", "totals"))
 
 
+@query
+def refresh_downstream(spark, sf):
+    """Three datasets in a row and one beside; the first is refreshed, and what is made from it follows."""
+    layers = work(spark, "graph")
+    datasets = [
+        Dataset("bands", ["totals"], lambda totals: totals.groupBy(
+            F.floor(F.col("total_value") / 100).alias("band")).agg(F.count("*").alias("n_users"))),
+        Dataset("totals", ["trips"], lambda trips: sum_by(trips, ["user_id"], "value", "total_value", scale=2)),
+        Dataset("kinds", ["trips"], lambda trips: trips.select("event_type").distinct()),
+        Dataset("trips", ["events"], lambda events: events.select("user_id", "event_type", "value")),
+    ]
+    refresh(spark, datasets, lambda name: early(spark, sf), layers)
+    refresh(spark, datasets, lambda name: table(spark, sf, name), layers, only=["trips"])
+    return read_dataset(spark, layers, "bands")
+
+
 # The whole flow
 
 

@@ -107,6 +107,11 @@ def write_snapshot(
     return target
 
 
+def newest_snapshot(spark: SparkSession, path: str) -> str | None:
+    """The folder of the newest complete snapshot; None if there is none."""
+    return next(iter(_snapshots(spark, path)), None) if path_exists(spark, path) else None
+
+
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     """The newest complete snapshot."""
     for newest in _snapshots(spark, path):
