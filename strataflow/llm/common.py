@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from pathlib import Path
 
 import pyarrow as pa
@@ -21,6 +22,8 @@ BATCH_ROWS = 512
 SLICE_BYTES = 4 << 20
 
 
+Run = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
 _SHIPPED: set[str] = set()
 
 
@@ -128,6 +131,22 @@ def slices(
         yield joined(waiting)
 
 
+def lean(run: Run) -> Run:
+    """``run``, after which its worker gives the memory of freed arrays back to the system.
+
+    Workers outlive their tasks, and those of several stages lie beside the executor's own memory.
+    """
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+    return whole
+
+
 def executor_slots(spark: SparkSession) -> int:
     return max(1, spark.sparkContext.defaultParallelism)
 

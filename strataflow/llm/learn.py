@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import held_out, saved, slices, texts
+from strataflow.llm.common import held_out, lean, saved, slices, texts
 from strataflow.llm.tokens import text_bytes
 
 #: Bytes of all texts that a model learns from, so that its memory is bounded.
@@ -77,7 +77,7 @@ def scored(
             values = score(*text_bytes(part.column("text")))
             yield pa.record_batch([part.column("doc_id"), pa.array(values)], ["doc_id", "score"])
 
-    rows = texts(docs, id_column, text_column).mapInArrow(run, "doc_id long, score double")
+    rows = texts(docs, id_column, text_column).mapInArrow(lean(run), "doc_id long, score double")
     return saved(rows, purpose).select(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),

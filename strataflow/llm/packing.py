@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import saved, texts
+from strataflow.llm.common import lean, saved, texts
 from strataflow.llm.tokens import chunk_ids, encoded, library_encoder
 
 #: Pieces that one task packs.
@@ -146,7 +146,7 @@ def pieces(
             )
 
     return docs.mapInArrow(
-        run, "doc_id long, piece long, start long, length long, ids_crc32 long"
+        lean(run), "doc_id long, piece long, start long, length long, ids_crc32 long"
     )
 
 

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import one_of_each, saved, slices, texts
+from strataflow.llm.common import lean, one_of_each, saved, slices, texts
 from strataflow.llm.graph import components
 
 #: Fingerprints under one key that a task compares with each other.
@@ -87,7 +87,7 @@ def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
             )
 
     hashed = docs.withColumn("text_hash", F.xxhash64("text"))
-    return hashed.mapInArrow(run, "doc_id long, text_hash long, fp long")
+    return hashed.mapInArrow(lean(run), "doc_id long, text_hash long, fp long")
 
 
 def table_keys(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -173,7 +173,7 @@ def star_links(table: DataFrame, bits: int, compared: int) -> DataFrame:
 
     # Sorted as unsigned numbers are: keys have 33 bits.
     sorted_rows = table.repartition("key").sortWithinPartitions("key")
-    return sorted_rows.mapInArrow(run, "busy boolean, u long, v long")
+    return sorted_rows.mapInArrow(lean(run), "busy boolean, u long, v long")
 
 
 def point_links(busy: DataFrame) -> DataFrame:
@@ -197,7 +197,7 @@ def point_links(busy: DataFrame) -> DataFrame:
                 u = np.full(len(points), fp).view(np.int64)
                 yield pa.record_batch([pa.array(u), pa.array(points.view(np.int64))], ["u", "v"])
 
-    links = busy.select("u", "v").mapInArrow(run, "u long, v long").distinct()
+    links = busy.select("u", "v").mapInArrow(lean(run), "u long, v long").distinct()
     # A point that one fingerprint reaches alone links nothing.
     shared = links.groupBy("v").agg(F.count("*").alias("n")).where("n > 1").select("v")
     return links.join(shared, "v", "left_semi").select("u", "v")
@@ -249,7 +249,7 @@ def linked(
             columns = [pa.array(x.view(np.int64)) for x in (keys, fps)]
             yield pa.record_batch(columns, ["key", "fp"])
 
-    table = distinct.select("fp").repartition("fp").mapInArrow(expand, "key long, fp long")
+    table = distinct.select("fp").repartition("fp").mapInArrow(lean(expand), "key long, fp long")
     large = {"spark.sql.execution.arrow.maxRecordsPerBatch": "65536"}
     met = saved(star_links(table, bits, compared), "met", large)
     links = met.where("not busy").select("u", "v")

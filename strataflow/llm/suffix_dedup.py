@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import frequent, saved, ship, slices
+from strataflow.llm.common import frequent, lean, saved, ship, slices
 from strataflow.llm.features import BASE, mixed, powers, prefix_sums, span_hash
 from strataflow.llm.tokens import spread
 
@@ -193,7 +193,7 @@ def units(docs: DataFrame, length: int, row: str) -> DataFrame:
 
     numbered = docs.withColumn("unit", F.monotonically_increasing_id())
     return numbered.mapInArrow(
-        run,
+        lean(run),
         f"row {row}, unit long, first long, n long, z binary, name array<long>, "
         "digest array<long>, lo array<int>, hi array<int>, lead array<int>, multi array<boolean>, "
         "known_lo array<int>, known_hi array<int>",
@@ -266,7 +266,7 @@ def meet(runs: DataFrame, bucket: int) -> DataFrame:
 
     sorted_runs = runs.select(columns).repartition("name")
     return sorted_runs.sortWithinPartitions("name", "digest").mapInArrow(
-        run, "name long, digest long, unit long, lo int, hi int, lead int, fate int"
+        lean(run), "name long, digest long, unit long, lo int, hi int, lead int, fate int"
     )
 
 
@@ -435,7 +435,7 @@ def sort_blocks(segments: DataFrame, length: int, block: int) -> DataFrame:
             yield from settle(waiting)
 
     sorted_rows = segments.repartition("name").sortWithinPartitions("name", "digest")
-    return sorted_rows.mapInArrow(run, "unit long, lo int, hi int")
+    return sorted_rows.mapInArrow(lean(run), "unit long, lo int, hi int")
 
 
 def with_bytes(table: DataFrame, lists: DataFrame, run, schema: str) -> DataFrame:
@@ -449,7 +449,7 @@ def with_bytes(table: DataFrame, lists: DataFrame, run, schema: str) -> DataFram
                 yield from run(unit, expand.decompress(z) if z else b"", own)
 
     bytes_of = table.where("unit = first").select("unit", "z")
-    return bytes_of.join(items, "unit").select("unit", "z", "items").mapInArrow(unpacked, schema)
+    return bytes_of.join(items, "unit").select("unit", "z", "items").mapInArrow(lean(unpacked), schema)
 
 
 def segments_of(table: DataFrame, met: DataFrame, length: int) -> DataFrame:
@@ -584,7 +584,7 @@ def remove_repeats(
         "unit", "z", "known_lo", "known_hi", "los", "his"
     )
     schema = "unit long, n_removed long, n_spans long, kept_sha256 string"
-    done = saved(result.mapInArrow(cut, schema + ", kept string" * with_text), "kept")
+    done = saved(result.mapInArrow(lean(cut), schema + ", kept string" * with_text), "kept")
     rows = table.select("row", F.col("first").alias("unit"), F.col("n").alias("n_bytes"))
     return rows.join(done, "unit").select("row.*", "n_bytes", *names[1:])
 

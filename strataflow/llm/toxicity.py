@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from strataflow.llm.common import saved, slices
+from strataflow.llm.common import lean, saved, slices
 from strataflow.llm.features import word_grams
 from strataflow.llm.learn import SLICE, sample, scored, sigmoid
 from strataflow.llm.tokens import text_bytes
@@ -104,11 +104,11 @@ def train(
 
     chosen = sample(docs, labels, label, model.rows, id_column, text_column)
     schema = "doc_id long, label int, at array<int>"
-    features = saved(chosen.mapInArrow(extract, schema), "toxic-features")
+    features = saved(chosen.mapInArrow(lean(extract), schema), "toxic-features")
     # One task, over a bounded number of rows in a fixed order.
     one = features.repartition(1).sortWithinPartitions("doc_id", "at").select("label", "at")
     weights, bias = np.zeros(1 << model.bits), 0.0
-    for at, weight in saved(one.mapInArrow(learn, "at long, weight double"), "toxic").collect():
+    for at, weight in saved(one.mapInArrow(lean(learn), "at long, weight double"), "toxic").collect():
         if at < 0:
             bias = weight
         else:
@@ -168,4 +168,4 @@ def without_toxic(
             values = score(*text_bytes(part.column(text_column).fill_null("")))
             yield part.filter(pa.array(values < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
