@@ -3,14 +3,16 @@
 A text's pre-tokens are its runs of anything but ASCII white space, each with the mark of a word's start
 before it. Distinct pre-tokens go into a trie. A node holds the best score of any segmentation of
 its prefix and that segmentation's number of tokens; it is computed once, from the nodes above it,
-however many pre-tokens share the prefix. A pre-token's count is read off its last node.
+however many pre-tokens share the prefix. A pre-token's count is read off its last node. One longer
+than ``LONG`` bytes shares next to nothing and stays outside: its scores are kept for the last places only.
 """
 
 from __future__ import annotations
 
+import codecs
 import math
 from array import array
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -20,6 +22,11 @@ from strataflow.llm.common import saved, slices, texts
 #: What a worker remembers before it starts anew: nodes (about 150 bytes each) and pre-tokens.
 NODES = 1_200_000
 PRE_TOKENS = 600_000
+#: Bytes of the longest pre-token that is remembered, and of the longest that goes into the trie.
+REMEMBERED = 64
+LONG = 4096
+#: Bytes of a longer one that are looked at at a time.
+BLOCK = 1 << 16
 #: How much worse than any piece an unknown character is.
 UNKNOWN = 10.0
 WORD_START = "▁"
@@ -52,6 +59,7 @@ class Trie:
         self.ends: dict[str, float] = {p[k:]: -math.inf for p in scores for k in range(1, len(p))}
         self.ends.update(scores)
         self.unknown = min(scores.values(), default=0.0) - UNKNOWN
+        self.longest = max(map(len, self.ends), default=1)
         self.clear()
 
     def clear(self) -> None:
@@ -95,15 +103,53 @@ class Trie:
         self.tokens.append(self.tokens[last] + tokens)
         return len(best) - 1
 
+    def rolling(self, parts: Iterable[str]) -> int:
+        """``count`` of the joined parts, with the scores of no more places than a piece is long."""
+        ends, text, best, tokens = self.ends, "", [0.0], [0]
+        for part in parts:
+            begin, text = len(text), text + part
+            for end in range(begin + 1, len(text) + 1):
+                letter = text[end - 1]
+                alone = ends.get(letter, -math.inf)
+                if alone > -math.inf:
+                    score, more = best[end - 1] + alone, 1
+                else:
+                    score, more = best[end - 1] + self.unknown, len(letter.encode())
+                last = end - 1
+                for start in range(end - 2, -1, -1):
+                    piece = ends.get(text[start:end])
+                    if piece is None:
+                        break
+                    if best[start] + piece >= score:
+                        score, last, more = best[start] + piece, start, 1
+                best.append(score)
+                tokens.append(tokens[last] + more)
+            cut = max(0, len(text) - self.longest)
+            text, best, tokens = text[cut:], best[cut:], tokens[cut:]
+        return tokens[-1]
+
+
+def _letters(word: bytes) -> Iterator[str]:
+    """The word's start and its letters, decoded a block at a time."""
+    decoder = codecs.getincrementaldecoder("utf-8")()
+    yield WORD_START
+    with memoryview(word) as view:
+        for begin in range(0, len(word), BLOCK):
+            yield decoder.decode(view[begin : begin + BLOCK])
+
 
 class Counts(dict):
-    """Tokens of pre-tokens, asked of the trie once each."""
+    """Tokens of pre-tokens; short ones are asked of the trie once each."""
 
     def __init__(self, trie: Trie):
         super().__init__()
         self.trie = trie
 
     def __missing__(self, word: bytes) -> int:
+        if len(word) > LONG:
+            return self.trie.rolling(_letters(word))
+        if len(word) > REMEMBERED:
+            return self.trie.count(WORD_START + word.decode())
         if len(self) >= PRE_TOKENS:
             self.clear()
         self[word] = found = self.trie.count(WORD_START + word.decode())
@@ -119,7 +165,8 @@ def token_counts(
     """doc_id, n_pre_tokens, n_tokens of every row.
 
     A NULL or empty text, or one of white space, has none. Ids may be NULL or repeated, each row is
-    counted for itself; an empty table gives no rows. ``path`` is the piece file's place on every
+    counted for itself; an empty table gives no rows. A very long text, or pre-token, takes a few times
+    its bytes. ``path`` is the piece file's place on every
     machine. No shuffle: each task counts its own texts, and the tasks of a worker share its trie.
     """
 

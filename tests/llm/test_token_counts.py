@@ -1,10 +1,12 @@
 import random
+import tracemalloc
 
 import public_tokenizers as public
 import pytest
 from tokenizers import Tokenizer, models
 
-from strataflow.llm.token_counts import WORD_START, Trie, token_counts, zipf_scores
+from strataflow.llm import token_counts as module
+from strataflow.llm.token_counts import WORD_START, Counts, Trie, token_counts, zipf_scores
 
 from .conftest import found
 
@@ -20,10 +22,10 @@ def library(scores):
 
 def plain_count(scores, word):
     """Forward pass over one pre-token, starts in ascending order."""
-    low = min(scores.values()) - 10
+    low, longest = min(scores.values()) - 10, max(map(len, scores))
     best = [(0.0, 0)] + [None] * len(word)
     for start in range(len(word)):
-        for end in range(start + 1, len(word) + 1):
+        for end in range(start + 1, min(start + longest, len(word)) + 1):
             piece = scores.get(word[start:end])
             count = 1
             if piece is None:
@@ -74,14 +76,36 @@ def test_counts(name, request):
     want = []
     for row in docs.collect():
         words = [w.decode() for w in (row["text"] or "").encode().split()]
-        if max(map(len, words), default=0) > 1000:
-            continue
         for word in words:
             if word not in known:
                 known[word] = plain_count(scores, WORD_START + word)
         want.append((row["doc_id"], len(words), sum(known[w] for w in words)))
     got = token_counts(docs, PIECES)
-    rows = [r for r in found(got, "doc_id", "n_pre_tokens", "n_tokens") if r[0] != 10]
-    assert rows == sorted(
-        (w for w in want if w[0] != 10), key=lambda row: [(v is not None, v) for v in row]
-    )
+    rows = found(got, "doc_id", "n_pre_tokens", "n_tokens")
+    assert rows == sorted(want, key=lambda row: [(v is not None, v) for v in row])
+
+
+@pytest.mark.parametrize("block", [1, 3, 1000])
+def test_long_pre_tokens_outside_the_trie(monkeypatch, block):
+    monkeypatch.setattr(module, "LONG", 6)
+    monkeypatch.setattr(module, "BLOCK", block)
+    chance = random.Random(block)
+    scores = {"ab": -1.0, "a": -1.5, "b": -2.0, "abab": -1.0, "é漢": -1.0, "ba": -0.5, WORD_START + "a": -0.1}
+    counts = Counts(Trie(scores))
+    for _ in range(300):
+        word = "".join(chance.choices("abé漢", k=chance.randint(1, 40)))
+        assert counts[word.encode()] == plain_count(scores, WORD_START + word), word
+    assert max(map(len, counts)) <= 6
+
+
+def test_a_very_long_pre_token_in_bounded_memory():
+    counts = Counts(Trie(zipf_scores(PIECES)))
+    word = random.Random(3).randbytes(100_000).hex().encode()
+    nodes = len(counts.trie.best)
+    tracemalloc.start()
+    got = counts[word]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert 50_000 < got < len(word) and peak < 10 << 20
+    assert not counts and len(counts.trie.best) == nodes
+    assert counts[word[:5000]] == counts.trie.count(WORD_START + word[:5000].decode())
