@@ -9,6 +9,8 @@ import numpy as np
 
 #: An odd multiplier has an inverse modulo 2**64, so the hash of any span is a difference of sums.
 BASE = 0x9E3779B97F4A7C15
+#: Bytes of a long text that are looked at at a time.
+PART = 1 << 20
 _INVERSE = pow(BASE, -1, 1 << 64)
 #: Letters and digits of ASCII in lower case, and all bytes of other characters; 0 elsewhere.
 _WORD = np.array(
@@ -62,6 +64,21 @@ def runs(
     return start, np.flatnonzero(end) + 1, owner
 
 
+def _chains(
+    own: np.ndarray, owner: np.ndarray, gram: int, skip: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Hashes of word n-grams and skip-pairs within a text, and the numbers of their last words."""
+    chain = own
+    for n in range(1, gram):
+        chain = mixed(chain[:-1] * np.uint64(BASE) + own[n:])
+        last = np.flatnonzero(owner[:-n] == owner[n:]) + n
+        yield chain[last - n], last
+    for gap in range(2, skip + 2):
+        pair = mixed((own[:-gap] + np.uint64(gap)) * np.uint64(_INVERSE) + own[gap:])
+        last = np.flatnonzero(owner[:-gap] == owner[gap:]) + gap
+        yield pair[last - gap], last
+
+
 def word_grams(
     data: np.ndarray,
     offsets: np.ndarray,
@@ -79,20 +96,13 @@ def word_grams(
     begin, end, owner = runs(lower > 0, offsets)
     sums = prefix_sums(lower)
     own = span_hash(sums, begin, end)
-    found, owners, chain = [own], [owner], own
+    found, owners = [own], [owner]
     for stem in stems:
         found.append(mixed(span_hash(sums, begin, np.minimum(begin + stem, end)) + np.uint64(stem)))
         owners.append(owner)
-    for n in range(1, gram):
-        chain = mixed(chain[:-1] * np.uint64(BASE) + own[n:])
-        same = owner[:-n] == owner[n:]
-        found.append(chain[same])
-        owners.append(owner[:-n][same])
-    for gap in range(2, skip + 2):
-        pair = mixed((own[:-gap] + np.uint64(gap)) * np.uint64(_INVERSE) + own[gap:])
-        same = owner[:-gap] == owner[gap:]
-        found.append(pair[same])
-        owners.append(owner[:-gap][same])
+    for hashes, last in _chains(own, owner, gram, skip):
+        found.append(hashes)
+        owners.append(owner[last])
     return (np.concatenate(found) >> np.uint64(64 - bits)).astype(np.int64), np.concatenate(owners)
 
 
@@ -100,6 +110,10 @@ def word_grams(
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
 
+def _word_pairs(own: np.ndarray) -> np.ndarray:
+    return np.where(own[:-1] == own[1:], np.uint64(BASE), mixed(own[:-1] * np.uint64(BASE) + own[1:]))
+
+
 def subword_grams(
     data: np.ndarray, offsets: np.ndarray, chars: tuple[int, ...], bits: int
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -112,7 +126,7 @@ def subword_grams(
     begin, end, owner = runs(~_SPACE[data], offsets)
     own = span_hash(sums, begin, end)
     yield (own >> shift).astype(np.int64), owner
-    pair = np.where(own[:-1] == own[1:], np.uint64(BASE), mixed(own[:-1] * np.uint64(BASE) + own[1:]))
+    pair = _word_pairs(own)
     same = owner[:-1] == owner[1:]
     yield (pair[same] >> shift).astype(np.int64), owner[:-1][same]
     owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
@@ -123,3 +137,82 @@ def subword_grams(
             gram = mixed((sums[n:] - sums[:-n]) * back[:count] + np.uint64(n))
             same = owner[:count] == owner[n - 1 :]
             yield (gram[same] >> shift).astype(np.int64), owner[:count][same]
+
+
+def in_parts(offsets: np.ndarray) -> bool:
+    """Whether this is one long text, whose features are to be taken part by part."""
+    return len(offsets) == 2 and offsets[1] - offsets[0] > PART
+
+
+def _parts(data: np.ndarray) -> Iterator[tuple[np.ndarray, bool]]:
+    for begin in range(0, len(data), PART):
+        yield data[begin : begin + PART], begin + PART >= len(data)
+
+
+class _Words:
+    """Hashes of the words, and of their first bytes, of one text that comes in parts."""
+
+    def __init__(self, stems: tuple[int, ...] = ()):
+        self.stems = stems
+        #: Of the word that the next part may go on with: its bytes so far, and a sum for each hash.
+        self.length, self.sums = 0, [0] * (1 + len(stems))
+
+    def take(self, data: np.ndarray, inside: np.ndarray, last: bool) -> list[np.ndarray]:
+        """Hashes of the words that end in this part, then for each stem those of their first bytes."""
+        begin, end, _ = runs(inside, np.array([0, len(data)]))
+        sums = prefix_sums(data)
+        back = powers(_INVERSE, len(sums))[begin]
+        lengths = end - begin
+        values = [(sums[end] - sums[begin]) * back]
+        for stem in self.stems:
+            values.append((sums[np.minimum(begin + stem, end)] - sums[begin]) * back)
+        if self.length and len(begin) and begin[0] == 0:
+            shift = pow(BASE, self.length, 1 << 64)
+            for k, limit in enumerate((int(lengths[0]) + self.length, *self.stems)):
+                more = int(sums[max(0, min(limit - self.length, int(lengths[0])))])
+                values[k][0] = (self.sums[k] + more * shift) % (1 << 64)
+            lengths[0] += self.length
+        elif self.length:
+            values = [np.r_[np.uint64(s), v] for s, v in zip(self.sums, values)]
+            lengths = np.r_[self.length, lengths]
+        self.length = 0
+        if not last and inside[-1]:
+            self.length, self.sums = int(lengths[-1]), [int(v[-1]) for v in values]
+            values = [v[:-1] for v in values]
+        heads = [mixed(mixed(v) + np.uint64(stem)) for stem, v in zip(self.stems, values[1:])]
+        return [mixed(values[0]), *heads]
+
+
+def word_gram_parts(
+    data: np.ndarray, gram: int, skip: int, stems: tuple[int, ...], bits: int
+) -> Iterator[np.ndarray]:
+    """The buckets that ``word_grams`` gives for one text, by the part in which a feature ends."""
+    words, tail = _Words(stems), np.zeros(0, np.uint64)
+    for part, last in _parts(data):
+        lower = _WORD[part]
+        found = words.take(lower, lower > 0, last)
+        own = np.concatenate([tail, found[0]])
+        for hashes, at in _chains(own, np.zeros(len(own), np.int8), gram, skip):
+            found.append(hashes[at >= len(tail)])
+        tail = own[max(0, len(own) - max(gram - 1, skip + 1)) :]
+        yield (np.concatenate(found) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def subword_gram_parts(data: np.ndarray, chars: tuple[int, ...], bits: int) -> Iterator[np.ndarray]:
+    """The buckets that ``subword_grams`` gives for one text, by the part in which a feature ends."""
+    shift = np.uint64(64 - bits)
+    words, tail, rest = _Words(), np.zeros(0, np.uint64), np.zeros(0, np.uint8)
+    for part, last in _parts(data):
+        (own,) = words.take(part, ~_SPACE[part], last)
+        yield (own >> shift).astype(np.int64)
+        own = np.concatenate([tail, own])
+        yield (_word_pairs(own) >> shift).astype(np.int64)
+        tail = own[-1:]
+        both = np.concatenate([rest, part])
+        sums = prefix_sums(both)
+        back = powers(_INVERSE, len(both))
+        for n in chars:
+            first, count = max(0, len(rest) - n + 1), max(0, len(both) - n + 1)
+            gram = (sums[n + first :] - sums[first:count]) * back[first:count]
+            yield (mixed(gram + np.uint64(n)) >> shift).astype(np.int64)
+        rest = both[max(0, len(both) - max(chars, default=1) + 1) :]

@@ -14,6 +14,8 @@ from strataflow.llm.tokens import text_bytes
 
 #: Bytes of all texts that a model learns from, so that its memory is bounded.
 TRAIN_BYTES = 128 << 20
+#: Their features, as the lists of numbers that the learning task holds.
+TRAIN_FEATURES = 32 << 20
 #: Bytes of text whose features a task has in memory at a time, some hundred times that.
 SLICE = 1 << 20
 
@@ -62,6 +64,21 @@ def sample(
     )
 
 
+def bounded(features: DataFrame) -> DataFrame:
+    """Rows of at most TRAIN_FEATURES features (lists ``at``) in all, in the order of a hash of doc_id."""
+    # Two numbers for each row of the sample.
+    sizes = features.select("doc_id", F.size("at").cast("long").alias("n"))
+    if (sizes.agg(F.sum("n")).first()[0] or 0) <= TRAIN_FEATURES:
+        return features
+    chosen, room = [], TRAIN_FEATURES
+    for row in sizes.orderBy(F.xxhash64("doc_id"), "doc_id").collect():
+        if row["n"] <= room:
+            room -= row["n"]
+            chosen.append((row["doc_id"],))
+    chosen = features.sparkSession.createDataFrame(chosen, "doc_id long")
+    return features.join(F.broadcast(chosen), "doc_id", "left_semi")
+
+
 def scored(
     docs: DataFrame,
     score: Callable[[np.ndarray, np.ndarray], np.ndarray],

@@ -8,16 +8,16 @@ of the two output rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from strataflow.llm.common import saved, slices
-from strataflow.llm.features import subword_grams
-from strataflow.llm.learn import SLICE, sample, scored, sigmoid
+from strataflow.llm.common import lean, saved, slices
+from strataflow.llm.features import in_parts, subword_gram_parts, subword_grams
+from strataflow.llm.learn import SLICE, bounded, sample, scored, sigmoid
 from strataflow.llm.tokens import text_bytes
 
 
@@ -33,11 +33,26 @@ class Subwords:
     epochs: int = 3
 
     def features(self, data: np.ndarray, offsets: np.ndarray):
-        """Groups of (buckets, numbers of their texts)."""
-        return subword_grams(data, offsets, self.chars, self.bits)
+        """Groups of (buckets, numbers of their texts); those of one long text by its parts."""
+        if not in_parts(offsets):
+            yield from subword_grams(data, offsets, self.chars, self.bits)
+            return
+        for bucket in subword_gram_parts(data, self.chars, self.bits):
+            yield bucket, np.zeros(len(bucket), np.int64)
+
+    def counted(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Text numbers and buckets in one number each, sorted, and how often they occur."""
+        if in_parts(offsets):
+            total = np.zeros(1 << self.bits, np.int64)
+            for bucket, _ in self.features(data, offsets):
+                total += np.bincount(bucket, minlength=len(total))
+            pairs = np.flatnonzero(total)
+            return pairs, total[pairs]
+        groups = [owner << self.bits | bucket for bucket, owner in self.features(data, offsets)]
+        return np.unique(np.concatenate(groups), return_counts=True)
 
     def learn(
-        self, rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray
+        self, rows: Sequence[tuple[np.ndarray, np.ndarray]], labels: np.ndarray
     ) -> tuple[np.ndarray, float]:
         """The number of each bucket and the intercept; a row has buckets and their shares."""
         chance = np.random.default_rng(0)
@@ -73,6 +88,20 @@ class Subwords:
         return sigmoid(total / np.maximum(number, 1) + bias)
 
 
+@dataclass
+class Shares(Sequence):
+    """Buckets of each text and their shares, which are worked out when asked for."""
+
+    counts: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)
+
+    def __len__(self) -> int:
+        return len(self.counts)
+
+    def __getitem__(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        at, n = self.counts[k]
+        return at, n.astype(np.float32) / np.float32(max(1, n.sum()))
+
+
 def train(
     docs: DataFrame, labels: DataFrame, label: str, model: Subwords, id_column: str, text_column: str
 ) -> tuple[np.ndarray, float]:
@@ -80,25 +109,20 @@ def train(
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", SLICE):
-            groups = list(model.features(*text_bytes(part.column("text"))))
-            pairs, counts = np.unique(
-                np.concatenate([owner << model.bits | bucket for bucket, owner in groups]),
-                return_counts=True,
-            )
+            pairs, counts = model.counted(*text_bytes(part.column("text")))
             cut = pa.array(np.searchsorted(pairs >> model.bits, np.arange(part.num_rows + 1)), "i4")
             at = pa.ListArray.from_arrays(cut, pa.array(pairs & ((1 << model.bits) - 1), pa.int32()))
-            of = pa.ListArray.from_arrays(cut, pa.array(np.minimum(counts, 32_767), pa.int16()))
+            of = pa.ListArray.from_arrays(cut, pa.array(counts, pa.int32()))
             yield pa.record_batch(
                 [part.column("doc_id"), part.column("label"), at, of],
                 ["doc_id", "label", "at", "n"],
             )
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, given = [], []
+        rows, given = Shares(), []
         for batch in batches:
             for at, n in zip(batch.column("at"), batch.column("n")):
-                counts = n.values.to_numpy().astype(np.float32)
-                rows.append((at.values.to_numpy(), counts / max(1, counts.sum())))
+                rows.counts.append((at.values.to_numpy(), n.values.to_numpy()))
             given += batch.column("label").to_pylist()
         values, bias = model.learn(rows, np.array(given, np.int64))
         yield pa.record_batch(
@@ -106,10 +130,10 @@ def train(
         )
 
     chosen = sample(docs, labels, label, model.rows, id_column, text_column)
-    schema = "doc_id long, label int, at array<int>, n array<short>"
-    features = saved(chosen.mapInArrow(extract, schema), "quality-features")
+    schema = "doc_id long, label int, at array<int>, n array<int>"
+    features = bounded(saved(chosen.mapInArrow(lean(extract), schema), "quality-features"))
     one = features.repartition(1).sortWithinPartitions("doc_id", "at").select("label", "at", "n")
-    found = saved(one.mapInArrow(learn, "values binary, bias double"), "quality").collect()
+    found = saved(one.mapInArrow(lean(learn), "values binary, bias double"), "quality").collect()
     if not found:
         return np.zeros(1 << model.bits, np.float32), 0.0
     return np.frombuffer(found[0]["values"], "<f4"), found[0]["bias"]
@@ -128,7 +152,7 @@ def quality(
 
     Only texts are looked at. A NULL or empty text has the score of the intercept; a NULL id is not
     held out and not learned from; repeated rows are scored each. Without usable labels every score
-    is 0.5. An empty table gives no rows.
+    is 0.5. An empty table gives no rows. A very long text is scored by its parts, to the same result.
     """
     values, bias = train(docs, labels, label, model, id_column, text_column)
     score = lambda data, offsets: model.score(values, bias, data, offsets)

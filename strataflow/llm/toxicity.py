@@ -14,8 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from strataflow.llm.common import lean, saved, slices
-from strataflow.llm.features import word_grams
-from strataflow.llm.learn import SLICE, sample, scored, sigmoid
+from strataflow.llm.features import in_parts, word_gram_parts, word_grams
+from strataflow.llm.learn import SLICE, bounded, sample, scored, sigmoid
 from strataflow.llm.tokens import text_bytes
 
 
@@ -34,8 +34,22 @@ class Ftrl:
     l2: float = 0.5
     epochs: int = 6
 
-    def features(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return word_grams(data, offsets, self.gram, self.skip, self.stems, self.bits)
+    def features(
+        self, data: np.ndarray, offsets: np.ndarray
+    ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Groups of (buckets, numbers of their texts); those of one long text by its parts."""
+        if not in_parts(offsets):
+            yield word_grams(data, offsets, self.gram, self.skip, self.stems, self.bits)
+            return
+        for bucket in word_gram_parts(data, self.gram, self.skip, self.stems, self.bits):
+            yield bucket, np.zeros(len(bucket), np.int64)
+
+    def distinct(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Text numbers and buckets in one number each, sorted."""
+        pairs = np.zeros(0, np.int64)
+        for bucket, owner in self.features(data, offsets):
+            pairs = np.union1d(pairs, owner << self.bits | bucket)
+        return pairs
 
     def learn(self, rows: list[np.ndarray], labels: np.ndarray) -> tuple[np.ndarray, float]:
         """Weights of all buckets and the intercept, from the distinct buckets of each text."""
@@ -67,9 +81,10 @@ class Ftrl:
         self, weights: np.ndarray, bias: float, data: np.ndarray, offsets: np.ndarray
     ) -> np.ndarray:
         count = len(offsets) - 1
-        bucket, owner = self.features(data, offsets)
-        counts = weights[bucket] != 0
-        pairs = np.unique(owner[counts] << self.bits | bucket[counts])
+        pairs = np.zeros(0, np.int64)
+        for bucket, owner in self.features(data, offsets):
+            counts = weights[bucket] != 0
+            pairs = np.union1d(pairs, owner[counts] << self.bits | bucket[counts])
         own = weights[pairs & ((1 << self.bits) - 1)]
         return sigmoid(np.bincount(pairs >> self.bits, own, count)[:count] + bias)
 
@@ -81,8 +96,7 @@ def train(
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", SLICE):
-            bucket, owner = model.features(*text_bytes(part.column("text")))
-            pairs = np.unique(owner << model.bits | bucket)
+            pairs = model.distinct(*text_bytes(part.column("text")))
             cut = np.searchsorted(pairs >> model.bits, np.arange(part.num_rows + 1))
             lists = pa.ListArray.from_arrays(
                 pa.array(cut, pa.int32()), pa.array(pairs & ((1 << model.bits) - 1), pa.int32())
@@ -104,7 +118,7 @@ def train(
 
     chosen = sample(docs, labels, label, model.rows, id_column, text_column)
     schema = "doc_id long, label int, at array<int>"
-    features = saved(chosen.mapInArrow(lean(extract), schema), "toxic-features")
+    features = bounded(saved(chosen.mapInArrow(lean(extract), schema), "toxic-features"))
     # One task, over a bounded number of rows in a fixed order.
     one = features.repartition(1).sortWithinPartitions("doc_id", "at").select("label", "at")
     weights, bias = np.zeros(1 << model.bits), 0.0
@@ -131,7 +145,8 @@ def toxicity(
 
     Only texts are looked at. A NULL or empty text has the score of the intercept; a NULL id is not
     held out and not learned from; repeated rows are scored each. Without usable labels every text
-    is held to be clean. An empty table gives no rows.
+    is held to be clean. An empty table gives no rows. A very long text is scored by its parts, to the
+    same result.
     """
     score = scorer(train(docs, labels, label, model, id_column, text_column), model)
     return scored(docs, score, threshold, "toxicity", id_column, text_column)

@@ -3,8 +3,8 @@ import zlib
 import numpy as np
 import pytest
 
-from strataflow.llm import learn
-from strataflow.llm.features import subword_grams, word_grams
+from strataflow.llm import features, learn
+from strataflow.llm.features import subword_gram_parts, subword_grams, word_gram_parts, word_grams
 from strataflow.llm.quality import Subwords, quality
 from strataflow.llm.toxicity import Ftrl, toxicity, without_toxic
 
@@ -40,6 +40,43 @@ def test_words_ignore_case_and_marks():
     assert grams[0] == grams[1] and len(grams[0]) == 3
 
 
+@pytest.mark.parametrize("part", [1, 2, 3, 7, 64])
+def test_features_of_a_text_in_parts(monkeypatch, part):
+    monkeypatch.setattr(features, "PART", part)
+    chance = np.random.default_rng(part)
+    texts = ["".join(chance.choice(list("aAbé9 .\n\0"), chance.integers(0, 90))) for _ in range(150)]
+    for text in [*texts, "a", " ", "a" * 200, "a b " * 40, " " * 70 + "été"]:
+        data, offsets = laid([text])
+        whole = per_text(word_grams(data, offsets, 3, 2, (4, 5), 20), 1)[0]
+        assert sorted(np.concatenate([[], *word_gram_parts(data, 3, 2, (4, 5), 20)])) == whole
+        whole = per_text(map(np.concatenate, zip(*subword_grams(data, offsets, (2, 3, 4), 20))), 1)[0]
+        assert sorted(np.concatenate([[], *subword_gram_parts(data, (2, 3, 4), 20)])) == whole
+
+
+@pytest.mark.parametrize("model, told", [(Ftrl(), Ftrl.distinct), (Subwords(), Subwords.counted)])
+def test_models_see_the_same_in_parts(monkeypatch, model, told):
+    chance = np.random.default_rng(1)
+    weights = chance.random(1 << model.bits) * (chance.random(1 << model.bits) < 0.5)
+    texts = [" ".join(chance.choice([f"w{k}" for k in range(60)], n)) for n in (60, 300, 2000)]
+    for text in [*texts, "x" * 3000]:
+        laid_out = laid([text])
+        whole, score = told(model, *laid_out), model.score(weights, 0.1, *laid_out)
+        monkeypatch.setattr(features, "PART", 100)
+        assert np.array_equal(whole, told(model, *laid_out))
+        assert model.score(weights, 0.1, *laid_out) == pytest.approx(score, abs=1e-12)
+        monkeypatch.undo()
+
+
+def test_features_learnt_from_are_bounded(spark, monkeypatch):
+    rows = [(k, list(range(k))) for k in range(1, 30)]
+    lists = spark.createDataFrame(rows, "doc_id long, at array<int>")
+    assert learn.bounded(lists).count() == 29
+    monkeypatch.setattr(learn, "TRAIN_FEATURES", 100)
+    few = [len(r["at"]) for r in learn.bounded(lists).collect()]
+    assert 70 < sum(few) <= 100
+    assert learn.bounded(lists.limit(0)).count() == 0
+
+
 def fold(doc):
     return doc is not None and zlib.crc32(str(doc).encode()) % 5 == 0
 
