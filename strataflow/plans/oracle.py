@@ -187,6 +187,11 @@ ORACLE: dict[str, str] = {
         SELECT event_id, ts, user_id, event_type, value,
                CASE WHEN ts > TIMESTAMP '2024-01-15' THEN props END AS props
         FROM events""",
+    "stream_evolve_nested": """
+        SELECT event_id, user_id, CASE WHEN ts > TIMESTAMP '2024-01-15' THEN props END AS props,
+               event_type AS kind, CASE WHEN ts > TIMESTAMP '2024-01-15' THEN value END AS value,
+               user_id AS mapped
+        FROM events""",
     "stream_dedupe": LINE_KEYS,
     "stream_dedupe_within": LINE_KEYS,
     "stream_dedupe_change": "SELECT DISTINCT * FROM events",

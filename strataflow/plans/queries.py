@@ -463,6 +463,35 @@ def stream_evolve(spark, sf):
     return read_layer(spark, silver, schema)
 
 
+@query
+def stream_evolve_nested(spark, sf):
+    """The second batch has wider numbers and new fields in a struct, an array and a map."""
+    layers = work(spark, "evolve_nested")
+    bronze, silver = layers.path("bronze", "events"), layers.path("silver", "events")
+    shapes = (
+        (early, "int", "named_struct('user', int(user_id))", "named_struct('kind', event_type)"),
+        (
+            late,
+            "bigint",
+            "named_struct('props', props, 'user', user_id)",
+            "named_struct('kind', event_type, 'value', value)",
+        ),
+    )
+    schema = None
+    for part, number, detail, tag in shapes:
+        batch = part(spark, sf).selectExpr(
+            f"CAST(event_id AS {number}) AS event_id", f"{detail} AS detail",
+            f"array({tag}) AS tags", f"map(event_type, CAST(user_id AS {number})) AS users",
+        )
+        land(batch, bronze)
+        schema = resolve_schema(spark, bronze, layers.state("schema", "events"), deep=True)
+        append_stream(stream_files(spark, bronze, schema), layers.checkpoint("events"), silver)
+    return read_layer(spark, silver, schema).selectExpr(
+        "event_id", "detail.user AS user_id", "detail.props AS props", "tags[0].kind AS kind",
+        "tags[0].value AS value", "users[tags[0].kind] AS mapped",
+    )
+
+
 @query
 def stream_dedupe_(spark, sf):
     layers = work(spark, "dedupe")

@@ -42,6 +42,37 @@ def test_type_conflict_is_refused(spark, layers, other):
         resolve_schema(spark, bronze, store)
 
 
+def test_widen_goes_into_structs_arrays_and_maps(spark):
+    schema = lambda text: spark.createDataFrame([], text).schema
+    known = schema("n int, f float, d decimal(5,2), s struct<a:smallint>, l array<struct<x:int>>, m map<string,int>")
+    other = schema(
+        "m map<string,bigint>, l array<struct<x:bigint,y:string>>, s struct<b:date,a:int>, "
+        "d decimal(8,3), f double, n bigint, more string"
+    )
+    want = schema(
+        "n bigint, f double, d decimal(8,3), s struct<a:int,b:date>, l array<struct<x:bigint,y:string>>, "
+        "m map<string,bigint>, more string"
+    )
+    assert widen(known, other, True) == want and widen(want, want, True) == want
+    for narrow in ("s struct<a:tinyint>", "l array<struct<x:string>>", "d decimal(7,4)", "n float", "f float"):
+        with pytest.raises(SchemaConflict):
+            widen(want, schema(narrow), True)
+
+
+def test_wider_files_are_read_with_older_ones(spark, layers):
+    bronze, store = layers.path("bronze", "t"), layers.state("schema", "t")
+    for k, kind in enumerate(("int", "int", "bigint", "bigint")):
+        land(spark.range(k, k + 1).selectExpr(f"cast(id as {kind}) id", f"array(struct(cast(id as {kind}) x)) l"), bronze)
+        if k != 2:  # the first look after the change sees both types
+            schema = resolve_schema(spark, bronze, store, deep=True)
+    assert schema.simpleString() == "struct<id:bigint,l:array<struct<x:bigint>>>"
+    assert rows(read_layer(spark, bronze, schema).selectExpr("id", "l[0].x")) == [(k, k) for k in range(4)]
+    assert rows(read_layer(spark, bronze, schema).where("id >= 1").select("id")) == [(1,), (2,), (3,)]
+    land(spark.range(1).selectExpr("cast(id as int) id"), bronze)
+    with pytest.raises(SchemaConflict):
+        resolve_schema(spark, bronze, store, deep=True)
+
+
 def test_widen_refuses_another_type(spark):
     schema = lambda text: spark.createDataFrame([], text).schema
     with pytest.raises(SchemaConflict):
