@@ -45,11 +45,13 @@ class SkewPolicy:
     """When and how a key with too many rows for one task is split.
 
     Inputs estimated below ``check_above_bytes`` are not examined: a task can sort all of it.
-    Above that, a key with ``rows_per_task`` rows or more is cut into runs of about that size.
+    Above that, a key with ``rows_per_task`` rows or more is cut into runs of about that size. What a task holds
+    in memory, such as the rows of a point-in-time join by time, also stays near ``bytes_per_task``.
     """
 
     rows_per_task: int = 20_000_000
     check_above_bytes: int = 1 << 30
+    bytes_per_task: int = 256 << 20
     tracked_items: int = 16_384
     max_hot_keys: int = 4_096
 

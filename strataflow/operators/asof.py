@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strataflow.config import SkewPolicy
 from strataflow.operators import skew
@@ -159,6 +160,8 @@ def _by_scan(
     usable = _present([*keys, ts])
     lost = facts.where(~usable).withColumn("__version", F.lit(None).cast(version_type))
     facts = facts.where(usable)
+    # A task holds the rows of a key in memory, so it gets what fits there.
+    policy = skew.fitted(policy, T.StructType([*facts.schema.fields, *versions.schema.fields]))
     # Where the size is known to be small this costs nothing; else one pass over the keys.
     hot = skew.find_hot(facts.select(*keys).unionByName(versions.select(*keys)), keys, policy)
     if not hot:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -29,6 +29,27 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def row_bytes(kind: T.DataType) -> int:
+    """About what a value, or a row as a struct, takes in memory."""
+    if isinstance(kind, T.StructType):
+        return 8 + sum(row_bytes(f.dataType) for f in kind.fields)
+    if isinstance(kind, (T.ArrayType, T.MapType)):
+        return 100
+    return 8 if isinstance(kind, (T.NumericType, T.BooleanType, T.DatetimeType)) else 28
+
+
+def fitted(policy: SkewPolicy, schema: T.StructType) -> SkewPolicy:
+    """The policy for a task that holds rows of this schema in memory, sorted.
+
+    Files hold rows several times as densely, so inputs are examined from a quarter of a task's bytes on.
+    """
+    return replace(
+        policy,
+        rows_per_task=min(policy.rows_per_task, max(1, policy.bytes_per_task // row_bytes(schema))),
+        check_above_bytes=min(policy.check_above_bytes, policy.bytes_per_task // 4),
+    )
+
+
 def find_hot(df: DataFrame, keys: Sequence[str], policy: SkewPolicy) -> list[int]:
     """Hashes of the keys with about ``rows_per_task`` rows or more; empty for small inputs.
 

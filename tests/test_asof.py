@@ -3,9 +3,10 @@ import random
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strataflow.config import SkewPolicy
-from strataflow.operators import join_as_of, scd2
+from strataflow.operators import join_as_of, scd2, skew
 from strataflow.operators.cells import MOST_COPIES, choose_cells, in_cells
 
 WAYS = {
@@ -114,6 +115,30 @@ def test_cells_without_versions(spark):
     assert choose_cells(history, ["k"], F.col("at"), F.col("at"), history.schema["at"].dataType, 8) is None
 
 
+def test_a_task_sorts_no_more_of_a_key_than_fits_its_memory(spark, data):
+    changes, facts = data
+    history = scd2(
+        spark.createDataFrame([(k, at, v) for (k, at), v in changes.items()], "k int, at int, plan string"),
+        ["k"], "at",
+    )
+    facts = spark.createDataFrame(facts, "id int, k int, ts int")
+    # 20 million rows are allowed by number, a few dozen by their bytes.
+    found, whole = (
+        join_as_of(facts, history, ["k"], "ts", ["plan"], few=0, policy=policy)
+        for policy in (SkewPolicy(bytes_per_task=4096), SkewPolicy())
+    )
+    plans = [x._jdf.queryExecution().optimizedPlan().toString() for x in (found, whole)]
+    assert ["__chunk" in plan for plan in plans] == [True, False]
+    assert rows(found) == rows(whole)
+
+
+def test_a_wide_row_counts_for_more():
+    narrow = T.StructType([T.StructField("k", T.LongType())])
+    wide = T.StructType([*narrow.fields, *[T.StructField(f"c{i}", T.StringType()) for i in range(50)]])
+    cut = [skew.fitted(SkewPolicy(), kind).rows_per_task for kind in (narrow, wide)]
+    assert cut[0] > 10 * cut[1] and cut[1] * skew.row_bytes(wide) <= SkewPolicy().bytes_per_task
+
+
 def test_cells_need_no_order_in_time(spark, data):
     facts = data[1]
     history = spark.createDataFrame(
