@@ -166,8 +166,8 @@ class TableSpec:
     """Everything the pipeline knows about one table, from source to gold.
 
     ``dedupe`` is ``"change"`` (repeated copies of a change go, so history survives),
-    ``"key"`` (the first row of a key stays for ever) or ``None``. ``salts`` spreads the copies
-    of one key or change over that many tasks. ``within`` (such as ``"30 days"``) bounds what is remembered: a row
+    ``"key"`` (the first row of a key stays for ever) or ``None``. ``salts=0`` leaves
+    out the thinning of copies before their shuffle (see ``stream_dedupe``). ``within`` (such as ``"30 days"``) bounds what is remembered: a row
     is compared with those that silver has from that long before its batch's oldest one on, by way of a small
     filter per day, and there is no state; see ``append_known``. A backlog of bronze files is taken in micro-batches of
     ``bytes_per_batch``, so that a run cut short loses no more than one of them. ``archive`` is a folder

@@ -19,6 +19,10 @@ DIGEST = ["__digest_1", "__digest_2"]
 DAY = "__day"
 # Days that a filter names one by one; beyond, it names the first and the last.
 MOST_DAYS = 1_000
+# Types whose equal values Arrow groups too; it may tell apart what Spark takes for equal, such as -0.0 and 0.0.
+GROUPED = (
+    T.NumericType, T.StringType, T.BinaryType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType,
+)
 
 
 def stream_dedupe(
@@ -34,9 +38,11 @@ def stream_dedupe(
     are dropped, whether their key was seen or not. ``append_within`` keeps those.
 
     Streaming de-duplication sends every row of a key to one task. So the rows of each key are
-    first thinned in ``salts`` places, and at most that many of them ever reach the task that
-    decides. ``salts=0`` saves that step where no key has many copies; a checkpoint keeps
-    the choice made at its first start.
+    first thinned where they are read, without state or shuffle: of the rows that a task hands over together
+    (``spark.sql.execution.arrow.maxRecordsPerBatch``) one per key goes on. With ``within``, or a key of
+    nested type, they are thinned in ``salts`` places instead, which remember them too, and at most that many of
+    them ever reach the task that decides. ``salts=0`` saves that step where no key has many copies; a
+    checkpoint keeps the choice made at its first start.
     """
     stamp = "__event_time"
     if within is not None:
@@ -51,11 +57,32 @@ def stream_dedupe(
         return frame.dropDuplicates(list(columns))
 
     if salts > 1:
-        salted = df.withColumn("__salt", F.floor(F.rand(17) * salts))
-        df = once(salted, [*keys, "__salt"]).drop("__salt")
+        if within is None and all(isinstance(df.schema[k].dataType, GROUPED) for k in keys):
+            df = df.where(_first_together(df, keys))
+        else:
+            salted = df.withColumn("__salt", F.floor(F.rand(17) * salts))
+            df = once(salted, [*keys, "__salt"]).drop("__salt")
     return once(df, keys).drop(stamp)
 
 
+def _first_together(df: DataFrame, keys: Sequence[str]) -> Column:
+    """Whether a row is the first of its key among those that its task hands to Python together."""
+
+    def first(*columns):
+        import numpy as np
+        import pyarrow as pa
+
+        names, rows = [str(i) for i in range(len(columns))], len(columns[0])
+        table = pa.table([*columns, pa.array(np.arange(rows))], names=[*names, "row"])
+        firsts = table.group_by(names, use_threads=False).aggregate([("row", "min")])["row_min"]
+        found = np.zeros(rows, bool)
+        found[firsts.to_numpy()] = True
+        return pa.array(found)
+
+    # Not deterministic, so that no other filter is moved or merged past it: those go before or stay behind.
+    return F.arrow_udf(first, T.BooleanType()).asNondeterministic()(*[df[f"`{k}`"] for k in keys])
+
+
 def stream_dedupe_changes(
     df: DataFrame, keys: Sequence[str], sequence_by: str, salts: int = SALTS
 ) -> DataFrame:

@@ -137,6 +137,39 @@ def test_key_dedupe_remembers_between_runs(spark, layers, salts):
     assert rows(spark.read.parquet(silver)) == [(None, "x", 1), (1, "Free", 1), (3, "Free", 2)]
 
 
+def test_key_dedupe_keeps_one_state_and_thins_before_it(spark, layers):
+    bronze, silver = layers.path("bronze", "u"), layers.path("silver", "u")
+    # NULL keys, text keys, and two thirds of all rows with one key.
+    land(spark.range(60_000, numPartitions=2).selectExpr(
+        "CASE WHEN id % 3 > 0 THEN 7 WHEN id % 2 = 0 THEN id END AS k", "string(id % 3 > 0) AS s", "id AS v"
+    ), bronze)
+    stream = stream_files(spark, bronze, spark.read.parquet(bronze).schema)
+    query = append_stream(stream_dedupe(stream, ["k", "s"]), layers.checkpoint("u"), silver)
+    assert rows(spark.read.parquet(silver), "k", "s") == [
+        (None, "false"), *sorted({(n, "false") for n in range(0, 60_000, 6)} | {(7, "true")})
+    ]
+    done = next(p for p in query.recentProgress if p["numInputRows"])
+    assert [s["numRowsUpdated"] for s in done["stateOperators"]] == [10_002]
+    # Copies that reach the state: one per key and 10,000 rows at most, of 49,998.
+    assert done["stateOperators"][0]["customMetrics"]["numDroppedDuplicateRows"] <= 20
+
+
+def test_key_dedupe_thins_what_other_filters_leave(spark, layers):
+    bronze, silver = layers.path("bronze", "u"), layers.path("silver", "u")
+    land(spark.range(1_000, numPartitions=1).selectExpr("id % 10 AS k", "id AS v"), bronze)
+    stream = stream_files(spark, bronze, spark.read.parquet(bronze).schema).where("v >= 990")
+    append_stream(stream_dedupe(stream, ["k"]), layers.checkpoint("u"), silver)
+    assert rows(spark.read.parquet(silver)) == [(k, 990 + k) for k in range(10)]
+
+
+def test_key_dedupe_on_a_nested_key(spark, layers):
+    bronze, silver = layers.path("bronze", "u"), layers.path("silver", "u")
+    land(spark.range(100).selectExpr("named_struct('a', id % 3) AS k"), bronze)
+    stream = stream_files(spark, bronze, spark.read.parquet(bronze).schema)
+    append_stream(stream_dedupe(stream, ["k"], salts=2), layers.checkpoint("u"), silver)
+    assert rows(spark.read.parquet(silver), "k.a") == [(0,), (1,), (2,)]
+
+
 def test_change_dedupe_drops_copies_only(spark, layers):
     bronze, silver = layers.path("bronze", "u"), layers.path("silver", "u")
     narrow, wide = "id int, plan string, at int", "id int, plan string, at int, mail string"
